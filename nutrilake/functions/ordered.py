@@ -125,6 +125,14 @@ def running_totals(df: DataFrame, groups: list[str], value: str, weights: list[s
 # --------------------------------------------------------------------------
 # exact quantiles
 # --------------------------------------------------------------------------
+def lerp(a: Column, b: Column, t: Column) -> Column:
+    """Linear interpolation as numpy's quantile does it: ``a + (b-a)*t``
+    below t = 0.5 and ``b - (b-a)*(1-t)`` from 0.5 on (bit-identical
+    results to pandas/numpy ``quantile``)."""
+    d = b - a
+    return F.when(t >= 0.5, b - d * (1 - t)).otherwise(a + d * t)
+
+
 def long_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float],
                    method: str = "exact", accuracy: int = 10_000,
                    n_buckets: int = 256) -> DataFrame:
@@ -165,7 +173,7 @@ def long_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float
             F.max(F.when(F.col("_end") == 0, F.col("_v"))).alias("_vlo"),
             F.max(F.when(F.col("_end") == 1, F.col("_v"))).alias("_vhi"))
     per_p = targets.join(hits, ["_g", "_i"]) \
-        .select("_g", "_i", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("_q"))
+        .select("_g", "_i", lerp(F.col("_vlo"), F.col("_vhi"), F.col("_frac")).alias("_q"))
     return (per_p.groupBy("_g")
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))),
                              lambda s: s["_q"]).alias("q"))

@@ -33,7 +33,7 @@ def _smallest_k(distinct_long: DataFrame, k: int, spread: int = 1024) -> DataFra
     w2 = Window.partitionBy("column").orderBy("value")
     top = first.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= k)
     return top.groupBy("column").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_r2", F.col("value").cast("string")))),
+        F.transform(F.array_sort(F.collect_list(F.struct("_r2", F.col("value").cast("string").alias("value")))),
                     lambda s: s["value"]).alias("Examples"))
 
 

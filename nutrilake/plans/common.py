@@ -19,7 +19,8 @@ def r6(col: str | Column) -> Column:
 
 
 def sql_r6(expr: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {ROUND})"
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (Spark's round never yields -0.0)
+    return f"(round(CAST({expr} AS DOUBLE), {ROUND}) + CAST(0 AS DOUBLE))"
 
 
 def diet(spark: SparkSession, sf_dir: str) -> DataFrame:

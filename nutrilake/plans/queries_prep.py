@@ -278,13 +278,13 @@ def profile_sql(src: str, columns: list[str], types: dict[str, str], numeric: li
         val = f"CAST({c} AS DOUBLE)" if num else f"CAST({c} AS VARCHAR)"
         miss = f"(count(*) - count({c}))"
         ex = (f"array_to_string(list_transform(list_slice(list_sort(list(DISTINCT {val}) FILTER (WHERE {c} IS NOT NULL)), 1, {k}), "
-              f"x -> CAST(x AS VARCHAR)), '|')")
+              f"lambda x: CAST(x AS VARCHAR)), '|')")
         if num:
             q1 = f"(SELECT quantile_cont({c}, 0.25) FROM {src})"
             q3 = f"(SELECT quantile_cont({c}, 0.75) FROM {src})"
             outl = (f"round(CAST(count(*) FILTER (WHERE {c} < {q1} - {factor!r} * ({q3} - {q1}) "
                     f"OR {c} > {q3} + {factor!r} * ({q3} - {q1})) AS DOUBLE) / count(*) * 100, 2)")
-            skew = f"round(skewness({val}), 2)"
+            skew = f"(round(skewness({val}), 2) + CAST(0 AS DOUBLE))"
         else:
             outl, skew = "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"
         parts.append(
@@ -385,7 +385,7 @@ def _prep_sql(body: str, extra: str = "") -> str:
     return "WITH " + G.prepared_ctes() + ("," + extra if extra else "") + "\n" + body
 
 
-CLEANER_STATE_SQL = _prep_sql(f"SELECT column, kind, {sql_r6('num_value')} AS num_value, str_value, "
+CLEANER_STATE_SQL = _prep_sql(f"SELECT col_name AS \"column\", kind, {sql_r6('num_value')} AS num_value, str_value, "
                               f"{sql_r6('lower')} AS lower, {sql_r6('upper')} AS upper FROM cst")
 
 
@@ -412,14 +412,14 @@ def _report_sql() -> str:
     parts = []
     for c in S.RAW_COLUMNS:
         if c in S.RAW_NUMERIC_COLUMNS:
-            v = f"(SELECT num_value FROM cst WHERE column = '{c}')"
-            lo = f"(SELECT lower FROM cst WHERE column = '{c}')"
-            hi = f"(SELECT upper FROM cst WHERE column = '{c}')"
+            v = f"(SELECT num_value FROM cst WHERE col_name = '{c}')"
+            lo = f"(SELECT lower FROM cst WHERE col_name = '{c}')"
+            hi = f"(SELECT upper FROM cst WHERE col_name = '{c}')"
             filled = f"coalesce(CAST({c} AS DOUBLE), {v})"
             clipped = f"count(*) FILTER (WHERE {filled} < {lo} OR {filled} > {hi})"
         else:
             clipped = "CAST(0 AS BIGINT)"
-        parts.append(f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS imputed, "
+        parts.append(f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS imputed, "
                      f"{clipped} AS clipped FROM sp WHERE split = 'test'")
     return "\nUNION ALL ".join(parts)
 

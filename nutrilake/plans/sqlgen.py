@@ -104,7 +104,7 @@ def cleaner_state_ctes(src: str, factor: float = 3.0) -> str:
     parts = []
     for c in NUMERIC:
         parts.append(
-            f"SELECT '{c}' AS column, 'numeric' AS kind, quantile_cont({c}, 0.5) AS num_value, "
+            f"SELECT '{c}' AS col_name, 'numeric' AS kind, quantile_cont({c}, 0.5) AS num_value, "
             f"CAST(NULL AS VARCHAR) AS str_value, "
             f"quantile_cont({c}, 0.25) - {factor!r} * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS lower, "
             f"quantile_cont({c}, 0.75) + {factor!r} * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS upper "
@@ -122,13 +122,13 @@ def cleaned_select(src: str, extra: list[str] | None = None) -> str:
     cols = []
     for c in S.RAW_COLUMNS:
         if c in NUMERIC:
-            v = f"(SELECT num_value FROM cst WHERE column = '{c}')"
-            lo = f"(SELECT lower FROM cst WHERE column = '{c}')"
-            hi = f"(SELECT upper FROM cst WHERE column = '{c}')"
+            v = f"(SELECT num_value FROM cst WHERE col_name = '{c}')"
+            lo = f"(SELECT lower FROM cst WHERE col_name = '{c}')"
+            hi = f"(SELECT upper FROM cst WHERE col_name = '{c}')"
             filled = f"coalesce(CAST({c} AS DOUBLE), {v})"
             cols.append(f"CASE WHEN {filled} IS NULL THEN NULL ELSE greatest({lo}, least({hi}, {filled})) END AS {c}")
         else:
-            v = f"(SELECT str_value FROM cst WHERE column = '{c}')"
+            v = f"(SELECT str_value FROM cst WHERE col_name = '{c}')"
             cols.append(f"coalesce({c}, {v}) AS {c}")
     return "SELECT " + ", ".join((extra or []) + cols) + f" FROM {src}"
 
@@ -156,3 +156,12 @@ def scaled_expr(c: str) -> str:
     mean = f"(SELECT mean FROM enc WHERE feature = '{c}')"
     std = f"(SELECT CASE WHEN std = 0 OR std IS NULL THEN 1.0 ELSE std END FROM enc WHERE feature = '{c}')"
     return f"(CAST({c} AS DOUBLE) - {mean}) / {std}"
+
+
+def quantile_sql(arr: str, p: float) -> str:
+    """numpy-exact linear quantile of a sorted DuckDB list ``arr``."""
+    pos = f"({p!r} * (len({arr}) - 1))"
+    a = f"{arr}[CAST(floor({pos}) AS BIGINT) + 1]"
+    b = f"{arr}[CAST(ceil({pos}) AS BIGINT) + 1]"
+    t = f"({pos} - floor({pos}))"
+    return f"(CASE WHEN {t} >= 0.5 THEN {b} - ({b} - {a}) * (1 - {t}) ELSE {a} + ({b} - {a}) * {t} END)"
