@@ -85,12 +85,15 @@ def with_value_bucket(df: DataFrame, groups: list[str], value: str,
         return df.withColumn("_bucket", F.col(value).cast("int"))
     if not groups:
         raise ValueError("with_value_bucket needs at least one group column")
+    if n_buckets <= 1:
+        return df.withColumn("_bucket", F.lit(0))
     bounds = _numeric_bucket_bounds(df, groups, value, n_buckets)
     # bound: one row per group (groups are column names / classes).
     joined = df.join(bounded_broadcast(bounds), groups, "left")
     v = F.col(value).cast("double")
-    return (joined.withColumn("_bucket", F.size(F.filter(F.col("_bounds"), lambda b: b < v)))
-            .drop("_bounds"))
+    bucket = F.size(F.filter(F.coalesce(F.col("_bounds"), F.array().cast("array<double>")),
+                             lambda b: b < v))
+    return joined.withColumn("_bucket", bucket).drop("_bounds")
 
 
 def _bucket_offsets(bucketed: DataFrame, groups: list[str], weights: list[str]) -> DataFrame:
