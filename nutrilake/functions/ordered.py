@@ -62,17 +62,40 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # bucketing of an ordered domain
 # --------------------------------------------------------------------------
+DEFAULT_BUCKETS = 1024
+
+
 def _numeric_bucket_bounds(df: DataFrame, groups: list[str], value: str,
                            n_buckets: int) -> DataFrame:
+    """Per group: sorted distinct approximate percentiles (equal-count cut
+    points).  Exactness never depends on them -- only the balance of the
+    buckets -- so a modest sketch accuracy (4 x buckets) is enough."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
     return (df.groupBy(*groups)
             .agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probs,
-                                                      max(10_000, 20 * n_buckets)))
+                                                      max(1000, 4 * n_buckets)))
                  .alias("_bounds")))
 
 
+def count_below(sorted_arr: Column, v: Column, max_len: int) -> Column:
+    """Number of elements of an ascending array strictly below ``v``
+    (lower bound) by binary search: ceil(log2(max_len+1)) steps of a fold,
+    instead of a linear scan over every cut point."""
+    steps = max(1, math.ceil(math.log2(max_len + 1)) + 1)
+    init = F.struct(F.lit(0).alias("lo"), F.size(sorted_arr).alias("hi"))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        below = F.element_at(sorted_arr, mid + 1) < v
+        return F.when(lo >= hi, acc).otherwise(
+            F.when(below, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+            .otherwise(F.struct(lo.alias("lo"), mid.alias("hi"))))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+
+
 def with_value_bucket(df: DataFrame, groups: list[str], value: str,
-                      n_buckets: int = 256) -> DataFrame:
+                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``_bucket``: a per-group ordinal whose order agrees with ``value``.
 
     Numbers: equal-count buckets from approximate percentiles of the
@@ -88,11 +111,11 @@ def with_value_bucket(df: DataFrame, groups: list[str], value: str,
     if n_buckets <= 1:
         return df.withColumn("_bucket", F.lit(0))
     bounds = _numeric_bucket_bounds(df, groups, value, n_buckets)
-    # bound: one row per group (groups are column names / classes).
+    # bound: one row per group (groups are column names / classes), each
+    # with at most n_buckets-1 numbers.
     joined = df.join(bounded_broadcast(bounds), groups, "left")
-    v = F.col(value).cast("double")
-    bucket = F.size(F.filter(F.coalesce(F.col("_bounds"), F.array().cast("array<double>")),
-                             lambda b: b < v))
+    arr = F.coalesce(F.col("_bounds"), F.array().cast("array<double>"))
+    bucket = count_below(arr, F.col(value).cast("double"), n_buckets)
     return joined.withColumn("_bucket", bucket).drop("_bounds")
 
 
@@ -106,7 +129,7 @@ def _bucket_offsets(bucketed: DataFrame, groups: list[str], weights: list[str])
 
 
 def running_totals(df: DataFrame, groups: list[str], value: str, weights: list[str],
-                   n_buckets: int = 256) -> DataFrame:
+                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """For a table with one row per (groups, value), add ``cum_<w>``: the sum
     of ``w`` over all rows of the group with a value <= this one.
 
@@ -136,28 +159,19 @@ def lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= 0.5, b - d * (1 - t)).otherwise(a + d * t)
 
 
-def long_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float],
-                   method: str = "exact", accuracy: int = 10_000,
-                   n_buckets: int = 256) -> DataFrame:
-    """Quantiles of ``value`` per ``group`` with linear interpolation
-    (numpy/pandas default, ``quantile_cont``).
+def weighted_quantiles(counts: DataFrame, group: str, value: str, weight: str,
+                       probs: list[float], n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact quantiles from a value-count table (one row per (group, value)
+    with ``weight`` rows behind it; NULL values and zero weights must be
+    filtered out by the caller).  Linear interpolation as numpy does it.
 
-    Returns one row per group with ``q`` = array of len(probs) doubles
-    (NULL for an all-NULL group).  ``method="approx"`` uses the
-    ``percentile_approx`` sketch (rank error <= n/accuracy) instead.
+    Returns (group, q ARRAY<DOUBLE>).
     """
-    d = long_df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")) \
-        .where(F.col("_v").isNotNull())
-    if method == "approx":
-        return d.groupBy("_g").agg(F.percentile_approx("_v", probs, accuracy).alias("q")) \
-            .withColumnRenamed("_g", group)
-    if method == "builtin":
-        return d.groupBy("_g").agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("q")) \
-            .withColumnRenamed("_g", group)
-    counts = d.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_w"))
-    cum = running_totals(counts, ["_g"], "_v", ["_w"], n_buckets) \
+    d = counts.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"),
+                      F.col(weight).cast("long").alias("_w"))
+    cum = running_totals(d, ["_g"], "_v", ["_w"], n_buckets) \
         .withColumn("_before", F.col("cum__w") - F.col("_w"))
-    n = counts.groupBy("_g").agg(F.sum("_w").alias("_n"))
+    n = d.groupBy("_g").agg(F.sum("_w").alias("_n"))
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
     targets = (n.select("_g", "_n", F.posexplode(prob_arr).alias("_i", "_p"))
                .withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
@@ -183,6 +197,26 @@ def long_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float
             .withColumnRenamed("_g", group))
 
 
+def long_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float],
+                   method: str = "exact", accuracy: int = 10_000,
+                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Quantiles of ``value`` per ``group`` with linear interpolation
+    (numpy/pandas default).
+
+    Returns one row per group with ``q`` = array of len(probs) doubles
+    (all-NULL groups are absent).  ``method="approx"`` uses the
+    ``percentile_approx`` sketch (rank error <= n/accuracy) instead.
+    """
+    d = long_df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")) \
+        .where(F.col("_v").isNotNull())
+    if method == "approx":
+        return d.groupBy("_g").agg(F.percentile_approx("_v", probs, accuracy).alias("q")) \
+            .withColumnRenamed("_g", group)
+    counts = d.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_w"))
+    return weighted_quantiles(counts, "_g", "_v", "_w", probs, n_buckets) \
+        .withColumnRenamed("_g", group)
+
+
 def column_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                      method: str = "exact", **kw) -> dict[str, list[float] | None]:
     """Quantiles for several numeric columns in one job; returns a small
@@ -247,3 +281,36 @@ def hash_rank(df: DataFrame, order_key: str, groups: list[str] | None = None,
     out = ranked.join(checked_broadcast(offsets), groups + ["_bucket"], "left")
     return out.withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("long")) \
         .drop("_bucket", "_rn", "_off")
+
+
+# --------------------------------------------------------------------------
+# value-count tables (one shuffle feeding many per-column measures)
+# --------------------------------------------------------------------------
+def value_counts_long(df: DataFrame, numeric: list[str], strings: list[str],
+                      side: Column | None = None, keep_nulls: bool = True) -> DataFrame:
+    """(column, dval, sval[, _side], n): rows per distinct value of every
+    column.  Numeric columns carry their value in ``dval`` (DOUBLE), the
+    others in ``sval`` (STRING); NULL cells form their own row when
+    ``keep_nulls``.  One projection (a single scan of ``df``), one explode,
+    one map-side-combined aggregation: a value that holds a third of the
+    table is one row after the partial step.
+    """
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("dval"),
+                      F.lit(None).cast("string").alias("sval")) for c in numeric]
+    cells += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("dval"),
+                       F.col(c).cast("string").alias("sval")) for c in strings]
+    extra = [side.alias("_side")] if side is not None else []
+    long_df = df.select(*extra, F.explode(F.array(*cells)).alias("_c")) \
+        .select(*(["_side"] if side is not None else []), "_c.column", "_c.dval", "_c.sval")
+    if not keep_nulls:
+        long_df = long_df.where(F.col("dval").isNotNull() | F.col("sval").isNotNull())
+    keys = ["column", "dval", "sval"] + (["_side"] if side is not None else [])
+    return long_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def counted(vc: DataFrame, present: Column, weight: str = "n") -> Column:
+    """Filter condition ``present AND weight > 0`` written as ONE expression
+    over the aggregate output, so the optimizer cannot push part of it below
+    the shared aggregation (which would fork the plan and re-read the
+    source instead of reusing the one shuffle)."""
+    return F.coalesce(F.when(present, F.col(weight)), F.lit(0)) > 0

@@ -87,7 +87,14 @@ def classification_metrics(df: DataFrame, label: str, prediction: str,
     pairs = pair_counts(df, label, prediction).cache()
     if classes is None:
         classes = sorted({r[0] for r in per_class(pairs).select("k").collect()})
-    m = metrics_from_pairs(pairs)
-    cm = confusion_matrix(pairs, classes)
-    one = F.lit(1)
-    return m.withColumn("_k", one).join(cm.withColumn("_k", one), "_k").drop("_k")
+    return one_row(metrics_from_pairs(pairs), confusion_matrix(pairs, classes))
+
+
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Put several one-row frames side by side without a join: union by
+    name (missing columns NULL) and keep the non-NULL value per column."""
+    cols = [c for f in frames for c in f.columns]
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f, allowMissingColumns=True)
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])

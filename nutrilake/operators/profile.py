@@ -3,10 +3,19 @@
 Columns: Column, Type, Missing, Pct_Missing, Cardinality, Constant,
 Skewness, Pct_Outliers, Examples.
 
-Plan: the table is unpivoted into a numeric long frame (column, value
-DOUBLE) and a string long frame (column, value STRING); every measure is an
-aggregation grouped by ``column``, so one set of shuffles serves all
-columns instead of a loop with one job per column and measure.
+Plan: ONE scan of the input feeds ONE value-count table
+``vc = (column, dval, sval, n)`` -- every column unpivoted, counted per
+distinct value (NULL included) with map-side combine.  Every measure is a
+small aggregation over ``vc``:
+
+* rows / missing / cardinality: sums and counts per column;
+* skewness: mean per column, then central moments weighted by ``n``;
+* quartiles (outlier fences): exact weighted quantiles over ``vc``;
+* outliers: sum of ``n`` outside the fences;
+* examples: the smallest distinct values, two-level top-k.
+
+All consumers read the same ``vc`` plan, so Spark reuses its shuffle
+(``ReusedExchange``): the source is read once however many columns it has.
 """
 from __future__ import annotations
 
@@ -14,8 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nutrilake.functions.ordered import bounded_broadcast, long_quantiles
-from nutrilake.functions.stats import bias_corrected_skewness
+from nutrilake.functions.ordered import (bounded_broadcast, counted, value_counts_long,
+                                         weighted_quantiles)
 
 PROFILE_COLUMNS = ["Column", "Type", "Missing", "Pct_Missing", "Cardinality", "Constant",
                    "Skewness", "Pct_Outliers", "Examples"]
@@ -24,21 +33,44 @@ PROFILE_SCHEMA = ("Column string, Type string, Missing long, Pct_Missing double,
                   "Pct_Outliers double, Examples array<string>")
 
 
-def _smallest_k(distinct_long: DataFrame, k: int, spread: int = 1024) -> DataFrame:
-    """k smallest distinct values per column, without one window partition
-    per column: first per (column, hash slice), then over <= spread*k rows."""
-    w1 = Window.partitionBy("column", "_slice").orderBy("value")
-    first = (distinct_long.withColumn("_slice", F.pmod(F.xxhash64("value"), F.lit(spread)))
+def _smallest_k(vc: DataFrame, k: int, spread: int = 1024) -> DataFrame:
+    """k smallest distinct non-NULL values per column, without one window
+    partition per column: first per (column, hash slice), then over at most
+    spread*k rows per column."""
+    present = vc.where(counted(vc, F.col("dval").isNotNull() | F.col("sval").isNotNull()))
+    order = [F.col("dval"), F.col("sval")]
+    w1 = Window.partitionBy("column", "_slice").orderBy(*order)
+    first = (present.withColumn("_slice", F.pmod(F.xxhash64("dval", "sval"), F.lit(spread)))
              .withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k))
-    w2 = Window.partitionBy("column").orderBy("value")
+    w2 = Window.partitionBy("column").orderBy(*order)
     top = first.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= k)
+    text = F.coalesce(F.col("dval").cast("string"), F.col("sval")).alias("value")
     return top.groupBy("column").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_r2", F.col("value").cast("string").alias("value")))),
+        F.transform(F.array_sort(F.collect_list(F.struct("_r2", text))),
                     lambda s: s["value"]).alias("Examples"))
 
 
+def _moments(vc: DataFrame) -> DataFrame:
+    """(column, Skewness): pandas' bias-corrected sample skewness from the
+    weighted central moments of the distinct values."""
+    num = vc.where(counted(vc, F.col("dval").isNotNull()))
+    means = num.groupBy("column").agg(
+        F.sum("n").alias("_cnt"), (F.sum(F.col("dval") * F.col("n")) / F.sum("n")).alias("_mean"))
+    # means: one row per numeric column.
+    dev = num.join(bounded_broadcast(means), "column") \
+        .withColumn("_d", F.col("dval") - F.col("_mean"))
+    m = dev.groupBy("column", "_cnt").agg(
+        F.sum(F.col("n") * F.col("_d") * F.col("_d")).alias("_m2"),
+        F.sum(F.col("n") * F.col("_d") * F.col("_d") * F.col("_d")).alias("_m3"))
+    cnt = F.col("_cnt").cast("double")
+    skew = (F.when(cnt < 3, F.lit(None).cast("double"))
+            .when(F.col("_m2") == 0, F.lit(0.0))
+            .otherwise(cnt * F.sqrt(cnt - 1) / (cnt - 2) * (F.col("_m3") / F.pow(F.col("_m2"), 1.5))))
+    return m.select("column", skew.alias("Skewness"))
+
+
 def dataset_profile(df: DataFrame, max_examples: int = 5, iqr_factor: float = 1.5,
-                    quantile_method: str = "exact", approx_cardinality: bool = False) -> DataFrame:
+                    quantile_method: str = "exact", approx_accuracy: int = 10_000) -> DataFrame:
     """P1-P8.  Empty input -> empty frame with the profile columns."""
     spark = df.sparkSession
     if not df.columns:
@@ -49,75 +81,49 @@ def dataset_profile(df: DataFrame, max_examples: int = 5, iqr_factor: float = 1.
     position = {f.name: i for i, f in enumerate(fields)}
     types = {f.name: f.dataType.simpleString() for f in fields}
 
-    # P2 / P5 in one pass over the wide table.
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in df.columns:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"m_{c}"))
-    wide = df.agg(*aggs)
-    per_col = wide.select("_n", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("Column"), F.col(f"m_{c}").alias("Missing"))
-        for c in df.columns])).alias("s")).select("_n", "s.*")
+    vc = value_counts_long(df, numeric, strings)
+
+    base = vc.groupBy("column").agg(
+        F.sum("n").alias("_n"),
+        F.sum(F.when(F.col("dval").isNull() & F.col("sval").isNull(), F.col("n")).otherwise(0))
+        .alias("Missing"),
+        F.count_if((F.col("dval").isNotNull() | F.col("sval").isNotNull()) & (F.col("n") > 0))
+        .alias("Cardinality"))
+    examples = _smallest_k(vc, max_examples)
+    out = base.join(bounded_broadcast(examples), "column", "left")   # one row per column
 
-    parts = []
     if numeric:
-        num_long = df.select(*[F.col(c).cast("double").alias(c) for c in numeric]) \
-            .unpivot([], numeric, "column", "value")
-        moments = num_long.groupBy("column").agg(
-            bias_corrected_skewness(F.col("value")).alias("Skewness"))
-        fences = long_quantiles(num_long, "column", "value", [0.25, 0.75], quantile_method) \
-            .select("column", (F.col("q")[0] - iqr_factor * (F.col("q")[1] - F.col("q")[0])).alias("_lo"),
-                    (F.col("q")[1] + iqr_factor * (F.col("q")[1] - F.col("q")[0])).alias("_hi"))
-        # fences: one row per numeric column.
-        outliers = num_long.join(bounded_broadcast(fences), "column") \
-            .groupBy("column").agg(F.count_if((F.col("value") < F.col("_lo")) |
-                                              (F.col("value") > F.col("_hi"))).alias("_out"))
-        parts.append(("num", num_long, moments, outliers))
-    if strings:
-        str_long = df.select(*[F.col(c).cast("string").alias(c) for c in strings]) \
-            .unpivot([], strings, "column", "value")
-        parts.append(("str", str_long, None, None))
-
-    card_frames, example_frames, num_stats = [], [], None
-    for kind, long_df, moments, outliers in parts:
-        present = long_df.where(F.col("value").isNotNull())
-        if approx_cardinality:
-            card = present.groupBy("column").agg(F.approx_count_distinct("value").alias("Cardinality"))
-            distinct = present.select("column", "value").dropDuplicates()
+        num = vc.where(counted(vc, F.col("dval").isNotNull()))
+        if quantile_method == "approx":
+            q = num.groupBy("column").agg(F.percentile_approx(
+                "dval", [0.25, 0.75], approx_accuracy).alias("q"))
         else:
-            distinct = present.select("column", "value").dropDuplicates()
-            card = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("Cardinality"))
-        card_frames.append(card)
-        example_frames.append(_smallest_k(distinct, max_examples))
-        if kind == "num":
-            num_stats = moments.join(outliers, "column", "full")
-
-    card = card_frames[0] if len(card_frames) == 1 else card_frames[0].unionByName(card_frames[1])
-    examples = example_frames[0] if len(example_frames) == 1 else \
-        example_frames[0].unionByName(example_frames[1])
-
-    # All joined tables have one row per input column.
-    pos_map = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(position[c]))])
-    type_map = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(types[c]))])
-    out = (per_col
-           .join(bounded_broadcast(card.withColumnRenamed("column", "Column")), "Column", "left")
-           .join(bounded_broadcast(examples.withColumnRenamed("column", "Column")), "Column", "left"))
-    if num_stats is not None:
-        out = out.join(bounded_broadcast(num_stats.withColumnRenamed("column", "Column")),
-                       "Column", "left")
+            q = weighted_quantiles(num, "column", "dval", "n", [0.25, 0.75])
+        fences = q.select("column",
+                          (F.col("q")[0] - iqr_factor * (F.col("q")[1] - F.col("q")[0])).alias("_lo"),
+                          (F.col("q")[1] + iqr_factor * (F.col("q")[1] - F.col("q")[0])).alias("_hi"))
+        # fences: one row per numeric column.
+        outliers = num.join(bounded_broadcast(fences), "column").groupBy("column").agg(
+            F.sum(F.when((F.col("dval") < F.col("_lo")) | (F.col("dval") > F.col("_hi")),
+                         F.col("n")).otherwise(0)).alias("_out"))
+        out = out.join(bounded_broadcast(_moments(vc)), "column", "left") \
+            .join(bounded_broadcast(outliers), "column", "left")
     else:
         out = out.withColumn("Skewness", F.lit(None).cast("double")) \
             .withColumn("_out", F.lit(None).cast("long"))
-    is_num = F.col("Column").isin(*numeric) if numeric else F.lit(False)
-    card_col = F.coalesce(F.col("Cardinality"), F.lit(0)).cast("long")
-    pct = lambda x: F.when(F.col("_n") > 0, F.round(x / F.col("_n") * 100, 2))
-    return (out.select(
-        F.col("Column"), type_map[F.col("Column")].alias("Type"),
+
+    pos_map = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(position[c]))])
+    type_map = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(types[c]))])
+    is_num = F.col("column").isin(*numeric) if numeric else F.lit(False)
+    card = F.coalesce(F.col("Cardinality"), F.lit(0)).cast("long")
+    pct = lambda x: F.round(x / F.col("_n") * 100, 2)
+    return (out.where(F.col("_n") > 0).select(
+        F.col("column").alias("Column"), type_map[F.col("column")].alias("Type"),
         F.col("Missing").cast("long").alias("Missing"),
         pct(F.col("Missing")).alias("Pct_Missing"),
-        card_col.alias("Cardinality"), (card_col <= 1).alias("Constant"),
+        card.alias("Cardinality"), (card <= 1).alias("Constant"),
         F.when(is_num, F.round("Skewness", 2)).alias("Skewness"),
         F.when(is_num, pct(F.coalesce(F.col("_out"), F.lit(0)))).alias("Pct_Outliers"),
         F.coalesce(F.col("Examples"), F.array().cast("array<string>")).alias("Examples"),
-        pos_map[F.col("Column")].alias("_pos"))
-        .where(F.col("_n") > 0)
+        pos_map[F.col("column")].alias("_pos"))
         .orderBy(F.desc("Pct_Missing"), "_pos").drop("_pos"))

@@ -135,11 +135,19 @@ def expand_scenarios(raw: DataFrame, scenarios=SCENARIOS) -> DataFrame:
             .drop("_sc"))
 
 
-def sensitivity(scored: DataFrame, key: str, baseline: str = "baseline") -> DataFrame:
-    """Per scenario: records whose predicted status differs from baseline."""
-    base = scored.where(F.col("scenario") == baseline) \
-        .select(key, F.col("predicted_health_status").alias("_base"))
-    return (scored.join(base, key)
-            .groupBy("scenario")
+def sensitivity(raw: DataFrame, art: "ScoringArtifacts", scenarios=SCENARIOS) -> DataFrame:
+    """Per scenario, records whose predicted status differs from the
+    record's own baseline prediction.
+
+    Each row is scored once as is, carries that prediction through the
+    scenario expansion and is compared with itself -- no join back on a key
+    (a duplicated key would otherwise pair every copy with every copy).
+    The final group-by has one group per scenario and is combined map-side.
+    """
+    cols = raw.columns
+    base = score(raw, art, keep=cols).withColumnRenamed("predicted_health_status", "_base") \
+        .drop("probabilities")
+    what_if = score(expand_scenarios(base, scenarios), art, keep=["scenario", "_base"])
+    return (what_if.groupBy("scenario")
             .agg(F.count(F.lit(1)).alias("records"),
                  F.count_if(F.col("predicted_health_status") != F.col("_base")).alias("changed")))

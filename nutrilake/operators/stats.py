@@ -13,23 +13,31 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
 
 
-def _as_map(counts: DataFrame, column: str) -> DataFrame:
-    # counts has one row per vocabulary value (a closed enum: <= 6 rows).
-    return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(
-        F.struct(F.coalesce(F.col(column), F.lit("<null>")), F.col("count"))))).alias("m"))
+def tally(entries: F.Column) -> F.Column:
+    """MAP key -> summed count from an ARRAY<STRUCT<k, n>> whose keys may
+    repeat (a small array of pre-aggregated cells; pure expressions)."""
+    keys = F.array_sort(F.array_distinct(F.transform(entries, lambda x: x["k"])))
+    sums = F.transform(keys, lambda key: F.aggregate(
+        F.filter(entries, lambda x: x["k"] == key), F.lit(0).cast("long"),
+        lambda acc, x: acc + x["n"]))
+    return F.map_from_arrays(keys, sums)
+
+
+def _key(col: str) -> F.Column:
+    return F.coalesce(F.col(col).cast("string"), F.lit("<null>"))
 
 
 def health_statistics(df: DataFrame, status: str = S.TARGET_COLUMN, diet: str = "Diet_Type",
                       bmi: str = "BMI", consumed: str = "Daily_Calorie_Consumed",
                       requirement: str = "Daily_Calorie_Requirement") -> DataFrame:
-    """A1 in long form: one row per (status, diet) cell with the cell's count,
-    intervention count and sums, ready to be rolled up.  Scalar totals are in
-    ``health_summary``."""
-    return (df.groupBy(status, diet)
+    """A1 cells: one row per (status, diet) with counts and the sums behind
+    the means -- the only aggregation that touches the full table."""
+    balance = F.col(consumed) - F.col(requirement)
+    return (df.groupBy(_key(status).alias("status"), _key(diet).alias("diet"))
             .agg(F.count(F.lit(1)).alias("people"),
                  F.count_if(rules.needs_intervention(status)).alias("needing_intervention"),
-                 F.avg(bmi).alias("average_bmi"),
-                 F.avg(F.col(consumed) - F.col(requirement)).alias("average_calorie_balance")))
+                 F.sum(bmi).alias("bmi_sum"), F.count(bmi).alias("bmi_n"),
+                 F.sum(balance).alias("balance_sum"), F.count(balance).alias("balance_n")))
 
 
 def health_summary(df: DataFrame, status: str = S.TARGET_COLUMN, diet: str = "Diet_Type",
@@ -38,23 +46,22 @@ def health_summary(df: DataFrame, status: str = S.TARGET_COLUMN, diet: str = "Di
     """A1: one row: total, status and diet distributions (maps), people
     needing intervention, their percentage, mean BMI, mean calorie balance.
 
-    Empty input -> no row.  Means skip NULL (the per-record loop of the
-    source would turn one NaN into a NaN mean).
+    One shuffle to the (status, diet) cells, then one aggregation over those
+    few cells (no join).  Empty input -> no row.  Means skip NULL (the
+    per-record loop of the source would turn one NaN into a NaN mean).
     """
-    totals = df.agg(
-        F.count(F.lit(1)).alias("total_assessments"),
-        F.count_if(rules.needs_intervention(status)).alias("people_needing_intervention"),
-        F.avg(bmi).alias("average_bmi"),
-        F.avg(F.col(consumed) - F.col(requirement)).alias("average_calorie_balance"),
-    ).where(F.col("total_assessments") > 0)
-    status_map = _as_map(distribution(df, status), status) \
-        .withColumnRenamed("m", "health_status_distribution")
-    diet_map = _as_map(distribution(df, diet), diet).withColumnRenamed("m", "diet_type_distribution")
-    one = F.lit(1)
-    return (totals.withColumn("_k", one)
-            .join(status_map.withColumn("_k", one), "_k")
-            .join(diet_map.withColumn("_k", one), "_k")
-            .select("total_assessments", "health_status_distribution", "diet_type_distribution",
+    cells = health_statistics(df, status, diet, bmi, consumed, requirement)
+    out = cells.agg(
+        F.sum("people").alias("total_assessments"),
+        F.sum("needing_intervention").alias("people_needing_intervention"),
+        (F.sum("bmi_sum") / F.sum("bmi_n")).alias("average_bmi"),
+        (F.sum("balance_sum") / F.sum("balance_n")).alias("average_calorie_balance"),
+        F.collect_list(F.struct(F.col("status").alias("k"), F.col("people").alias("n"))).alias("_st"),
+        F.collect_list(F.struct(F.col("diet").alias("k"), F.col("people").alias("n"))).alias("_dt"))
+    return (out.where(F.col("total_assessments") > 0)
+            .select("total_assessments",
+                    tally(F.col("_st")).alias("health_status_distribution"),
+                    tally(F.col("_dt")).alias("diet_type_distribution"),
                     "people_needing_intervention",
                     (F.col("people_needing_intervention") / F.col("total_assessments") * 100)
                     .alias("intervention_percentage"),

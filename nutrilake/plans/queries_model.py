@@ -344,8 +344,7 @@ def q_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     art = score.ScoringArtifacts.load(spark, processed, best)
     valid, _ = score.validate_requests(requests_frame(spark, sf_dir))
     raw = score.to_raw_records(valid, keep=["request_id"])
-    scored = score.score(score.expand_scenarios(raw), art, keep=["request_id", "scenario"])
-    return score.sensitivity(scored, "request_id")
+    return score.sensitivity(raw, art)
 
 
 @query("best_model_info")

@@ -27,13 +27,24 @@ def _prepared(spark: SparkSession, sf_dir: str):
 
 # ---------------------------------------------------------------- A1 / S6
 def _flatten_maps(df: DataFrame, scalars: list[str], maps: list[str]) -> DataFrame:
-    rows = df.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("measure"), F.lit("").alias("key"), r6(s).alias("value"))
-        for s in scalars])).alias("r")).select("r.*")
+    """One-row summary -> (measure, key, value) rows with a single explode."""
+    entries = F.array(*[F.struct(F.lit(s).alias("measure"), F.lit("").alias("key"),
+                                 r6(s).alias("value")) for s in scalars])
     for m in maps:
-        rows = rows.unionByName(df.select(F.explode(m).alias("key", "value")).select(
-            F.lit(m).alias("measure"), "key", F.col("value").cast("double").alias("value")))
-    return rows
+        entries = F.concat(entries, F.transform(F.map_entries(m), _entry_struct(m)))
+    return df.select(F.explode(entries).alias("r")).select("r.*")
+
+
+def _entry_struct(measure: str, with_text: bool = False):
+    """Map entry -> (measure, key, value[, text]) struct (one-argument lambda:
+    a second lambda parameter would be read as the element index)."""
+    def build(e):
+        fields = [F.lit(measure).alias("measure"), e["key"].alias("key"),
+                  e["value"].cast("double").alias("value")]
+        if with_text:
+            fields.append(F.lit(None).cast("string").alias("text"))
+        return F.struct(*fields)
+    return build
 
 
 _STATUS_IN = ", ".join(G.lit(s) for s in S.INTERVENTION_STATUSES)
@@ -71,15 +82,16 @@ UNION ALL SELECT 'diet_type_distribution', Diet_Type, CAST(count(*) AS DOUBLE),
 @query("dataset_overview", OVERVIEW_SQL)
 def q_dataset_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     ov = loader.dataset_overview(diet(spark, sf_dir).drop("copy_no"))
-    nums = _flatten_maps(ov, ["total_records", "total_columns"],
-                         ["health_status_distribution", "diet_type_distribution"]) \
-        .withColumn("text", F.lit(None).cast("string"))
-    texts = ov.select(F.explode(F.array(
-        F.struct(F.lit("age_range").alias("measure"), F.col("age_range").alias("text")),
-        F.struct(F.lit("bmi_range").alias("measure"), F.col("bmi_range").alias("text")))).alias("r")) \
-        .select("r.measure", F.lit("").alias("key"), F.lit(None).cast("double").alias("value"),
-                "r.text")
-    return nums.unionByName(texts)
+    none = F.lit(None)
+    entries = F.array(*[F.struct(F.lit(s).alias("measure"), F.lit("").alias("key"),
+                                 F.col(s).cast("double").alias("value"), none.cast("string").alias("text"))
+                        for s in ("total_records", "total_columns")],
+                      *[F.struct(F.lit(s).alias("measure"), F.lit("").alias("key"),
+                                 none.cast("double").alias("value"), F.col(s).alias("text"))
+                        for s in ("age_range", "bmi_range")])
+    for m in ("health_status_distribution", "diet_type_distribution"):
+        entries = F.concat(entries, F.transform(F.map_entries(m), _entry_struct(m, True)))
+    return ov.select(F.explode(entries).alias("r")).select("r.*")
 
 
 # ---------------------------------------------------------------- D / E

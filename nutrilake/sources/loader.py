@@ -133,22 +133,23 @@ def source_inventory(df: DataFrame) -> DataFrame:
 def dataset_overview(df: DataFrame, target: str = S.TARGET_COLUMN,
                      diet: str = "Diet_Type", age: str = "Age", bmi: str = "BMI") -> DataFrame:
     """One row: records, columns, the two distributions as maps, age
-    and BMI ranges (BMI to 1 decimal)."""
-    def dist(col: str) -> DataFrame:
-        return (df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-                .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(
-                    F.coalesce(F.col(col), F.lit("<null>")), "n")))).alias("dist")))
-    # the two distributions have <= |vocabulary| rows each.
-    totals = df.agg(F.count(F.lit(1)).alias("total_records"),
-                    F.min(age).alias("_amin"), F.max(age).alias("_amax"),
-                    F.min(bmi).alias("_bmin"), F.max(bmi).alias("_bmax"))
-    status = dist(target).withColumnRenamed("dist", "health_status_distribution")
-    diets = dist(diet).withColumnRenamed("dist", "diet_type_distribution")
-    one = F.lit(1)
-    return (totals.withColumn("_k", one)
-            .join(status.withColumn("_k", one), "_k").join(diets.withColumn("_k", one), "_k")
+    and BMI ranges (BMI to 1 decimal).  One shuffle to (status, diet) cells,
+    one aggregation over the cells."""
+    from nutrilake.operators.stats import tally
+
+    def key(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit("<null>"))
+    cells = df.groupBy(key(target).alias("_s"), key(diet).alias("_d")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(age).alias("amin"), F.max(age).alias("amax"),
+        F.min(bmi).alias("bmin"), F.max(bmi).alias("bmax"))
+    return (cells.agg(F.sum("n").alias("total_records"),
+                      F.min("amin").alias("_amin"), F.max("amax").alias("_amax"),
+                      F.min("bmin").alias("_bmin"), F.max("bmax").alias("_bmax"),
+                      F.collect_list(F.struct(F.col("_s").alias("k"), F.col("n"))).alias("_st"),
+                      F.collect_list(F.struct(F.col("_d").alias("k"), F.col("n"))).alias("_dt"))
             .select("total_records", F.lit(len(df.columns)).alias("total_columns"),
-                    "health_status_distribution", "diet_type_distribution",
+                    tally(F.col("_st")).alias("health_status_distribution"),
+                    tally(F.col("_dt")).alias("diet_type_distribution"),
                     F.concat_ws(" - ", F.col("_amin").cast("string"),
                                 F.col("_amax").cast("string")).alias("age_range"),
                     F.format_string("%.1f - %.1f", "_bmin", "_bmax").alias("bmi_range")))

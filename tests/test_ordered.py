@@ -59,3 +59,16 @@ def test_running_totals_brute_force(spark):
             exp_r = sum(1 for i, x in enumerate(vals) if x <= v and i % 2 == 0)
             exp_c = sum(1 for i, x in enumerate(vals) if x <= v and i % 2 == 1)
             assert got[v] == (exp_r, exp_c)
+
+
+def test_count_below_binary_search(spark):
+    import bisect
+    from nutrilake.functions.ordered import count_below
+    rng = np.random.RandomState(5)
+    for size in (0, 1, 2, 7, 100):
+        arr = sorted(set(np.round(rng.normal(0, 10, size), 1).tolist()))
+        probes = [-100.0, 100.0] + (arr[:5] if arr else []) + list(rng.normal(0, 10, 20))
+        df = spark.createDataFrame([(float(p),) for p in probes], "v double")
+        lit_arr = F.array(*[F.lit(float(a)) for a in arr]) if arr else F.array().cast("array<double>")
+        got = [r[0] for r in df.select(count_below(lit_arr, F.col("v"), max(len(arr), 1))).collect()]
+        assert got == [bisect.bisect_left(arr, p) for p in probes]
