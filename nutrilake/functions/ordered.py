@@ -314,3 +314,116 @@ def counted(vc: DataFrame, present: Column, weight: str = "n") -> Column:
     the shared aggregation (which would fork the plan and re-read the
     source instead of reusing the one shuffle)."""
     return F.coalesce(F.when(present, F.col(weight)), F.lit(0)) > 0
+
+
+def side_value_counts(reference: DataFrame, current: DataFrame, numeric: list[str],
+                      strings: list[str]) -> DataFrame:
+    """(column, dval, sval, rn, cn): rows per distinct non-NULL value in the
+    reference (rn) and in the current table (cn) -- one projection per
+    side, one aggregation for both."""
+    cols = numeric + strings
+    both = reference.select(*cols, F.lit(0).alias("_s")) \
+        .unionByName(current.select(*cols, F.lit(1).alias("_s")))
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("dval"),
+                      F.lit(None).cast("string").alias("sval")) for c in numeric]
+    cells += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("dval"),
+                       F.col(c).cast("string").alias("sval")) for c in strings]
+    long_df = both.select("_s", F.explode(F.array(*cells)).alias("_c")) \
+        .select("_s", "_c.column", "_c.dval", "_c.sval") \
+        .where(F.col("dval").isNotNull() | F.col("sval").isNotNull())
+    return long_df.groupBy("column", "dval", "sval").agg(
+        F.count_if(F.col("_s") == 0).alias("rn"), F.count_if(F.col("_s") == 1).alias("cn"))
+
+
+def hash_thresholds(df: DataFrame, order_key: str, group: str | None, tiebreak: list[str],
+                    quotas, prefix_len: int = 4, max_cut_rows: int = 1_000_000
+                    ) -> tuple[dict, dict]:
+    """Cut keys for "the first q rows of each group in (order_key,
+    tiebreak) order", with ``order_key`` a uniform hex hash.
+
+    ``quotas`` is a dict group -> q, or a function of the group totals
+    returning that dict (so one pass yields both the totals and the cuts).
+    Returns (thresholds, totals): thresholds[g] = the (order_key,
+    *tiebreak) tuple of the q-th row of g; ``group`` None means one group
+    with key None.
+
+    Passes over ``df``: one aggregation (rows per hex-prefix bucket: at most
+    groups x 16^p rows), then only rows of the cut buckets (one per group):
+    a cut bucket above ``max_cut_rows`` rows is re-cut with a longer prefix,
+    and the final row_number runs over <= max_cut_rows rows per group.
+    The split / sample itself is then the predicate ``within_threshold``.
+    """
+    gcol = F.col(group) if group is not None else F.lit(0)
+    b = df.withColumn("_g", gcol)
+    counts = (b.groupBy("_g", F.substring(F.col(order_key), 1, prefix_len).alias("_bucket"))
+              .agg(F.count(F.lit(1)).alias("_cnt"))).cache()
+    totals = {r["_g"]: r["_n"] for r in counts.groupBy("_g").agg(F.sum("_cnt").alias("_n")).collect()}
+    if group is not None and None in totals:
+        raise ValueError("NULL group values cannot be stratified")
+    wanted = quotas(totals if group is not None else {None: totals.get(0, 0)}) \
+        if callable(quotas) else dict(quotas)
+    wanted = {(g if group is not None else 0): q for g, q in wanted.items() if q > 0}
+    public_totals = totals if group is not None else {None: totals.get(0, 0)}
+    if not wanted:
+        counts.unpersist()
+        return {}, public_totals
+    # current cut per group: (prefix, rank inside the bucket, bucket size)
+    state = {}
+    level, plen = counts, prefix_len
+    pending = dict(wanted)
+    while pending:
+        qmap = F.create_map(*[x for g, q in pending.items() for x in (F.lit(g), F.lit(q))])
+        w = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        cuts = (level.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+                .withColumn("_q", qmap[F.col("_g")])
+                .where((F.col("_off") < F.col("_q")) & (F.col("_q") <= F.col("_off") + F.col("_cnt")))
+                .select("_g", "_bucket", (F.col("_q") - F.col("_off")).alias("_r"), "_cnt").collect())
+        if level is not counts:
+            level.unpersist()
+        big = {}
+        for c in cuts:
+            state[c["_g"]] = (c["_bucket"], c["_r"])
+            if c["_cnt"] > max_cut_rows and plen < 32:
+                big[c["_g"]] = c["_r"]
+        if not big:
+            break
+        # re-cut the large buckets with a longer prefix (rows of those buckets only)
+        plen = min(32, plen + 2)
+        cond = None
+        for g in big:
+            pre = state[g][0]
+            one = (F.col("_g") == F.lit(g)) & F.startswith(F.col(order_key), F.lit(pre))
+            cond = one if cond is None else cond | one
+        level = (b.where(cond).groupBy("_g", F.substring(F.col(order_key), 1, plen).alias("_bucket"))
+                 .agg(F.count(F.lit(1)).alias("_cnt"))).cache()
+        pending = big
+    counts.unpersist()
+    cond = None
+    for g, (pre, _r) in state.items():     # one cut bucket per group
+        one = (F.col("_g") == F.lit(g)) & F.startswith(F.col(order_key), F.lit(pre))
+        cond = one if cond is None else cond | one
+    rmap = F.create_map(*[x for g, (_p, r) in state.items() for x in (F.lit(g), F.lit(r))])
+    wr = Window.partitionBy("_g").orderBy(order_key, *tiebreak)
+    hit = (b.where(cond).withColumn("_rn", F.row_number().over(wr))
+           .where(F.col("_rn") == rmap[F.col("_g")])
+           .select("_g", order_key, *tiebreak).collect())
+    cut_keys = {(r["_g"] if group is not None else None): tuple(r[c] for c in [order_key] + list(tiebreak))
+                for r in hit}
+    return cut_keys, public_totals
+
+
+def within_threshold(order_key: str, tiebreak: list[str], group: str | None,
+                     thresholds: dict) -> Column:
+    """Predicate: the row's (order_key, tiebreak) is <= its group's
+    threshold (False for groups without one)."""
+    row = F.struct(*[F.col(c) for c in [order_key] + list(tiebreak)])
+    def lit_struct(t):
+        return F.struct(*[F.lit(v).alias(c) for v, c in zip(t, [order_key] + list(tiebreak))])
+    if group is None:
+        t = thresholds.get(None)
+        return (row <= lit_struct(t)) if t is not None else F.lit(False)
+    expr = None
+    for g, t in thresholds.items():
+        cond = (F.col(group) == F.lit(g)) & (row <= lit_struct(t))
+        expr = cond if expr is None else expr | cond
+    return F.coalesce(expr, F.lit(False)) if expr is not None else F.lit(False)

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nutrilake.functions.ordered import bounded_broadcast, long_quantiles, running_totals
+from nutrilake.functions.ordered import (bounded_broadcast, count_below, counted, running_totals,
+                                         side_value_counts, weighted_quantiles)
 from nutrilake.functions.stats import ks_pvalue, psi_term, severity
 
 REPORT_COLUMNS = ["feature", "psi", "ks_statistic", "ks_pvalue", "drift_severity"]
@@ -39,82 +40,79 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))
 
 
-def value_counts(reference: DataFrame, current: DataFrame, columns: list[str],
-                 as_type: str) -> DataFrame:
-    """(feature, value, rn, cn): rows per distinct non-NULL value and side."""
-    def long(df: DataFrame, side: int) -> DataFrame:
-        return (df.select(*[F.col(c).cast(as_type).alias(c) for c in columns])
-                .unpivot([], columns, "feature", "value")
-                .where(F.col("value").isNotNull())
-                .withColumn("_side", F.lit(side)))
-    both = long(reference, 0).unionByName(long(current, 1))
-    return both.groupBy("feature", "value").agg(
-        F.count_if(F.col("_side") == 0).alias("rn"),
-        F.count_if(F.col("_side") == 1).alias("cn"))
-
-
 def _share(part: F.Column, total: F.Column) -> F.Column:
     return F.when(total > 0, part / total).otherwise(F.lit(0.0))
 
 
-def _psi_and_ks(counts: DataFrame, reference: DataFrame, columns: list[str], buckets: int,
-                categorical_max_unique: int, numeric: bool, quantile_method: str) -> DataFrame:
+def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
+                 buckets: int = 10, moderate: float = 0.1, major: float = 0.25,
+                 categorical_max_unique: int = 10, quantile_method: str = "exact",
+                 n_buckets: int | None = None) -> DataFrame:
+    """One row per shared column, sorted by PSI descending.
+
+    Numeric columns are compared as numbers, the others as strings
+    (categorical PSI; KS over lexicographic order).
+    """
+    cols = shared_columns(reference, current) if columns is None else list(columns)
+    if not cols:
+        return reference.sparkSession.createDataFrame(
+            [], "feature string, psi double, ks_statistic double, ks_pvalue double, "
+                "drift_severity string")
+    num = [c for c in cols if _is_numeric(reference, c)]
+    txt = [c for c in cols if c not in num]
+    kw = {} if n_buckets is None else {"n_buckets": n_buckets}
+
+    # the one shuffle over the data; everything below reads this table
+    counts = side_value_counts(reference, current, num, txt).withColumnRenamed("column", "feature")
     totals = counts.groupBy("feature").agg(
         F.sum("rn").alias("n_r"), F.sum("cn").alias("n_c"),
         F.count_if(F.col("rn") > 0).alias("ref_unique"))
     # totals: one row per feature
     c = counts.join(bounded_broadcast(totals), "feature")
-    categorical = F.col("ref_unique") <= categorical_max_unique
-    if numeric:
-        ref_long = (reference.select(*[F.col(x).cast("double").alias(x) for x in columns])
-                    .unpivot([], columns, "feature", "value"))
+    # string columns always take the categorical path (quantile bins need numbers)
+    categorical = (F.col("ref_unique") <= categorical_max_unique) | F.col("sval").isNotNull()
+    bin_col = F.lit(None).cast("int")
+    if num:
+        ref_num = counts.where(counted(counts, F.col("dval").isNotNull(), "rn"))
         probs = [i / buckets for i in range(buckets + 1)]
-        edges = long_quantiles(ref_long, "feature", "value", probs, quantile_method) \
-            .select("feature", F.array_sort(F.array_distinct("q")).alias("_edges"))
+        if quantile_method == "approx":
+            q = ref_num.groupBy("feature").agg(F.percentile_approx("dval", probs, 10_000).alias("q"))
+        else:
+            q = weighted_quantiles(ref_num, "feature", "dval", "rn", probs, **kw)
+        edges = q.select("feature", F.array_sort(F.array_distinct("q")).alias("_edges"))
+        # edges: one row per numeric feature, buckets+1 numbers.
+        c = c.join(bounded_broadcast(edges), "feature", "left")
         inner = F.slice(F.col("_edges"), 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
-        # edges: one row per feature, buckets+1 numbers.
-        c = c.join(bounded_broadcast(edges), "feature", "left") \
-            .withColumn("_bin", F.when(categorical, F.lit(None).cast("int")).otherwise(
-                F.size(F.filter(inner, lambda e: e < F.col("value")))))
-    else:
-        c = c.withColumn("_bin", F.lit(None).cast("int"))
-    cells = c.withColumn("_cell", F.when(categorical, F.col("value").cast("string"))
-                         .otherwise(F.col("_bin").cast("string")))
+        bin_col = F.when(F.col("dval").isNull(), F.lit(None).cast("int")).otherwise(
+            count_below(inner, F.col("dval"), buckets + 1))
+    cells = c.withColumn("_cell", F.when(categorical, F.coalesce(F.col("dval").cast("string"),
+                                                                 F.col("sval")))
+                         .otherwise(bin_col.cast("string")))
     psi = (cells.groupBy("feature", "_cell")
            .agg(F.sum("rn").alias("rn"), F.sum("cn").alias("cn"),
                 F.first("n_r").alias("n_r"), F.first("n_c").alias("n_c"))
            .groupBy("feature")
            .agg(F.sum(psi_term(_share(F.col("rn"), F.col("n_r")),
                                _share(F.col("cn"), F.col("n_c")))).alias("psi")))
-    cum = running_totals(counts, ["feature"], "value", ["rn", "cn"])
+    ks_parts = []
+    if num:
+        d = counts.where(counted(counts, F.col("dval").isNotNull(), "rn") |
+                         counted(counts, F.col("dval").isNotNull(), "cn")) \
+            .select("feature", "dval", "rn", "cn")
+        ks_parts.append(running_totals(d, ["feature"], "dval", ["rn", "cn"], **kw)
+                        .select("feature", "cum_rn", "cum_cn"))
+    if txt:
+        d = counts.where(counted(counts, F.col("sval").isNotNull(), "rn") |
+                         counted(counts, F.col("sval").isNotNull(), "cn")) \
+            .select("feature", "sval", "rn", "cn")
+        ks_parts.append(running_totals(d, ["feature"], "sval", ["rn", "cn"])
+                        .select("feature", "cum_rn", "cum_cn"))
+    cum = ks_parts[0] if len(ks_parts) == 1 else ks_parts[0].unionByName(ks_parts[1])
     ks = (cum.join(bounded_broadcast(totals), "feature")
           .groupBy("feature", "n_r", "n_c")
           .agg(F.max(F.abs(F.col("cum_rn") / F.col("n_r") - F.col("cum_cn") / F.col("n_c")))
                .alias("ks_statistic")))
-    return psi.join(ks, "feature")
-
-
-def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
-                 buckets: int = 10, moderate: float = 0.1, major: float = 0.25,
-                 categorical_max_unique: int = 10, quantile_method: str = "exact") -> DataFrame:
-    """One row per shared column, sorted by PSI descending."""
-    cols = shared_columns(reference, current) if columns is None else list(columns)
-    num = [c for c in cols if _is_numeric(reference, c)]
-    txt = [c for c in cols if c not in num]
-    parts = []
-    if num:
-        counts = value_counts(reference, current, num, "double")
-        parts.append(_psi_and_ks(counts, reference, num, buckets, categorical_max_unique,
-                                 True, quantile_method))
-    if txt:
-        counts = value_counts(reference, current, txt, "string")
-        parts.append(_psi_and_ks(counts, reference, txt, buckets, categorical_max_unique,
-                                 False, quantile_method))
-    if not parts:
-        return reference.sparkSession.createDataFrame(
-            [], "feature string, psi double, ks_statistic double, ks_pvalue double, "
-                "drift_severity string")
-    res = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    res = psi.join(ks, "feature")
     return (res.select("feature", "psi", "ks_statistic",
                        ks_pvalue(F.col("ks_statistic"), F.col("n_r"), F.col("n_c")).alias("ks_pvalue"),
                        severity(F.col("psi"), moderate, major).alias("drift_severity"))

@@ -2,8 +2,11 @@
 
 Rows are ordered inside each class by a seeded md5 of the key; the first
 ``test quota`` rows of a class go to test.  Quotas are exact (largest
-remainder, as the stratified splitter of scikit-learn computes them); the
-rank comes from ``hash_rank`` so no class is ever one window partition.
+remainder, as the stratified splitter of scikit-learn computes them).  The
+split needs only each class's cut key (``hash_thresholds``: bucket counts
+plus a rank inside one cut bucket per class), after which it is a column
+predicate; folds need every rank and use ``hash_rank`` (windows per
+(class, hash bucket)), so no class is ever one window partition.
 """
 from __future__ import annotations
 
@@ -14,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
-from nutrilake.functions.ordered import hash_prefix_len, hash_rank, seeded_order_key
+from nutrilake.functions.ordered import (hash_prefix_len, hash_rank, hash_thresholds,
+                                         seeded_order_key, within_threshold)
 
 
 def class_counts(df: DataFrame, target: str) -> dict[str, int]:
@@ -53,13 +57,6 @@ def test_quotas(counts: dict, test_size: float) -> dict:
     return {c: counts[c] - train[c] for c in counts}
 
 
-def _class_map(values: dict) -> F.Column:
-    entries = []
-    for c, v in values.items():
-        entries += [F.lit(c), F.lit(v)]
-    return F.create_map(*entries)
-
-
 def ranked_in_class(df: DataFrame, target: str, key: str | list[str], seed: int,
                     counts: dict) -> DataFrame:
     """Add ``_rank``: row_number within the class in md5(seed:key) order."""
@@ -72,14 +69,19 @@ def ranked_in_class(df: DataFrame, target: str, key: str | list[str], seed: int,
 def stratified_split(df: DataFrame, target: str = S.TARGET_COLUMN, test_size: float = 0.2,
                      seed: int = 42, key: str | list[str] = S.ID_COLUMN,
                      split_col: str = "split") -> DataFrame:
-    """L1: add ``split`` = 'train' / 'test'; sizes exact and disjoint."""
-    counts = class_counts(df, target)
-    quotas = test_quotas(counts, test_size)
-    ranked = ranked_in_class(df, target, key, seed, counts)
-    # quotas: one literal entry per class
-    quota = _class_map(quotas)[F.col(target)]
-    return ranked.withColumn(split_col, F.when(F.col("_rank") <= quota, "test")
-                             .otherwise("train")).drop("_rank")
+    """L1: add ``split`` = 'train' / 'test'; sizes exact and disjoint.
+
+    Test rows of a class are its first ``quota`` rows in md5(seed:key)
+    order.  The cut is found once per class (``hash_thresholds``), so the
+    split itself is a column predicate: no window and no shuffle when the
+    split frame is read again.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    ordered = df.withColumn("_order", seeded_order_key(seed, *keys))
+    cuts, _totals = hash_thresholds(ordered, "_order", target, keys,
+                                    lambda counts: test_quotas(counts, test_size))
+    is_test = within_threshold("_order", keys, target, cuts)
+    return ordered.withColumn(split_col, F.when(is_test, "test").otherwise("train")).drop("_order")
 
 
 def train_test(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:

@@ -59,11 +59,16 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
 def split_raw(raw: DataFrame, target: str = S.TARGET_COLUMN, key: str = S.ID_COLUMN,
               test_size: float = 0.2, seed: int = 42, order_by: list[str] | None = None,
               how: str = "checkpoint") -> DataFrame:
-    """dedup (first per key) + stratified split, materialised."""
+    """dedup (first per key), materialised once, + stratified split.
+
+    The deduplicated table is the one materialisation (its shuffle is the
+    expensive part); the split on top of it is a column predicate, so the
+    fits and the output re-read the materialised rows, not the source.
+    """
     deduped = drop_duplicates_first(raw, key, order_by)
     if order_by:
         deduped = deduped.drop(*[c for c in order_by if c not in S.RAW_COLUMNS])
-    return materialize(stratified_split(deduped, target, test_size, seed, key), how)
+    return stratified_split(materialize(deduped, how), target, test_size, seed, key)
 
 
 def prepare(raw: DataFrame, target: str = S.TARGET_COLUMN, key: str = S.ID_COLUMN,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
-from nutrilake.functions.ordered import hash_prefix_len, hash_rank, seeded_order_key
+from nutrilake.functions.ordered import hash_thresholds, seeded_order_key, within_threshold
 
 # ---- fixed values: strings pandas reads as missing by default ---------------
 NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -110,16 +110,17 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str | list[str] = S.ID_
     """Exactly ``min(n, rows)`` rows without replacement, seeded.
 
     Rows are ordered by ``md5('<seed>:<key>')`` and the first ``n`` kept.
-    The rank is computed by ``hash_rank`` (bucketed, no single-task sort or
-    driver-side top-k), so ``n`` can be as large as the table.
+    The n-th key is located by ``hash_thresholds`` (bucket counts + one cut
+    bucket), so the sample is a filter -- no sort of the table, no
+    driver-side top-k, and ``n`` can be as large as the table.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ordered = df.withColumn("_order", seeded_order_key(seed, *keys))
-    total = df.count()
-    if n >= total:
+    cut, totals = hash_thresholds(ordered, "_order", None, keys,
+                                  lambda t: {None: min(n, t[None])})
+    if n >= totals[None]:
         return df
-    ranked = hash_rank(ordered, "_order", [], keys, prefix_len=hash_prefix_len(total))
-    out = ranked.where(F.col("_rank") <= n).drop("_rank")
+    out = ordered.where(within_threshold("_order", keys, None, cut))
     return out.drop("_order") if order_col is None else out.withColumnRenamed("_order", order_col)
 
 

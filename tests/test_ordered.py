@@ -72,3 +72,19 @@ def test_count_below_binary_search(spark):
         lit_arr = F.array(*[F.lit(float(a)) for a in arr]) if arr else F.array().cast("array<double>")
         got = [r[0] for r in df.select(count_below(lit_arr, F.col("v"), max(len(arr), 1))).collect()]
         assert got == [bisect.bisect_left(arr, p) for p in probes]
+
+
+def test_hash_thresholds_refinement(spark):
+    """A tiny max_cut_rows forces re-cutting with longer prefixes; the cut
+    must still be the exact q-th row."""
+    from nutrilake.functions.ordered import hash_thresholds, within_threshold
+    df = spark.createDataFrame([(f"k{i}", "a" if i % 3 else "b") for i in range(5000)], "key string, g string") \
+        .withColumn("o", seeded_order_key(1, "key"))
+    quotas = {"a": 1234, "b": 77}
+    cuts, totals = hash_thresholds(df, "o", "g", ["key"], quotas, prefix_len=1, max_cut_rows=20)
+    assert totals == {"a": 3333, "b": 1667}
+    sel = df.where(within_threshold("o", ["key"], "g", cuts))
+    ref = df.withColumn("_r", F.row_number().over(Window.partitionBy("g").orderBy("o", "key")))
+    q = F.create_map(F.lit("a"), F.lit(1234), F.lit("b"), F.lit(77))
+    exp = ref.where(F.col("_r") <= q[F.col("g")])
+    assert sorted(r[0] for r in sel.select("key").collect()) == sorted(r[0] for r in exp.select("key").collect())

@@ -71,3 +71,16 @@ def test_recombine_and_features_label(spark):
     both = split.recombine(train, test)
     assert both.count() == 20
     assert split.features_and_label(both, ["f"]).columns == ["Person_ID", "f", "Health_Status"]
+
+
+def test_split_equals_row_number_cut(spark):
+    from pyspark.sql import Window
+    from nutrilake.functions.ordered import seeded_order_key
+    df = _frame(spark, {"A": 300, "B": 120, "C": 33})
+    quotas = split.test_quotas({"A": 300, "B": 120, "C": 33}, 0.3)
+    got = split.stratified_split(df, test_size=0.3, seed=9)
+    ranked = df.withColumn("_o", seeded_order_key(9, "Person_ID")) \
+        .withColumn("_r", F.row_number().over(Window.partitionBy("Health_Status").orderBy("_o", "Person_ID")))
+    q = F.create_map(*[x for c, v in quotas.items() for x in (F.lit(c), F.lit(v))])
+    exp = ranked.withColumn("exp", F.when(F.col("_r") <= q[F.col("Health_Status")], "test").otherwise("train"))
+    assert got.join(exp, ["Person_ID", "Health_Status"]).where(F.col("split") != F.col("exp")).count() == 0
