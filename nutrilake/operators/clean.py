@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nutrilake import schema as S
-from nutrilake.functions.ordered import column_quantiles
+from nutrilake.functions.ordered import counted, value_counts_long, weighted_quantiles
 
 
 # --------------------------------------------------------------------------
@@ -176,20 +176,39 @@ class Cleaner:
         self.quantile_method = quantile_method
 
     def fit(self, df: DataFrame) -> CleanerModel:
+        """One job: a value-count table over every column feeds the exact
+        quartiles/medians of the numeric columns and the modes of the others
+        (the shuffle is shared), and one small result reaches the driver."""
         numeric = [f.name for f in df.schema.fields if is_numeric_type(f.dataType)]
         other = [f.name for f in df.schema.fields if not is_numeric_type(f.dataType)]
-        q = column_quantiles(df, numeric, [0.25, 0.5, 0.75], self.quantile_method)
         model = CleanerModel()
+        if not numeric and not other:
+            return model
+        vc = value_counts_long(df, numeric, other, keep_nulls=False)
+        parts = []
+        if numeric:
+            num = vc.where(counted(vc, F.col("dval").isNotNull()))
+            if self.quantile_method == "approx":
+                q = num.groupBy("column").agg(F.percentile_approx("dval", [0.25, 0.5, 0.75], 10_000).alias("q"))
+            else:
+                q = weighted_quantiles(num, "column", "dval", "n", [0.25, 0.5, 0.75])
+            parts.append(q.select("column", "q", F.lit(None).cast("string").alias("mode")))
+        if other:
+            txt = vc.where(counted(vc, F.col("sval").isNotNull()))
+            modes = txt.groupBy("column").agg(F.min_by("sval", F.struct(
+                (-F.col("n")).alias("neg_n"), F.col("sval"))).alias("mode"))
+            parts.append(modes.select("column", F.lit(None).cast("array<double>").alias("q"), "mode"))
+        res = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        found = {r["column"]: r for r in res.collect()}      # one row per column
         for c in numeric:
-            model.numeric_impute[c] = q[c][1] if q[c] is not None else None
-        for c, v in column_modes(df, other).items():
-            if v is not None:
-                model.string_impute[c] = v
-        for c in self.outlier_columns:
-            if c in numeric and q.get(c) is not None:
-                q1, _, q3 = q[c]
-                iqr = q3 - q1
-                model.bounds[c] = (q1 - self.iqr_factor * iqr, q3 + self.iqr_factor * iqr)
+            q = found[c]["q"] if c in found else None
+            model.numeric_impute[c] = q[1] if q is not None else None
+            if c in self.outlier_columns and q is not None:
+                iqr = q[2] - q[0]
+                model.bounds[c] = (q[0] - self.iqr_factor * iqr, q[2] + self.iqr_factor * iqr)
+        for c in other:
+            if c in found and found[c]["mode"] is not None:
+                model.string_impute[c] = found[c]["mode"]
         return model
 
     def fit_transform(self, df: DataFrame) -> tuple[CleanerModel, DataFrame]:

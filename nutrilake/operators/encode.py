@@ -102,28 +102,37 @@ class Encoder:
         raise RuntimeError("Encoder must be fitted before calling transform()")
 
     def fit(self, df: DataFrame) -> EncoderModel:
+        """Two jobs: one aggregation for the means, population stds and an
+        approximate category count per column (the width guard), then the
+        distinct categories themselves."""
         model = EncoderModel(self.numeric, self.categorical)
-        if self.numeric:
-            aggs = []
-            for c in self.numeric:
-                aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-                         F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
-            row = df.agg(*aggs).first()
-            for c in self.numeric:
-                model.means[c] = row[f"m_{c}"]
-                model.stds[c] = row[f"s_{c}"]
+        aggs = []
+        for c in self.numeric:
+            aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
+                     F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
+        for c in self.categorical:
+            aggs.append(F.approx_count_distinct(c).alias(f"k_{c}"))
+        if not aggs:
+            return model
+        row = df.agg(*aggs).first()
+        for c in self.numeric:
+            model.means[c] = row[f"m_{c}"]
+            model.stds[c] = row[f"s_{c}"]
+        too_wide = [(c, row[f"k_{c}"]) for c in self.categorical
+                    if row[f"k_{c}"] > MAX_CATEGORIES * 1.05]
+        if too_wide:
+            raise ValueError(f"one-hot width above {MAX_CATEGORIES}: {too_wide}")
         if self.categorical:
-            long_df = df.select(*[F.col(c).cast("string").alias(c) for c in self.categorical]) \
-                .unpivot([], self.categorical, "column", "value") \
+            cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                                 F.col(c).cast("string").alias("value"))
+                                        for c in self.categorical]))
+            long_df = df.select(cells.alias("_c")).select("_c.*") \
                 .where(F.col("value").isNotNull()).dropDuplicates()
-            per_col = long_df.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-            too_wide = per_col.where(F.col("n") > MAX_CATEGORIES).collect()
-            if too_wide:
-                raise ValueError(f"one-hot width above {MAX_CATEGORIES}: "
-                                 f"{[(r['column'], r['n']) for r in too_wide]}")
             found: dict[str, list[str]] = {c: [] for c in self.categorical}
             for r in long_df.collect():  # distinct categories only (guarded above)
                 found[r["column"]].append(r["value"])
+            if any(len(v) > MAX_CATEGORIES for v in found.values()):
+                raise ValueError(f"one-hot width above {MAX_CATEGORIES}")
             model.categories = {c: sorted(v) for c, v in found.items()}
         return model
 

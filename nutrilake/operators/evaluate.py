@@ -12,20 +12,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """(t, p, n): rows per (truth, prediction) pair (partial aggregation)."""
-    return (df.select(F.col(label).cast("string").alias("t"),
+def pair_counts(df: DataFrame, label: str, prediction: str,
+                group: list[str] | None = None) -> DataFrame:
+    """(group..., t, p, n): rows per (truth, prediction) pair (partial
+    aggregation; K^2 rows per group)."""
+    g = list(group or [])
+    return (df.select(*g, F.col(label).cast("string").alias("t"),
                       F.col(prediction).cast("string").alias("p"))
-            .groupBy("t", "p").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy(*g, "t", "p").agg(F.count(F.lit(1)).alias("n")))
 
 
-def per_class(pairs: DataFrame) -> DataFrame:
-    """(k, tp, pred_k, true_k) for every class seen in truth or prediction."""
-    by_t = pairs.groupBy(F.col("t").alias("k")).agg(
+def per_class(pairs: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """(group..., k, tp, pred_k, true_k) for every class seen in truth or
+    prediction (of the group)."""
+    g = list(group or [])
+    by_t = pairs.groupBy(*g, F.col("t").alias("k")).agg(
         F.sum("n").alias("true_k"), F.sum(F.when(F.col("t") == F.col("p"), F.col("n"))).alias("tp"))
-    by_p = pairs.groupBy(F.col("p").alias("k")).agg(F.sum("n").alias("pred_k"))
-    return (by_t.join(by_p, "k", "full")
-            .select("k", F.coalesce("tp", F.lit(0)).alias("tp"),
+    by_p = pairs.groupBy(*g, F.col("p").alias("k")).agg(F.sum("n").alias("pred_k"))
+    return (by_t.join(by_p, g + ["k"], "full")
+            .select(*g, "k", F.coalesce("tp", F.lit(0)).alias("tp"),
                     F.coalesce("pred_k", F.lit(0)).alias("pred_k"),
                     F.coalesce("true_k", F.lit(0)).alias("true_k")))
 
@@ -34,10 +39,13 @@ def _safe_div(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
 
 
-def metrics_from_pairs(pairs: DataFrame) -> DataFrame:
-    """One row: accuracy, precision_macro, recall_macro, f1_macro, mcc."""
-    pc = per_class(pairs)
-    macro = pc.agg(
+def metrics_from_pairs(pairs: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """One row (per group): accuracy, precision_macro, recall_macro,
+    f1_macro, mcc.  ``group`` (e.g. a fold column) evaluates many
+    partitions of the predictions in the same plan."""
+    g = list(group or [])
+    pc = per_class(pairs, g)
+    macro = pc.groupBy(*g).agg(
         F.avg(_safe_div(F.col("tp"), F.col("pred_k"))).alias("precision_macro"),
         F.avg(_safe_div(F.col("tp"), F.col("true_k"))).alias("recall_macro"),
         F.avg(_safe_div(2 * F.col("tp"), 2 * F.col("tp") + (F.col("pred_k") - F.col("tp"))
@@ -49,6 +57,7 @@ def metrics_from_pairs(pairs: DataFrame) -> DataFrame:
         F.sum(F.col("true_k").cast("double") * F.col("true_k")).alias("_tt"))
     den = F.sqrt((F.col("_s") * F.col("_s") - F.col("_pp")) * (F.col("_s") * F.col("_s") - F.col("_tt")))
     return macro.select(
+        *g,
         _safe_div(F.col("_c"), F.col("_s")).alias("accuracy"),
         "precision_macro", "recall_macro", "f1_macro",
         F.when(den == 0, F.lit(0.0)).otherwise(

@@ -151,13 +151,9 @@ def q_cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fold metrics of the rule predictor over 5 stratified folds -> mean and
     population std per metric (the M8 aggregation)."""
     folded = split.stratified_folds(_rule_frame(spark, sf_dir), 5)
-    pairs = (folded.select("fold", F.col("Health_Status").alias("t"), F.col("pred_a").alias("p"))
-             .groupBy("fold", "t", "p").agg(F.count(F.lit(1)).alias("n")))
-    per_fold = None
-    for i in range(5):
-        m = evaluate.metrics_from_pairs(pairs.where(F.col("fold") == i).drop("fold"))
-        long = m.unpivot([], S.METRIC_KEYS, "metric", "value").withColumn("fold", F.lit(i))
-        per_fold = long if per_fold is None else per_fold.unionByName(long)
+    pairs = evaluate.pair_counts(folded, "Health_Status", "pred_a", ["fold"])
+    m = evaluate.metrics_from_pairs(pairs, ["fold"])
+    per_fold = m.unpivot(["fold"], S.METRIC_KEYS, "metric", "value")
     summ = training.cv_summary(per_fold)
     return summ.select("metric", r6("mean").alias("mean"), r6("std").alias("std"))
 

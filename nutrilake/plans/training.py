@@ -13,7 +13,7 @@ from nutrilake import schema as S
 from nutrilake.operators.boost import MODEL_REGISTRY, BoostingClassifier, make_model
 from nutrilake.operators.clean import require_path
 from nutrilake.operators.encode import LabelCodes, assemble
-from nutrilake.operators.evaluate import classification_metrics
+from nutrilake.operators.evaluate import classification_metrics, metrics_from_pairs, pair_counts
 from nutrilake.operators.split import stratified_folds
 from nutrilake.plans.preprocess import Prepared, materialize
 
@@ -68,15 +68,16 @@ def cross_validate(model_type: str, prepared: Prepared, k: int = 5, random_state
     mean, std) with the population std).  Nothing is persisted."""
     frame = model_frame(prepared)
     folded = materialize(stratified_folds(frame, k, prepared.target, random_state, prepared.key), "cache")
-    rows = []
+    preds = None
     for i in range(k):
         model = make_model(model_type, random_state, **(hyperparameters or {}))
         model.fit(folded.where(F.col("fold") != i), "label", "features")
-        pred = model.predict(folded.where(F.col("fold") == i))
-        m = _metrics(pred, prepared.labels).first()
-        rows += [(i, key, float(m[key])) for key in S.METRIC_KEYS]
-    spark = frame.sparkSession
-    per_fold = spark.createDataFrame(rows, "fold int, metric string, value double")
+        pred = model.predict(folded.where(F.col("fold") == i)).select("fold", "label", "prediction")
+        preds = pred if preds is None else preds.unionByName(pred)
+    named = preds.select("fold", prepared.labels.decode("label").alias("y"),
+                         prepared.labels.decode("prediction").alias("yhat"))
+    m = metrics_from_pairs(pair_counts(named, "y", "yhat", ["fold"]), ["fold"])
+    per_fold = materialize(m.unpivot(["fold"], S.METRIC_KEYS, "metric", "value"), "cache")
     return per_fold, cv_summary(per_fold)
 
 
