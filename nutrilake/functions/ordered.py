@@ -63,6 +63,7 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
 # bucketing of an ordered domain
 # --------------------------------------------------------------------------
 DEFAULT_BUCKETS = 1024
+STRING_PREFIX = 3
 
 
 def _numeric_bucket_bounds(df: DataFrame, groups: list[str], value: str,
@@ -99,11 +100,12 @@ def with_value_bucket(df: DataFrame, groups: list[str], value: str,
     """Add ``_bucket``: a per-group ordinal whose order agrees with ``value``.
 
     Numbers: equal-count buckets from approximate percentiles of the
-    (usually pre-aggregated) input.  Strings: the first two characters.
+    (usually pre-aggregated) input.  Strings: the first
+    ``STRING_PREFIX`` characters (prefix order agrees with string order).
     """
     dtype = df.schema[value].dataType
     if isinstance(dtype, T.StringType):
-        return df.withColumn("_bucket", F.substring(F.col(value), 1, 2))
+        return df.withColumn("_bucket", F.substring(F.col(value), 1, STRING_PREFIX))
     if isinstance(dtype, (T.BooleanType,)):
         return df.withColumn("_bucket", F.col(value).cast("int"))
     if not groups:
@@ -141,8 +143,12 @@ def running_totals(df: DataFrame, groups: list[str], value: str, weights: list[s
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.select(*df.columns, "_bucket",
                      *[F.sum(w).over(w_in).alias(f"_loc_{w}") for w in weights])
-    # bound: groups x buckets rows.
-    out = local.join(bounded_broadcast(offsets), groups + ["_bucket"], "left")
+    if isinstance(df.schema[value].dataType, T.StringType):
+        # string prefixes are not bounded by a parameter: count, then decide
+        small = checked_broadcast(offsets)
+    else:
+        small = bounded_broadcast(offsets)   # groups x n_buckets rows
+    out = local.join(small, groups + ["_bucket"], "left")
     return out.select(*df.columns,
                       *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"cum_{w}")
                         for w in weights])

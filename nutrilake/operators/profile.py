@@ -12,7 +12,7 @@ small aggregation over ``vc``:
 * skewness: mean per column, then central moments weighted by ``n``;
 * quartiles (outlier fences): exact weighted quantiles over ``vc``;
 * outliers: sum of ``n`` outside the fences;
-* examples: the smallest distinct values, two-level top-k.
+* examples: the smallest distinct values, map-side top-k.
 
 All consumers read the same ``vc`` plan, so Spark reuses its shuffle
 (``ReusedExchange``): the source is read once however many columns it has.
@@ -33,20 +33,20 @@ PROFILE_SCHEMA = ("Column string, Type string, Missing long, Pct_Missing double,
                   "Pct_Outliers double, Examples array<string>")
 
 
-def _smallest_k(vc: DataFrame, k: int, spread: int = 1024) -> DataFrame:
-    """k smallest distinct non-NULL values per column, without one window
-    partition per column: first per (column, hash slice), then over at most
-    spread*k rows per column."""
+def _smallest_k(vc: DataFrame, k: int) -> DataFrame:
+    """k smallest distinct non-NULL values per column.
+
+    ``row_number() <= k`` over a window per column: Spark plans it with a
+    partial ``WindowGroupLimit`` before the shuffle, so each task forwards
+    at most k rows per column (a map-side top-k) -- the window after the
+    shuffle sees k x tasks rows, never all distinct values of a column.
+    """
     present = vc.where(counted(vc, F.col("dval").isNotNull() | F.col("sval").isNotNull()))
-    order = [F.col("dval"), F.col("sval")]
-    w1 = Window.partitionBy("column", "_slice").orderBy(*order)
-    first = (present.withColumn("_slice", F.pmod(F.xxhash64("dval", "sval"), F.lit(spread)))
-             .withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k))
-    w2 = Window.partitionBy("column").orderBy(*order)
-    top = first.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= k)
+    w = Window.partitionBy("column").orderBy(F.col("dval"), F.col("sval"))
+    top = present.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
     text = F.coalesce(F.col("dval").cast("string"), F.col("sval")).alias("value")
     return top.groupBy("column").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_r2", text))),
+        F.transform(F.array_sort(F.collect_list(F.struct("_r", text))),
                     lambda s: s["value"]).alias("Examples"))
 
 
