@@ -170,22 +170,40 @@ class Cleaner:
     column) and IQR clip bounds (listed columns) from the training rows."""
 
     def __init__(self, outlier_columns: list[str] | None = None, iqr_factor: float = 3.0,
-                 quantile_method: str = "exact"):
+                 quantile_method: str = "exact", unique_columns: list[str] | None = None):
+        """``unique_columns``: non-numeric columns known to hold distinct
+        values (e.g. the key after deduplication).  Every value then occurs
+        once, so the mode with ties broken to the smallest value is exactly
+        ``min(column)`` -- computed without shuffling the column's values."""
         self.outlier_columns = list(outlier_columns or [])
         self.iqr_factor = iqr_factor
         self.quantile_method = quantile_method
+        self.unique_columns = list(unique_columns or [])
 
     def fit(self, df: DataFrame) -> CleanerModel:
         """One job: a value-count table over every column feeds the exact
         quartiles/medians of the numeric columns and the modes of the others
         (the shuffle is shared), and one small result reaches the driver."""
         numeric = [f.name for f in df.schema.fields if is_numeric_type(f.dataType)]
-        other = [f.name for f in df.schema.fields if not is_numeric_type(f.dataType)]
+        unique = [f.name for f in df.schema.fields
+                  if not is_numeric_type(f.dataType) and f.name in self.unique_columns]
+        other = [f.name for f in df.schema.fields
+                 if not is_numeric_type(f.dataType) and f.name not in unique]
         model = CleanerModel()
+        if not numeric and not other and not unique:
+            return model
+        parts = []
+        if unique:
+            mins = df.agg(*[F.min(F.col(c).cast("string")).alias(c) for c in unique])
+            parts.append(mins.unpivot([], unique, "column", "mode")
+                         .select("column", F.lit(None).cast("array<double>").alias("q"), "mode"))
         if not numeric and not other:
+            found = {r["column"]: r for r in parts[0].collect()}
+            for c in unique:
+                if found[c]["mode"] is not None:
+                    model.string_impute[c] = found[c]["mode"]
             return model
         vc = value_counts_long(df, numeric, other, keep_nulls=False)
-        parts = []
         if numeric:
             num = vc.where(counted(vc, F.col("dval").isNotNull()))
             if self.quantile_method == "approx":
@@ -198,7 +216,9 @@ class Cleaner:
             modes = txt.groupBy("column").agg(F.min_by("sval", F.struct(
                 (-F.col("n")).alias("neg_n"), F.col("sval"))).alias("mode"))
             parts.append(modes.select("column", F.lit(None).cast("array<double>").alias("q"), "mode"))
-        res = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        res = parts[0]
+        for part in parts[1:]:
+            res = res.unionByName(part)
         found = {r["column"]: r for r in res.collect()}      # one row per column
         for c in numeric:
             q = found[c]["q"] if c in found else None
@@ -206,7 +226,7 @@ class Cleaner:
             if c in self.outlier_columns and q is not None:
                 iqr = q[2] - q[0]
                 model.bounds[c] = (q[0] - self.iqr_factor * iqr, q[2] + self.iqr_factor * iqr)
-        for c in other:
+        for c in [f.name for f in df.schema.fields if f.name in other or f.name in unique]:
             if c in found and found[c]["mode"] is not None:
                 model.string_impute[c] = found[c]["mode"]
         return model

@@ -79,8 +79,9 @@ def prepare(raw: DataFrame, target: str = S.TARGET_COLUMN, key: str = S.ID_COLUM
     split = split_raw(raw, target, key, test_size, seed, order_by, how)
     raw_cols = [c for c in split.columns if c != "split"]
     train_raw = split.where(F.col("split") == "train").select(*raw_cols)
+    # the key is unique after dedup: its mode is min(key), no shuffle of ids
     cleaner = Cleaner(outlier_columns if outlier_columns is not None else S.RAW_NUMERIC_COLUMNS,
-                      quantile_method=quantile_method).fit(train_raw)
+                      quantile_method=quantile_method, unique_columns=[key]).fit(train_raw)
     engineered = engineer_features(cleaner.transform(split))
     encoder = Encoder(numeric, categorical).fit(engineered.where(F.col("split") == "train"))
     labels = LabelCodes.fit(split.where(F.col("split") == "train"), target)

@@ -70,3 +70,10 @@ def test_state_round_trip(spark, tmp_path, mock_dedup):
     a = [tuple(r) for r in m.transform(mock_dedup).orderBy("Person_ID").collect()]
     b = [tuple(r) for r in back.transform(mock_dedup).orderBy("Person_ID").collect()]
     assert a == b
+
+
+def test_unique_column_mode_is_min(spark, mock_dedup):
+    a = Cleaner(S.RAW_NUMERIC_COLUMNS).fit(mock_dedup)
+    b = Cleaner(S.RAW_NUMERIC_COLUMNS, unique_columns=["Person_ID"]).fit(mock_dedup)
+    assert a.string_impute == b.string_impute and a.numeric_impute == b.numeric_impute
+    assert b.string_impute["Person_ID"] == "P0001"
