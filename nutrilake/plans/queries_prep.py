@@ -354,7 +354,7 @@ SPLIT_LINEITEM_SQL = "WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_
     f"md5('7:' || {_LI_SPLIT_KEY}) AS _h FROM lineitem)," + \
     G.split_ctes("li", target="l_returnflag", key="_h", test_size=0.25, seed=7).replace(
         "md5('7:' || CAST(_h AS VARCHAR))", "_h") + \
-    "\nSELECT l_returnflag, split, count(*) AS rows, sum(l_orderkey) AS key_sum FROM sp GROUP BY l_returnflag, split"
+    "\nSELECT l_returnflag, split, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS key_sum FROM sp GROUP BY l_returnflag, split"
 
 
 @query("split_lineitem", SPLIT_LINEITEM_SQL)
@@ -528,8 +528,8 @@ def q_label_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A3
-LABEL_DET_SQL = with_dd(f"""SELECT band, sum(n) AS rows, count(label) AS distinct_labels,
-  arg_max(label, n) AS majority_label, sum(n) - max(n) AS violations
+LABEL_DET_SQL = with_dd(f"""SELECT band, CAST(sum(n) AS BIGINT) AS rows, count(label) AS distinct_labels,
+  arg_max(label, n) AS majority_label, CAST(sum(n) - max(n) AS BIGINT) AS violations
 FROM (SELECT {G.bmi_band_sql("BMI")} AS band, Health_Status AS label, count(*) AS n FROM dd GROUP BY 1, 2)
 GROUP BY band""")
 
