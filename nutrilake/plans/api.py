@@ -100,11 +100,16 @@ class HealthDietJobs:
         return drift.analyze_drift(ref, cur, **kw)
 
     # R1-R4
-    def predict_health_status(self, requests: DataFrame, key: str | None = None) -> DataFrame:
+    def predict_health_status(self, records: DataFrame, key: str | None = None) -> DataFrame:
+        """Score raw records (the source's column names, as the reference's
+        facade takes them) or scoring requests (request field names: they
+        are validated first and invalid ones are left out)."""
         art = score.ScoringArtifacts.load(self.spark, self.settings.processed_dir,
                                           os.path.join(self.settings.models_dir, "best"))
         keep = [key] if key else []
-        valid, _rejected = score.validate_requests(requests)
+        if "Age" in records.columns:
+            return score.score(records, art, keep=keep)
+        valid, _rejected = score.validate_requests(records)
         return score.score(score.to_raw_records(valid, keep=keep), art, keep=keep)
 
     # M12

@@ -59,3 +59,22 @@ def mock_dedup(spark, mock_csv):
     from pyspark.sql import functions as F
     raw = read_raw_csv(spark, mock_csv).withColumn("_pos", F.monotonically_increasing_id())
     return coerce_numeric(drop_duplicates_first(raw, "Person_ID", ["_pos"]).drop("_pos")).cache()
+
+
+@pytest.fixture(scope="session")
+def published(spark, mock_df, tmp_path_factory):
+    """Prepared + compared + published artifacts on the doubled mock table."""
+    import os
+    from pyspark.sql import functions as F
+    from nutrilake.plans import training
+    from nutrilake.plans.preprocess import prepare
+    out = str(tmp_path_factory.mktemp("models"))
+    base = mock_df.unionByName(mock_df.withColumn("Person_ID", F.concat("Person_ID", F.lit("b"))))
+    p = prepare(base, test_size=0.25, out_dir=os.path.join(out, "processed"), how="cache")
+    res = training.compare_models(p, os.path.join(out, "models"), 42,
+                                  {"ovr_gbt": {"n_estimators": 2, "max_depth": 2},
+                                   "softmax_boost": {"iterations": 2, "depth": 2}})
+    winner = training.publish_best(res, os.path.join(out, "models"))
+    return out, winner
+
+

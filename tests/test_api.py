@@ -50,6 +50,9 @@ def test_full_flow(spark, jobs):
     out = jobs.predict_health_status(_reqs(spark, [REQ, dict(REQ, request_id="x", age=-5)]), key="request_id")
     rows = out.collect()
     assert [r["request_id"] for r in rows] == ["r1"]
+    raw = jobs.load_data().drop("Person_ID", "Health_Status").limit(3)   # raw column names
+    scored = jobs.predict_health_status(raw).collect()
+    assert len(scored) == 3 and all(abs(sum(r["probabilities"].values()) - 1) < 1e-9 for r in scored)
 
 
 def test_csv_sink_round_trip_with_schema(spark, tmp_path, mock_dedup):

@@ -32,18 +32,6 @@ def test_raw_record_mapping(spark):
     assert raw["BMI"] == round(70 / 1.75 ** 2, 2) and raw["Age"] == 30 and raw["Diet_Type"] == "Balanced"
 
 
-@pytest.fixture(scope="module")
-def published(spark, mock_df, tmp_path_factory):
-    out = str(tmp_path_factory.mktemp("models"))
-    base = mock_df.unionByName(mock_df.withColumn("Person_ID", F.concat("Person_ID", F.lit("b"))))
-    p = prepare(base, test_size=0.25, out_dir=os.path.join(out, "processed"), how="cache")
-    res = training.compare_models(p, os.path.join(out, "models"), 42,
-                                  {"ovr_gbt": {"n_estimators": 2, "max_depth": 2},
-                                   "softmax_boost": {"iterations": 2, "depth": 2}})
-    winner = training.publish_best(res, os.path.join(out, "models"))
-    return out, winner
-
-
 def test_publish_and_score_batch_and_stream(spark, published):
     out, winner = published
     info = training.best_model_info(spark, os.path.join(out, "models"))
