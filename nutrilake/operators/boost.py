@@ -6,8 +6,10 @@ Two registered learners with one contract:
   only); class probabilities are the K positive-class probabilities
   normalised to sum to 1.
 * ``softmax_boost`` -- multinomial gradient boosting: each round fits K
-  ``DecisionTreeRegressor``s on the residuals y_k - p_k and adds
-  ``step * tree_k`` to the class scores; p = softmax(scores).
+  ``DecisionTreeRegressor``s on the residuals y_k - p_k (tree structure),
+  sets Newton leaf values gamma = (K-1)/K * sum r / sum |r|(1-|r|) from one
+  grouped pass, and adds ``step * gamma_k[leaf]`` to the class scores;
+  p = softmax(scores).
 
 Input: a DataFrame with a vector column (``features``) and an integer label
 0..K-1.  Every fit/predict is a distributed MLlib job; nothing but model
@@ -211,6 +213,8 @@ class SoftmaxBoost(BoostingClassifier):
     def __init__(self, random_state: int = 42, **hyperparameters):
         super().__init__(random_state, **hyperparameters)
         self.trees: list[list[DecisionTreeRegressionModel]] = []
+        # per round and class: leaf index -> Newton leaf value (<= 2^depth entries)
+        self.leaf_values: list[list[dict[float, float]]] = []
         self.init_scores: list[float] = []
 
     def _p(self, name: str):
@@ -222,14 +226,43 @@ class SoftmaxBoost(BoostingClassifier):
         total = F.aggregate(shifted, F.lit(0.0), lambda a, x: a + x)
         return F.transform(shifted, lambda e: e / total)
 
-    def _add_trees(self, df: DataFrame, trees: list[DecisionTreeRegressionModel], step: float) -> DataFrame:
+    def _with_leaves(self, df: DataFrame, trees: list[DecisionTreeRegressionModel]) -> DataFrame:
         out = df
         for k, tree in enumerate(trees):
             t = tree.copy()
-            t.setFeaturesCol(self.features_col).setPredictionCol(f"_t{k}")
-            out = t.transform(out)
-        upd = F.array(*[F.col("_s")[k] + step * F.col(f"_t{k}") for k in range(len(trees))])
-        return out.withColumn("_s", upd).drop(*[f"_t{k}" for k in range(len(trees))])
+            t.setFeaturesCol(self.features_col).setPredictionCol(f"_t{k}").setLeafCol(f"_leaf{k}")
+            out = t.transform(out).drop(f"_t{k}")
+        return out
+
+    def _add_trees(self, df: DataFrame, trees: list[DecisionTreeRegressionModel],
+                   leaf_values: list[dict[float, float]], step: float) -> DataFrame:
+        """scores_k += step * gamma_k[leaf of tree k] (leaf tables as literal maps)."""
+        out = self._with_leaves(df, trees)
+        upd = []
+        for k in range(len(trees)):
+            table = F.create_map(*[x for leaf, g in leaf_values[k].items()
+                                   for x in (F.lit(float(leaf)), F.lit(float(g)))]) \
+                if leaf_values[k] else F.create_map().cast("map<double,double>")
+            upd.append(F.col("_s")[k] + step * F.coalesce(table[F.col(f"_leaf{k}")], F.lit(0.0)))
+        return out.withColumn("_s", F.array(*upd)).drop(*[f"_leaf{k}" for k in range(len(trees))])
+
+    def _newton_leaves(self, resid: DataFrame, trees: list[DecisionTreeRegressionModel],
+                       k_cls: int) -> list[dict[float, float]]:
+        """Friedman's multiclass leaf values gamma = (K-1)/K * sum r / sum |r|(1-|r|)
+        for every (class, leaf), from ONE grouped pass over the residuals."""
+        leaves = self._with_leaves(resid, trees)
+        cells = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_leaf{k}").alias("leaf"),
+                                             F.col(f"_r{k}").alias("r")) for k in range(k_cls)]))
+        stats = (leaves.select(cells.alias("c")).select("c.*")
+                 .groupBy("k", "leaf").agg(F.sum("r").alias("num"),
+                                           F.sum(F.abs("r") * (1 - F.abs("r"))).alias("den"))
+                 .collect())                               # <= K * 2^depth rows
+        out: list[dict[float, float]] = [{} for _ in range(k_cls)]
+        for row in stats:
+            den = row["den"]
+            g = (k_cls - 1) / k_cls * row["num"] / den if den and den > 1e-12 else 0.0
+            out[row["k"]][float(row["leaf"])] = float(g)
+        return out
 
     def fit(self, train, label_col="label", features_col="features", validation=None):
         ensure_checkpoint_dir(train.sparkSession)
@@ -251,7 +284,7 @@ class SoftmaxBoost(BoostingClassifier):
         for extra in ("maxBins", "minInstancesPerNode"):
             if extra in self.params:
                 tree_params[extra] = self.params[extra]
-        self.trees, curves = [], []
+        self.trees, self.leaf_values, curves = [], [], []
         for r in range(rounds):
             probs = self._softmax(F.col("_s"))
             resid = work.withColumn("_p", probs).select(
@@ -264,11 +297,13 @@ class SoftmaxBoost(BoostingClassifier):
                 dt = DecisionTreeRegressor(featuresCol=features_col, labelCol=f"_r{k}",
                                            seed=self.random_state + r, **tree_params)
                 round_trees.append(dt.fit(resid))
+            leaf_values = self._newton_leaves(resid, round_trees, k_cls)
             resid.unpersist()
             self.trees.append(round_trees)
-            work = self._add_trees(work, round_trees, step)
+            self.leaf_values.append(leaf_values)
+            work = self._add_trees(work, round_trees, leaf_values, step)
             if val is not None:
-                val = self._add_trees(val, round_trees, step)
+                val = self._add_trees(val, round_trees, leaf_values, step)
             if (r + 1) % self.CHECKPOINT_EVERY == 0:
                 work = work.checkpoint()       # reliable: spark.checkpoint.dir
                 if val is not None:
@@ -286,13 +321,14 @@ class SoftmaxBoost(BoostingClassifier):
     def predict_proba(self, df, prob_col="probability"):
         self._require_fitted()
         out = df.withColumn("_s", F.array(*[F.lit(s) for s in self.init_scores]))
-        for round_trees in self.trees:
-            out = self._add_trees(out, round_trees, self.step)
+        for round_trees, leaf_values in zip(self.trees, self.leaf_values):
+            out = self._add_trees(out, round_trees, leaf_values, self.step)
         return out.withColumn(prob_col, self._softmax(F.col("_s"))).drop("_s")
 
     def _meta(self) -> dict:
         meta = super()._meta()
-        meta.update({"init_scores": self.init_scores, "step": self.step, "rounds": len(self.trees)})
+        meta.update({"init_scores": self.init_scores, "step": self.step, "rounds": len(self.trees),
+                     "leaf_values": [[list(d.items()) for d in rnd] for rnd in self.leaf_values]})
         return meta
 
     def save(self, path: str) -> None:
@@ -309,6 +345,7 @@ class SoftmaxBoost(BoostingClassifier):
         obj._restore(meta)
         obj.init_scores = meta["init_scores"]
         obj.step = meta["step"]
+        obj.leaf_values = [[{float(a): float(b) for a, b in d} for d in rnd] for rnd in meta["leaf_values"]]
         obj.trees = [[DecisionTreeRegressionModel.load(os.path.join(path, f"round_{r}", f"class_{k}"))
                       for k in range(obj.n_classes)] for r in range(meta["rounds"])]
         return obj

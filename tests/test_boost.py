@@ -55,3 +55,14 @@ def test_no_validation_and_params(spark, toy, model_type):
     assert "n_estimators" not in bare.hyperparameters and "iterations" not in bare.hyperparameters
     with pytest.raises(ValueError, match="unknown hyper-parameter"):
         make_model(model_type, bogus=1)
+
+
+@pytest.mark.parametrize("model_type", list(MODEL_REGISTRY))
+def test_learns_a_separable_rule(spark, model_type):
+    rng = np.random.RandomState(0)
+    xs = rng.uniform(0, 4, 400)
+    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.IntegerType())])
+    df = spark.createDataFrame([(Vectors.dense(float(x), float(rng.rand())), int(x)) for x in xs], schema)
+    model = make_model(model_type, 1, n_estimators=8, max_depth=3, learning_rate=0.5).fit(df)
+    acc = model.predict(df).select(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    assert acc >= 0.95
