@@ -63,6 +63,6 @@ def test_learns_a_separable_rule(spark, model_type):
     xs = rng.uniform(0, 4, 400)
     schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.IntegerType())])
     df = spark.createDataFrame([(Vectors.dense(float(x), float(rng.rand())), int(x)) for x in xs], schema)
-    model = make_model(model_type, 1, n_estimators=8, max_depth=3, learning_rate=0.5).fit(df)
+    model = make_model(model_type, 1, n_estimators=4, max_depth=2, learning_rate=0.8).fit(df)
     acc = model.predict(df).select(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     assert acc >= 0.95
