@@ -545,3 +545,61 @@ DISTRIBUTION_SQL = "SELECT event_type, count(*) AS count FROM events GROUP BY ev
 @query("distribution_events", DISTRIBUTION_SQL)
 def q_distribution_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.distribution(read_table(spark, sf_dir, "events"), "event_type")
+
+
+# ---------------------------------------------------------------- C9 / T5 / L4 round trips
+@query("cleaner_roundtrip", CLEAN_APPLY_SQL)
+def q_cleaner_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The train-fitted cleaner saved as a state table, read back and
+    applied -- must equal ``clean_apply``."""
+    from nutrilake.plans.preprocess import split_raw
+    from nutrilake.plans.queries_model import scratch_dir
+    sp = split_raw(diet(spark, sf_dir), order_by=["copy_no"])
+    cols = [c for c in sp.columns if c != "split"]
+    fitted = clean.Cleaner(S.RAW_NUMERIC_COLUMNS, unique_columns=[S.ID_COLUMN]) \
+        .fit(sp.where(F.col("split") == "train").select(*cols))
+    path = scratch_dir(spark, "cleaner_state")
+    fitted.save(spark, path)
+    back = clean.CleanerModel.load(spark, path)
+    out = back.transform(sp)
+    return out.select("Person_ID", "split", *[r6(c).alias(c) for c in S.RAW_NUMERIC_COLUMNS],
+                      "Gender", "Activity_Level", "Diet_Type", "Health_Status")
+
+
+@query("encoder_roundtrip", SCALED_SQL)
+def q_encoder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: the train-fitted encoder saved, read back and applied -- must
+    equal ``scaled``."""
+    from nutrilake.plans.queries_model import scratch_dir
+    p = _prepared(spark, sf_dir)
+    path = scratch_dir(spark, "encoder_state")
+    p.encoder.save(spark, path)
+    back = encode.EncoderModel.load(spark, path)
+    out = back.transform(p.engineered, keep=["Person_ID", "split"])
+    return out.select("Person_ID", "split", *[r6(f"numeric__{c}").alias(f"numeric__{c}")
+                                              for c in S.NUMERIC_FEATURES])
+
+
+FEATURES_LABEL_SQL = _enc_sql("SELECT Person_ID, " + ", ".join(
+    f"{sql_r6(G.scaled_expr(c))} AS numeric__{c}" for c in S.NUMERIC_FEATURES[:3]) +
+    ", Health_Status FROM en WHERE split = 'test'")
+
+
+@query("features_label", FEATURES_LABEL_SQL)
+def q_features_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4: id, a feature subset and the label of the test rows, side by side."""
+    p = _prepared(spark, sf_dir)
+    feats = [f"numeric__{c}" for c in S.NUMERIC_FEATURES[:3]]
+    out = split.features_and_label(p.test(), feats, S.TARGET_COLUMN, S.ID_COLUMN)
+    return out.select("Person_ID", *[r6(c).alias(c) for c in feats], "Health_Status")
+
+
+EVENTS_PROFILE_COLS = ["event_id", "user_id", "event_type", "value", "props"]
+_EV_TYPES = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "props": "string"}
+PROFILE_EVENTS_SQL = profile_sql("events", EVENTS_PROFILE_COLS, _EV_TYPES, ["event_id", "user_id", "value"])
+
+
+@query("profile_events", PROFILE_EVENTS_SQL)
+def q_profile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select(*EVENTS_PROFILE_COLS)
+    return _profile_out(profile.dataset_profile(ev))
