@@ -51,9 +51,9 @@ class HealthDietJobs:
         self.settings = settings
 
     # S1-S4, S7
-    def load_data(self, strict: bool = False) -> DataFrame:
+    def load_data(self, strict: bool = False, keep_position: bool = False) -> DataFrame:
         raw = loader.load_table(self.spark, self.settings.raw_data_path, self.settings.sample_size,
-                                self.settings.random_state)
+                                self.settings.random_state, keep_position=keep_position)
         return loader.load_records(raw, strict=strict) if strict else raw
 
     # A1
@@ -63,8 +63,10 @@ class HealthDietJobs:
 
     # T7
     def preprocess_data(self, how: str = "checkpoint") -> Prepared:
-        return prepare(self.load_data(), target=self.settings.target_column,
+        """Dedup keeps the first row per person in file order."""
+        return prepare(self.load_data(keep_position=True), target=self.settings.target_column,
                        test_size=self.settings.test_size, seed=self.settings.random_state,
+                       order_by=[loader.SOURCE_POSITION],
                        out_dir=self.settings.processed_dir, how=how)
 
     # M7
@@ -121,4 +123,7 @@ class HealthDietJobs:
         return loader.dataset_overview(self.load_data())
 
     def deduplicated(self) -> DataFrame:
-        return drop_duplicates_first(self.load_data(), S.ID_COLUMN)
+        """First row per person in file order."""
+        raw = self.load_data(keep_position=True)
+        return drop_duplicates_first(raw, S.ID_COLUMN, [loader.SOURCE_POSITION]) \
+            .drop(loader.SOURCE_POSITION)

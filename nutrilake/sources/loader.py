@@ -85,12 +85,28 @@ def coercion_losses(raw: DataFrame, columns: list[str] | None = None,
     return typed.agg(*aggs).unpivot([], columns, "column", "lost")
 
 
+SOURCE_POSITION = "_source_pos"
+
+
+def with_source_position(df: DataFrame, name: str = SOURCE_POSITION) -> DataFrame:
+    """Add the row's position in the source files as an orderable struct:
+    (file path, byte offset of its split, row id inside the split).  Within
+    one split ``monotonically_increasing_id`` grows with the row's offset, so
+    ordering by this struct is file order -- what "keep the first row" means
+    for a file -- with no sort or single-task pass."""
+    return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"),
+                                        F.col("_metadata.file_block_start").alias("block"),
+                                        F.monotonically_increasing_id().alias("row")))
+
+
 def load_table(spark: SparkSession, path: str, sample_size: int | None = None,
                seed: int = 42, key: str = S.ID_COLUMN,
-               expected: list[str] | None = None) -> DataFrame:
+               expected: list[str] | None = None, keep_position: bool = False) -> DataFrame:
     """Read, optional exact-n sample, column check, numeric coercion.
 
     ``path`` may be a CSV file/folder or a parquet folder (``*.parquet``).
+    ``keep_position`` adds ``_source_pos`` (file order, see
+    ``with_source_position``) for a later "first row per key".
     """
     if path.endswith(".parquet"):
         try:
@@ -99,6 +115,8 @@ def load_table(spark: SparkSession, path: str, sample_size: int | None = None,
             raise DataLoadError(f"Failed to load data from {path}: {exc}") from exc
     else:
         df = read_raw_csv(spark, path)
+    if keep_position:
+        df = with_source_position(df)
     if sample_size is not None:
         df = sample_n(df, sample_size, seed=seed, key=key)
     check_columns(df, expected)

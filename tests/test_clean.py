@@ -77,3 +77,19 @@ def test_unique_column_mode_is_min(spark, mock_dedup):
     b = Cleaner(S.RAW_NUMERIC_COLUMNS, unique_columns=["Person_ID"]).fit(mock_dedup)
     assert a.string_impute == b.string_impute and a.numeric_impute == b.numeric_impute
     assert b.string_impute["Person_ID"] == "P0001"
+
+
+def test_first_in_file_order(spark, tmp_path):
+    from nutrilake.sources.loader import SOURCE_POSITION, load_table
+    p = tmp_path / "dups.csv"
+    rows = ["Person_ID,Age,Gender,Height_cm,Weight_kg,BMI,Activity_Level,Daily_Calorie_Requirement,"
+            "Daily_Calorie_Consumed,Protein_Intake_g,Carbohydrate_Intake_g,Fat_Intake_g,"
+            "Water_Intake_Liters,Diet_Type,Health_Status"]
+    for i, age in enumerate([50, 20, 70, 30]):     # same person, later copies have other ages
+        rows.append(f"P1,{age},Male,180,80,24.7,Sedentary,2000,2000,100,200,50,2,Keto,Healthy")
+    rows.append("P2,40,Female,160,60,23.4,Athlete,2000,2000,100,200,50,2,Vegan,Healthy")
+    p.write_text("\n".join(rows) + "\n")
+    df = load_table(spark, str(p), keep_position=True)
+    first = drop_duplicates_first(df, "Person_ID", [SOURCE_POSITION]).drop(SOURCE_POSITION)
+    got = {r["Person_ID"]: r["Age"] for r in first.collect()}
+    assert got == {"P1": 50, "P2": 40}
