@@ -28,9 +28,10 @@ def drop_duplicates_first(df: DataFrame, key: str | list[str] | None = S.ID_COLU
     remaining columns, so the pick is deterministic).  Without a key column
     whole-row duplicates are dropped.
 
-    Runs as ``min(struct(order..., rest...))`` per key: a hash aggregate with
-    map-side partial aggregation, so a key that holds a third of all rows is
-    collapsed before the shuffle instead of landing in one window partition.
+    Runs as ``min(struct(order..., rest...))`` per key: a (sort-based,
+    spill-safe) aggregate with a partial step before the shuffle, so a key
+    that holds a third of all rows is collapsed map-side instead of landing
+    in one window partition.
     NULL keys form one group (as pandas does).
     """
     keys = [key] if isinstance(key, str) else list(key or [])

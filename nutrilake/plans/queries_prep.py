@@ -10,7 +10,7 @@ from nutrilake import schema as S
 from nutrilake.functions import rules
 from nutrilake.operators import clean, encode, profile, split, stats
 from nutrilake.plans import sqlgen as G
-from nutrilake.plans.common import DIET_DD_CTES, diet, diet_dedup, r6, sql_r6, with_dd
+from nutrilake.plans.common import diet, diet_dedup, r6, sql_r6, with_dd
 from nutrilake.plans.preprocess import prepare
 from nutrilake.plans.registry import query
 from nutrilake.sources import loader

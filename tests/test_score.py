@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from nutrilake.operators import score
 from nutrilake.plans import training
-from nutrilake.plans.preprocess import prepare
 from nutrilake.streaming.scoring import REQUEST_SCHEMA, read_rejected, read_scored, start_scoring_stream
 
 REQ = dict(request_id="r1", age=30, gender="Male", height_cm=175.0, weight_kg=70.0,

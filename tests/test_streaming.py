@@ -3,7 +3,6 @@ micro-batch overwrites its own batch-id folder, so nothing is scored twice
 or lost."""
 import os
 
-from pyspark.sql import functions as F
 
 from nutrilake.operators import score
 from nutrilake.session import ensure_checkpoint_dir
