@@ -39,6 +39,7 @@ PARAM_ALIASES = {
     "min_child_weight": "minInstancesPerNode", "minInstancesPerNode": "minInstancesPerNode",
 }
 REPORTING_KEYS = {"eval_metric", "verbose", "random_state", "seed"}
+DEFAULT_PARALLELISM = 4     # concurrent per-class fits (jobs), not threads of work
 
 
 def resolve_params(hyperparameters: dict) -> dict:
@@ -65,6 +66,7 @@ class BoostingClassifier:
 
     def __init__(self, random_state: int = 42, **hyperparameters):
         self.random_state = random_state
+        self.parallelism = int(hyperparameters.pop("parallelism", DEFAULT_PARALLELISM))
         self.hyperparameters = dict(hyperparameters)
         self.params = resolve_params(self.hyperparameters)
         self.n_classes: int | None = None
@@ -112,6 +114,16 @@ class BoostingClassifier:
         self._fitted = True
 
 
+def run_parallel(fns: list, parallelism: int) -> list:
+    """Run independent fits as concurrent Spark jobs (as MLlib's OneVsRest /
+    CrossValidator ``parallelism`` does); results keep the input order."""
+    if parallelism <= 1 or len(fns) <= 1:
+        return [fn() for fn in fns]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(fns))) as pool:
+        return list(pool.map(lambda fn: fn(), fns))
+
+
 def argmax(arr: Column) -> Column:
     """0-based index of the largest element; first index on ties."""
     best = F.array_max(arr)
@@ -146,16 +158,20 @@ class OneVsRestGBT(BoostingClassifier):
         data = train.select(features_col, F.col(label_col).cast("int").alias("_y")).persist()
         self.models = []
         curves = []
-        for k in range(self.n_classes):
+        def fit_class(k: int):
             binary = data.withColumn("_yk", (F.col("_y") == k).cast("double"))
             model = self._estimator("_yk").fit(binary)
-            self.models.append(model)
+            curve = None
             if validation is not None:
                 vb = validation.select(features_col, (F.col(label_col).cast("int") == k)
                                        .cast("double").alias("_yk"))
-                tr = model.evaluateEachIteration(binary)
-                va = model.evaluateEachIteration(vb)
-                curves.append((tr, va))
+                curve = (model.evaluateEachIteration(binary), model.evaluateEachIteration(vb))
+            return model, curve
+
+        fitted = run_parallel([lambda k=k: fit_class(k) for k in range(self.n_classes)],
+                              self.parallelism)
+        self.models = [m for m, _ in fitted]
+        curves = [c for _, c in fitted if c is not None]
         data.unpersist()
         self._fitted = True
         if validation is not None:
@@ -292,11 +308,12 @@ class SoftmaxBoost(BoostingClassifier):
                 *[((F.col("_y") == k).cast("double") - F.col("_p")[k]).alias(f"_r{k}")
                   for k in range(k_cls)])
             resid = resid.persist()  # read by K tree fits; recomputed from the last checkpoint on loss
-            round_trees = []
-            for k in range(k_cls):
+            def fit_tree(k: int, r: int = r, resid: DataFrame = resid):
                 dt = DecisionTreeRegressor(featuresCol=features_col, labelCol=f"_r{k}",
                                            seed=self.random_state + r, **tree_params)
-                round_trees.append(dt.fit(resid))
+                return dt.fit(resid)
+            round_trees = run_parallel([lambda k=k: fit_tree(k) for k in range(k_cls)],
+                                       self.parallelism)
             leaf_values = self._newton_leaves(resid, round_trees, k_cls)
             resid.unpersist()
             self.trees.append(round_trees)
@@ -309,10 +326,13 @@ class SoftmaxBoost(BoostingClassifier):
                 if val is not None:
                     val = val.checkpoint()
             if validation is not None:
-                tr = work.agg(F.avg(_log_loss(self._softmax(F.col("_s")), F.col("_y")))).first()[0]
-                va = val.agg(F.avg(_log_loss(self._softmax(F.col("_s")), F.col("_y")))).first()[0]
-                curves += [(r + 1, "train", "mlogloss", float(tr)),
-                           (r + 1, "validation", "mlogloss", float(va))]
+                # both curves from one job
+                ll = _log_loss(self._softmax(F.col("_s")), F.col("_y")).alias("_ll")
+                both = work.select(F.lit("train").alias("_split"), ll) \
+                    .unionByName(val.select(F.lit("validation").alias("_split"), ll))
+                got = {row[0]: row[1] for row in both.groupBy("_split").agg(F.avg("_ll")).collect()}
+                curves += [(r + 1, "train", "mlogloss", float(got["train"])),
+                           (r + 1, "validation", "mlogloss", float(got["validation"]))]
         self.step = step
         self._curves = curves if validation is not None else None
         self._fitted = True
