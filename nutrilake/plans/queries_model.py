@@ -91,11 +91,12 @@ def _rule_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diet_dedup(spark, sf_dir).withColumn("pred_a", rule_a()).withColumn("pred_b", rule_b())
 
 
-_GRID = " UNION ALL ".join(f"SELECT {G.lit(c)} AS lbl" for c in CLASSES)
-CONFUSION_SQL = with_dd(f"""SELECT g1.lbl AS true_label, g2.lbl AS pred_label, CAST(coalesce(c.n, 0) AS BIGINT) AS n
-FROM grid g1 CROSS JOIN grid g2
+_GRID = ", ".join(f"({G.lit(a)}, {G.lit(b)})" for a in CLASSES for b in CLASSES)
+CONFUSION_SQL = with_dd(f"""SELECT g.true_label, g.pred_label, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM grid g
 LEFT JOIN (SELECT Health_Status AS t, {RULE_A_SQL} AS p, count(*) AS n FROM dd GROUP BY 1, 2) c
-  ON c.t = g1.lbl AND c.p = g2.lbl""", f"grid AS ({_GRID})")
+  ON c.t = g.true_label AND c.p = g.pred_label""",
+                        f"grid AS (SELECT * FROM (VALUES {_GRID}) AS v(true_label, pred_label))")
 
 
 @query("confusion", CONFUSION_SQL)

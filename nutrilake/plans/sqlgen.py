@@ -83,9 +83,9 @@ def split_ctes(src: str = "dd", target: str = S.TARGET_COLUMN, key: str = S.ID_C
     return f"""
 cnt AS (SELECT {target} AS cls, count(*) AS n_c FROM {src} GROUP BY {target}),
 tot AS (SELECT sum(n_c) AS n, CAST(ceil(CAST({test_size!r} AS DOUBLE) * sum(n_c)) AS BIGINT) AS n_test FROM cnt),
-al AS (SELECT cls, n_c, floor(CAST(n_c AS DOUBLE) / n * (n - n_test)) AS fl,
-              CAST(n_c AS DOUBLE) / n * (n - n_test) - floor(CAST(n_c AS DOUBLE) / n * (n - n_test)) AS rem
-       FROM cnt CROSS JOIN tot),
+al0 AS (SELECT cls, n_c, CAST(n_c AS DOUBLE) / (SELECT n FROM tot)
+                            * ((SELECT n FROM tot) - (SELECT n_test FROM tot)) AS cont FROM cnt),
+al AS (SELECT cls, n_c, floor(cont) AS fl, cont - floor(cont) AS rem FROM al0),
 need AS (SELECT (SELECT n - n_test FROM tot) - sum(fl) AS k FROM al),
 quota AS (SELECT cls, n_c - (fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, cls) <= (SELECT k FROM need)
                                   THEN 1 ELSE 0 END) AS test_q FROM al),
