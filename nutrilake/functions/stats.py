@@ -29,7 +29,8 @@ def ks_pvalue(d: Column, n1: Column, n2: Column) -> Column:
     """Asymptotic two-sided p-value of the two-sample KS statistic ``d``:
     Q(l) = 2 sum_{j>=1} (-1)^(j-1) exp(-2 j^2 l^2), l = d sqrt(n1 n2 / (n1+n2)),
     clamped to [0, 1].  A column expression (no UDF)."""
-    lam = d * F.sqrt(n1.cast("double") * n2 / (n1 + n2))
+    lam = F.when((n1 > 0) & (n2 > 0), d * F.sqrt(n1.cast("double") * n2 / (n1 + n2))) \
+        .otherwise(F.lit(0.0))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(KS_SERIES_TERMS)), F.lit(0.0),
         lambda acc, j: acc + 2.0 * F.pow(F.lit(-1.0), j - 1) * F.exp(-2.0 * j * j * lam * lam))

@@ -110,7 +110,7 @@ def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] |
     cum = ks_parts[0] if len(ks_parts) == 1 else ks_parts[0].unionByName(ks_parts[1])
     ks = (cum.join(bounded_broadcast(totals), "feature")
           .groupBy("feature", "n_r", "n_c")
-          .agg(F.max(F.abs(F.col("cum_rn") / F.col("n_r") - F.col("cum_cn") / F.col("n_c")))
+          .agg(F.max(F.abs(_share(F.col("cum_rn"), F.col("n_r")) - _share(F.col("cum_cn"), F.col("n_c"))))
                .alias("ks_statistic")))
     res = psi.join(ks, "feature")
     return (res.select("feature", "psi", "ks_statistic",

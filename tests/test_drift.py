@@ -90,3 +90,10 @@ def test_ks_pvalue_range(spark):
     j = np.arange(1, 101)
     exp = float(np.clip(2 * np.sum((-1.0) ** (j - 1) * np.exp(-2 * j * j * lam * lam)), 0, 1))
     assert r["ks_pvalue"] == pytest.approx(exp, abs=1e-12)
+
+
+def test_empty_current_side(spark):
+    ref = _df(spark, {"x": np.arange(20.0)})
+    cur = ref.limit(0)
+    r = drift_report(ref, cur).first()
+    assert r["feature"] == "x" and r["ks_pvalue"] == 1.0
