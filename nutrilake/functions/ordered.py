@@ -299,7 +299,8 @@ def hash_rank(df: DataFrame, order_key: str, groups: list[str] | None = None,
 # value-count tables (one shuffle feeding many per-column measures)
 # --------------------------------------------------------------------------
 def value_counts_long(df: DataFrame, numeric: list[str], strings: list[str],
-                      side: Column | None = None, keep_nulls: bool = True) -> DataFrame:
+                      side: Column | None = None, keep_nulls: bool = True,
+                      order_col: str | None = None) -> DataFrame:
     """(column, dval, sval[, _side], n): rows per distinct value of every
     column.  Numeric columns carry their value in ``dval`` (DOUBLE), the
     others in ``sval`` (STRING); NULL cells form their own row when
@@ -312,12 +313,17 @@ def value_counts_long(df: DataFrame, numeric: list[str], strings: list[str],
     cells += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("dval"),
                        F.col(c).cast("string").alias("sval")) for c in strings]
     extra = [side.alias("_side")] if side is not None else []
-    long_df = df.select(*extra, F.explode(F.array(*cells)).alias("_c")) \
-        .select(*(["_side"] if side is not None else []), "_c.column", "_c.dval", "_c.sval")
+    pos = [F.col(order_col).alias("_pos")] if order_col else []
+    long_df = df.select(*extra, *pos, F.explode(F.array(*cells)).alias("_c")) \
+        .select(*(["_side"] if side is not None else []), *(["_pos"] if order_col else []),
+                "_c.column", "_c.dval", "_c.sval")
     if not keep_nulls:
         long_df = long_df.where(F.col("dval").isNotNull() | F.col("sval").isNotNull())
     keys = ["column", "dval", "sval"] + (["_side"] if side is not None else [])
-    return long_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if order_col:     # first appearance of each value (min of an orderable position)
+        aggs.append(F.min("_pos").alias("first_pos"))
+    return long_df.groupBy(*keys).agg(*aggs)
 
 
 def counted(vc: DataFrame, present: Column, weight: str = "n") -> Column:

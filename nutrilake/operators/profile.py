@@ -33,8 +33,10 @@ PROFILE_SCHEMA = ("Column string, Type string, Missing long, Pct_Missing double,
                   "Pct_Outliers double, Examples array<string>")
 
 
-def _smallest_k(vc: DataFrame, k: int) -> DataFrame:
-    """k smallest distinct non-NULL values per column.
+def _smallest_k(vc: DataFrame, k: int, by_appearance: bool = False) -> DataFrame:
+    """k example values per column: the k smallest distinct values, or --
+    ``by_appearance`` -- the first k distinct values in source order, then
+    sorted for numeric columns (what the source profile shows).
 
     ``row_number() <= k`` over a window per column: Spark plans it with a
     partial ``WindowGroupLimit`` before the shuffle, so each task forwards
@@ -42,11 +44,14 @@ def _smallest_k(vc: DataFrame, k: int) -> DataFrame:
     shuffle sees k x tasks rows, never all distinct values of a column.
     """
     present = vc.where(counted(vc, F.col("dval").isNotNull() | F.col("sval").isNotNull()))
-    w = Window.partitionBy("column").orderBy(F.col("dval"), F.col("sval"))
+    order = [F.col("first_pos")] if by_appearance else [F.col("dval"), F.col("sval")]
+    w = Window.partitionBy("column").orderBy(*order)
     top = present.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
     text = F.coalesce(F.col("dval").cast("string"), F.col("sval")).alias("value")
+    # numbers are listed in value order, strings in the window's order
+    rank = F.when(F.col("dval").isNotNull(), F.col("dval")).otherwise(F.col("_r").cast("double"))
     return top.groupBy("column").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_r", text))),
+        F.transform(F.array_sort(F.collect_list(F.struct(rank.alias("_k"), text))),
                     lambda s: s["value"]).alias("Examples"))
 
 
@@ -70,18 +75,25 @@ def _moments(vc: DataFrame) -> DataFrame:
 
 
 def dataset_profile(df: DataFrame, max_examples: int = 5, iqr_factor: float = 1.5,
-                    quantile_method: str = "exact", approx_accuracy: int = 10_000) -> DataFrame:
-    """P1-P8.  Empty input -> empty frame with the profile columns."""
+                    quantile_method: str = "exact", approx_accuracy: int = 10_000,
+                    order_col: str | None = None) -> DataFrame:
+    """P1-P8.  Empty input -> empty frame with the profile columns.
+
+    ``order_col`` (an orderable source position, e.g. ``_source_pos`` from
+    ``load_table(keep_position=True)``) makes ``Examples`` the first values
+    in order of appearance; without it they are the smallest values.
+    """
     spark = df.sparkSession
-    if not df.columns:
+    data_cols = [c for c in df.columns if c != order_col]
+    if not data_cols:
         return spark.createDataFrame([], PROFILE_SCHEMA)
-    fields = df.schema.fields
+    fields = [f for f in df.schema.fields if f.name != order_col]
     numeric = [f.name for f in fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))]
     strings = [f.name for f in fields if f.name not in numeric]
     position = {f.name: i for i, f in enumerate(fields)}
     types = {f.name: f.dataType.simpleString() for f in fields}
 
-    vc = value_counts_long(df, numeric, strings)
+    vc = value_counts_long(df, numeric, strings, order_col=order_col)
 
     base = vc.groupBy("column").agg(
         F.sum("n").alias("_n"),
@@ -89,7 +101,7 @@ def dataset_profile(df: DataFrame, max_examples: int = 5, iqr_factor: float = 1.
         .alias("Missing"),
         F.count_if((F.col("dval").isNotNull() | F.col("sval").isNotNull()) & (F.col("n") > 0))
         .alias("Cardinality"))
-    examples = _smallest_k(vc, max_examples)
+    examples = _smallest_k(vc, max_examples, by_appearance=order_col is not None)
     out = base.join(bounded_broadcast(examples), "column", "left")   # one row per column
 
     if numeric:
@@ -112,8 +124,8 @@ def dataset_profile(df: DataFrame, max_examples: int = 5, iqr_factor: float = 1.
         out = out.withColumn("Skewness", F.lit(None).cast("double")) \
             .withColumn("_out", F.lit(None).cast("long"))
 
-    pos_map = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(position[c]))])
-    type_map = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(types[c]))])
+    pos_map = F.create_map(*[x for c in data_cols for x in (F.lit(c), F.lit(position[c]))])
+    type_map = F.create_map(*[x for c in data_cols for x in (F.lit(c), F.lit(types[c]))])
     is_num = F.col("column").isin(*numeric) if numeric else F.lit(False)
     card = F.coalesce(F.col("Cardinality"), F.lit(0)).cast("long")
     pct = lambda x: F.round(x / F.col("_n") * 100, 2)

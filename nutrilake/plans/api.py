@@ -122,6 +122,12 @@ class HealthDietJobs:
     def summary(self) -> DataFrame:
         return loader.dataset_overview(self.load_data())
 
+    # P1-P8 (``get_dataset_summary``): examples in order of appearance
+    def dataset_summary(self, max_examples: int = 5, outlier_iqr_factor: float = 1.5) -> DataFrame:
+        from nutrilake.operators.profile import dataset_profile
+        return dataset_profile(self.load_data(keep_position=True), max_examples, outlier_iqr_factor,
+                               order_col=loader.SOURCE_POSITION)
+
     def deduplicated(self) -> DataFrame:
         """First row per person in file order."""
         raw = self.load_data(keep_position=True)

@@ -27,6 +27,8 @@ def test_statistics_and_summary(jobs):
     r = jobs.get_health_statistics(jobs.deduplicated()).first()
     assert r["total_assessments"] == 32
     assert jobs.summary().first()["total_records"] == 34
+    prof = {r["Column"]: r for r in jobs.dataset_summary().collect()}
+    assert prof["Gender"]["Examples"] == ["Male", "Female", "Other"] and prof["Weight_kg"]["Missing"] == 2
 
 
 def test_full_flow(spark, jobs):

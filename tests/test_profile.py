@@ -46,3 +46,16 @@ def test_outlier_pct_clip_fixture(spark, method):
     df = spark.createDataFrame([(v,) for v in vals], "value int")
     r = dataset_profile(df, quantile_method=method).first()
     assert r["Pct_Outliers"] == round(1 / 11 * 100, 2)
+
+
+def test_examples_in_order_of_appearance(spark, mock_csv):
+    from nutrilake.sources.loader import SOURCE_POSITION, load_table
+    df = load_table(spark, mock_csv, keep_position=True)
+    rows = {r["Column"]: r for r in dataset_profile(df, order_col=SOURCE_POSITION).collect()}
+    assert SOURCE_POSITION not in rows
+    assert rows["Gender"]["Examples"] == ["Male", "Female", "Other"]
+    assert rows["Person_ID"]["Examples"] == ["P0001", "P0002", "P0003", "P0004", "P0005"]
+    # first five distinct ages in file order are 45, 30, 60, 22, 50 -> shown sorted
+    assert rows["Age"]["Examples"] == ["22.0", "30.0", "45.0", "50.0", "60.0"]
+    assert rows["Activity_Level"]["Examples"] == ["Moderately Active", "Lightly Active", "Sedentary",
+                                                  "Very Active", "Athlete"]
