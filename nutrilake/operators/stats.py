@@ -15,7 +15,9 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
 def tally(entries: F.Column) -> F.Column:
     """MAP key -> summed count from an ARRAY<STRUCT<k, n>> whose keys may
-    repeat (a small array of pre-aggregated cells; pure expressions)."""
+    repeat (a small array of pre-aggregated cells; pure expressions).  NULL
+    keys are left out, as a pandas value count leaves out missing values."""
+    entries = F.filter(entries, lambda x: x["k"].isNotNull())
     keys = F.array_sort(F.array_distinct(F.transform(entries, lambda x: x["k"])))
     sums = F.transform(keys, lambda key: F.aggregate(
         F.filter(entries, lambda x: x["k"] == key), F.lit(0).cast("long"),
@@ -24,7 +26,7 @@ def tally(entries: F.Column) -> F.Column:
 
 
 def _key(col: str) -> F.Column:
-    return F.coalesce(F.col(col).cast("string"), F.lit("<null>"))
+    return F.col(col).cast("string")
 
 
 def health_statistics(df: DataFrame, status: str = S.TARGET_COLUMN, diet: str = "Diet_Type",

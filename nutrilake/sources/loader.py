@@ -157,7 +157,7 @@ def dataset_overview(df: DataFrame, target: str = S.TARGET_COLUMN,
     from nutrilake.operators.stats import tally
 
     def key(c: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit("<null>"))
+        return F.col(c).cast("string")
     cells = df.groupBy(key(target).alias("_s"), key(diet).alias("_d")).agg(
         F.count(F.lit(1)).alias("n"), F.min(age).alias("amin"), F.max(age).alias("amax"),
         F.min(bmi).alias("bmin"), F.max(bmi).alias("bmax"))

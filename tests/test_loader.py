@@ -96,3 +96,11 @@ def test_label_determinism(mock_dedup):
 def test_source_inventory(spark, mock_csv):
     inv = loader.source_inventory(loader.read_raw_csv(spark, mock_csv)).collect()
     assert len(inv) == 1 and inv[0]["rows"] == 17 and inv[0]["size_bytes"] > 0
+
+
+def test_distributions_skip_missing(spark):
+    df = spark.createDataFrame([("Healthy", "Keto", 22.0, 2000.0, 2100.0), (None, "Keto", 31.0, 2000.0, 2000.0)],
+                               "Health_Status string, Diet_Type string, BMI double, "
+                               "Daily_Calorie_Consumed double, Daily_Calorie_Requirement double")
+    r = stats.health_summary(df).first()
+    assert r["health_status_distribution"] == {"Healthy": 1} and r["total_assessments"] == 2
