@@ -62,7 +62,7 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # bucketing of an ordered domain
 # --------------------------------------------------------------------------
-DEFAULT_BUCKETS = 1024
+DEFAULT_BUCKETS = 4096
 STRING_PREFIX = 3
 
 
