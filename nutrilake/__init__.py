@@ -7,7 +7,7 @@ Public entry points (all DataFrame -> DataFrame or fit -> small state):
 * operators: ``dataset_profile``, ``Cleaner``, ``stratified_split``,
   ``stratified_folds``, ``Encoder``, ``LabelCodes``, ``health_summary``,
   ``drift_report``, ``classification_metrics``, ``make_model``, ``score``
-* jobs:      ``prepare`` (the preparation job) and ``HealthDietJobs``
+* jobs:      ``prepare`` (the preparation job) and ``DietJobs``
 """
 from nutrilake.functions.rules import engineer_features
 from nutrilake.operators.clean import Cleaner, CleanerModel, drop_duplicates_first

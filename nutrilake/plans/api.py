@@ -40,7 +40,7 @@ class JobSettings:
         return os.path.join(self.output_dir, "models")
 
 
-class HealthDietJobs:
+class DietJobs:
     """load_data, get_health_statistics, preprocess_data, train_model,
     cross_validate_model, compare_models, select_best_model,
     analyze_data_drift, predict_health_status, get_best_model_info,

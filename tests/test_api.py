@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from nutrilake.plans.api import HealthDietJobs, JobSettings
+from nutrilake.plans.api import DietJobs, JobSettings
 from nutrilake.sources import sinks
 from tests.conftest import MOCK_CSV
 from tests.test_score import REQ, _reqs
@@ -20,7 +20,7 @@ def jobs(spark, tmp_path_factory):
     extra = [l.replace("P00", "Q00", 1) for l in lines[1:]]
     (d / "raw.csv").write_text("\n".join(lines + extra) + "\n")
     s = JobSettings(str(d / "raw.csv"), str(d / "out"), test_size=0.25, hyperparameters=FAST)
-    return HealthDietJobs(spark, s)
+    return DietJobs(spark, s)
 
 
 def test_statistics_and_summary(jobs):
