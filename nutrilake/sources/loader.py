@@ -142,6 +142,18 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str | list[str] = S.ID_
     return out.drop("_order") if order_col is None else out.withColumnRenamed("_order", order_col)
 
 
+def source_info(spark: SparkSession, path: str) -> dict:
+    """S5 (``get_info``): path, whether it exists, total size in bytes --
+    asked of the cluster's file system (HDFS, object stores, local) through
+    Hadoop's FileSystem API; no data is read."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    exists = bool(fs.exists(hpath))
+    size = int(fs.getContentSummary(hpath).getLength()) if exists else None
+    return {"path": path, "exists": exists, "size_bytes": size}
+
+
 def source_inventory(df: DataFrame) -> DataFrame:
     """The files behind a scan: path, size in bytes, rows."""
     return (df.select(F.col("_metadata.file_path").alias("file_path"),

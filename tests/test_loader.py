@@ -104,3 +104,11 @@ def test_distributions_skip_missing(spark):
                                "Daily_Calorie_Consumed double, Daily_Calorie_Requirement double")
     r = stats.health_summary(df).first()
     assert r["health_status_distribution"] == {"Healthy": 1} and r["total_assessments"] == 2
+
+
+def test_source_info(spark, mock_csv, tmp_path):
+    import os
+    info = loader.source_info(spark, mock_csv)
+    assert info == {"path": mock_csv, "exists": True, "size_bytes": os.path.getsize(mock_csv)}
+    missing = loader.source_info(spark, str(tmp_path / "nope.csv"))
+    assert missing["exists"] is False and missing["size_bytes"] is None
