@@ -237,7 +237,18 @@ class Cleaner:
         return model, model.transform(df)
 
 
+def path_exists(path: str) -> bool:
+    """Existence on the cluster's file system (HDFS, object stores, local),
+    through Hadoop's FileSystem API of the active session."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return os.path.exists(path)
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def require_path(path: str, message: str) -> None:
     """Fail early with a clear message when an artifact is missing."""
-    if not os.path.exists(path):
+    if not path_exists(path):
         raise FileNotFoundError(f"{message} (expected {path})")
