@@ -47,9 +47,10 @@ def score_micro_batch(batch: DataFrame, batch_id: int, art: ScoringArtifacts, ou
 
 def start_scoring_stream(spark: SparkSession, input_dir: str, art: ScoringArtifacts,
                          out_dir: str, checkpoint_dir: str, available_now: bool = True,
-                         max_files_per_trigger: int | None = None):
-    """Start the stream; returns the StreamingQuery."""
-    reader = spark.readStream.schema(REQUEST_SCHEMA).format("parquet")
+                         max_files_per_trigger: int | None = None, fmt: str = "parquet"):
+    """Start the stream over request files (``fmt``: parquet, or json for
+    one request object per line); returns the StreamingQuery."""
+    reader = spark.readStream.schema(REQUEST_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(input_dir)

@@ -29,3 +29,16 @@ def test_checkpoint_dir_respected(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert ensure_checkpoint_dir(spark) == configured
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_json_request_stream(spark, published, tmp_path):
+    import json
+    out, _winner = published
+    art = score.ScoringArtifacts.load(spark, os.path.join(out, "processed"), os.path.join(out, "models", "best"))
+    inbox = tmp_path / "json_inbox"
+    inbox.mkdir()
+    reqs = [dict(REQ, request_id="j1"), dict(REQ, request_id="j2", gender="Robot")]
+    (inbox / "part-0.json").write_text("\n".join(json.dumps(r) for r in reqs) + "\n")
+    q = start_scoring_stream(spark, str(inbox), art, str(tmp_path / "sink"), str(tmp_path / "ckpt"), fmt="json")
+    q.awaitTermination()
+    assert [r[0] for r in read_scored(spark, str(tmp_path / "sink")).select("request_id").collect()] == ["j1"]
