@@ -37,12 +37,16 @@ REQUEST_SCHEMA = T.StructType([
 
 def score_micro_batch(batch: DataFrame, batch_id: int, art: ScoringArtifacts, out_dir: str,
                       key: str = "request_id") -> None:
-    checked = batch.withColumn("errors", request_errors(batch))
-    valid = checked.where(F.size("errors") == 0).drop("errors")
-    rejected = checked.where(F.size("errors") > 0)
-    scored = score(to_raw_records(valid, keep=[key]), art, keep=[key])
-    scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scored", f"batch_id={batch_id}"))
-    rejected.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"batch_id={batch_id}"))
+    # both outputs read the same validated rows once (micro-batch scoped)
+    checked = batch.withColumn("errors", request_errors(batch)).persist()
+    try:
+        valid = checked.where(F.size("errors") == 0).drop("errors")
+        rejected = checked.where(F.size("errors") > 0)
+        scored = score(to_raw_records(valid, keep=[key]), art, keep=[key])
+        scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scored", f"batch_id={batch_id}"))
+        rejected.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"batch_id={batch_id}"))
+    finally:
+        checked.unpersist()
 
 
 def start_scoring_stream(spark: SparkSession, input_dir: str, art: ScoringArtifacts,
