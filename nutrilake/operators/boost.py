@@ -27,7 +27,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nutrilake.session import ensure_checkpoint_dir
+from nutrilake.session import current_session, ensure_checkpoint_dir
 
 # caller names -> MLlib parameters (M6); reporting-only keys are accepted
 PARAM_ALIASES = {
@@ -95,7 +95,7 @@ class BoostingClassifier:
         if self._curves is None:
             raise RuntimeError("get_evals_result() is unavailable for a model fitted "
                                "without a validation set")
-        spark = SparkSession.getActiveSession()
+        spark = current_session()
         return spark.createDataFrame(self._curves, "iteration int, split string, metric string, value double")
 
     def _require_fitted(self) -> None:
@@ -390,11 +390,11 @@ def load_model(path: str) -> BoostingClassifier:
 
 
 def _write_meta(path: str, meta: dict) -> None:
-    spark = SparkSession.getActiveSession()
+    spark = current_session()
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
         .write.mode("overwrite").text(os.path.join(path, "meta"))
 
 
 def _read_meta(path: str) -> dict:
-    spark = SparkSession.getActiveSession()
+    spark = current_session()
     return json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nutrilake import schema as S
+from nutrilake.session import current_session
 from nutrilake.functions.ordered import counted, value_counts_long, weighted_quantiles
 
 
@@ -240,9 +241,7 @@ class Cleaner:
 def path_exists(path: str) -> bool:
     """Existence on the cluster's file system (HDFS, object stores, local),
     through Hadoop's FileSystem API of the active session."""
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        return os.path.exists(path)
+    spark = current_session()
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))

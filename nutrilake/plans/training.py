@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
-from nutrilake.operators.boost import MODEL_REGISTRY, BoostingClassifier, make_model
+from nutrilake.operators.boost import MODEL_REGISTRY, BoostingClassifier, make_model, run_parallel
 from nutrilake.operators.clean import require_path
 from nutrilake.operators.encode import LabelCodes, assemble
 from nutrilake.operators.evaluate import classification_metrics, metrics_from_pairs, pair_counts
@@ -62,18 +62,23 @@ def train_model(model_type: str, prepared: Prepared, out_dir: str | None = None,
 
 
 def cross_validate(model_type: str, prepared: Prepared, k: int = 5, random_state: int = 42,
-                   hyperparameters: dict | None = None) -> tuple[DataFrame, DataFrame]:
+                   hyperparameters: dict | None = None,
+                   parallelism: int = 1) -> tuple[DataFrame, DataFrame]:
     """M8: stratified k-fold over train+test recombined; a fresh model per
     fold; returns (fold metrics (fold, metric, value), summary (metric,
     mean, std) with the population std).  Nothing is persisted."""
     frame = model_frame(prepared)
     folded = materialize(stratified_folds(frame, k, prepared.target, random_state, prepared.key), "cache")
-    preds = None
-    for i in range(k):
+    def fit_fold(i: int) -> DataFrame:
         model = make_model(model_type, random_state, **(hyperparameters or {}))
         model.fit(folded.where(F.col("fold") != i), "label", "features")
-        pred = model.predict(folded.where(F.col("fold") == i)).select("fold", "label", "prediction")
-        preds = pred if preds is None else preds.unionByName(pred)
+        return model.predict(folded.where(F.col("fold") == i)).select("fold", "label", "prediction")
+
+    # independent folds as concurrent jobs (as MLlib's CrossValidator parallelism)
+    fold_preds = run_parallel([lambda i=i: fit_fold(i) for i in range(k)], parallelism)
+    preds = fold_preds[0]
+    for pred in fold_preds[1:]:
+        preds = preds.unionByName(pred)
     named = preds.select("fold", prepared.labels.decode("label").alias("y"),
                          prepared.labels.decode("prediction").alias("yhat"))
     m = metrics_from_pairs(pair_counts(named, "y", "yhat", ["fold"]), ["fold"])
@@ -88,12 +93,16 @@ def cv_summary(per_fold: DataFrame) -> DataFrame:
 
 
 def compare_models(prepared: Prepared, out_dir: str | None = None, random_state: int = 42,
-                   hyperparameters_by_model: dict | None = None) -> dict[str, TrainingResult]:
+                   hyperparameters_by_model: dict | None = None,
+                   parallelism: int = 1) -> dict[str, TrainingResult]:
     """M9: every registered type on the same split, each with its own params."""
     frame = materialize(model_frame(prepared), "cache")
     params = hyperparameters_by_model or {}
-    return {t: train_model(t, prepared, out_dir, random_state, params.get(t), frame)
-            for t in MODEL_REGISTRY}
+    types = list(MODEL_REGISTRY)
+    # the learners are independent: train them as concurrent jobs
+    results = run_parallel([lambda t=t: train_model(t, prepared, out_dir, random_state, params.get(t), frame)
+                            for t in types], parallelism)
+    return dict(zip(types, results))
 
 
 def metrics_table(results: dict[str, TrainingResult]) -> DataFrame:

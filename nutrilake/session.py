@@ -56,3 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def current_session() -> SparkSession:
+    """The caller's session, also from worker threads (the active session is
+    thread-local; ``getOrCreate`` returns the process's existing one)."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
