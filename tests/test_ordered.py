@@ -88,3 +88,20 @@ def test_hash_thresholds_refinement(spark):
     q = F.create_map(F.lit("a"), F.lit(1234), F.lit("b"), F.lit(77))
     exp = ref.where(F.col("_r") <= q[F.col("g")])
     assert sorted(r[0] for r in sel.select("key").collect()) == sorted(r[0] for r in exp.select("key").collect())
+
+
+def test_checked_broadcast_falls_back_to_shuffle(spark):
+    from nutrilake.functions.ordered import checked_broadcast
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only hints may broadcast
+    try:
+        big = spark.range(1000)
+
+        def plan(df):
+            return df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(big.join(checked_broadcast(spark.range(10), 100), "id"))
+        fallback = big.join(checked_broadcast(spark.range(10), 5), "id")
+        assert "BroadcastHashJoin" not in plan(fallback)
+        assert fallback.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
