@@ -42,3 +42,10 @@ def test_against_duckdb(spark, name):
     idx = [dcols.index(c) for c in order]
     drows = sorted(repr(tuple(r[i] for i in idx)) for r in drows)
     assert srows == drows
+
+
+def test_query_names_are_descriptive():
+    import re
+    for name in entry.queries():
+        assert "pipeline" not in name and not re.match(r"op\d+_", name)
+        assert re.fullmatch(r"[a-z][a-z0-9_]*", name)
