@@ -39,6 +39,18 @@ from pyspark.sql import types as T
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+MAX_CLASSES = 10_000   # class / group tables that reach the driver
+
+
+def collect_bounded(df: DataFrame, max_rows: int = MAX_CLASSES, what: str = "rows") -> list:
+    """Collect a table that must be small (classes, groups): at most
+    ``max_rows + 1`` rows are fetched; more is an error, never a silent cut."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} {what}: not a small table")
+    return rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after counting it.
 
@@ -375,7 +387,8 @@ def hash_thresholds(df: DataFrame, order_key: str, group: str | None, tiebreak:
     b = df.withColumn("_g", gcol)
     counts = (b.groupBy("_g", F.substring(F.col(order_key), 1, prefix_len).alias("_bucket"))
               .agg(F.count(F.lit(1)).alias("_cnt"))).cache()
-    totals = {r["_g"]: r["_n"] for r in counts.groupBy("_g").agg(F.sum("_cnt").alias("_n")).collect()}
+    totals = {r["_g"]: r["_n"] for r in collect_bounded(
+        counts.groupBy("_g").agg(F.sum("_cnt").alias("_n")), what="groups")}
     if group is not None and None in totals:
         raise ValueError("NULL group values cannot be stratified")
     wanted = quotas(totals if group is not None else {None: totals.get(0, 0)}) \

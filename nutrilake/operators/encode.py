@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
+from nutrilake.functions.ordered import collect_bounded
 
 MAX_CATEGORIES = 10_000  # one-hot width guard: each category becomes a column
 
@@ -151,8 +152,8 @@ class LabelCodes:
 
     @classmethod
     def fit(cls, df: DataFrame, label: str = S.TARGET_COLUMN) -> "LabelCodes":
-        values = [r[0] for r in df.select(label).where(F.col(label).isNotNull())
-                  .distinct().collect()]  # K class names
+        values = [r[0] for r in collect_bounded(
+            df.select(label).where(F.col(label).isNotNull()).distinct(), what="classes")]
         return cls(sorted(values))
 
     def encode(self, label: str | F.Column = S.TARGET_COLUMN) -> F.Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nutrilake.functions.ordered import collect_bounded
+
 
 def pair_counts(df: DataFrame, label: str, prediction: str,
                 group: list[str] | None = None) -> DataFrame:
@@ -95,7 +97,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str,
     the sorted classes seen)."""
     pairs = pair_counts(df, label, prediction).cache()
     if classes is None:
-        classes = sorted({r[0] for r in per_class(pairs).select("k").collect()})
+        classes = sorted({r[0] for r in collect_bounded(per_class(pairs).select("k"), what="classes")})
     return one_row(metrics_from_pairs(pairs), confusion_matrix(pairs, classes))
 
 

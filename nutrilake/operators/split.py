@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
-from nutrilake.functions.ordered import (hash_prefix_len, hash_rank, hash_thresholds,
+from nutrilake.functions.ordered import (collect_bounded, hash_prefix_len, hash_rank, hash_thresholds,
                                          seeded_order_key, within_threshold)
 
 
 def class_counts(df: DataFrame, target: str) -> dict[str, int]:
     """Rows per class (one small aggregation; K rows to the driver)."""
-    return {r[0]: r[1] for r in df.groupBy(target).agg(F.count(F.lit(1))).collect()}
+    return {r[0]: r[1] for r in collect_bounded(df.groupBy(target).agg(F.count(F.lit(1))),
+                                                what="classes")}
 
 
 def train_allocation(counts: dict, n_draws: int) -> dict:

@@ -105,3 +105,10 @@ def test_checked_broadcast_falls_back_to_shuffle(spark):
         assert fallback.count() == 10
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_collect_bounded(spark):
+    from nutrilake.functions.ordered import collect_bounded
+    assert len(collect_bounded(spark.range(5), 5)) == 5
+    with pytest.raises(ValueError, match="more than 4"):
+        collect_bounded(spark.range(5), 4)
