@@ -46,6 +46,7 @@ def test_against_duckdb(spark, name):
 
 def test_query_names_are_descriptive():
     import re
-    for name in entry.queries():
+    from nutrilake.plans import catalog
+    for name in catalog.queries():
         assert "pipeline" not in name and not re.match(r"op\d+_", name)
         assert re.fullmatch(r"[a-z][a-z0-9_]*", name)
