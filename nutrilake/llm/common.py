@@ -69,3 +69,11 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     return (parts.withColumn(name, inside + F.element_at(offsets, F.col("_part") + 1))
             .drop("_part"))
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python process: what is costly to load
+    (a tokenizer) is loaded once per worker, not once per task."""
+    import sys
+    import types
+    return sys.modules.setdefault("_nutrilake_worker", types.ModuleType("_nutrilake_worker")).__dict__

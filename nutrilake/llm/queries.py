@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nutrilake.llm import line_dedup, mixing, quality
+from nutrilake.llm import line_dedup, mixing, packing, quality, toxicity
 from nutrilake.llm.oracles import ORACLES
 from nutrilake.sources.tables import read_table, table_path
 
@@ -18,6 +18,22 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.rule_ledger(read_table(spark, sf_dir, "documents"))
     judged = quality.apply_policy(ledger, "v2")
@@ -33,7 +49,8 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op6_quality_rules, op7_source_mix)}
+    f.__name__: f for f in (
+        op1_line_dedup, op2_best_fit_packing, op3_toxicity, op6_quality_rules, op7_source_mix)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
