@@ -85,4 +85,18 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
-ORACLES = {"op1_line_dedup": OP1, "op6_quality_rules": OP6, "op7_source_mix": OP7}
+OP4 = r"""
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, e.vec_id, list_dot_product(q.v, e.v)::BIGINT AS score
+  FROM e AS q JOIN e ON q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id AND len(q.v) = len(e.v)),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+         vec_id, score FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLES = {"op1_line_dedup": OP1, "op4_exact_top_k": OP4, "op6_quality_rules": OP6, "op7_source_mix": OP7}

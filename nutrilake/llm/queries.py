@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nutrilake.llm import line_dedup, mixing, packing, quality, toxicity
+from nutrilake.llm import line_dedup, mixing, packing, quality, topk, toxicity
 from nutrilake.llm.oracles import ORACLES
 from nutrilake.sources.tables import read_table, table_path
 
@@ -34,6 +34,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where(F.col("id") % 100 == 0), k=10)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.rule_ledger(read_table(spark, sf_dir, "documents"))
     judged = quality.apply_policy(ledger, "v2")
@@ -50,7 +55,7 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_line_dedup, op2_best_fit_packing, op3_toxicity, op6_quality_rules, op7_source_mix)}
+        op1_line_dedup, op2_best_fit_packing, op3_toxicity, op4_exact_top_k, op6_quality_rules, op7_source_mix)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
