@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nutrilake.llm import line_dedup, mixing, packing, quality, topk, toxicity
+from nutrilake.llm import html_text, line_dedup, mixing, packing, quality, topk, toxicity
 from nutrilake.llm.oracles import ORACLES
 from nutrilake.sources.tables import read_table, table_path
 
@@ -53,9 +53,14 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_line_dedup, op2_best_fit_packing, op3_toxicity, op4_exact_top_k, op6_quality_rules, op7_source_mix)}
+        op1_line_dedup, op2_best_fit_packing, op3_toxicity, op4_exact_top_k, op6_quality_rules, op7_source_mix,
+        op8_html_extraction)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
