@@ -99,4 +99,23 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLES = {"op1_line_dedup": OP1, "op4_exact_top_k": OP4, "op6_quality_rules": OP6, "op7_source_mix": OP7}
+OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (
+  SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s
+  FROM w),
+t AS (SELECT r, len(s) AS n, unnest(s) AS x FROM g),
+l AS (
+  SELECT a.r AS p, b.r AS q FROM t a JOIN t b ON a.x = b.x AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+c(r, q) AS (SELECT r, r FROM g UNION SELECT c.r, l.q FROM c JOIN l ON c.q = l.p)
+SELECT g.doc_id, len(g.s)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM g JOIN c ON c.r = g.r JOIN g o ON o.r = c.q GROUP BY g.r, g.doc_id, g.s
+"""
+
+ORACLES = {"op5_jaccard_join": OP5, "op1_line_dedup": OP1, "op4_exact_top_k": OP4, "op6_quality_rules": OP6, "op7_source_mix": OP7}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nutrilake.llm import html_text, line_dedup, mixing, packing, quality, repeats, topk, toxicity
+from nutrilake.llm import html_text, jaccard, line_dedup, mixing, packing, quality, repeats, topk, toxicity
 from nutrilake.llm.oracles import ORACLES
 from nutrilake.sources.tables import read_table, table_path
 
@@ -39,6 +39,11 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("id") % 100 == 0), k=10)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_documents(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.rule_ledger(read_table(spark, sf_dir, "documents"))
     judged = quality.apply_policy(ledger, "v2")
@@ -63,7 +68,8 @@ def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_line_dedup, op2_best_fit_packing, op3_toxicity, op4_exact_top_k, op6_quality_rules, op7_source_mix,
+        op1_line_dedup, op2_best_fit_packing, op3_toxicity, op4_exact_top_k,
+        op5_jaccard_join, op6_quality_rules, op7_source_mix,
         op8_html_extraction, op10_repeat_removal)}
 
 
