@@ -118,4 +118,51 @@ SELECT g.doc_id, len(g.s)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
 FROM g JOIN c ON c.r = g.r JOIN g o ON o.r = c.q GROUP BY g.r, g.doc_id, g.s
 """
 
-ORACLES = {"op5_jaccard_join": OP5, "op1_line_dedup": OP1, "op4_exact_top_k": OP4, "op6_quality_rules": OP6, "op7_source_mix": OP7}
+OP9 = r"""
+WITH RECURSIVE m AS (
+  SELECT row_number() OVER () AS r, conv_id, turn::BIGINT AS turn, role, coalesce(text, '') AS text
+  FROM conversations),
+x AS (
+  SELECT r, conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM m),
+l AS (
+  SELECT *, len(mark) - len(replace(mark, '>', '')) AS level,
+         translate(trim(regexp_replace(regexp_replace(line, '^[\x20\x09]*>[\x20\x09>]*', ''),
+                                       '[\x20\x09-\x0D]+', ' ', 'g')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS passage
+  FROM (SELECT *, regexp_extract(line, '^[\x20\x09]*>[\x20\x09>]*') AS mark FROM x)),
+q AS (
+  SELECT a.r, a.i, a.conv_id, a.turn, a.level, max(b.turn) AS src
+  FROM l a LEFT JOIN l b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.passage = b.passage
+       AND b.level = 0 AND b.turn < a.turn
+  WHERE a.level > 0 AND a.passage <> '' GROUP BY ALL),
+v AS (SELECT conv_id, turn, level, src, count(*) AS n FROM q WHERE src IS NOT NULL GROUP BY ALL),
+p AS (
+  SELECT conv_id, turn, arg_max(src, (-level, n, src)) AS parent, sum(n)::BIGINT AS n_linked
+  FROM v GROUP BY ALL),
+t(conv_id, turn, root, depth) AS (
+  SELECT conv_id, turn, parent, 1::BIGINT FROM p
+  UNION ALL
+  SELECT t.conv_id, t.turn, p.parent, t.depth + 1
+  FROM t JOIN p ON p.conv_id IS NOT DISTINCT FROM t.conv_id AND p.turn = t.root),
+th AS (SELECT conv_id, turn, min(root) AS thread, max(depth) AS depth FROM t GROUP BY ALL),
+s AS (
+  SELECT r, count(*) FILTER (WHERE level > 0 AND passage <> '')::BIGINT AS n_quoted,
+         bool_or(level > 0) AS any_quoted,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE level = 0 AND NOT (nxt > 0 AND
+           regexp_matches(line, '(?i)(wrote|writes|said|schrieb|a écrit|escribió)[\x20\x09]*:[\x20\x09\x0D]*$'))), '') AS body
+  FROM (SELECT *, coalesce(lead(level) OVER (PARTITION BY r ORDER BY i), 0) AS nxt FROM l) GROUP BY r),
+o AS (
+  SELECT m.conv_id, m.turn, m.role,
+         CASE WHEN any_quoted THEN trim(body, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)) ELSE m.text END AS text,
+         p.parent AS parent_turn, coalesce(th.thread, m.turn) AS thread_turn,
+         coalesce(th.depth, 0)::BIGINT AS depth, s.n_quoted, coalesce(p.n_linked, 0)::BIGINT AS n_linked
+  FROM m JOIN s USING (r)
+  LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM m.conv_id AND p.turn = m.turn
+  LEFT JOIN th ON th.conv_id IS NOT DISTINCT FROM m.conv_id AND th.turn = m.turn)
+SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY thread_turn NULLS LAST, turn, role, text) - 1)::BIGINT
+         AS position, '<|' || coalesce(role, '') || '|>' || chr(10) || text AS formatted
+FROM o
+"""
+
+ORACLES = {"op9_chat_formatting": OP9, "op5_jaccard_join": OP5, "op1_line_dedup": OP1, "op4_exact_top_k": OP4, "op6_quality_rules": OP6, "op7_source_mix": OP7}

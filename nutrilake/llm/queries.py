@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nutrilake.llm import html_text, jaccard, line_dedup, mixing, packing, quality, repeats, topk, toxicity
+from nutrilake.llm import chat, html_text, jaccard, line_dedup, mixing, packing, quality, repeats, topk, toxicity
 from nutrilake.llm.oracles import ORACLES
 from nutrilake.sources.tables import read_table, table_path
 
@@ -62,6 +62,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(read_table(spark, sf_dir, "pages"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
 def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), keep_text=False)
 
@@ -70,7 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_best_fit_packing, op3_toxicity, op4_exact_top_k,
         op5_jaccard_join, op6_quality_rules, op7_source_mix,
-        op8_html_extraction, op10_repeat_removal)}
+        op8_html_extraction, op9_chat_formatting, op10_repeat_removal)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
