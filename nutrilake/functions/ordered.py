@@ -16,8 +16,8 @@ scheme:
 1. pre-aggregate to one row per (group, value) where possible (map-side
    combine, so a hot value is a single row after the partial aggregation);
 2. cut each group's ordered domain into many buckets (approximate
-   percentiles for numbers, hex prefixes for uniform hashes, leading
-   characters for strings); bucket order agrees with value order;
+   percentiles for numbers, hex prefixes for uniform hashes, sampled
+   values for strings); bucket order agrees with value order;
 3. totals per (group, bucket) form a small table (groups x buckets rows,
    bounded by parameters) whose prefix sums are the offsets of each bucket;
 4. the exact position inside a bucket comes from a window partitioned by
@@ -39,7 +39,12 @@ from pyspark.sql import types as T
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-MAX_CLASSES = 10_000   # class / group tables that reach the driver
+# Class / group tables that reach the driver: one (value, count) pair each.
+# Beyond it the argument ``max_rows`` must be raised on purpose.
+MAX_CLASSES = 1_000_000
+# Up to this many classes a lookup is written into the plan; beyond it the
+# classes form a table that is joined, so plans do not grow with classes.
+MAX_LITERAL_CLASSES = 64
 
 
 def collect_bounded(df: DataFrame, max_rows: int = MAX_CLASSES, what: str = "rows") -> list:
@@ -75,7 +80,7 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
 # bucketing of an ordered domain
 # --------------------------------------------------------------------------
 DEFAULT_BUCKETS = 4096
-STRING_PREFIX = 3
+STRING_BUCKETS = 1024
 
 
 def _numeric_bucket_bounds(df: DataFrame, groups: list[str], value: str,
@@ -90,6 +95,16 @@ def _numeric_bucket_bounds(df: DataFrame, groups: list[str], value: str,
                  .alias("_bounds")))
 
 
+def _string_bucket_bounds(df: DataFrame, groups: list[str], value: str, n_buckets: int) -> DataFrame:
+    """Per group: the ``n_buckets`` values with the smallest hash, sorted -- a
+    uniform sample of the distinct values, so buckets are even whatever the
+    strings have in common.  The top-n is cut before the shuffle."""
+    w = Window.partitionBy(*groups).orderBy("_hash", value)
+    picked = (df.select(*groups, value, F.xxhash64(value).alias("_hash"))
+              .withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n_buckets))
+    return picked.groupBy(*groups).agg(F.array_sort(F.collect_set(value)).alias("_bounds"))
+
+
 def count_below(sorted_arr: Column, v: Column, max_len: int) -> Column:
     """Number of elements of an ascending array strictly below ``v``
     (lower bound) by binary search: ceil(log2(max_len+1)) steps of a fold,
@@ -112,16 +127,20 @@ def with_value_bucket(df: DataFrame, groups: list[str], value: str,
     """Add ``_bucket``: a per-group ordinal whose order agrees with ``value``.
 
     Numbers: equal-count buckets from approximate percentiles of the
-    (usually pre-aggregated) input.  Strings: the first
-    ``STRING_PREFIX`` characters (prefix order agrees with string order).
+    (usually pre-aggregated) input.  Strings: cut points from a uniform
+    sample of the distinct values.
     """
     dtype = df.schema[value].dataType
+    if not groups:
+        raise ValueError("with_value_bucket needs at least one group column")
     if isinstance(dtype, T.StringType):
-        return df.withColumn("_bucket", F.substring(F.col(value), 1, STRING_PREFIX))
+        n_buckets = min(n_buckets, STRING_BUCKETS)
+        # one row per group, each with at most STRING_BUCKETS values
+        joined = df.join(bounded_broadcast(_string_bucket_bounds(df, groups, value, n_buckets)), groups, "left")
+        arr = F.coalesce(F.col("_bounds"), F.array().cast("array<string>"))
+        return joined.withColumn("_bucket", count_below(arr, F.col(value), n_buckets)).drop("_bounds")
     if isinstance(dtype, (T.BooleanType,)):
         return df.withColumn("_bucket", F.col(value).cast("int"))
-    if not groups:
-        raise ValueError("with_value_bucket needs at least one group column")
     if n_buckets <= 1:
         return df.withColumn("_bucket", F.lit(0))
     bounds = _numeric_bucket_bounds(df, groups, value, n_buckets)
@@ -155,12 +174,7 @@ def running_totals(df: DataFrame, groups: list[str], value: str, weights: list[s
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.select(*df.columns, "_bucket",
                      *[F.sum(w).over(w_in).alias(f"_loc_{w}") for w in weights])
-    if isinstance(df.schema[value].dataType, T.StringType):
-        # string prefixes are not bounded by a parameter: count, then decide
-        small = checked_broadcast(offsets)
-    else:
-        small = bounded_broadcast(offsets)   # groups x n_buckets rows
-    out = local.join(small, groups + ["_bucket"], "left")
+    out = local.join(bounded_broadcast(offsets), groups + ["_bucket"], "left")  # groups x n_buckets rows
     return out.select(*df.columns,
                       *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"cum_{w}")
                         for w in weights])
@@ -263,18 +277,34 @@ def unpivot_numeric(df: DataFrame, columns: list[str], name: str = "column",
 # --------------------------------------------------------------------------
 # ranks in a seeded hash order
 # --------------------------------------------------------------------------
+NULL_KEY = "\u2400"     # stands for NULL in order keys
+
+
 def seeded_order_key(seed: int, *key_cols: str | Column) -> Column:
-    """md5 of ``'<seed>:<key>'`` (several key columns joined by '|').
+    """md5 of ``'<seed>:<key>'`` (several key columns joined by '|'; a NULL
+    key counts as the marker NULL_KEY).
 
     The same hex digest comes out of Spark and DuckDB, so an SQL oracle can
     reproduce every split and sample.  Uniform over [0, 16^32).
     """
-    parts = [F.col(c) if isinstance(c, str) else c for c in key_cols]
-    key = parts[0].cast("string") if len(parts) == 1 else \
-        F.concat_ws("|", *[p.cast("string") for p in parts])
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_KEY))
+             for c in key_cols]
+    key = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
     return F.md5(F.concat(F.lit(f"{seed}:"), key))
 
 
+def row_order_key(df: DataFrame, seed: int, *key_cols: str) -> Column:
+    """64 hex digits: ``seeded_order_key`` of the keys, then the md5 of all
+    columns (NULL cells as NULL_KEY, joined by '|').  Rows that share a key are
+    ordered by their other columns; only rows equal in every column tie."""
+    def text(field: T.StructField) -> Column:
+        c = F.col(f"`{field.name}`")
+        plain = not isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType))
+        return F.coalesce(c.cast("string") if plain else F.to_json(F.struct(c)), F.lit(NULL_KEY))
+    whole = F.md5(F.concat_ws("|", *[text(f) for f in df.schema]))
+    return F.concat(seeded_order_key(seed, *key_cols), whole)
+
+
 def hash_prefix_len(max_group_rows: int, rows_per_bucket: int = 1_000_000) -> int:
     """Hex digits of the order key used as bucket: enough buckets that one
     bucket holds about ``rows_per_bucket`` rows of the largest group."""
@@ -365,23 +395,32 @@ def side_value_counts(reference: DataFrame, current: DataFrame, numeric: list[st
         F.count_if(F.col("_s") == 0).alias("rn"), F.count_if(F.col("_s") == 1).alias("cn"))
 
 
+def _class_table(df: DataFrame, group: str | None, name: str, rows: list[tuple], columns: str) -> DataFrame:
+    """Driver rows (class, ...) as a table to join with ``_g``."""
+    kind = df.schema[group].dataType.simpleString() if group is not None else "int"
+    return df.sparkSession.createDataFrame(rows, f"{name} {kind}, {columns}")
+
+
 def hash_thresholds(df: DataFrame, order_key: str, group: str | None, tiebreak: list[str],
-                    quotas, prefix_len: int = 4, max_cut_rows: int = 1_000_000
-                    ) -> tuple[dict, dict]:
+                    quotas, prefix_len: int = 4, max_cut_rows: int = 1_000_000,
+                    key_len: int = 32) -> tuple[dict, dict, dict]:
     """Cut keys for "the first q rows of each group in (order_key,
-    tiebreak) order", with ``order_key`` a uniform hex hash.
+    tiebreak) order", with ``order_key`` a uniform hex hash of ``key_len`` digits.
 
     ``quotas`` is a dict group -> q, or a function of the group totals
     returning that dict (so one pass yields both the totals and the cuts).
-    Returns (thresholds, totals): thresholds[g] = the (order_key,
-    *tiebreak) tuple of the q-th row of g; ``group`` None means one group
-    with key None.
+    Returns (thresholds, totals, tied): thresholds[g] = the (order_key,
+    *tiebreak) tuple of the q-th row of g, tied[g] = how many of the rows with
+    exactly that key belong to the first q; ``group`` None means one group with
+    key None.
 
     Passes over ``df``: one aggregation (rows per hex-prefix bucket: at most
     groups x 16^p rows), then only rows of the cut buckets (one per group):
     a cut bucket above ``max_cut_rows`` rows is re-cut with a longer prefix,
-    and the final row_number runs over <= max_cut_rows rows per group.
-    The split / sample itself is then the predicate ``within_threshold``.
+    and the final row_number runs over <= max_cut_rows rows per group.  Groups
+    meet their cut in joins with a table of one row per group, so the plan has
+    the same size for any number of groups.
+    The split / sample itself is then ``within_threshold``.
     """
     gcol = F.col(group) if group is not None else F.lit(0)
     b = df.withColumn("_g", gcol)
@@ -390,71 +429,79 @@ def hash_thresholds(df: DataFrame, order_key: str, group: str | None, tiebreak:
     totals = {r["_g"]: r["_n"] for r in collect_bounded(
         counts.groupBy("_g").agg(F.sum("_cnt").alias("_n")), what="groups")}
     if group is not None and None in totals:
+        counts.unpersist()
         raise ValueError("NULL group values cannot be stratified")
-    wanted = quotas(totals if group is not None else {None: totals.get(0, 0)}) \
-        if callable(quotas) else dict(quotas)
-    wanted = {(g if group is not None else 0): q for g, q in wanted.items() if q > 0}
     public_totals = totals if group is not None else {None: totals.get(0, 0)}
+    wanted = quotas(public_totals) if callable(quotas) else dict(quotas)
+    wanted = {(g if group is not None else 0): q for g, q in wanted.items() if q > 0}
     if not wanted:
         counts.unpersist()
-        return {}, public_totals
-    # current cut per group: (prefix, rank inside the bucket, bucket size)
-    state = {}
+        return {}, public_totals, {}
+    state = {}          # current cut per group: (prefix, rank inside the bucket)
     level, plen = counts, prefix_len
     pending = dict(wanted)
     while pending:
-        qmap = F.create_map(*[x for g, q in pending.items() for x in (F.lit(g), F.lit(q))])
+        asked = _class_table(df, group, "_gq", list(pending.items()), "_q long")
         w = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        cuts = (level.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-                .withColumn("_q", qmap[F.col("_g")])
-                .where((F.col("_off") < F.col("_q")) & (F.col("_q") <= F.col("_off") + F.col("_cnt")))
-                .select("_g", "_bucket", (F.col("_q") - F.col("_off")).alias("_r"), "_cnt").collect())
+        cuts = collect_bounded(
+            level.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+            .join(bounded_broadcast(asked), F.col("_g") == F.col("_gq"))
+            .where((F.col("_off") < F.col("_q")) & (F.col("_q") <= F.col("_off") + F.col("_cnt")))
+            .select("_g", "_bucket", (F.col("_q") - F.col("_off")).alias("_r"), "_cnt"), what="groups")
         if level is not counts:
             level.unpersist()
         big = {}
         for c in cuts:
             state[c["_g"]] = (c["_bucket"], c["_r"])
-            if c["_cnt"] > max_cut_rows and plen < 32:
+            if c["_cnt"] > max_cut_rows and plen < key_len:
                 big[c["_g"]] = c["_r"]
         if not big:
             break
         # re-cut the large buckets with a longer prefix (rows of those buckets only)
-        plen = min(32, plen + 2)
-        cond = None
-        for g in big:
-            pre = state[g][0]
-            one = (F.col("_g") == F.lit(g)) & F.startswith(F.col(order_key), F.lit(pre))
-            cond = one if cond is None else cond | one
-        level = (b.where(cond).groupBy("_g", F.substring(F.col(order_key), 1, plen).alias("_bucket"))
+        again = _class_table(df, group, "_gb", [(g, state[g][0]) for g in big], "_pre string")
+        plen = min(key_len, plen + 2)
+        level = (b.join(bounded_broadcast(again), (F.col("_g") == F.col("_gb"))
+                        & F.startswith(F.col(order_key), F.col("_pre")))
+                 .groupBy("_g", F.substring(F.col(order_key), 1, plen).alias("_bucket"))
                  .agg(F.count(F.lit(1)).alias("_cnt"))).cache()
         pending = big
     counts.unpersist()
-    cond = None
-    for g, (pre, _r) in state.items():     # one cut bucket per group
-        one = (F.col("_g") == F.lit(g)) & F.startswith(F.col(order_key), F.lit(pre))
-        cond = one if cond is None else cond | one
-    rmap = F.create_map(*[x for g, (_p, r) in state.items() for x in (F.lit(g), F.lit(r))])
+    ends = _class_table(df, group, "_gc", [(g, pre, r) for g, (pre, r) in state.items()],
+                        "_pre string, _r long")
     wr = Window.partitionBy("_g").orderBy(order_key, *tiebreak)
-    hit = (b.where(cond).withColumn("_rn", F.row_number().over(wr))
-           .where(F.col("_rn") == rmap[F.col("_g")])
-           .select("_g", order_key, *tiebreak).collect())
-    cut_keys = {(r["_g"] if group is not None else None): tuple(r[c] for c in [order_key] + list(tiebreak))
-                for r in hit}
-    return cut_keys, public_totals
-
-
-def within_threshold(order_key: str, tiebreak: list[str], group: str | None,
-                     thresholds: dict) -> Column:
-    """Predicate: the row's (order_key, tiebreak) is <= its group's
-    threshold (False for groups without one)."""
-    row = F.struct(*[F.col(c) for c in [order_key] + list(tiebreak)])
+    hit = collect_bounded(
+        b.join(bounded_broadcast(ends), (F.col("_g") == F.col("_gc"))
+               & F.startswith(F.col(order_key), F.col("_pre")))
+        .withColumn("_rn", F.row_number().over(wr)).withColumn("_rk", F.rank().over(wr))
+        .where(F.col("_rn") == F.col("_r"))
+        .select("_g", order_key, *tiebreak, (F.col("_rn") - F.col("_rk") + 1).alias("_tied")), what="groups")
+    name = (lambda g: g) if group is not None else (lambda g: None)
+    cut_keys = {name(r["_g"]): tuple(r[c] for c in [order_key] + list(tiebreak)) for r in hit}
+    return cut_keys, public_totals, {name(r["_g"]): r["_tied"] for r in hit}
+
+
+def within_threshold(df: DataFrame, order_key: str, tiebreak: list[str], group: str | None,
+                     thresholds: dict, name: str) -> DataFrame:
+    """Add the boolean ``name``: the row's (order_key, tiebreak) is <= its
+    group's threshold (False for groups without one)."""
+    cols = [order_key] + list(tiebreak)
+    row = F.struct(*[F.col(c) for c in cols])
+
     def lit_struct(t):
-        return F.struct(*[F.lit(v).alias(c) for v, c in zip(t, [order_key] + list(tiebreak))])
+        return F.struct(*[F.lit(v).alias(c) for v, c in zip(t, cols)])
+
     if group is None:
         t = thresholds.get(None)
-        return (row <= lit_struct(t)) if t is not None else F.lit(False)
-    expr = None
-    for g, t in thresholds.items():
-        cond = (F.col(group) == F.lit(g)) & (row <= lit_struct(t))
-        expr = cond if expr is None else expr | cond
-    return F.coalesce(expr, F.lit(False)) if expr is not None else F.lit(False)
+        return df.withColumn(name, (row <= lit_struct(t)) if t is not None else F.lit(False))
+    if len(thresholds) <= MAX_LITERAL_CLASSES:
+        inside = F.lit(False)
+        for g, t in thresholds.items():
+            inside = inside | ((F.col(group) == F.lit(g)) & (row <= lit_struct(t)))
+        return df.withColumn(name, F.coalesce(inside, F.lit(False)))
+    kinds = ", ".join(f"_t{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(cols))
+    table = _class_table(df, group, "_gt", [(g, *t) for g, t in thresholds.items()], kinds)
+    ends = F.struct(*[F.col(f"_t{i}").alias(c) for i, c in enumerate(cols)])
+    # one row per class, counted on the driver
+    joined = df.join(bounded_broadcast(table), F.col(group) == F.col("_gt"), "left")
+    return (joined.withColumn(name, F.coalesce(row <= ends, F.lit(False)))
+            .drop("_gt", *[f"_t{i}" for i in range(len(cols))]))

@@ -250,4 +250,4 @@ def path_exists(path: str) -> bool:
 def require_path(path: str, message: str) -> None:
     """Fail early with a clear message when an artifact is missing."""
     if not path_exists(path):
-        raise FileNotFoundError(f"{message} (expected {path})")
+        raise FileNotFoundError(f"{message}: {path} is missing")

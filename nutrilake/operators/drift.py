@@ -51,7 +51,8 @@ def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] |
     """One row per shared column, sorted by PSI descending.
 
     Numeric columns are compared as numbers, the others as strings
-    (categorical PSI; KS over lexicographic order).
+    (categorical PSI; KS over lexicographic order).  A column that is NULL on
+    both sides has PSI 0, KS 0 and p-value 1.
     """
     cols = shared_columns(reference, current) if columns is None else list(columns)
     if not cols:
@@ -112,10 +113,16 @@ def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] |
           .groupBy("feature", "n_r", "n_c")
           .agg(F.max(F.abs(_share(F.col("cum_rn"), F.col("n_r")) - _share(F.col("cum_cn"), F.col("n_c"))))
                .alias("ks_statistic")))
-    res = psi.join(ks, "feature")
-    return (res.select("feature", "psi", "ks_statistic",
-                       ks_pvalue(F.col("ks_statistic"), F.col("n_r"), F.col("n_c")).alias("ks_pvalue"),
-                       severity(F.col("psi"), moderate, major).alias("drift_severity"))
+    res = psi.join(ks, "feature").select(
+        "feature", "psi", "ks_statistic",
+        ks_pvalue(F.col("ks_statistic"), F.col("n_r"), F.col("n_c")).alias("ks_pvalue"))
+    # one row per shared column: a column without any value on either side did not move
+    every = reference.sparkSession.createDataFrame([(x,) for x in cols], "feature string")
+    return (every.join(res, "feature", "left")
+            .select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"),
+                    F.coalesce("ks_statistic", F.lit(0.0)).alias("ks_statistic"),
+                    F.coalesce("ks_pvalue", F.lit(1.0)).alias("ks_pvalue"))
+            .withColumn("drift_severity", severity(F.col("psi"), moderate, major))
             .orderBy(F.desc("psi"), "feature"))
 
 

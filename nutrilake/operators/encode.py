@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from nutrilake import schema as S
 from nutrilake.functions.ordered import collect_bounded
 
-MAX_CATEGORIES = 10_000  # one-hot width guard: each category becomes a column
+MAX_CATEGORIES = 10_000  # default width limit: each category becomes a column
 
 
 @dataclass
@@ -93,9 +93,14 @@ class EncoderModel:
 
 class Encoder:
     """Fit standard scaling (population std, zero variance -> 1) and
-    one-hot categories (sorted, unseen -> all zeros) on training rows."""
+    one-hot categories (sorted, unseen -> all zeros) on training rows.
 
-    def __init__(self, numeric: list[str] | None = None, categorical: list[str] | None = None):
+    Every category becomes a column, so ``max_categories`` limits the exact
+    number of categories per column; raise it for wider tables."""
+
+    def __init__(self, numeric: list[str] | None = None, categorical: list[str] | None = None,
+                 max_categories: int = MAX_CATEGORIES):
+        self.max_categories = max_categories
         self.numeric = list(S.NUMERIC_FEATURES if numeric is None else numeric)
         self.categorical = list(S.CATEGORICAL_FEATURES if categorical is None else categorical)
 
@@ -103,37 +108,30 @@ class Encoder:
         raise RuntimeError("Encoder must be fitted before calling transform()")
 
     def fit(self, df: DataFrame) -> EncoderModel:
-        """Two jobs: one aggregation for the means, population stds and an
-        approximate category count per column (the width guard), then the
-        distinct categories themselves."""
+        """One aggregation for the means and population stds; the distinct
+        categories are counted exactly before they are fetched."""
         model = EncoderModel(self.numeric, self.categorical)
         aggs = []
         for c in self.numeric:
             aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
                      F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
-        for c in self.categorical:
-            aggs.append(F.approx_count_distinct(c).alias(f"k_{c}"))
-        if not aggs:
-            return model
-        row = df.agg(*aggs).first()
+        row = df.agg(*aggs).first() if aggs else None
         for c in self.numeric:
             model.means[c] = row[f"m_{c}"]
             model.stds[c] = row[f"s_{c}"]
-        too_wide = [(c, row[f"k_{c}"]) for c in self.categorical
-                    if row[f"k_{c}"] > MAX_CATEGORIES * 1.05]
-        if too_wide:
-            raise ValueError(f"one-hot width above {MAX_CATEGORIES}: {too_wide}")
         if self.categorical:
             cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
                                                  F.col(c).cast("string").alias("value"))
                                         for c in self.categorical]))
             long_df = df.select(cells.alias("_c")).select("_c.*") \
                 .where(F.col("value").isNotNull()).dropDuplicates()
+            widths = long_df.groupBy("column").count().where(F.col("count") > self.max_categories)
+            too_wide = [(r["column"], r["count"]) for r in widths.collect()]    # one row per column
+            if too_wide:
+                raise ValueError(f"more than {self.max_categories} categories: {too_wide}")
             found: dict[str, list[str]] = {c: [] for c in self.categorical}
-            for r in long_df.collect():  # distinct categories only (guarded above)
+            for r in long_df.collect():  # at most columns x max_categories rows
                 found[r["column"]].append(r["value"])
-            if any(len(v) > MAX_CATEGORIES for v in found.values()):
-                raise ValueError(f"one-hot width above {MAX_CATEGORIES}")
             model.categories = {c: sorted(v) for c, v in found.items()}
         return model
 

@@ -85,11 +85,11 @@ class ScoringArtifacts:
     def load(cls, spark: SparkSession, processed_dir: str, model_dir: str) -> "ScoringArtifacts":
         """Every artifact checked before any job runs."""
         require_path(os.path.join(model_dir, "meta"),
-                     "No best model found -- run compare_models() + select_best_model() first.")
+                     "no published model; compare models and publish the best first")
         require_path(os.path.join(processed_dir, "encoder_state"),
-                     "No fitted transformer found -- run preprocess first.")
+                     "no encoder state; run the preparation job first")
         require_path(os.path.join(processed_dir, "cleaner_state"),
-                     "No fitted cleaner found -- run preprocess first.")
+                     "no cleaner state; run the preparation job first")
         return cls(CleanerModel.load(spark, os.path.join(processed_dir, "cleaner_state")),
                    EncoderModel.load(spark, os.path.join(processed_dir, "encoder_state")),
                    load_model(model_dir),

@@ -79,10 +79,11 @@ def stratified_split(df: DataFrame, target: str = S.TARGET_COLUMN, test_size: fl
     """
     keys = [key] if isinstance(key, str) else list(key)
     ordered = df.withColumn("_order", seeded_order_key(seed, *keys))
-    cuts, _totals = hash_thresholds(ordered, "_order", target, keys,
-                                    lambda counts: test_quotas(counts, test_size))
-    is_test = within_threshold("_order", keys, target, cuts)
-    return ordered.withColumn(split_col, F.when(is_test, "test").otherwise("train")).drop("_order")
+    cuts, _totals, _tied = hash_thresholds(ordered, "_order", target, keys,
+                                           lambda counts: test_quotas(counts, test_size))
+    marked = within_threshold(ordered, "_order", keys, target, cuts, "_test")
+    return (marked.withColumn(split_col, F.when(F.col("_test"), "test").otherwise("train"))
+            .drop("_order", "_test"))
 
 
 def train_test(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
@@ -94,8 +95,11 @@ def train_test(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
 def stratified_folds(df: DataFrame, k: int = 5, target: str = S.TARGET_COLUMN, seed: int = 42,
                      key: str | list[str] = S.ID_COLUMN, fold_col: str = "fold") -> DataFrame:
     """L2: ``fold`` in 0..k-1; each row is validation exactly once and each
-    class is dealt round-robin over the folds in hash order."""
+    class is dealt round-robin over the folds in hash order.  Rows with a NULL
+    key are dealt like any other; a NULL target is an error, as in the split."""
     counts = class_counts(df, target)
+    if None in counts:
+        raise ValueError("NULL group values cannot be stratified")
     largest, smallest = max(counts.values()), min(counts.values())
     if k < 2:
         raise ValueError("k must be at least 2")

@@ -147,7 +147,7 @@ def publish_best(results: dict[str, TrainingResult], out_dir: str, metric: str =
 def best_model_info(spark: SparkSession, out_dir: str) -> dict:
     """Metadata of the published winner; clear error when absent."""
     path = os.path.join(out_dir, "best", "metadata")
-    require_path(path, "No best model found -- run compare_models() + select_best_model() first.")
+    require_path(path, "no published model; compare models and publish the best first")
     return json.loads(spark.read.text(path).first()[0])
 
 

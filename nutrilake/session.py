@@ -28,7 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "nutrilake") -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", os.environ.get("NUTRILAKE_DRIVER_MEMORY", "8g")))
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -41,8 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder
-    and is used as is.  Only when it is unset -- local tests -- a fresh
-    scratch folder is created and registered.
+    and is used as is.  Only when it is unset and the master is local, as in
+    tests, a fresh scratch folder is created and registered; on any other
+    master executors could not see it, so its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -52,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: on {master} it must name a shared folder")
     path = tempfile.mkdtemp(prefix="nutrilake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
-from nutrilake.functions.ordered import hash_thresholds, seeded_order_key, within_threshold
+from nutrilake.functions.ordered import hash_thresholds, row_order_key
 
 # ---- fixed values: strings pandas reads as missing by default ---------------
 NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -29,15 +29,42 @@ def _na_to_null(col: Column) -> Column:
     return F.when(col.isin(*NA_STRINGS), F.lit(None).cast("string")).otherwise(col)
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV as strings, NA spellings -> NULL.  Errors name the path."""
+def na_to_null(df: DataFrame) -> DataFrame:
+    """NA spellings -> NULL in every string column."""
+    return df.select(*[(_na_to_null(F.col(f"`{f.name}`")).alias(f.name)
+                        if f.dataType.simpleString() == "string" else F.col(f"`{f.name}`"))
+                       for f in df.schema])
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Header CSV as strings, NA spellings -> NULL.  Errors name the path.
+
+    Quotes inside a quoted field are doubled, and quoted fields may hold
+    commas and line ends.  Rows with too few fields are filled with NULL,
+    fields beyond the header are dropped.  ``multi_line=False`` lets Spark
+    split large files; use it where no field holds a line end.
+    """
     try:
         df = (spark.read.option("header", True).option("inferSchema", False)
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
               .option("mode", "PERMISSIVE").csv(path))
         _ = df.schema  # forces the listing: a missing path raises here
     except Exception as exc:  # noqa: BLE001 - re-raised as one load error
-        raise DataLoadError(f"Failed to load data from {path}: {exc}") from exc
-    return df.select(*[_na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        raise DataLoadError(f"cannot read {path}: {exc}") from exc
+    return na_to_null(df)
+
+
+def file_format(spark: SparkSession, path: str) -> str:
+    """"parquet" if the path or a file in it ends so, else "csv" (asked of the
+    cluster's file system)."""
+    if path.rstrip("/").endswith(".parquet"):
+        return "parquet"
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return "csv"
+    names = [s.getPath().getName() for s in fs.listStatus(hpath)]
+    return "parquet" if any(n.endswith(".parquet") for n in names) else "csv"
 
 
 def check_columns(df: DataFrame, expected: list[str] | None = None) -> DataFrame:
@@ -46,7 +73,7 @@ def check_columns(df: DataFrame, expected: list[str] | None = None) -> DataFrame
     missing = sorted(set(expected) - set(df.columns))
     if missing:
         raise DataLoadError(
-            f"Missing expected columns: {missing}\nExpected: {expected}\nFound: {df.columns}")
+            f"the table lacks {missing}; it needs {expected} and has {df.columns}")
     return df
 
 
@@ -101,18 +128,21 @@ def with_source_position(df: DataFrame, name: str = SOURCE_POSITION) -> DataFram
 
 def load_table(spark: SparkSession, path: str, sample_size: int | None = None,
                seed: int = 42, key: str = S.ID_COLUMN,
-               expected: list[str] | None = None, keep_position: bool = False) -> DataFrame:
+               expected: list[str] | None = None, keep_position: bool = False,
+               fmt: str | None = None) -> DataFrame:
     """Read, optional exact-n sample, column check, numeric coercion.
 
-    ``path`` may be a CSV file/folder or a parquet folder (``*.parquet``).
+    ``fmt`` is "csv" or "parquet"; when None, it is told by the file names.
+    Both go the same way after the read (NA spellings -> NULL included).
     ``keep_position`` adds ``_source_pos`` (file order, see
     ``with_source_position``) for a later "first row per key".
     """
-    if path.endswith(".parquet"):
+    if (fmt or file_format(spark, path)) == "parquet":
         try:
             df = spark.read.parquet(path)
         except Exception as exc:  # noqa: BLE001
-            raise DataLoadError(f"Failed to load data from {path}: {exc}") from exc
+            raise DataLoadError(f"cannot read {path}: {exc}") from exc
+        df = na_to_null(df)
     else:
         df = read_raw_csv(spark, path)
     if keep_position:
@@ -127,18 +157,26 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str | list[str] = S.ID_
              order_col: str | None = None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement, seeded.
 
-    Rows are ordered by ``md5('<seed>:<key>')`` and the first ``n`` kept.
+    Rows are ordered by ``md5('<seed>:<key>')`` and, where keys repeat or are
+    NULL, by the md5 of all their columns; the first ``n`` are kept.  Rows
+    equal in every column are interchangeable: as many copies are taken as fit.
     The n-th key is located by ``hash_thresholds`` (bucket counts + one cut
     bucket), so the sample is a filter -- no sort of the table, no
     driver-side top-k, and ``n`` can be as large as the table.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    ordered = df.withColumn("_order", seeded_order_key(seed, *keys))
-    cut, totals = hash_thresholds(ordered, "_order", None, keys,
-                                  lambda t: {None: min(n, t[None])})
+    ordered = df.withColumn("_order", row_order_key(df, seed, *keys))
+    cut, totals, tied = hash_thresholds(ordered, "_order", None, [],
+                                        lambda t: {None: min(n, t[None])}, key_len=64)
     if n >= totals[None]:
-        return df
-    out = ordered.where(within_threshold("_order", keys, None, cut))
+        out = ordered
+    elif n <= 0:
+        out = ordered.where(F.lit(False))
+    else:
+        last = F.lit(cut[None][0])
+        copies = (ordered.where(F.col("_order") == last).limit(1)
+                  .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), int(tied[None])))).drop("_copy"))
+        out = ordered.where(F.col("_order") < last).unionByName(copies)
     return out.drop("_order") if order_col is None else out.withColumnRenamed("_order", order_col)
 
 

@@ -1,4 +1,4 @@
-"""End-to-end through the job API on the 17-row mock table (doubled so
+"""End-to-end through the job API on the 17-row table of the tests (doubled so
 every class can be split and folded)."""
 import os
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nutrilake.plans.api import DietJobs, JobSettings
 from nutrilake.sources import sinks
-from tests.conftest import MOCK_CSV
+from tests.conftest import DIET_CSV
 from tests.test_score import REQ, _reqs
 
 FAST = {"ovr_gbt": {"n_estimators": 2, "max_depth": 2}, "softmax_boost": {"iterations": 2, "depth": 2}}
@@ -16,8 +16,8 @@ FAST = {"ovr_gbt": {"n_estimators": 2, "max_depth": 2}, "softmax_boost": {"itera
 @pytest.fixture(scope="module")
 def jobs(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("api")
-    lines = MOCK_CSV.strip().split("\n")
-    extra = [l.replace("P00", "Q00", 1) for l in lines[1:]]
+    lines = DIET_CSV.strip().split("\n")
+    extra = [l.replace("D-", "E-", 1) for l in lines[1:]]
     (d / "raw.csv").write_text("\n".join(lines + extra) + "\n")
     s = JobSettings(str(d / "raw.csv"), str(d / "out"), test_size=0.25, hyperparameters=FAST)
     return DietJobs(spark, s)
@@ -28,7 +28,7 @@ def test_statistics_and_summary(jobs):
     assert r["total_assessments"] == 32
     assert jobs.summary().first()["total_records"] == 34
     prof = {r["Column"]: r for r in jobs.dataset_summary().collect()}
-    assert prof["Gender"]["Examples"] == ["Male", "Female", "Other"] and prof["Weight_kg"]["Missing"] == 2
+    assert prof["Gender"]["Examples"] == ["Female", "Male", "Other"] and prof["Weight_kg"]["Missing"] == 2
 
 
 def test_full_flow(spark, jobs):
@@ -60,7 +60,7 @@ def test_full_flow(spark, jobs):
 def test_csv_sink_round_trip_with_schema(spark, tmp_path, mock_dedup):
     from pyspark.sql import types as T
     frame = mock_dedup.select("Person_ID", "Health_Status", F.col("Age").cast("double").alias("numeric__Age")) \
-        .withColumn("split", F.when(F.col("Person_ID") < "P0008", "train").otherwise("test"))
+        .withColumn("split", F.when(F.col("Person_ID") < "D-08", "train").otherwise("test"))
     sinks.write_splits(frame, str(tmp_path), "Person_ID", "Health_Status", fmt="csv")
     schema = T.StructType([T.StructField("Person_ID", T.StringType()), T.StructField("numeric__Age", T.DoubleType())])
     back = sinks.read_split(spark, str(tmp_path), "X_train", fmt="csv", schema=schema)

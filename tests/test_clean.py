@@ -76,7 +76,7 @@ def test_unique_column_mode_is_min(spark, mock_dedup):
     a = Cleaner(S.RAW_NUMERIC_COLUMNS).fit(mock_dedup)
     b = Cleaner(S.RAW_NUMERIC_COLUMNS, unique_columns=["Person_ID"]).fit(mock_dedup)
     assert a.string_impute == b.string_impute and a.numeric_impute == b.numeric_impute
-    assert b.string_impute["Person_ID"] == "P0001"
+    assert b.string_impute["Person_ID"] == "D-01"
 
 
 def test_first_in_file_order(spark, tmp_path):

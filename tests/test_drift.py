@@ -3,6 +3,7 @@ numpy brute force of the same definitions (reference semantics)."""
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from nutrilake.operators.drift import analyze_drift, drift_report
 
@@ -97,3 +98,22 @@ def test_empty_current_side(spark):
     cur = ref.limit(0)
     r = drift_report(ref, cur).first()
     assert r["feature"] == "x" and r["ks_pvalue"] == 1.0
+
+
+def test_every_shared_column_is_reported(spark):
+    ref = spark.createDataFrame([(1.0, None, None), (2.0, None, None)], "x double, empty double, gone string")
+    rep = {r["feature"]: r for r in drift_report(ref, ref).collect()}
+    assert set(rep) == {"x", "empty", "gone"}
+    assert (rep["empty"]["psi"], rep["gone"]["ks_pvalue"], rep["gone"]["drift_severity"]) == (0.0, 1.0, "none")
+    assert analyze_drift(ref, ref).summary.first()["n_features_checked"] == 3
+
+
+def test_ks_of_strings_with_a_common_start(spark):
+    from nutrilake.functions.ordered import with_value_bucket
+    urls = spark.range(20_000).select(F.lit("g").alias("g"), F.concat(F.lit("https://example.org/page/"), F.col("id")).alias("u"))
+    assert with_value_bucket(urls, ["g"], "u").select("_bucket").distinct().count() > 500
+    ref, cur = urls.select("u"), urls.where("substring(u, 26, 1) < '5'").select("u")
+    a = sorted(r[0] for r in ref.collect())
+    b = sorted(r[0] for r in cur.collect())
+    expected = max(abs((i + 1) / len(a) - np.searchsorted(np.array(b), x, side="right") / len(b)) for i, x in enumerate(a))
+    assert drift_report(ref, cur).first()["ks_statistic"] == pytest.approx(expected, abs=1e-12)

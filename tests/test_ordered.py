@@ -81,9 +81,9 @@ def test_hash_thresholds_refinement(spark):
     df = spark.createDataFrame([(f"k{i}", "a" if i % 3 else "b") for i in range(5000)], "key string, g string") \
         .withColumn("o", seeded_order_key(1, "key"))
     quotas = {"a": 1234, "b": 77}
-    cuts, totals = hash_thresholds(df, "o", "g", ["key"], quotas, prefix_len=1, max_cut_rows=20)
+    cuts, totals, _ = hash_thresholds(df, "o", "g", ["key"], quotas, prefix_len=1, max_cut_rows=20)
     assert totals == {"a": 3333, "b": 1667}
-    sel = df.where(within_threshold("o", ["key"], "g", cuts))
+    sel = within_threshold(df, "o", ["key"], "g", cuts, "_in").where("_in")
     ref = df.withColumn("_r", F.row_number().over(Window.partitionBy("g").orderBy("o", "key")))
     q = F.create_map(F.lit("a"), F.lit(1234), F.lit("b"), F.lit(77))
     exp = ref.where(F.col("_r") <= q[F.col("g")])

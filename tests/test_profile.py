@@ -53,9 +53,9 @@ def test_examples_in_order_of_appearance(spark, mock_csv):
     df = load_table(spark, mock_csv, keep_position=True)
     rows = {r["Column"]: r for r in dataset_profile(df, order_col=SOURCE_POSITION).collect()}
     assert SOURCE_POSITION not in rows
-    assert rows["Gender"]["Examples"] == ["Male", "Female", "Other"]
-    assert rows["Person_ID"]["Examples"] == ["P0001", "P0002", "P0003", "P0004", "P0005"]
-    # first five distinct ages in file order are 45, 30, 60, 22, 50 -> shown sorted
-    assert rows["Age"]["Examples"] == ["22.0", "30.0", "45.0", "50.0", "60.0"]
-    assert rows["Activity_Level"]["Examples"] == ["Moderately Active", "Lightly Active", "Sedentary",
-                                                  "Very Active", "Athlete"]
+    assert rows["Gender"]["Examples"] == ["Female", "Male", "Other"]
+    assert rows["Person_ID"]["Examples"] == ["D-01", "D-02", "D-03", "D-04", "D-05"]
+    # first five distinct ages in file order are 52, 17, 30, 59, 18 -> shown sorted
+    assert rows["Age"]["Examples"] == ["17.0", "18.0", "30.0", "52.0", "59.0"]
+    assert rows["Activity_Level"]["Examples"] == ["Sedentary", "Athlete", "Lightly Active",
+                                                  "Very Active", "Moderately Active"]

@@ -54,9 +54,9 @@ def test_publish_and_score_batch_and_stream(spark, published):
 
 
 def test_missing_artifact(spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match="No best model found"):
+    with pytest.raises(FileNotFoundError, match="no published model"):
         score.ScoringArtifacts.load(spark, str(tmp_path), str(tmp_path / "best"))
-    with pytest.raises(FileNotFoundError, match="No best model found"):
+    with pytest.raises(FileNotFoundError, match="no published model"):
         training.best_model_info(spark, str(tmp_path))
 
 

@@ -84,3 +84,23 @@ def test_split_equals_row_number_cut(spark):
     q = F.create_map(*[x for c, v in quotas.items() for x in (F.lit(c), F.lit(v))])
     exp = ranked.withColumn("exp", F.when(F.col("_r") <= q[F.col("Health_Status")], "test").otherwise("train"))
     assert got.join(exp, ["Person_ID", "Health_Status"]).where(F.col("split") != F.col("exp")).count() == 0
+
+
+def test_folds_and_split_with_null_keys(spark):
+    rows = [(None if i % 3 == 0 else f"k{i % 7}", f"c{i % 2}", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "Person_ID string, Health_Status string, v int").repartition(3)
+    folds = split.stratified_folds(df, 5).groupBy("Health_Status", "fold").count().collect()
+    assert sorted((r[0], r[1], r[2]) for r in folds) == [(c, f, 6) for c in ("c0", "c1") for f in range(5)]
+    bad = df.withColumn("Health_Status", F.when(F.col("v") > 3, F.col("Health_Status")))
+    for run in (lambda: split.stratified_folds(bad, 3), lambda: split.stratified_split(bad)):
+        with pytest.raises(ValueError, match="NULL"):
+            run()
+
+
+def test_very_many_classes(spark):
+    n = 20_000
+    df = spark.range(5 * n).select(F.concat(F.lit("k"), F.col("id")).alias("Person_ID"),
+                                   (F.col("id") % n).cast("string").alias("Health_Status"))
+    out = split.stratified_split(df, test_size=0.4)
+    counts = out.where("split = 'test'").groupBy("Health_Status").count()
+    assert [tuple(r) for r in counts.groupBy("count").count().collect()] == [(2, n)]
