@@ -149,13 +149,14 @@ def _parse(batches):
 
 
 def _strings(batches):
-    """The hash of every 400-byte string of the given phrases of a document."""
+    """The hash of every 400-byte string of the given phrases of a document;
+    ``at`` is -1 for a phrase that needs no answer."""
     import pyarrow as pa
 
     for batch in batches:
         for i in range(batch.num_rows):
-            data = np.frombuffer(batch.column(2)[i].as_py().encode("utf-8", "surrogatepass"), np.uint8)
-            found = batch.column(3)[i].values
+            data = np.frombuffer(batch.column(1)[i].as_py().encode("utf-8", "surrogatepass"), np.uint8)
+            found = batch.column(2)[i].values
             first, span, key, own = (found.field(n).to_numpy(zero_copy_only=False)
                                      for n in ("first", "span", "k", "own"))
             for lo in range(0, len(first), 4096):
@@ -165,12 +166,11 @@ def _strings(batches):
                 base = int(f.min())
                 roll = Rolling(data[base:int(p.max()) + LENGTH], BASE_2)
                 value = _mix(roll.of(p - base, p - base + LENGTH))
-                many = pa.array(np.full(len(p), i))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(many), batch.column(1).take(many), pa.array(p),
-                     pa.array(key[lo:lo + 4096][phrase]), pa.array(value.view(np.int64)),
-                     pa.array(own[lo:lo + 4096][phrase])],
-                    names=["doc_id", "th", "p", "k", "h", "own"])
+                    [batch.column(0).take(pa.array(np.full(len(p), i))),
+                     pa.array(np.where(own[lo:lo + 4096][phrase], p, -1)),
+                     pa.array(key[lo:lo + 4096][phrase]), pa.array(value.view(np.int64))],
+                    names=["probe", "at", "k", "h"])
 
 
 def _removed(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -189,31 +189,35 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     parse = written(texts.where(F.octet_length("text") >= LENGTH).mapInArrow(
         _parse, f"doc_id {kind}, th long, first long, span int, k long, s long"), "parse")
-    entry = F.struct("doc_id", "th", "first", "span")
-    dictionary = parse.groupBy("k", "s").agg(F.count("*").alias("n"), F.min(entry).alias("e"))
-    dictionary = written(dictionary, "dictionary")
+    dictionary = written(parse.groupBy("k", "s").agg(F.count("*").alias("n")), "dictionary")
     keys = (dictionary.groupBy("k").agg(F.count("*").alias("n_s"), F.sum("n").alias("n_k"))
             .where(F.col("n_k") >= 2).select("k", "n_s"))
-    classes = written(dictionary.join(keys, "k"), "classes")
+    # The places of every phrase whose K occurs twice.
+    found = written(parse.join(dictionary.join(keys, "k"), ["k", "s"]), "found")
     # S occurs twice: the whole phrase repeats, wherever it stands.
-    twice = classes.where(F.col("n") >= 2).select("k", "s")
-    whole = parse.join(twice, ["k", "s"]).select("doc_id", "th", "first", (F.col("first") + F.col("span")).alias("last"))
+    whole = (found.where(F.col("n") >= 2).groupBy("doc_id", "th").agg(F.collect_list(F.struct(
+        "first", (F.col("first") + F.col("span")).alias("last"))).alias("runs")))
     # K meets several S: one phrase of each is looked at string by string.
-    probes = (classes.where(F.col("n_s") >= 2)
-              .select("e.doc_id", "e.th", F.struct("e.first", "e.span", "k", (F.col("n") == 1).alias("own")).alias("x"))
-              .groupBy("doc_id", "th").agg(F.collect_list("x").alias("found")))
-    probes = written(probes, "probes")
+    place = F.struct("doc_id", "th", "first", "span")
+    several = found.where(F.col("n_s") >= 2)
+    single = several.where(F.col("n") == 1).select("k", place.alias("e"), F.lit(True).alias("own"))
+    copies = (several.where(F.col("n") >= 2).groupBy("k", "s").agg(F.min(place).alias("e"))
+              .select("k", "e", F.lit(False).alias("own")))
+    probes = written(
+        single.unionByName(copies).groupBy("e.doc_id", "e.th")
+        .agg(F.collect_list(F.struct("e.first", "e.span", "k", "own")).alias("found"))
+        .withColumn("probe", F.monotonically_increasing_id()), "probes")
     some = possible(texts, probes, kind)
     asked = some.dropDuplicates(["doc_id", "th"]).join(
-        probes.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "found"),
+        probes.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "probe", "found"),
         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
-    strings = asked.select("doc_id", "th", "text", "found").mapInArrow(
-        _strings, f"doc_id {kind}, th long, p long, k long, h long, own boolean")
+    strings = asked.select("probe", "text", "found").mapInArrow(
+        _strings, "probe long, at long, k long, h long")
     same = F.count("*").over(Window.partitionBy("k", "h"))
-    single = (strings.withColumn("n", same).where((F.col("n") >= 2) & F.col("own"))
-              .select("doc_id", "th", F.col("p").alias("first"), F.col("p").alias("last")))
-    return (whole.unionByName(single).groupBy("doc_id", "th")
-            .agg(F.collect_list(F.struct("first", "last")).alias("runs")))
+    points = (strings.withColumn("n", same).where((F.col("n") >= 2) & (F.col("at") >= 0))
+              .groupBy("probe").agg(F.collect_list(F.struct(F.col("at").alias("first"), F.col("at").alias("last"))).alias("runs")))
+    named = points.join(probes.select("probe", "doc_id", "th"), "probe").select("doc_id", "th", "runs")
+    return whole.unionByName(named).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def id_bitmap(ids: DataFrame) -> np.ndarray:
