@@ -37,6 +37,21 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python in batches of at most BATCH_ROWS rows.
+
+    Spark's default of 10,000 rows is meant for numbers; with texts of many
+    kilobytes it costs each worker hundreds of MB.  The setting is read when a
+    plan runs, so it is left in the session.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nutrilake.llm.common import written
+from nutrilake.llm.common import small_batches, written
 
 # A node is the same on all pages only if at least this many different pages agree.
 MIN_PAGES = 5
@@ -362,6 +362,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     template.  Null and empty html give an empty text.  Repeated rows are
     extracted once each and repeated ids are kept; other columns are ignored.
     """
+    small_batches(pages.sparkSession)
     p = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     templates = written(induce_templates(p), "templates")
     t = templates.select(F.col("host").alias("_host"), "template", "n_distinct")

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nutrilake.llm.common import worker_cache, written
+from nutrilake.llm.common import small_batches, worker_cache, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -301,5 +301,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     offset (and ids on request).  Repeated rows are packed once each; a null
     doc_id is kept as null; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     pieces = written(token_pieces(docs, tokenizer, capacity, keep_ids), "pieces")
     return pack(pieces, capacity, groups)

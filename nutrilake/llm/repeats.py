@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nutrilake.llm.common import written
+from nutrilake.llm.common import small_batches, written
 
 LENGTH = 400
 GRAM = 16
@@ -265,6 +265,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     LENGTH lose nothing; a repeated row is a copy like any other; a null
     doc_id is kept as null; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
                         F.coalesce("text", F.lit("")).alias("text"))

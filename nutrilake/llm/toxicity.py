@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nutrilake.llm.common import written
+from nutrilake.llm.common import small_batches, written
 
 ORDERS = (3, 4, 5, 6)
 MAX_TRAIN_ROWS = 16_000
@@ -179,6 +179,7 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, text: str = "text", name: str = "score") -> DataFrame:
         """Add the score of every whole text; null and empty texts get the bias."""
+        small_batches(docs.sparkSession)
         fields = [f for f in docs.schema if f.name != name]
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", {name} double"
         grams, weights, bias, orders = self.grams, self.weights, self.bias, self.orders
@@ -209,7 +210,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_R
     counts twice.  About ``max_rows`` rows, picked by the hash of doc_id, are
     used.  Without a row of either class every text scores by the prior.
     """
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()
                           & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
@@ -217,9 +218,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_R
     cut = int(1_000_000 * min(1.0, max_rows / max(1, total)))
     # Bounded by max_rows, so it may be broadcast whatever the corpus.
     sample = F.broadcast(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < cut))
-    rows = written(docs.select("doc_id", "text").join(sample, "doc_id")
-                   .select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
-                   .repartition(8, F.xxhash64("text")), "train")
+    rows = written(docs.select("doc_id", "text").join(sample, "doc_id").repartition(8, "doc_id")
+                   .select(F.coalesce("text", F.lit("")).alias("text"), "toxic"), "train")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
     prior = float(np.log((n_pos + 1) / (n_neg + 1)))
