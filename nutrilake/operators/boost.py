@@ -9,7 +9,9 @@ Two registered learners with one contract:
   ``DecisionTreeRegressor``s on the residuals y_k - p_k (tree structure),
   sets Newton leaf values gamma = (K-1)/K * sum r / sum |r|(1-|r|) from one
   grouped pass, and adds ``step * gamma_k[leaf]`` to the class scores;
-  p = softmax(scores).
+  p = softmax(scores).  The fitted trees become one node table: it is saved as
+  one Parquet table and scored in one Arrow pass, so neither the plan nor the
+  number of model files grows with the rounds.
 
 Input: a DataFrame with a vector column (``features``) and an integer label
 0..K-1.  Every fit/predict is a distributed MLlib job; nothing but model
@@ -20,6 +22,7 @@ from __future__ import annotations
 import json
 import math
 import os
+import re
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
@@ -27,6 +30,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nutrilake.functions.ordered import collect_bounded
 from nutrilake.session import current_session, ensure_checkpoint_dir
 
 # caller names -> MLlib parameters (M6); reporting-only keys are accepted
@@ -38,7 +42,8 @@ PARAM_ALIASES = {
     "max_bins": "maxBins", "maxBins": "maxBins",
     "min_child_weight": "minInstancesPerNode", "minInstancesPerNode": "minInstancesPerNode",
 }
-REPORTING_KEYS = {"eval_metric", "verbose", "random_state", "seed"}
+REPORTING_KEYS = {"eval_metric", "verbose"}      # what to report, not what to fit
+SEED_KEYS = ("random_state", "seed")
 DEFAULT_PARALLELISM = 4     # concurrent per-class fits (jobs), not threads of work
 
 
@@ -64,8 +69,11 @@ class BoostingClassifier:
 
     model_type = "base"
 
-    def __init__(self, random_state: int = 42, **hyperparameters):
-        self.random_state = random_state
+    def __init__(self, random_state: int = 42, /, **hyperparameters):
+        seeds = {int(hyperparameters.pop(key)) for key in SEED_KEYS if key in hyperparameters}
+        if len(seeds) > 1:
+            raise ValueError(f"two different seeds: {sorted(seeds)}")
+        self.random_state = seeds.pop() if seeds else random_state
         self.parallelism = int(hyperparameters.pop("parallelism", DEFAULT_PARALLELISM))
         self.hyperparameters = dict(hyperparameters)
         self.params = resolve_params(self.hyperparameters)
@@ -76,7 +84,9 @@ class BoostingClassifier:
 
     # -- contract -----------------------------------------------------------
     def fit(self, train: DataFrame, label_col: str = "label", features_col: str = "features",
-            validation: DataFrame | None = None) -> "BoostingClassifier":
+            validation: DataFrame | None = None, n_classes: int | None = None) -> "BoostingClassifier":
+        """``n_classes`` fixes the width of the probabilities; when None it is
+        the largest label of ``train`` plus one."""
         raise NotImplementedError
 
     def predict_proba(self, df: DataFrame, prob_col: str = "probability") -> DataFrame:
@@ -141,7 +151,7 @@ def _log_loss(prob: Column, label: Column) -> Column:
 class OneVsRestGBT(BoostingClassifier):
     model_type = "ovr_gbt"
 
-    def __init__(self, random_state: int = 42, **hyperparameters):
+    def __init__(self, random_state: int = 42, /, **hyperparameters):
         super().__init__(random_state, **hyperparameters)
         self.models: list[GBTClassificationModel] = []
 
@@ -151,9 +161,9 @@ class OneVsRestGBT(BoostingClassifier):
             gbt.setParams(**self.params)
         return gbt
 
-    def fit(self, train, label_col="label", features_col="features", validation=None):
+    def fit(self, train, label_col="label", features_col="features", validation=None, n_classes=None):
         self.features_col = features_col
-        self.n_classes = int(train.agg(F.max(label_col)).first()[0]) + 1
+        self.n_classes = n_classes or int(train.agg(F.max(label_col)).first()[0]) + 1
         # read by K fits (and their curves): keep one materialised copy
         data = train.select(features_col, F.col(label_col).cast("int").alias("_y")).persist()
         self.models = []
@@ -226,11 +236,10 @@ class SoftmaxBoost(BoostingClassifier):
     DEFAULTS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1}
     CHECKPOINT_EVERY = 5
 
-    def __init__(self, random_state: int = 42, **hyperparameters):
+    def __init__(self, random_state: int = 42, /, **hyperparameters):
         super().__init__(random_state, **hyperparameters)
-        self.trees: list[list[DecisionTreeRegressionModel]] = []
-        # per round and class: leaf index -> Newton leaf value (<= 2^depth entries)
-        self.leaf_values: list[list[dict[float, float]]] = []
+        # one row per node of every tree: see NODE_COLUMNS
+        self.nodes: list[tuple] = []
         self.init_scores: list[float] = []
 
     def _p(self, name: str):
@@ -280,12 +289,12 @@ class SoftmaxBoost(BoostingClassifier):
             out[row["k"]][float(row["leaf"])] = float(g)
         return out
 
-    def fit(self, train, label_col="label", features_col="features", validation=None):
+    def fit(self, train, label_col="label", features_col="features", validation=None, n_classes=None):
         ensure_checkpoint_dir(train.sparkSession)
         self.features_col = features_col
         y = F.col(label_col).cast("int")
-        counts = {r[0]: r[1] for r in train.groupBy(y).agg(F.count(F.lit(1))).collect()}
-        k_cls = max(counts) + 1
+        counts = {r[0]: r[1] for r in collect_bounded(train.groupBy(y).agg(F.count(F.lit(1))), what="classes")}
+        k_cls = n_classes or max(counts) + 1
         self.n_classes = k_cls
         n = sum(counts.values())
         self.init_scores = [math.log(max(counts.get(k, 0), 1) / n) for k in range(k_cls)]
@@ -300,7 +309,8 @@ class SoftmaxBoost(BoostingClassifier):
         for extra in ("maxBins", "minInstancesPerNode"):
             if extra in self.params:
                 tree_params[extra] = self.params[extra]
-        self.trees, self.leaf_values, curves = [], [], []
+        rate = float(self.params.get("subsamplingRate", 1.0))
+        self.nodes, curves = [], []
         for r in range(rounds):
             probs = self._softmax(F.col("_s"))
             resid = work.withColumn("_p", probs).select(
@@ -308,16 +318,18 @@ class SoftmaxBoost(BoostingClassifier):
                 *[((F.col("_y") == k).cast("double") - F.col("_p")[k]).alias(f"_r{k}")
                   for k in range(k_cls)])
             resid = resid.persist()  # read by K tree fits; recomputed from the last checkpoint on loss
-            def fit_tree(k: int, r: int = r, resid: DataFrame = resid):
+            shown = resid if rate >= 1 else resid.sample(rate, seed=self.random_state + r)
+
+            def fit_tree(k: int, r: int = r, shown: DataFrame = shown):
                 dt = DecisionTreeRegressor(featuresCol=features_col, labelCol=f"_r{k}",
                                            seed=self.random_state + r, **tree_params)
-                return dt.fit(resid)
+                return dt.fit(shown)
             round_trees = run_parallel([lambda k=k: fit_tree(k) for k in range(k_cls)],
                                        self.parallelism)
             leaf_values = self._newton_leaves(resid, round_trees, k_cls)
             resid.unpersist()
-            self.trees.append(round_trees)
-            self.leaf_values.append(leaf_values)
+            for k, tree in enumerate(round_trees):
+                self.nodes += [(r, k, i, *node) for i, node in enumerate(tree_nodes(tree, leaf_values[k]))]
             work = self._add_trees(work, round_trees, leaf_values, step)
             if val is not None:
                 val = self._add_trees(val, round_trees, leaf_values, step)
@@ -340,22 +352,19 @@ class SoftmaxBoost(BoostingClassifier):
 
     def predict_proba(self, df, prob_col="probability"):
         self._require_fitted()
-        out = df.withColumn("_s", F.array(*[F.lit(s) for s in self.init_scores]))
-        for round_trees, leaf_values in zip(self.trees, self.leaf_values):
-            out = self._add_trees(out, round_trees, leaf_values, self.step)
-        return out.withColumn(prob_col, self._softmax(F.col("_s"))).drop("_s")
+        score = forest_scorer(self.nodes, self.init_scores, self.step)
+        return (df.withColumn("_s", score(vector_to_array(F.col(self.features_col))))
+                .withColumn(prob_col, self._softmax(F.col("_s"))).drop("_s"))
 
     def _meta(self) -> dict:
         meta = super()._meta()
-        meta.update({"init_scores": self.init_scores, "step": self.step, "rounds": len(self.trees),
-                     "leaf_values": [[list(d.items()) for d in rnd] for rnd in self.leaf_values]})
+        meta.update({"init_scores": self.init_scores, "step": self.step})
         return meta
 
     def save(self, path: str) -> None:
         self._require_fitted()
-        for r, round_trees in enumerate(self.trees):
-            for k, tree in enumerate(round_trees):
-                tree.write().overwrite().save(os.path.join(path, f"round_{r}", f"class_{k}"))
+        current_session().createDataFrame(self.nodes, NODE_COLUMNS).coalesce(1) \
+            .write.mode("overwrite").parquet(os.path.join(path, "nodes"))
         _write_meta(path, self._meta())
 
     @classmethod
@@ -365,12 +374,77 @@ class SoftmaxBoost(BoostingClassifier):
         obj._restore(meta)
         obj.init_scores = meta["init_scores"]
         obj.step = meta["step"]
-        obj.leaf_values = [[{float(a): float(b) for a, b in d} for d in rnd] for rnd in meta["leaf_values"]]
-        obj.trees = [[DecisionTreeRegressionModel.load(os.path.join(path, f"round_{r}", f"class_{k}"))
-                      for k in range(obj.n_classes)] for r in range(meta["rounds"])]
+        nodes = current_session().read.parquet(os.path.join(path, "nodes")).collect()   # the model itself
+        obj.nodes = sorted(tuple(r) for r in nodes)
         return obj
 
 
+NODE_COLUMNS = ("round int, class int, node int, feature int, threshold double, left int, right int, "
+                "value double")
+
+
+def tree_nodes(tree: DecisionTreeRegressionModel, leaf_values: dict[float, float]) -> list[tuple]:
+    """(feature, threshold, left, right, value) per node in pre-order, from the
+    model's description; a leaf has feature -1 and its Newton value."""
+    lines = [line.strip() for line in tree.toDebugString.split("\n")[1:] if line.strip()]
+    nodes: list[list] = []
+    leaf, at = 0, 0
+
+    def build() -> int:
+        nonlocal leaf, at
+        mine = len(nodes)
+        line = lines[at]
+        at += 1
+        if line.startswith("Predict"):
+            nodes.append([-1, 0.0, -1, -1, leaf_values.get(float(leaf), 0.0)])
+            leaf += 1
+            return mine
+        feature, threshold = re.match(r"If \(feature (\d+) <= (\S+)\)", line).groups()
+        nodes.append([int(feature), float(threshold), -1, -1, 0.0])
+        nodes[mine][2] = build()
+        at += 1                     # "Else (feature i > t)"
+        nodes[mine][3] = build()
+        return mine
+
+    build()
+    return [tuple(n) for n in nodes]
+
+
+def forest_scorer(nodes: list[tuple], init_scores: list[float], step: float):
+    """A vectorised function features ARRAY<DOUBLE> -> class scores, over all
+    trees at once.  The node table is the closure: trees x 2^depth rows."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    table = np.array([n[:4] + (n[5], n[6]) for n in nodes], dtype=np.int64).reshape(-1, 6)
+    threshold = np.array([n[4] for n in nodes], float)
+    value = np.array([n[7] for n in nodes], float)
+    roots = np.flatnonzero(table[:, 2] == 0)
+    feature = table[:, 3]
+    base = np.repeat(roots, np.diff(np.append(roots, len(table)))) if len(table) else roots
+    left, right = table[:, 4] + base, table[:, 5] + base
+    of_class = table[roots, 1]
+
+    def run(features: pd.Series) -> pd.Series:
+        x = np.stack(features.to_numpy()) if len(features) else np.zeros((0, 1))
+        out = np.tile(np.array(init_scores, float), (len(x), 1))
+        row = np.arange(len(x))
+        for root, k in zip(roots, of_class):
+            at = np.full(len(x), root)
+            inner = feature[at] >= 0
+            while inner.any():
+                here = at[inner]
+                small = x[row[inner], feature[here]] <= threshold[here]
+                at[inner] = np.where(small, left[here], right[here])
+                inner = feature[at] >= 0
+            out[:, k] += step * value[at]
+        return pd.Series(list(out))
+
+    run.__annotations__ = {"features": pd.Series, "return": pd.Series}
+    return pandas_udf(run, "array<double>")
+
+
 # ---------------------------------------------------------------------------
 MODEL_REGISTRY: dict[str, type[BoostingClassifier]] = {
     OneVsRestGBT.model_type: OneVsRestGBT,
@@ -378,7 +452,7 @@ MODEL_REGISTRY: dict[str, type[BoostingClassifier]] = {
 }
 
 
-def make_model(model_type: str, random_state: int = 42, **hyperparameters) -> BoostingClassifier:
+def make_model(model_type: str, random_state: int = 42, /, **hyperparameters) -> BoostingClassifier:
     if model_type not in MODEL_REGISTRY:
         raise ValueError(f"unknown model type {model_type!r}; registered: {list(MODEL_REGISTRY)}")
     return MODEL_REGISTRY[model_type](random_state, **hyperparameters)

@@ -8,7 +8,7 @@ from nutrilake import schema as S
 from nutrilake.functions import stats as ST
 from nutrilake.operators import drift
 from nutrilake.plans import sqlgen as G
-from nutrilake.plans.common import r6, sql_r6
+from nutrilake.plans.common import diet_dedup, r6, sql_r6, with_dd
 from nutrilake.plans.queries_prep import _prepared
 from nutrilake.plans.registry import query
 from nutrilake.sources.tables import read_table
@@ -193,3 +193,21 @@ def q_drift_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = p.feature_names
     rep = drift.drift_report(p.train().select(*feats), p.test().select(*feats))
     return _report_out(rep)
+
+
+DRIFT_NULL_SQL = with_dd("""SELECT f AS feature, CAST(4 AS BIGINT) AS n_features, TRUE AS reported,
+  CASE WHEN f IN ('nothing', 'no_text') THEN CAST(0 AS DOUBLE) END AS psi
+FROM (SELECT unnest(['Age', 'BMI', 'nothing', 'no_text']) AS f) WHERE (SELECT count(*) FROM dd) > 0""")
+
+
+@query("drift_all_null", DRIFT_NULL_SQL)
+def q_drift_all_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a column without any value on either side keeps its row."""
+    d = diet_dedup(spark, sf_dir).select("Age", "BMI", F.lit(None).cast("double").alias("nothing"),
+                                         F.lit(None).cast("string").alias("no_text"), "Health_Status")
+    sides = [d.where(F.col("Health_Status") == "Healthy").drop("Health_Status"),
+             d.where(F.col("Health_Status") != "Healthy").drop("Health_Status")]
+    rep = drift.drift_report(*sides)
+    n = drift.drift_summary(rep).first()["n_features_checked"]
+    return rep.select("feature", F.lit(n).cast("long").alias("n_features"), F.col("psi").isNotNull().alias("reported"),
+                      F.when(F.col("feature").isin("nothing", "no_text"), F.col("psi")).alias("psi"))

@@ -2,14 +2,16 @@
 learners, scoring (batch, stream, what-if), request validation, sinks.
 
 Metric queries evaluate fixed rule predictors so their numbers have an SQL
-oracle; learner queries (MLlib fits) have none and are checked on rows.
+oracle; learner and scoring queries return what any fit must satisfy (which
+rows, values in range, labels that are the most likely class), which SQL can
+state exactly.
 """
 from __future__ import annotations
 
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
@@ -30,6 +32,8 @@ from nutrilake.streaming.scoring import REQUEST_SCHEMA, read_rejected, read_scor
 CLASSES = sorted(S.HEALTH_STATUSES)
 SMALL_GBT = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3}
 SMALL_SOFTMAX = {"iterations": 4, "depth": 3, "learning_rate": 0.5}
+# Settings of the check queries that fit many models (the jobs take any).
+SHORT = {"ovr_gbt": {"n_estimators": 2, "max_depth": 2}, "softmax_boost": {"iterations": 2, "depth": 2}}
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -105,6 +109,22 @@ def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.confusion_long(pairs, CLASSES)
 
 
+METRICS_ROW_SQL = with_dd(f"""SELECT string_agg(CAST(n AS VARCHAR), ',' ORDER BY true_label, pred_label) AS confusion,
+  'Healthy,Obese,Overweight,Underweight' AS class_labels
+FROM (SELECT g.true_label, g.pred_label, coalesce(c.n, 0) AS n FROM grid g
+  LEFT JOIN (SELECT Health_Status AS t, {RULE_A_SQL} AS p, count(*) AS n FROM dd GROUP BY 1, 2) c
+    ON c.t = g.true_label AND c.p = g.pred_label)""",
+                          f"grid AS (SELECT * FROM (VALUES {_GRID}) AS v(true_label, pred_label))")
+
+
+@query("metrics_row", METRICS_ROW_SQL)
+def q_metrics_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4/V5: the confusion matrix of the metrics row with its class labels."""
+    m = evaluate.classification_metrics(_rule_frame(spark, sf_dir), "Health_Status", "pred_a", CLASSES)
+    return m.select(F.array_join(F.flatten("confusion_matrix").cast("array<string>"), ",").alias("confusion"),
+                    F.array_join("class_labels", ",").alias("class_labels"))
+
+
 METRICS_MACRO_SQL = with_dd(f"SELECT {', '.join(sql_r6(k) + ' AS ' + k for k in S.METRIC_KEYS[:4])} FROM met",
                             "rf AS (SELECT Health_Status, " + RULE_A_SQL + " AS pred_a FROM dd)," +
                             metrics_sql("rf", "Health_Status", "pred_a"))
@@ -183,32 +203,82 @@ def q_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("model_type", "metric", r6("value").alias("value"))
 
 
-# ---------------------------------------------------------------- learners (rows-only)
-@query("train_curves")
+# ---------------------------------------------------------------- learners
+# Fits have no SQL form, but what they must return has: which rows, and that
+# every value is in range.  The SQL states the grid; the values are checked in
+# the query.
+LEARNERS = {"ovr_gbt": SMALL_GBT, "softmax_boost": SMALL_SOFTMAX}
+
+
+def _values(name: str, columns: str, rows: list[str]) -> str:
+    return f"SELECT * FROM (VALUES {', '.join(f'({r})' for r in rows)}) AS {name}({columns})"
+
+
+def _in_range(metric: str = "metric", value: str = "value") -> Column:
+    """A metric is finite, in [0, 1], or in [-1, 1] for the correlation."""
+    low = F.when(F.col(metric) == "mcc", -1.0).otherwise(0.0)
+    return F.coalesce((F.col(value) >= low) & (F.col(value) <= 1.0), F.lit(False))
+
+
+TRAIN_CURVES_SQL = _values("g", "model_type, iteration, split, metric, plausible", [
+    f"'{t}', CAST({i} AS INTEGER), '{side}', '{metric}', TRUE"
+    for t, n, metric in (("ovr_gbt", 5, "ovr_logloss"), ("softmax_boost", 4, "mlogloss"))
+    for i in range(1, n + 1) for side in ("train", "validation")])
+
+
+@query("train_curves", TRAIN_CURVES_SQL)
 def q_train_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5/M7, both learners: a value per round and side, finite and positive,
+    and on the training side no higher than in the first round."""
     p = _prepared(spark, sf_dir)
-    res = training.train_model("ovr_gbt", p, None, 42, SMALL_GBT)
-    return res.evals
+    parts = []
+    for t, params in LEARNERS.items():
+        e = training.train_model(t, p, None, 42, params).evals
+        first = F.max(F.when(F.col("iteration") == 1, F.col("value"))).over(Window.partitionBy("split"))
+        parts.append(e.select(F.lit(t).alias("model_type"), "iteration", "split", "metric",
+                              F.coalesce((F.col("value") > 0) & (F.col("value") < float("inf"))
+                                         & ((F.col("split") != "train") | (F.col("value") <= first)),
+                                         F.lit(False)).alias("plausible")))
+    return parts[0].unionByName(parts[1])
 
 
-@query("compare_models")
+COMPARE_MODELS_SQL = _values("g", "model_type, metric, registry_position, in_range", [
+    f"'{t}', '{m}', CAST({i} AS INTEGER), TRUE" for i, t in enumerate(("ovr_gbt", "softmax_boost"))
+    for m in ("accuracy", "precision_macro", "recall_macro", "f1_macro", "mcc")])
+
+
+@query("compare_models", COMPARE_MODELS_SQL)
 def q_compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _prepared(spark, sf_dir)
-    results = training.compare_models(p, None, 42, {"ovr_gbt": SMALL_GBT, "softmax_boost": SMALL_SOFTMAX})
-    return training.metrics_table(results)
+    table = training.metrics_table(training.compare_models(p, None, 42, LEARNERS))
+    return table.select("model_type", "metric", "registry_position", _in_range().alias("in_range"))
+
+
+CROSS_VALIDATE_SQL = _values("g", "model_type, fold, metric, in_range", [
+    f"'{t}', CAST({f} AS INTEGER), '{m}', TRUE" for t in ("ovr_gbt", "softmax_boost") for f in range(5)
+    for m in ("accuracy", "precision_macro", "recall_macro", "f1_macro", "mcc")])
 
 
-@query("cross_validate")
+@query("cross_validate", CROSS_VALIDATE_SQL)
 def q_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: both learners over the default five folds."""
     p = _prepared(spark, sf_dir)
-    per_fold, _ = training.cross_validate("softmax_boost", p, 3, 42, SMALL_SOFTMAX)
-    return per_fold
+    parts = [training.cross_validate(t, p, 5, 42, {**params, **SHORT[t]})[0]
+             .select(F.lit(t).alias("model_type"), "fold", "metric", _in_range().alias("in_range"))
+             for t, params in LEARNERS.items()]
+    return parts[0].unionByName(parts[1])
+
 
+LEAKAGE_SQL = _values("g", "model_type, subset, metric, in_range", [
+    f"'{t}', '{n}', '{m}', TRUE" for t in ("ovr_gbt", "softmax_boost")
+    for n in ("all_features", "without_bmi", "without_leaking")
+    for m in ("accuracy", "precision_macro", "recall_macro", "f1_macro", "mcc")])
 
-@query("leakage_ablation")
+
+@query("leakage_ablation", LEAKAGE_SQL)
 def q_leakage_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: test metrics with all numeric columns, without BMI, and without
-    every BMI-reconstructing column."""
+    every BMI-reconstructing column, for both learners."""
     numeric = S.RAW_NUMERIC_COLUMNS + S.ENGINEERED_NUMERIC_COLUMNS
     p = prepare(diet_profile(spark, sf_dir), order_by=["copy_no"], numeric=numeric)
     names = p.feature_names
@@ -217,7 +287,10 @@ def q_leakage_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "without_bmi": [n for n in names if n != "numeric__BMI"],
         "without_leaking": [n for n in names if n.replace("numeric__", "") not in S.LEAKING_NUMERIC_COLUMNS],
     }
-    return training.leakage_ablation(p, "ovr_gbt", 42, SMALL_GBT, subsets)
+    parts = [training.leakage_ablation(p, t, 42, {**params, **SHORT[t]}, subsets)
+             .select(F.lit(t).alias("model_type"), "subset", "metric", _in_range().alias("in_range"))
+             for t, params in LEARNERS.items()]
+    return parts[0].unionByName(parts[1])
 
 
 # ---------------------------------------------------------------- requests
@@ -291,33 +364,55 @@ def q_derive_bmi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("request_id", "Age", "Gender", "BMI", r6("Weight_kg").alias("Weight_kg"))
 
 
-# ---------------------------------------------------------------- scoring (rows-only)
-def _published(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Prepare, compare both learners, publish the best; returns
-    (processed_dir, best_model_dir) in the shared scratch folder."""
-    out = scratch_dir(spark, "models")
-    p = prepare(diet_profile(spark, sf_dir), order_by=["copy_no"], out_dir=os.path.join(out, "processed"))
-    results = training.compare_models(p, os.path.join(out, "models"), 42,
-                                      {"ovr_gbt": SMALL_GBT, "softmax_boost": SMALL_SOFTMAX})
-    training.publish_best(results, os.path.join(out, "models"), "mcc")
-    return os.path.join(out, "processed"), os.path.join(out, "models", "best")
+# ---------------------------------------------------------------- scoring
+_PUBLISHED: dict[tuple[str, str], tuple[str, str, str]] = {}
 
 
-@query("score_batch")
+def _published(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Prepare, compare both learners, publish the best; returns
+    (processed_dir, best_model_dir, best by the comparison) in the shared
+    scratch folder.  The scoring queries of one application share it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        out = scratch_dir(spark, "models")
+        p = prepare(diet_profile(spark, sf_dir), order_by=["copy_no"], out_dir=os.path.join(out, "processed"))
+        results = training.compare_models(p, os.path.join(out, "models"), 42, LEARNERS)
+        training.publish_best(results, os.path.join(out, "models"), "mcc")
+        table = {r["model_type"]: r["value"] for r in training.metrics_table(results).where("metric = 'mcc'").collect()}
+        _PUBLISHED[key] = (os.path.join(out, "processed"), os.path.join(out, "models", "best"),
+                           max(table, key=table.get))
+    return _PUBLISHED[key]
+
+
+_VALID_SQL = f"len(list_filter({_req_errors_sql()}, lambda x: x IS NOT NULL)) = 0"
+SCORE_BATCH_SQL = with_dd(f"""SELECT request_id, CAST(1 AS DOUBLE) AS probability_sum, CAST(4 AS INTEGER) AS n_classes,
+  TRUE AS is_most_likely FROM req WHERE {_VALID_SQL}""", REQ_CTE)
+
+
+@query("score_batch", SCORE_BATCH_SQL)
 def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    processed, best = _published(spark, sf_dir)
+    """Every valid request scored once; the label is the most likely of
+    the four classes."""
+    processed, best, _ = _published(spark, sf_dir)
     art = score.ScoringArtifacts.load(spark, processed, best)
     valid, _ = score.validate_requests(requests_frame(spark, sf_dir))
     scored = score.score(score.to_raw_records(valid, keep=["request_id"]), art, keep=["request_id"])
-    return scored.select("request_id", "predicted_health_status",
-                         F.round(F.aggregate(F.map_values("probabilities"), F.lit(0.0),
-                                             lambda a, x: a + x), 6).alias("probability_sum"))
+    p = F.map_values("probabilities")
+    return scored.select(
+        "request_id", F.round(F.aggregate(p, F.lit(0.0), lambda a, x: a + x), 6).alias("probability_sum"),
+        F.size("probabilities").alias("n_classes"),
+        F.coalesce(F.element_at("probabilities", F.col("predicted_health_status")) == F.array_max(p),
+                   F.lit(False)).alias("is_most_likely"))
+
+
+SCORE_STREAM_SQL = with_dd(f"""SELECT request_id, CASE WHEN {_VALID_SQL} THEN 'scored' ELSE 'rejected' END AS outcome,
+  {_VALID_SQL} AS has_label FROM req""", REQ_CTE)
 
 
-@query("score_stream")
+@query("score_stream", SCORE_STREAM_SQL)
 def q_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scoring as a stream over request files (availableNow)."""
-    processed, best = _published(spark, sf_dir)
+    processed, best, _ = _published(spark, sf_dir)
     art = score.ScoringArtifacts.load(spark, processed, best)
     base = scratch_dir(spark, "stream")
     inbox = os.path.join(base, "inbox")
@@ -329,28 +424,36 @@ def q_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     scored = read_scored(spark, os.path.join(base, "out"))
     rejected = read_rejected(spark, os.path.join(base, "out"))
-    return scored.select("request_id", "predicted_health_status", F.lit("scored").alias("outcome")) \
-        .unionByName(rejected.select("request_id", F.lit(None).cast("string").alias("predicted_health_status"),
-                                     F.lit("rejected").alias("outcome")))
+    return scored.select("request_id", F.lit("scored").alias("outcome"),
+                         F.coalesce(F.col("predicted_health_status").isin(*CLASSES), F.lit(False)).alias("has_label")) \
+        .unionByName(rejected.select("request_id", F.lit("rejected").alias("outcome"), F.lit(False).alias("has_label")))
 
 
-@query("sensitivity")
+SENSITIVITY_SQL = with_dd(f"""SELECT scenario, count(*) AS records, TRUE AS plausible
+FROM req, (VALUES ('baseline'), ('weight_minus_10pct'), ('weight_plus_10pct'), ('calorie_surplus_500')) AS v(scenario)
+WHERE {_VALID_SQL} GROUP BY scenario""", REQ_CTE)
+
+
+@query("sensitivity", SENSITIVITY_SQL)
 def q_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions under weight / calorie what-if scenarios."""
-    processed, best = _published(spark, sf_dir)
+    """Predictions under weight / calorie what-if scenarios: all records in
+    each, none changed in the baseline."""
+    processed, best, _ = _published(spark, sf_dir)
     art = score.ScoringArtifacts.load(spark, processed, best)
     valid, _ = score.validate_requests(requests_frame(spark, sf_dir))
-    raw = score.to_raw_records(valid, keep=["request_id"])
-    return score.sensitivity(raw, art)
+    table = score.sensitivity(score.to_raw_records(valid, keep=["request_id"]), art)
+    most = F.when(F.col("scenario") == "baseline", 0).otherwise(F.col("records"))
+    return table.select("scenario", "records", (F.col("changed").between(0, most)).alias("plausible"))
 
 
-@query("best_model_info")
+@query("best_model_info", "SELECT 'mcc' AS selection_metric, TRUE AS is_best, TRUE AS in_range")
 def q_best_model_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _processed, best = _published(spark, sf_dir)
+    """The published metadata, read back, against the comparison."""
+    _processed, best, winner = _published(spark, sf_dir)
     info = training.best_model_info(spark, os.path.dirname(best))
-    return spark.createDataFrame([(info["model_type"], info["selection_metric"],
-                                   float(info["selection_metric_value"]))],
-                                 "model_type string, selection_metric string, selection_metric_value double")
+    return spark.createDataFrame(
+        [(info["selection_metric"], info["model_type"] == winner, -1.0 <= float(info["selection_metric_value"]) <= 1.0)],
+        "selection_metric string, is_best boolean, in_range boolean")
 
 
 # ---------------------------------------------------------------- K

@@ -168,6 +168,63 @@ def q_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loader.sample_n(diet_dedup(spark, sf_dir), 1000, seed=42).select("Person_ID", "Health_Status")
 
 
+_RECORD_NUMBERS = ["Height_cm", "Weight_kg", "BMI", "Daily_Calorie_Requirement", "Daily_Calorie_Consumed",
+                   "Protein_Intake_g", "Carbohydrate_Intake_g", "Fat_Intake_g", "Water_Intake_Liters"]
+
+# The raw table, duplicates kept, where every seventh age has lost its id.
+_LOST_ID = "CASE WHEN Age % 7 = 0 THEN CAST(NULL AS STRING) ELSE Person_ID END"
+_RAW_REST = [c for c in S.RAW_COLUMNS if c != S.ID_COLUMN]
+_CELL = "coalesce(CAST({} AS VARCHAR), chr(9216))"
+SAMPLE_RAW_SQL = "WITH " + diet_ctes("orders") + f""",
+raw AS (SELECT {_LOST_ID} AS Person_ID, {", ".join(_RAW_REST)} FROM diet),
+o AS (SELECT *, md5('42:' || {_CELL.format("Person_ID")}) AS o1,
+      md5(concat_ws('|', {", ".join(_CELL.format(c) for c in S.RAW_COLUMNS)})) AS o2 FROM raw)
+SELECT Person_ID, Age, Diet_Type, {sql_r6("Height_cm")} AS Height_cm FROM o ORDER BY o1, o2 LIMIT 777"""
+
+
+def _lost_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diet(spark, sf_dir).select(F.expr(_LOST_ID).alias("Person_ID"), *_RAW_REST)
+
+
+@query("sample_n_raw", SAMPLE_RAW_SQL)
+def q_sample_n_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 over rows with repeated and missing keys."""
+    return loader.sample_n(_lost_ids(spark, sf_dir), 777, seed=42).select(
+        "Person_ID", "Age", "Diet_Type", r6("Height_cm").alias("Height_cm"))
+
+
+KFOLD_NULL_SQL = "WITH " + diet_ctes("orders") + f""",
+f AS (SELECT Health_Status, (row_number() OVER (PARTITION BY Health_Status) - 1) % 5 AS fold FROM diet)
+SELECT Health_Status, CAST(fold AS INTEGER) AS fold, count(*) AS rows FROM f GROUP BY 1, 2"""
+
+
+@query("kfold_null_keys", KFOLD_NULL_SQL)
+def q_kfold_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 over rows with repeated and missing keys: every row is in a fold."""
+    folds = split.stratified_folds(_lost_ids(spark, sf_dir), 5)
+    return folds.groupBy("Health_Status", "fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+_ODD_ID = "CASE WHEN Age % 5 = 0 THEN Person_ID || ' \"q\", x' || chr(10) || 'y' ELSE Person_ID END"
+CSV_SCAN_SQL = "WITH " + diet_ctes("orders") + f"""
+SELECT {_ODD_ID} AS Person_ID, Age, Gender, Activity_Level, Diet_Type, Health_Status, copy_no,
+       {", ".join(f"{sql_r6(c)} AS {c}" for c in _RECORD_NUMBERS)} FROM diet"""
+
+
+@query("csv_scan", CSV_SCAN_SQL)
+def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table with quotes, commas and line ends in a field, written
+    as CSV (half of the missing cells spelt NA) and loaded again."""
+    from nutrilake.plans.queries_model import scratch_dir
+    path = scratch_dir(spark, "csv")
+    level = F.when(F.col("Activity_Level").isNull() & (F.col("Age") % 2 == 0), "NA").otherwise(F.col("Activity_Level"))
+    (diet(spark, sf_dir).withColumn("Person_ID", F.expr(_ODD_ID)).withColumn("Activity_Level", level)
+     .write.option("header", True).option("escape", '"').csv(path))
+    back = loader.load_table(spark, path, fmt="csv")
+    return back.select("Person_ID", "Age", "Gender", "Activity_Level", "Diet_Type", "Health_Status",
+                       F.col("copy_no").cast("int").alias("copy_no"), *[r6(c).alias(c) for c in _RECORD_NUMBERS])
+
+
 _NA_SQL = ", ".join(G.lit(s) for s in loader.NA_STRINGS)
 
 
@@ -235,18 +292,20 @@ def _errors_sql() -> str:
             "CASE WHEN Age IS NULL THEN 'missing Age' END)")
 
 
+_RECORD_SQL = ("Person_ID AS person_id, Age AS age, Gender AS gender, Activity_Level AS activity_level, "
+               "Diet_Type AS diet_type, Health_Status AS health_status, "
+               + ", ".join(f"{sql_r6(c)} AS {c.lower()}" for c in _RECORD_NUMBERS))
 TYPED_SQL = "WITH " + diet_ctes("orders") + f"""
-SELECT Person_ID AS person_id, Age AS age, Gender AS gender, Activity_Level AS activity_level,
-       {sql_r6("Weight_kg")} AS weight_kg, {sql_r6("Fat_Intake_g")} AS fat_intake_g,
-       Diet_Type AS diet_type, Health_Status AS health_status, {_errors_sql()} AS errors
+SELECT {_RECORD_SQL}, {_errors_sql()} AS errors
 FROM diet"""
 
 
 def _flat_records(rec: DataFrame) -> DataFrame:
     return rec.select("person.person_id", "person.age", "person.gender", "person.activity_level",
-                      r6("person.weight_kg").alias("weight_kg"),
-                      r6("nutrition.fat_intake_g").alias("fat_intake_g"),
-                      "diet_type", "health_status", F.array_join("errors", ", ").alias("errors"))
+                      "diet_type", "health_status",
+                      *[r6(f"{'person' if i < 3 else 'nutrition'}.{c.lower()}").alias(c.lower())
+                        for i, c in enumerate(_RECORD_NUMBERS)],
+                      F.array_join("errors", ", ").alias("errors"))
 
 
 @query("typed_records", TYPED_SQL)
@@ -256,9 +315,7 @@ def q_typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LOAD_VALIDATED_SQL = "WITH " + diet_ctes("orders") + f""",
 t AS (SELECT *, {_errors_sql()} AS errors FROM diet)
-SELECT Person_ID AS person_id, Age AS age, Gender AS gender, Activity_Level AS activity_level,
-       {sql_r6("Weight_kg")} AS weight_kg, {sql_r6("Fat_Intake_g")} AS fat_intake_g,
-       Diet_Type AS diet_type, Health_Status AS health_status, errors
+SELECT {_RECORD_SQL}, errors
 FROM t WHERE errors = ''"""
 
 
@@ -269,9 +326,14 @@ def q_load_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_records(valid)
 
 
-@query("source_inventory")
+SOURCE_INVENTORY_SQL = "SELECT 'lineitem.parquet' AS file_name, count(*) AS rows, TRUE AS has_bytes FROM lineitem"
+
+
+@query("source_inventory", SOURCE_INVENTORY_SQL)
 def q_source_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loader.source_inventory(read_table(spark, sf_dir, "lineitem"))
+    files = loader.source_inventory(read_table(spark, sf_dir, "lineitem"))
+    return files.select(F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "rows",
+                        (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
 # ---------------------------------------------------------------- P
@@ -420,6 +482,20 @@ def q_clean_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
                                "Gender", "Activity_Level", "Diet_Type", "Health_Status")
 
 
+FIT_TRANSFORM_SQL = _prep_sql("SELECT Person_ID, " + ", ".join(
+    f"{sql_r6(c)} AS {c}" for c in S.RAW_NUMERIC_COLUMNS) + ", Gender, Activity_Level, Diet_Type FROM cl WHERE split = 'train'")
+
+
+@query("clean_fit_transform", FIT_TRANSFORM_SQL)
+def q_clean_fit_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit and apply on the training rows in one call."""
+    from nutrilake.plans.preprocess import split_raw
+    sp = split_raw(diet(spark, sf_dir), order_by=["copy_no"])
+    train = sp.where(F.col("split") == "train").drop("split")
+    _model, out = clean.Cleaner(S.RAW_NUMERIC_COLUMNS, unique_columns=[S.ID_COLUMN]).fit_transform(train)
+    return out.select("Person_ID", *[r6(c).alias(c) for c in S.RAW_NUMERIC_COLUMNS], "Gender", "Activity_Level", "Diet_Type")
+
+
 def _report_sql() -> str:
     parts = []
     for c in S.RAW_COLUMNS:

@@ -49,7 +49,7 @@ def train_model(model_type: str, prepared: Prepared, out_dir: str | None = None,
     train = frame.where(F.col("split") == "train")
     test = frame.where(F.col("split") == "test")
     model = make_model(model_type, random_state, **(hyperparameters or {}))
-    model.fit(train, "label", "features", validation=test)
+    model.fit(train, "label", "features", validation=test, n_classes=len(prepared.labels.classes))
     pred = model.predict(test)
     metrics = _metrics(pred, prepared.labels)
     model_path = labels_path = None
@@ -71,7 +71,8 @@ def cross_validate(model_type: str, prepared: Prepared, k: int = 5, random_state
     folded = materialize(stratified_folds(frame, k, prepared.target, random_state, prepared.key), "cache")
     def fit_fold(i: int) -> DataFrame:
         model = make_model(model_type, random_state, **(hyperparameters or {}))
-        model.fit(folded.where(F.col("fold") != i), "label", "features")
+        model.fit(folded.where(F.col("fold") != i), "label", "features",
+                  n_classes=len(prepared.labels.classes))
         return model.predict(folded.where(F.col("fold") == i)).select("fold", "label", "prediction")
 
     # independent folds as concurrent jobs (as MLlib's CrossValidator parallelism)

@@ -1,8 +1,8 @@
 """The person-level diet table at driver scale.
 
 ``diet_profile`` derives the 15 raw columns (plus ``copy_no``) from the
-``orders`` table with integer arithmetic only, so the *same SQL text* runs in
-Spark and in DuckDB and gives identical cells.  It grows with ``orders`` and
+``orders`` table with integer arithmetic only, so the same SQL text (but for the
+generator of copies) runs in Spark and in DuckDB and gives identical cells.  It grows with ``orders`` and
 carries real work for every operator: NULL weights and activity levels,
 outlying fat intake, and a second copy of every 50th person (duplicates).
 """
@@ -18,10 +18,7 @@ from nutrilake.sources.tables import read_table
 # clause in both engines.
 DIET_PROFILE_CTES = """
 base AS (
-  SELECT o_orderkey AS k, o_custkey AS c, o_orderpriority AS pr, 0 AS copy_no FROM {orders}
-  UNION ALL
-  SELECT o_orderkey AS k, o_custkey AS c, o_orderpriority AS pr, 1 AS copy_no FROM {orders}
-  WHERE o_orderkey % 50 = 0
+  SELECT o_orderkey AS k, o_custkey AS c, o_orderpriority AS pr, {copies} AS copy_no FROM {orders}
 ), m AS (
   SELECT k, c, pr, copy_no,
          150 + CAST(k * 7 % 450 AS DOUBLE) / 10 AS h,
@@ -57,12 +54,17 @@ FROM b
 )"""
 
 
-def diet_ctes(orders: str = "orders") -> str:
-    return DIET_PROFILE_CTES.format(orders=orders)
+# Every 50th person twice, from one scan; the generator differs by engine.
+COPIES_DUCKDB = "unnest(CASE WHEN o_orderkey % 50 = 0 THEN [0, 1] ELSE [0] END)"
+COPIES_SPARK = "explode(CASE WHEN o_orderkey % 50 = 0 THEN array(0, 1) ELSE array(0) END)"
 
 
-def diet_profile_sql(orders: str = "orders") -> str:
-    return "WITH " + diet_ctes(orders) + "\nSELECT * FROM diet"
+def diet_ctes(orders: str = "orders", copies: str = COPIES_DUCKDB) -> str:
+    return DIET_PROFILE_CTES.format(orders=orders, copies=copies)
+
+
+def diet_profile_sql(orders: str = "orders", copies: str = COPIES_SPARK) -> str:
+    return "WITH " + diet_ctes(orders, copies) + "\nSELECT * FROM diet"
 
 
 def diet_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

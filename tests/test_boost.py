@@ -66,3 +66,49 @@ def test_learns_a_separable_rule(spark, model_type):
     model = make_model(model_type, 1, n_estimators=4, max_depth=2, learning_rate=0.8).fit(df)
     acc = model.predict(df).select(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     assert acc >= 0.95
+
+
+@pytest.mark.parametrize("model_type", list(MODEL_REGISTRY))
+def test_hyper_parameters_are_honoured(spark, toy, model_type):
+    assert make_model(model_type, seed=7).random_state == make_model(model_type, random_state=7).random_state == 7
+    assert make_model(model_type, 1, seed=7, random_state=7).random_state == 7
+    with pytest.raises(ValueError, match="two different seeds"):
+        make_model(model_type, seed=7, random_state=8)
+    train, _ = toy
+    p = [[round(x, 9) for x in r[0]] for kw in ({}, {"subsample": 0.5})
+         for r in make_model(model_type, 3, **FAST, **kw).fit(train).predict_proba(train.orderBy("id")).select("probability").collect()]
+    assert p[:40] != p[40:]
+
+
+@pytest.mark.parametrize("model_type", list(MODEL_REGISTRY))
+def test_a_class_missing_from_train_keeps_its_place(spark, toy, model_type):
+    train, _ = toy
+    part = train.where("label < 3")
+    model = make_model(model_type, 1, **FAST).fit(part, n_classes=4)
+    assert all(len(r[0]) == 4 for r in model.predict_proba(train).select("probability").collect())
+
+
+def test_plan_does_not_grow_with_rounds(spark, toy):
+    from nutrilake.operators.boost import SoftmaxBoost
+    train, _ = toy
+    model = SoftmaxBoost(1, iterations=2, depth=2).fit(train)
+    one = len(model.predict_proba(train)._jdf.queryExecution().toString())
+    two = [r for r in model.nodes if r[0] < 2]
+    model.nodes = [(2 * i + r[0], *r[1:]) for i in range(250) for r in two]      # 500 rounds of 4 classes
+    scored = model.predict_proba(train)
+    assert len(scored._jdf.queryExecution().toString()) < one + 200
+    assert all(abs(sum(r[0]) - 1) < 1e-9 for r in scored.select("probability").collect())
+
+
+def test_flat_trees_score_like_mllib(spark, toy):
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from nutrilake.operators.boost import forest_scorer, tree_nodes
+    from pyspark.ml.functions import vector_to_array
+    train, _ = toy
+    tree = DecisionTreeRegressor(maxDepth=4, labelCol="label").fit(train)
+    leaves = tree.setLeafCol("leaf").transform(train)
+    value = {r[0]: r[1] for r in leaves.select("leaf", "prediction").distinct().collect()}
+    nodes = [(0, 0, i, *n) for i, n in enumerate(tree_nodes(tree, value))]
+    got = leaves.withColumn("s", forest_scorer(nodes, [0.0], 1.0)(vector_to_array("features"))[0])
+    assert got.where(F.abs(F.col("s") - F.col("prediction")) > 1e-12).count() == 0
