@@ -255,6 +255,65 @@ def long_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float
         .withColumnRenamed("_g", group)
 
 
+def bracketed_quantiles(df: DataFrame, columns: list[str], probs: list[float],
+                        accuracy: int = 10_000) -> dict[str, list[float] | None]:
+    """Exact quantiles of several numeric columns from two scans.
+
+    A sketch per column (``percentile_approx``, whose rank error is at most
+    rows / accuracy) gives two values around every wanted rank.  The second
+    scan counts what lies below the bracket, map-side, and shuffles only the
+    distinct values inside it, about 8 / accuracy of the rows (all of a column
+    with fewer than ``accuracy`` rows); the rank is then found there by running
+    totals.  What is shuffled does not grow with the
+    number of distinct values outside the brackets.
+    """
+    if not columns:
+        return {}
+    delta = 4 / accuracy            # the sketch's error, and two ranks for the interpolation
+    edges = [x for p in probs for x in (max(0.0, p - delta), min(1.0, p + delta))]
+    d = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
+    first = d.agg(*[x for i in range(len(columns)) for x in (
+        F.count(f"_c{i}").alias(f"n{i}"), F.min(f"_c{i}").alias(f"lo{i}"), F.max(f"_c{i}").alias(f"hi{i}"),
+        F.percentile_approx(f"_c{i}", edges, accuracy).alias(f"b{i}"))]).first()
+    brackets = []                     # (group, column number, low, high): columns x probs entries
+    for i in range(len(columns)):
+        if first[f"n{i}"]:
+            for j, p in enumerate(probs):
+                few = first[f"n{i}"] < accuracy
+                low = first[f"lo{i}"] if few or p - delta <= 0 else first[f"b{i}"][2 * j]
+                high = first[f"hi{i}"] if few or p + delta >= 1 else first[f"b{i}"][2 * j + 1]
+                brackets.append((i * len(probs) + j, i, low, high))
+    if not brackets:
+        return dict.fromkeys(columns)
+    cells = F.explode(F.array(*[F.when(F.col(f"_c{i}") <= high, F.struct(
+        F.lit(g).alias("_g"), F.when(F.col(f"_c{i}") >= low, F.col(f"_c{i}")).alias("_v")))
+        for g, i, low, high in brackets])).alias("_x")
+    inside = (d.select(cells).where(F.col("_x").isNotNull()).select("_x._g", "_x._v")
+              .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_w"))).persist()
+    below = {r["_g"]: r["_w"] for r in inside.where(F.col("_v").isNull()).collect()}
+    ends = []
+    for g, i, _low, _high in brackets:
+        pos = probs[g % len(probs)] * (first[f"n{i}"] - 1)
+        ends += [(g, e, int(at) - below.get(g, 0)) for e, at in enumerate((math.floor(pos), math.ceil(pos)))]
+    ranks = df.sparkSession.createDataFrame(ends, "_g int, _end int, _at long")
+    cum = running_totals(inside.where(F.col("_v").isNotNull()), ["_g"], "_v", ["_w"])
+    hits = (cum.join(bounded_broadcast(ranks), "_g")
+            .where((F.col("cum__w") - F.col("_w") <= F.col("_at")) & (F.col("_at") < F.col("cum__w")))
+            .select("_g", "_end", "_v").collect())          # columns x probs x 2 rows
+    inside.unpersist()
+    found = {(r["_g"], r["_end"]): r["_v"] for r in hits}
+    if len(found) < len(ends):
+        raise RuntimeError("a quantile lies outside its bracket")
+    out: dict[str, list[float] | None] = dict.fromkeys(columns)
+    for g, i, _low, _high in brackets:
+        a, b = found[(g, 0)], found[(g, 1)]
+        pos = probs[g % len(probs)] * (first[f"n{i}"] - 1)
+        t = pos - math.floor(pos)
+        value = b - (b - a) * (1 - t) if t >= 0.5 else a + (b - a) * t
+        out[columns[i]] = (out[columns[i]] or []) + [value]
+    return out
+
+
 def column_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                      method: str = "exact", **kw) -> dict[str, list[float] | None]:
     """Quantiles for several numeric columns in one job; returns a small

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from nutrilake import schema as S
 from nutrilake.session import current_session
-from nutrilake.functions.ordered import counted, value_counts_long, weighted_quantiles
+from nutrilake.functions.ordered import bracketed_quantiles, counted, value_counts_long
 
 
 # --------------------------------------------------------------------------
@@ -183,9 +183,10 @@ class Cleaner:
         self.unique_columns = list(unique_columns or [])
 
     def fit(self, df: DataFrame) -> CleanerModel:
-        """One job: a value-count table over every column feeds the exact
-        quartiles/medians of the numeric columns and the modes of the others
-        (the shuffle is shared), and one small result reaches the driver."""
+        """Exact quartiles and medians of the numeric columns come from two
+        scans and a shuffle of the values next to the wanted ranks
+        (``bracketed_quantiles``); the modes of the others from a value-count
+        table.  One small result per column reaches the driver."""
         numeric = [f.name for f in df.schema.fields if is_numeric_type(f.dataType)]
         unique = [f.name for f in df.schema.fields
                   if not is_numeric_type(f.dataType) and f.name in self.unique_columns]
@@ -205,25 +206,27 @@ class Cleaner:
                 if found[c]["mode"] is not None:
                     model.string_impute[c] = found[c]["mode"]
             return model
-        vc = value_counts_long(df, numeric, other, keep_nulls=False)
         if numeric:
-            num = vc.where(counted(vc, F.col("dval").isNotNull()))
+            probs = [0.25, 0.5, 0.75]
             if self.quantile_method == "approx":
-                q = num.groupBy("column").agg(F.percentile_approx("dval", [0.25, 0.5, 0.75], 10_000).alias("q"))
+                row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(c) for c in numeric]).first()
+                quartiles = {c: list(row[c]) if row[c] is not None else None for c in numeric}
             else:
-                q = weighted_quantiles(num, "column", "dval", "n", [0.25, 0.5, 0.75])
-            parts.append(q.select("column", "q", F.lit(None).cast("string").alias("mode")))
+                quartiles = bracketed_quantiles(df, numeric, probs)
         if other:
+            vc = value_counts_long(df, [], other, keep_nulls=False)
             txt = vc.where(counted(vc, F.col("sval").isNotNull()))
             modes = txt.groupBy("column").agg(F.min_by("sval", F.struct(
                 (-F.col("n")).alias("neg_n"), F.col("sval"))).alias("mode"))
             parts.append(modes.select("column", F.lit(None).cast("array<double>").alias("q"), "mode"))
-        res = parts[0]
-        for part in parts[1:]:
-            res = res.unionByName(part)
-        found = {r["column"]: r for r in res.collect()}      # one row per column
+        found = {}
+        if parts:
+            res = parts[0]
+            for part in parts[1:]:
+                res = res.unionByName(part)
+            found = {r["column"]: r for r in res.collect()}      # one row per column
         for c in numeric:
-            q = found[c]["q"] if c in found else None
+            q = quartiles[c]
             model.numeric_impute[c] = q[1] if q is not None else None
             if c in self.outlier_columns and q is not None:
                 iqr = q[2] - q[0]

@@ -9,6 +9,7 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nutrilake import schema as S
 from nutrilake.operators import drift, score, stats
@@ -51,10 +52,16 @@ class DietJobs:
         self.settings = settings
 
     # S1-S4, S7
-    def load_data(self, strict: bool = False, keep_position: bool = False) -> DataFrame:
-        raw = loader.load_table(self.spark, self.settings.raw_data_path, self.settings.sample_size,
-                                self.settings.random_state, keep_position=keep_position)
-        return loader.load_records(raw, strict=strict) if strict else raw
+    def raw_data(self, keep_position: bool = False) -> DataFrame:
+        """The table as read: numbers coerced, records not yet judged."""
+        return loader.load_table(self.spark, self.settings.raw_data_path, self.settings.sample_size,
+                                 self.settings.random_state, keep_position=keep_position)
+
+    def load_data(self, strict: bool = True) -> DataFrame:
+        """The raw columns of valid records.  An unknown activity level, diet
+        or status fails the job; with ``strict=False`` such rows are left out."""
+        raw = self.raw_data()
+        return loader.validated(raw) if strict else raw.where(F.size(loader.record_errors()) == 0)
 
     # A1
     def get_health_statistics(self, df: DataFrame | None = None) -> DataFrame:
@@ -64,7 +71,7 @@ class DietJobs:
     # T7
     def preprocess_data(self, how: str = "checkpoint") -> Prepared:
         """Dedup keeps the first row per person in file order."""
-        return prepare(self.load_data(keep_position=True), target=self.settings.target_column,
+        return prepare(self.raw_data(keep_position=True), target=self.settings.target_column,
                        test_size=self.settings.test_size, seed=self.settings.random_state,
                        order_by=[loader.SOURCE_POSITION],
                        out_dir=self.settings.processed_dir, how=how)
@@ -105,14 +112,17 @@ class DietJobs:
     def predict_health_status(self, records: DataFrame, key: str | None = None) -> DataFrame:
         """Score raw records (the source's column names, as the reference's
         facade takes them) or scoring requests (request field names: they
-        are validated first and invalid ones are left out)."""
+        are validated first; invalid ones come back with their ``errors`` and
+        without a prediction)."""
         art = score.ScoringArtifacts.load(self.spark, self.settings.processed_dir,
                                           os.path.join(self.settings.models_dir, "best"))
         keep = [key] if key else []
+        none = F.lit(None).cast("array<string>").alias("errors")
         if "Age" in records.columns:
-            return score.score(records, art, keep=keep)
-        valid, _rejected = score.validate_requests(records)
-        return score.score(score.to_raw_records(valid, keep=keep), art, keep=keep)
+            return score.score(records, art, keep=keep).withColumn("errors", none)
+        valid, rejected = score.validate_requests(records)
+        scored = score.score(score.to_raw_records(valid, keep=keep), art, keep=keep).withColumn("errors", none)
+        return scored.unionByName(rejected.select(*keep, "errors"), allowMissingColumns=True)
 
     # M12
     def get_best_model_info(self) -> dict:
@@ -120,16 +130,16 @@ class DietJobs:
 
     # S6
     def summary(self) -> DataFrame:
-        return loader.dataset_overview(self.load_data())
+        return loader.dataset_overview(self.raw_data())
 
     # P1-P8 (``get_dataset_summary``): examples in order of appearance
     def dataset_summary(self, max_examples: int = 5, outlier_iqr_factor: float = 1.5) -> DataFrame:
         from nutrilake.operators.profile import dataset_profile
-        return dataset_profile(self.load_data(keep_position=True), max_examples, outlier_iqr_factor,
+        return dataset_profile(self.raw_data(keep_position=True), max_examples, outlier_iqr_factor,
                                order_col=loader.SOURCE_POSITION)
 
     def deduplicated(self) -> DataFrame:
         """First row per person in file order."""
-        raw = self.load_data(keep_position=True)
+        raw = self.raw_data(keep_position=True)
         return drop_duplicates_first(raw, S.ID_COLUMN, [loader.SOURCE_POSITION]) \
             .drop(loader.SOURCE_POSITION)

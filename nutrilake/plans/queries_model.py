@@ -326,17 +326,17 @@ REQ_CTE = """req AS (SELECT Person_ID AS request_id,
 
 
 def _req_errors_sql() -> str:
-    g = ", ".join(G.lit(x) for x in S.GENDERS)
-    a = ", ".join(G.lit(x) for x in S.ACTIVITY_LEVELS)
-    d = ", ".join(G.lit(x) for x in S.DIET_TYPES)
+    g = ", ".join(G.lit(x) for x in G.GENDERS)
+    a = ", ".join(G.lit(x) for x in G.ACTIVITY_LEVELS)
+    d = ", ".join(G.lit(x) for x in G.DIET_TYPES)
     parts = [
-        f"CASE WHEN age IS NULL OR age <= {score.AGE_MIN_EXCLUSIVE} OR age > {score.AGE_MAX} THEN 'age must be an integer in 1..120' END",
+        f"CASE WHEN age IS NULL OR age <= 0 OR age > 120 THEN 'age must be an integer in 1..120' END",
         f"CASE WHEN gender IS NULL OR gender NOT IN ({g}) THEN 'gender must be one of Male, Female, Other' END",
         f"CASE WHEN activity_level IS NULL OR activity_level NOT IN ({a}) THEN 'activity_level is not a known level' END",
         f"CASE WHEN diet_type IS NULL OR diet_type NOT IN ({d}) THEN 'diet_type is not a known diet' END",
     ]
-    parts += [f"CASE WHEN {c} IS NULL OR {c} <= 0 THEN '{c} must be > 0' END" for c in score.POSITIVE_FIELDS]
-    parts += [f"CASE WHEN {c} IS NULL OR {c} < 0 THEN '{c} must be >= 0' END" for c in score.NON_NEGATIVE_FIELDS]
+    parts += [f"CASE WHEN {c} IS NULL OR {c} <= 0 THEN '{c} must be > 0' END" for c in G.POSITIVE_FIELDS]
+    parts += [f"CASE WHEN {c} IS NULL OR {c} < 0 THEN '{c} must be >= 0' END" for c in G.NON_NEGATIVE_FIELDS]
     return "[" + ", ".join(parts) + "]"
 
 

@@ -225,7 +225,7 @@ def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("copy_no").cast("int").alias("copy_no"), *[r6(c).alias(c) for c in _RECORD_NUMBERS])
 
 
-_NA_SQL = ", ".join(G.lit(s) for s in loader.NA_STRINGS)
+_NA_SQL = ", ".join(G.lit(s) for s in G.NA_STRINGS)
 
 
 def _text_lineitem_sql() -> str:
@@ -282,9 +282,9 @@ def q_coercion_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _errors_sql() -> str:
-    acts = ", ".join(G.lit(a) for a in S.ACTIVITY_LEVELS)
-    diets = ", ".join(G.lit(a) for a in S.DIET_TYPES)
-    stats_ = ", ".join(G.lit(a) for a in S.HEALTH_STATUSES)
+    acts = ", ".join(G.lit(a) for a in G.ACTIVITY_LEVELS)
+    diets = ", ".join(G.lit(a) for a in G.DIET_TYPES)
+    stats_ = ", ".join(G.lit(a) for a in G.HEALTH_STATUSES)
     return ("concat_ws(', ', "
             f"CASE WHEN Activity_Level IS NULL OR Activity_Level NOT IN ({acts}) THEN 'invalid Activity_Level' END, "
             f"CASE WHEN Diet_Type IS NULL OR Diet_Type NOT IN ({diets}) THEN 'invalid Diet_Type' END, "

@@ -1,14 +1,25 @@
 """DuckDB SQL text for the oracle side of the registered queries.
 
-Generated from the same constants as the Spark operators (column lists,
-vocabularies, formula constants) so the two sides cannot drift apart.
+Column lists come from the schema; every number, band and vocabulary of the
+rules is written out here once more, independent of the Spark side, so that a
+wrong constant on either side shows as a difference.
 """
 from __future__ import annotations
 
 from nutrilake import schema as S
-from nutrilake.functions import rules as R
 from nutrilake.plans.common import DIET_DD_CTES
 
+# ---- fixed values, as the reference has them ----------------------------------
+GENDERS = ["Male", "Female", "Other"]
+ACTIVITY_LEVELS = ["Sedentary", "Lightly Active", "Moderately Active", "Very Active", "Athlete"]
+DIET_TYPES = ["Balanced", "Keto", "Vegetarian", "Vegan", "High Protein", "Mediterranean"]
+HEALTH_STATUSES = ["Underweight", "Healthy", "Overweight", "Obese"]
+NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+POSITIVE_FIELDS = ["height_cm", "weight_kg", "daily_calorie_requirement", "daily_calorie_consumed"]
+NON_NEGATIVE_FIELDS = ["protein_intake_g", "carbohydrate_intake_g", "fat_intake_g", "water_intake_liters"]
+# ---------------------------------------------------------------------------------
+
 NUMERIC = S.RAW_NUMERIC_COLUMNS
 STRINGS = [c for c in S.RAW_COLUMNS if c not in S.RAW_NUMERIC_COLUMNS]
 
@@ -26,13 +37,13 @@ def lit(v) -> str:
 
 
 def age_group_sql(age: str = "Age") -> str:
-    parts = " ".join(f"WHEN {age} <= {u} THEN {lit(lbl)}" for u, lbl in S.AGE_GROUPS)
-    return f"CASE WHEN {age} IS NULL THEN NULL {parts} ELSE {lit(S.AGE_TOP_GROUP)} END"
+    return (f"CASE WHEN {age} IS NULL THEN NULL WHEN {age} <= 17 THEN 'Child' WHEN {age} <= 29 THEN 'Young Adult' "
+            f"WHEN {age} <= 59 THEN 'Adult' ELSE 'Senior' END")
 
 
 def bmi_band_sql(bmi: str = "BMI") -> str:
-    parts = " ".join(f"WHEN {bmi} < {u} THEN {lit(lbl)}" for u, lbl in S.BMI_BANDS)
-    return f"CASE WHEN {bmi} IS NULL THEN NULL {parts} ELSE {lit(S.BMI_TOP_BAND)} END"
+    return (f"CASE WHEN {bmi} IS NULL THEN NULL WHEN {bmi} < 18.5 THEN 'Underweight' WHEN {bmi} < 25.0 THEN 'Healthy' "
+            f"WHEN {bmi} < 30.0 THEN 'Overweight' ELSE 'Obese' END")
 
 
 def _offset_sql(table: dict, other: float, gender: str = "Gender") -> str:
@@ -49,12 +60,11 @@ def engineered_sql() -> dict[str, str]:
     req = "CAST(Daily_Calorie_Requirement AS DOUBLE)"
     cons = "CAST(Daily_Calorie_Consumed AS DOUBLE)"
     p, c, f = "Protein_Intake_g", "Carbohydrate_Intake_g", "Fat_Intake_g"
-    pk, ck, fk = (f"({p} * {R.KCAL_PER_G_PROTEIN!r})", f"({c} * {R.KCAL_PER_G_CARB!r})",
-                  f"({f} * {R.KCAL_PER_G_FAT!r})")
+    pk, ck, fk = f"({p} * 4.0)", f"({c} * 4.0)", f"({f} * 9.0)"
     total = f"({pk} + {ck} + {fk})"
     bmr = (f"(10 * Weight_kg + 6.25 * Height_cm - 5 * Age + "
-           f"{_offset_sql(R.BMR_OFFSET, R.BMR_OFFSET_OTHER)})")
-    ideal = f"({_offset_sql(R.IDEAL_BASE, R.IDEAL_BASE_OTHER)} + 2.3 * (Height_cm / 2.54 - 60))"
+           f"{_offset_sql({'Male': 5.0, 'Female': -161.0}, -78.0)})")
+    ideal = f"({_offset_sql({'Male': 50.0, 'Female': 45.5}, 47.75)} + 2.3 * (Height_cm / 2.54 - 60))"
     bal = f"({cons} - {req})"
     return {
         "Age_Group": age_group_sql(),
@@ -64,7 +74,7 @@ def engineered_sql() -> dict[str, str]:
         "Protein_Ratio": _ratio(pk, total),
         "Carb_Ratio": _ratio(ck, total),
         "Fat_Ratio": _ratio(fk, total),
-        "Adequate_Water_Intake": f"CAST(coalesce(Water_Intake_Liters >= {R.WATER_ADEQUATE_LITRES!r}, false) AS INTEGER)",
+        "Adequate_Water_Intake": f"CAST(coalesce(Water_Intake_Liters >= 2.0, false) AS INTEGER)",
         "BMR": bmr,
         "Activity_Calorie_Multiplier": _ratio(req, bmr),
         "Protein_per_kg_Bodyweight": _ratio(p, "Weight_kg"),

@@ -224,12 +224,8 @@ def dataset_overview(df: DataFrame, target: str = S.TARGET_COLUMN,
                     F.format_string("%.1f - %.1f", "_bmin", "_bmax").alias("bmi_range")))
 
 
-def typed_records(df: DataFrame) -> DataFrame:
-    """Nested ``person`` / ``nutrition`` structs plus enum membership.
-
-    Adds ``errors`` (ARRAY<STRING>, empty when the row is valid): unknown or
-    missing activity level, diet type or health status, missing id/age.
-    """
+def record_errors() -> Column:
+    """ARRAY<STRING>: what is wrong with a raw row, empty when it is valid."""
     checks = [
         (F.col("Activity_Level").isNull() | ~F.col("Activity_Level").isin(*S.ACTIVITY_LEVELS),
          "invalid Activity_Level"),
@@ -239,8 +235,17 @@ def typed_records(df: DataFrame) -> DataFrame:
          "invalid Health_Status"),
         (F.col("Age").isNull(), "missing Age"),
     ]
-    errors = F.filter(F.array(*[F.when(c, F.lit(msg)) for c, msg in checks]),
+    return F.filter(F.array(*[F.when(c, F.lit(msg)) for c, msg in checks]),
                       lambda e: e.isNotNull())
+
+
+def typed_records(df: DataFrame) -> DataFrame:
+    """Nested ``person`` / ``nutrition`` structs plus enum membership.
+
+    Adds ``errors`` (ARRAY<STRING>, empty when the row is valid): unknown or
+    missing activity level, diet type or health status, missing id/age.
+    """
+    errors = record_errors()
     return df.select(
         F.struct(F.col(S.ID_COLUMN).alias("person_id"), F.col("Age").cast("int").alias("age"),
                  F.col("Gender").alias("gender"), F.col("Height_cm").alias("height_cm"),
@@ -258,6 +263,14 @@ def typed_records(df: DataFrame) -> DataFrame:
     )
 
 
+def validated(df: DataFrame) -> DataFrame:
+    """The table as it is, if all its records are valid; reading an invalid
+    one fails the job."""
+    errors = record_errors()
+    return df.where(F.when(F.size(errors) == 0, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("invalid record: "), F.array_join(errors, ", ")))))
+
+
 def load_records(df: DataFrame, strict: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
     """S7 load: strict mode fails the job on the first invalid row
     (``raise_error`` inside the plan, no driver-side scan); permissive mode

@@ -31,6 +31,14 @@ def test_statistics_and_summary(jobs):
     assert prof["Gender"]["Examples"] == ["Female", "Male", "Other"] and prof["Weight_kg"]["Missing"] == 2
 
 
+def test_records_are_judged_by_default(jobs):
+    with pytest.raises(Exception, match="invalid record: invalid Activity_Level"):
+        jobs.load_data().count()
+    with pytest.raises(Exception, match="invalid record"):
+        jobs.get_health_statistics().collect()
+    assert jobs.load_data(strict=False).count() == 32
+
+
 def test_full_flow(spark, jobs):
     prep = jobs.preprocess_data(how="cache")
     assert prep.train().count() + prep.test().count() == 32
@@ -51,8 +59,9 @@ def test_full_flow(spark, jobs):
     assert dr.summary.first()["n_features_checked"] == len(prep.feature_names)
     out = jobs.predict_health_status(_reqs(spark, [REQ, dict(REQ, request_id="x", age=-5)]), key="request_id")
     rows = out.collect()
-    assert [r["request_id"] for r in rows] == ["r1"]
-    raw = jobs.load_data().drop("Person_ID", "Health_Status").limit(3)   # raw column names
+    assert {r["request_id"]: r["errors"] for r in rows} == {"r1": None, "x": ["age must be an integer in 1..120"]}
+    assert [r["predicted_health_status"] is None for r in sorted(rows, key=lambda r: r["request_id"])] == [False, True]
+    raw = jobs.raw_data().drop("Person_ID", "Health_Status").limit(3)   # raw column names
     scored = jobs.predict_health_status(raw).collect()
     assert len(scored) == 3 and all(abs(sum(r["probabilities"].values()) - 1) < 1e-9 for r in scored)
 

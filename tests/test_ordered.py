@@ -112,3 +112,19 @@ def test_collect_bounded(spark):
     assert len(collect_bounded(spark.range(5), 5)) == 5
     with pytest.raises(ValueError, match="more than 4"):
         collect_bounded(spark.range(5), 4)
+
+
+@pytest.mark.parametrize("accuracy", [8, 50, 10_000])
+def test_bracketed_quantiles_equal_numpy(spark, accuracy):
+    from nutrilake.functions.ordered import bracketed_quantiles
+    rng = np.random.RandomState(11)
+    data = {"x": rng.normal(0, 5, 4000), "ties": rng.randint(0, 4, 4000).astype(float), "one": np.full(4000, 2.5)}
+    rows = [(float(a), float(b), float(c), None, i) for i, (a, b, c) in enumerate(zip(*data.values()))]
+    rows += [(None, None, None, None, None)] * 30
+    df = spark.createDataFrame(rows, "x double, ties double, one double, none double, i int").repartition(7)
+    probs = [0.0, 0.25, 0.5, 0.731, 0.999, 1.0]
+    got = bracketed_quantiles(df, ["x", "ties", "one", "none", "i"], probs, accuracy)
+    for c in ("x", "ties", "one"):
+        assert got[c] == np.quantile(data[c], probs).tolist()
+    assert got["none"] is None and got["i"] == np.quantile(np.arange(4000), probs).tolist()
+    assert bracketed_quantiles(df.limit(0), ["x"], probs) == {"x": None}
