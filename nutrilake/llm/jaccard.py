@@ -20,15 +20,19 @@ at least m are set in the other, too.
    lost to any partner, so a class with more than floor(n/4) such bits has no
    link, and the pigeonhole needs only the rarest of the others: a passage
    that very many documents hold is no key unless it makes up most of them.
-4. Within (bit, size band) every class meets the smallest one; the pairs met
-   most are verified and give first components.
+4. Within (bit, size band) every class meets the one with the fewest bits of
+   its own.  Of those it takes the most popular as its *hub* and is compared with it on whole texts,
+   which gives first components and, per class, the members its hub has and it
+   lacks (miss) and its members that others have but the hub has not (odd).
 5. A bit whose classes all are in one component needs nothing more.  In the
-   others, pairs of classes of different components are formed if their sizes,
-   the bits they cannot share and the Hamming distance of their dense sketches
-   allow a link, and are verified on whole texts.
+   others, pairs of classes of different components are formed if lower bounds
+   of their difference allow a link: from their sizes; from the bits they cannot
+   share; for classes of one hub own + own + |miss - miss| + |odd - odd|; and the
+   Hamming distance of their dense sketches.  They are verified on whole texts.
 
 So every link joins two members of one component in the end; no pair is
-emitted for classes that are already connected.
+emitted for classes that are already connected, and of a cloud of copies too
+far from each other hardly any.
 
 Scale: one row per ~3 words is shuffled; keys, not pairs, carry the hot
 groups; texts are shuffled for surviving classes only, found by a bitmap of
@@ -40,7 +44,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nutrilake.llm.common import written
+from nutrilake.llm.common import small_batches, written
 from nutrilake.llm.components import components
 from nutrilake.llm.repeats import possible
 from nutrilake.llm.shingles import mix, shingle_sets
@@ -88,8 +92,8 @@ def _describe(batches):
 
 
 def _dense(s: np.ndarray) -> np.ndarray:
-    """Parity sketch folded to a power of two of 64-bit words, 2 bits a member."""
-    words = 1 << max(0, (2 * len(s) - 1).bit_length() - 6)
+    """Parity sketch folded to a power of two of 64-bit words, 4 bits a member or more."""
+    words = 1 << max(0, (4 * len(s) - 1).bit_length() - 6)
     out = np.zeros(words, np.uint64)
     np.bitwise_xor.at(out, ((s >> np.uint64(6)) % np.uint64(words)).astype(np.int64),
                       np.uint64(1) << (s & np.uint64(63)))
@@ -107,27 +111,29 @@ def _all_bits(batches):
                  pa.array([_dense(s) for s in sets], pa.list_(pa.int64()))], names=["node", "bits", "dense"])
 
 
-def _verify(batches):
-    """Pairs of texts -> the linked ones."""
+def _compare(batches):
+    """Pairs of texts -> how many members they share, and whether they are linked."""
     import pyarrow as pa
 
     for whole in batches:
         for batch in _slices(whole):
             texts = list(dict.fromkeys(batch.column(2).to_pylist() + batch.column(3).to_pylist()))
             sets = dict(zip(texts, shingle_sets(texts)))
-            keep = []
+            both, linked = [], []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 a, b = sets[a], sets[b]
-                keep.append(_similar(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b)))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["x", "y"]).filter(pa.array(keep))
+                both.append(len(np.intersect1d(a, b, assume_unique=True)))
+                linked.append(_similar(both[-1], len(a), len(b)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(both, pa.int64()), pa.array(linked, pa.bool_())],
+                                             names=["x", "y", "both", "linked"])
 
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose whole texts are similar enough."""
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (x, y) with ``both`` and ``linked`` from their whole texts."""
     tx = texts.select(F.col("node").alias("x"), F.col("text").alias("tx"))
     ty = texts.select(F.col("node").alias("y"), F.col("text").alias("ty"))
     return (pairs.join(tx, "x").join(ty, "y").select("x", "y", "tx", "ty")
-            .mapInArrow(_verify, "x long, y long"))
+            .mapInArrow(_compare, "x long, y long, both long, linked boolean"))
 
 
 def _folded(a: Column, words: Column) -> Column:
@@ -154,6 +160,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     A null doc_id counts only where a component has no other.  Other columns
     are ignored; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
                         F.coalesce("text", F.lit("")).alias("text"))
@@ -187,36 +194,59 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     size = whole.select(F.col("node").alias("_node"), "n")
     own = F.col("n") - F.col("m")                       # bits set in no other class
     keys = written(held.join(size, F.col("node") == F.col("_node"))
-                   .where(F.col("place") + own <= F.floor(F.col("n") / 4) + 1)
-                   .select("bit", "node", "n", "m", _band(F.col("n")).alias("band")), "keys")
-    # 4. Every class and the smallest of its bits and band; the pair met most.
-    hub = F.min("node").over(Window.partitionBy("bit", "band"))
-    met = (keys.withColumn("hub", hub).where(F.col("hub") != F.col("node")).groupBy("node", "hub")
-           .agg(F.count("*").alias("c")).groupBy("node").agg(F.max_by("hub", "c").alias("hub")))
-    first = written(_linked(met.select(F.col("node").alias("x"), F.col("hub").alias("y")), whole), "first")
-    label = components(first).select(F.col("node").alias("_node"), "label")
+                   .withColumn("place", F.col("place") + own).where(F.col("place") <= F.floor(F.col("n") / 4) + 1)
+                   .select("bit", "node", "n", "m", "place", _band(F.col("n")).alias("band")), "keys")
+    # 4. Every class and, per bit and band, the one with the fewest bits of its own, which is the likeliest
+    # to be near the others; the most popular of these is its hub.
+    least = F.min(F.struct((F.col("n") - F.col("m")).alias("own"), "node")).over(Window.partitionBy("bit", "band"))
+    met = written(keys.withColumn("hub", least["node"]).where(F.col("hub") != F.col("node")).select("node", "hub").distinct(), "met")
+    popular = met.groupBy("hub").agg(F.count("*").alias("c"))
+    choice = met.join(popular, "hub").select("node", "hub", "c").unionByName(
+        popular.select(F.col("hub").alias("node"), "hub", "c"))
+    best = written(choice.groupBy("node").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("hub")), "best")
+    first = written(_compared(best.where(F.col("node") != F.col("hub")).select(
+        F.col("node").alias("x"), F.col("hub").alias("y")), whole), "first")
+    label = components(first.where("linked")).select(F.col("node").alias("_node"), "label")
     # 5. Pairs between components, where a bit has several.
-    known = keys.join(label, F.col("node") == F.col("_node"), "left").select(
-        "bit", "node", "n", "m", "band", F.coalesce("label", "node").alias("label"))
+    n_hub = left.select(F.col("node").alias("y"), F.col("n").alias("n_hub"))
+    near_hub = first.join(n_hub, "y").select(F.col("x").alias("_node"), F.col("y").alias("hub"), "both", "n_hub")
+    hubs = near_hub.unionByName(best.where(F.col("node") == F.col("hub")).select(
+        F.col("node").alias("_node"), "hub", F.lit(None).cast("long").alias("both"), F.lit(0).cast("long").alias("n_hub")))
+    known = keys.join(label, F.col("node") == F.col("_node"), "left").drop("_node").select(
+        "bit", "node", "n", "m", "place", "band", F.coalesce("label", "node").alias("label"))
     w = Window.partitionBy("bit")
-    mixed = written(known.withColumn("lo", F.min("label").over(w)).withColumn("hi", F.max("label").over(w))
-                    .where(F.col("lo") < F.col("hi")).drop("lo", "hi"), "mixed")
+    open_keys = (known.withColumn("lo", F.min("label").over(w)).withColumn("hi", F.max("label").over(w))
+                 .where(F.col("lo") < F.col("hi")).drop("lo", "hi"))
+    own = F.when(F.col("both").isNotNull(), F.col("n") - F.col("m")).otherwise(0)
+    mixed = written(
+        open_keys.join(hubs, F.col("node") == F.col("_node"), "left")
+        .select("bit", "node", "n", "m", "place", "band", "label", "hub", own.alias("own"),
+                F.coalesce(F.col("n_hub") - F.col("both"), F.lit(0)).alias("miss"),
+                F.when(F.col("both").isNotNull(), F.col("m") - F.col("both")).otherwise(0).alias("odd")), "mixed")
+    names = [c for c in mixed.columns if c != "bit"]
     a = mixed.select("bit", F.explode(F.array("band", F.col("band") + 1)).alias("b"),
-                     *[F.col(c).alias(f"{c}_x") for c in ("node", "n", "m", "band", "label")])
-    b = mixed.select("bit", F.col("band").alias("b"),
-                     *[F.col(c).alias(f"{c}_y") for c in ("node", "n", "m", "band", "label")])
-    # a meets its own band (in order of node) and the next larger one
+                     *[F.col(c).alias(f"{c}_x") for c in names])
+    b = mixed.select("bit", F.col("band").alias("b"), *[F.col(c).alias(f"{c}_y") for c in names])
+    both = F.col("n_x") + F.col("n_y")
+    apart = (F.col("own_x") + F.col("own_y") + F.abs(F.col("miss_x") - F.col("miss_y"))
+             + F.abs(F.col("odd_x") - F.col("odd_y")))
+    # a meets its own band (in order of node) and the next larger one; linked sets share 3 (n + n) / 7 members
+    # and differ in (n + n) / 7 at most; at the first bit they share, what stands from its place on is all
+    # they can share
     could = ((F.col("label_x") != F.col("label_y"))
              & ((F.col("band_x") != F.col("band_y")) | (F.col("node_x") < F.col("node_y")))
              & (4 * F.least("n_x", "n_y") >= 3 * F.greatest("n_x", "n_y"))
-             & (7 * F.least("m_x", "m_y") >= 3 * (F.col("n_x") + F.col("n_y"))))
-    pairs = (a.join(b, ["bit", "b"]).where(could).select(F.col("node_x").alias("x"), F.col("node_y").alias("y"),
-                                                        (F.col("n_x") + F.col("n_y")).alias("both")).distinct())
+             & (7 * F.least("m_x", "m_y") >= 3 * both)
+             & (7 * (F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y")) + 1) >= 3 * both)
+             & (~F.coalesce(F.col("hub_x") == F.col("hub_y"), F.lit(False)) | (7 * apart <= both)))
+    pairs = (a.join(b, ["bit", "b"]).where(could)
+             .select(F.col("node_x").alias("x"), F.col("node_y").alias("y"), both.alias("both")).distinct())
     dense = sets.select(F.col("node").alias("_node"), "dense")
     near = (pairs.join(dense.withColumnRenamed("dense", "dx"), F.col("x") == F.col("_node")).drop("_node")
             .join(dense.withColumnRenamed("dense", "dy"), F.col("y") == F.col("_node"))
             .where(7 * _hamming(F.col("dx"), F.col("dy")) <= F.col("both")).select("x", "y"))
-    links = first.unionByName(written(_linked(near, whole), "second"))
+    second = written(_compared(near, whole), "second")
+    links = first.where("linked").select("x", "y").unionByName(second.where("linked").select("x", "y"))
     final = components(links).select(F.col("node").alias("_node"), "label")
     # Back to documents: the smallest doc_id of each component.
     marked = written(classes.join(final, F.col("node") == F.col("_node"), "left")
