@@ -160,6 +160,12 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     A null doc_id counts only where a component has no other.  Other columns
     are ignored; an empty table gives no rows.
     """
+    return _labelled(docs).drop("label")
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    """``similar_documents`` with ``label``, which is unique to the component:
+    component_id is not where doc_ids repeat or are null.  Null without words."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
@@ -254,27 +260,28 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     least = (marked.groupBy("label").agg(F.min("class_id").alias("component_id"))
              .withColumnRenamed("label", "_label"))
     named = marked.join(least, F.col("label") == F.col("_label")).select(
-        *[F.col(c).alias(f"_{c}") for c in kinds], "class_id", "component_id")
+        *[F.col(c).alias(f"_{c}") for c in kinds], "class_id", "component_id", "label")
     return (described.drop("bits").join(named, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))
                                         & (F.col("n") == F.col("_n")), "left")
             .select("doc_id", "th", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label"))
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row of
-    its smallest doc_id stays (one row, should that doc_id repeat); every
-    document without words stays."""
-    found = similar_documents(docs)
-    keep = (found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("component_id").alias("_id")).agg(F.min("th").alias("_th")))
+    its smallest doc_id stays (one row, should it hold that doc_id twice; a null
+    doc_id only if it has no other).  Components are told apart by their links,
+    not by doc_id.  Every document without words stays."""
+    keep = (_labelled(docs).where(F.col("n_shingles") > 0).groupBy("label")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("e"))
+            .select(F.col("e.doc_id").alias("_id"), F.col("e.th").alias("_th")))
     th = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     columns = [docs[f"`{c}`"] for c in docs.columns]
     words = F.coalesce(docs["text"], F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     rest = [F.col(f"`{c}`").cast("string") for c in docs.columns if c not in ("doc_id", "text")]
-    one = Window.partitionBy("doc_id").orderBy(*rest or [F.lit(0)])
+    one = Window.partitionBy("doc_id", "_near_th").orderBy(*rest or [F.lit(0)])
     stay = (docs.where(words).join(keep, docs["doc_id"].eqNullSafe(F.col("_id")) & (th == F.col("_th")))
-            .select(*columns).withColumn("_near_n", F.row_number().over(one))
-            .where(F.col("_near_n") == 1).drop("_near_n"))
+            .select(*columns, F.col("_th").alias("_near_th")).withColumn("_near_n", F.row_number().over(one))
+            .where(F.col("_near_n") == 1).drop("_near_n", "_near_th"))
     return stay.unionByName(docs.where(~words).select(*columns))

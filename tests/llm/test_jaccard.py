@@ -79,6 +79,18 @@ def test_one_per_component(make_docs, rows):
     assert len(got) == len(empty) + len({c for _, n, c in want if n} )
 
 
+def test_one_row_of_every_component_whatever_its_ids(make_docs, words):
+    a, b, c, d, e = (words(80_000 + i, 60) for i in range(5))
+    rows = [(None, a), (None, b), (None, b + " end"), (None, c), (7, c + " end"),     # null ids: a, b unlinked
+            (5, d), (5, e), (5, e), (5, e + " end"), (9, e), (None, ""), (None, None)]  # one id, unlinked texts
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.one_per_component(make_docs(rows)).collect()), key=repr)
+    ids = [k for k, t in kept if t]
+    assert sorted(ids, key=repr) == [5, 5, 7, None, None]
+    texts = {t for k, t in kept if t}
+    assert {a, d, c + " end"} <= texts and len(texts & {b, b + " end"}) == len(texts & {e, e + " end"}) == 1
+    assert [k for k, t in kept if not t] == [None, None]
+
+
 def test_empty_table(make_docs):
     assert jaccard.similar_documents(make_docs([])).count() == 0
     assert jaccard.one_per_component(make_docs([])).count() == 0
