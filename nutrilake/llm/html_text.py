@@ -53,30 +53,79 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?P<close>>|\Z)"""
     r"|(?P<text>[^<]+|<)", re.DOTALL)
-ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+NAMED = re.compile(r"(?:class|id|role)\s*=", re.IGNORECASE)     # may hold one of the attributes read here
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1|\Z)|<[a-z/!?][^>]*(?:>|\Z)|\s+", re.DOTALL | re.IGNORECASE)
+HOLDS_MAIN = re.compile(r"""<(?:article|main)[\s/>]|\srole\s*=\s*["']?(?:article|main)\b""", re.IGNORECASE)
+
+
+def attributes(attrs: str) -> dict[str, str]:
+    """Attributes of a tag; the first of a name counts, values are not searched."""
+    named: dict[str, str] = {}
+    if NAMED.search(attrs):
+        for m in ATTRIBUTE.finditer(attrs):
+            named.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    return named
 
 
 class Node:
-    __slots__ = ("tag", "sig", "skip", "main", "header", "kids")
+    """``skip``: not of the article, by its tag, its role or a whole class name or id.  ``soft``: only a
+    part of a name says so, which is believed of small nodes alone (see ``_settle``)."""
+
+    __slots__ = ("tag", "sig", "skip", "soft", "main", "header", "kids")
 
     def __init__(self, tag: str, attrs: str = ""):
-        named = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attrs)} if attrs else {}
+        named = attributes(attrs)
         kind = named.get("class", "").split()
-        words = set(kind) | set(re.split(r"[\s_-]+", f"{named.get('class', '')} {named.get('id', '')}"))
+        names = {*kind, named.get("id", "").strip()}
+        words = set(re.split(r"[\s_-]+", " ".join(names))) if named else names
         role = named.get("role", "")
         self.tag = tag
         self.sig = tag + "".join(f".{c}" for c in sorted(kind))
-        self.skip = tag in SKIP_TAGS or bool(words & SKIP_WORDS) or role in SKIP_ROLES
-        self.header = tag == "header" or "header" in words
         self.main = 2 if tag == "article" or role == "article" else 1 if tag == "main" or role == "main" else 0
+        self.skip = False
+        page = tag in ("html", "body")
+        if not page and (tag in SKIP_TAGS or not names.isdisjoint(SKIP_WORDS) or role in SKIP_ROLES):
+            self.drop()
+        plain = not page and not self.main
+        self.soft = plain and not self.skip and not words.isdisjoint(SKIP_WORDS)
+        self.header = 0 if not plain else 2 if tag == "header" or "header" in names else 1 if "header" in words else 0
         self.kids: list = []
 
+    def drop(self) -> None:
+        """Leave the node out; it is never aligned with one that stays."""
+        if not self.skip:
+            self.skip = True
+            self.sig += "!"
+
+
+def _settle(root: Node) -> None:
+    """Drop the soft nodes but those that hold an article or main element or most of the page's text."""
+    order = [root]
+    for node in order:
+        if not node.skip:
+            order += [k for k in node.kids if isinstance(k, Node)]
+    chars: dict[int, int] = {}
+    holds: set[int] = set()
+    for node in reversed(order):
+        kids = [] if node.skip else node.kids
+        chars[id(node)] = sum(len("".join(k.split())) if isinstance(k, str) else chars[id(k)] for k in kids)
+        if any(isinstance(k, Node) and not k.skip and (k.main or id(k) in holds) for k in kids):
+            holds.add(id(node))
+    for node in order:
+        if node.soft and id(node) not in holds and 2 * chars[id(node)] <= chars[id(root)]:
+            node.drop()
+
+
+def _seen(page: str) -> int:
+    return len(UNSEEN.sub("", page))
+
 
 def parse(page: str) -> Node:
     """A tolerant DOM: block elements are nodes, inline ones are transparent
     (their text belongs to the block), a tag cut off by the end is dropped."""
     root = Node("#root")
-    stack, inline, at = [root], [], 0
+    stack, at, soft, seen = [root], 0, False, None
     while at < len(page):
         m = TOKEN.match(page, at)
         at = m.end()
@@ -95,22 +144,32 @@ def parse(page: str) -> Node:
                     del stack[i:]
                     break
             continue
-        if tag in INLINE_TAGS and not ATTRIBUTE.search(m["attrs"]):
+        if tag in INLINE_TAGS and not NAMED.search(m["attrs"]):
             continue
         if tag == "br":
             stack[-1].kids.append(" ")
             continue
+        node = Node(tag, m["attrs"])
         if tag not in INLINE_TAGS:
             for i in range(len(stack) - 1, 0, -1):      # omitted end tags
                 if stack[i].tag == "p" or stack[i].tag in ENDS.get(tag, ()):
                     del stack[i:]
                 elif stack[i].tag in LISTS and tag != "body":
                     break
-        elif not Node(tag, m["attrs"]).skip:
+        elif not node.skip and not node.soft:
             continue                                     # inline and not boilerplate: transparent
-        node = Node(tag, m["attrs"])
+        elif node.soft:
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
+            inner = page[at:end.start()] if end else ""
+            seen = _seen(page) if seen is None else seen
+            if not end or HOLDS_MAIN.search(inner) or 2 * _seen(inner) > seen:
+                continue
+            node.drop()
         if node.header and not any(n.main for n in stack):   # the page's, not the article's
-            node.skip = True
+            if node.header == 2:
+                node.drop()
+            node.soft = not node.skip
+        soft |= node.soft
         stack[-1].kids.append(node)
         if tag in RAW_TAGS:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
@@ -124,6 +183,8 @@ def parse(page: str) -> Node:
         elif tag in INLINE_TAGS:                         # a skipped inline element: drop to its end tag
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else at
+    if soft:
+        _settle(root)
     return root
 
 

@@ -30,6 +30,32 @@ def test_broken_pages():
     assert text("<div>" * 300 + "deep" + "</div>" * 300) == "deep"
 
 
+def test_a_part_of_a_name_drops_no_page():
+    for page in ("<body class='has-sidebar'><p>Text.</p></body>", "<div id=page class='with-cookie-banner'><p>Text.</p></div>",
+                 "<article class='post no-comments'>Text.</article>", "<main class='layout-sidebar-left'>Text.</main>",
+                 "<html class='no-menu'><body class='menu widget'>Text.</body></html>", "<body class='has-header'><p>Text.</p>",
+                 "<div class='page-widget'><article>Text.</article></div><p>outside, and longer than the article</p>",
+                 "<span class='main-widget'>Text.</span>"):
+        assert text(page) == "Text.", page
+    assert text("<div class='site-menu'>menu</div><div class=page>Text of the page.</div>") == "Text of the page."
+    assert text("<div class='site_header'>name</div><span class='ad-x'>ad</span><p>Text of the page.</p>") == "Text of the page."
+    assert text("<div class=post><div class='post-comments'><article class=comment>yes</article></div>Text of it.</div>") == "Text of it."
+
+
+def test_values_of_other_attributes_are_not_read():
+    for tag in ("p data-id='comment'", "div data-role=form", "p title='the class=ad of'", "p data-x='a' data-class=menu", "p id=''"):
+        assert text(f"<article><{tag}>Text.</article>") == "Text.", tag
+    assert text('<article><p>One <a href="/x?id=menu">link</a> and <a href=/x?id=menu>two</a>.</article>') == "One link and two."
+    assert text("<article>Text.<p ID = 'Comments' >no</p><p x=1 Class=ad>no</p><p class=\"ad\"id=b>no</p></article>") == "Text."
+
+
+def test_a_name_that_is_dropped_on_some_pages_only(spark):
+    light = lambda i: f"<div class='top-menu'>menu {i}</div><article>Text of page {i}.</article>"
+    heavy = "<div class='top-menu'><article>Kept.</article><p>outside</p></div>"
+    out = extract(spark, [(i, f"http://h.example/{i}", light(i)) for i in range(9)] + [(99, "http://h.example/99", heavy)])
+    assert out[(3, "http://h.example/3")] == "Text of page 3." and out[(99, "http://h.example/99")] == "Kept."
+
+
 def test_trees_are_aligned_in_order():
     a = fold(parse("<div class=x>1</div><p>a</p><div class=y>same</div>"))
     merge(a, fold(parse("<p>b</p><p>c</p><table></table><div class=y>same</div>")))
