@@ -7,11 +7,14 @@ is the same on all of them.  The template then tells where the article of this
 host's pages is (its content region) and which nodes inside it are constant,
 that is, part of the template.
 
-Scale: every task folds its pages into one template per host, so a host with a
-third of all pages adds one template per task, not its pages; templates, which
-grow with the number of different layouts and not of pages, are merged per
-host.  Pages meet their host's template in a join whose hot hosts Spark can
-split, and are cut on their own.  Nothing is collected.
+Scale: a node is signed by its tag and those of its class names that recur on
+its host's pages (counted first), so names of single pages add no nodes.  Every
+task folds its pages into one template per host, so a host with a third of all
+pages adds one template per task, not its pages.  Templates grow with the
+number of different layouts; they are merged per host in two steps, and a
+host's is one string.  Pages meet their host's template in a join whose hot
+hosts Spark can split, and are cut on their own.  Trees are walked without
+recursion.  Nothing is collected.
 """
 from __future__ import annotations
 
@@ -74,14 +77,14 @@ class Node:
 
     __slots__ = ("tag", "sig", "skip", "soft", "main", "header", "kids")
 
-    def __init__(self, tag: str, attrs: str = ""):
+    def __init__(self, tag: str, attrs: str = "", known: frozenset | None = None):
         named = attributes(attrs)
         kind = named.get("class", "").split()
         names = {*kind, named.get("id", "").strip()}
         words = set(re.split(r"[\s_-]+", " ".join(names))) if named else names
         role = named.get("role", "")
         self.tag = tag
-        self.sig = tag + "".join(f".{c}" for c in sorted(kind))
+        self.sig = tag + "".join(f".{c}" for c in sorted(kind) if known is None or c in known)
         self.main = 2 if tag == "article" or role == "article" else 1 if tag == "main" or role == "main" else 0
         self.skip = False
         page = tag in ("html", "body")
@@ -121,9 +124,10 @@ def _seen(page: str) -> int:
     return len(UNSEEN.sub("", page))
 
 
-def parse(page: str) -> Node:
+def parse(page: str, known: frozenset | None = None) -> Node:
     """A tolerant DOM: block elements are nodes, inline ones are transparent
-    (their text belongs to the block), a tag cut off by the end is dropped."""
+    (their text belongs to the block), a tag cut off by the end is dropped.
+    ``known``: the class names that sign a node; all of them if None."""
     root = Node("#root")
     stack, at, soft, seen = [root], 0, False, None
     while at < len(page):
@@ -149,7 +153,7 @@ def parse(page: str) -> Node:
         if tag == "br":
             stack[-1].kids.append(" ")
             continue
-        node = Node(tag, m["attrs"])
+        node = Node(tag, m["attrs"], known)
         if tag not in INLINE_TAGS:
             for i in range(len(stack) - 1, 0, -1):      # omitted end tags
                 if stack[i].tag == "p" or stack[i].tag in ENDS.get(tag, ()):
@@ -195,16 +199,22 @@ SIG, PAGES, TEXT, CHARS, FLAGS, KIDS = range(6)
 
 def fold(node: Node) -> list:
     """The template of one page: neighbouring siblings of one signature are one node."""
-    own = " ".join("".join(k for k in node.kids if isinstance(k, str)).split())
-    out = [node.sig, 1, _digest(own) if own else "", len(own), node.skip + (0, 4, 2)[node.main], []]
-    for kid in node.kids:
-        if isinstance(kid, Node):
-            small = fold(kid)
-            if out[KIDS] and out[KIDS][-1][SIG] == small[SIG]:
-                merge(out[KIDS][-1], small, same_page=True)
-            else:
-                out[KIDS].append(small)
-    return out
+    order = [node]
+    for one in order:
+        order += [k for k in one.kids if isinstance(k, Node)]
+    done: dict[int, list] = {}
+    for one in reversed(order):
+        own = " ".join("".join(k for k in one.kids if isinstance(k, str)).split())
+        out = [one.sig, 1, _digest(own) if own else "", len(own), one.skip + (0, 4, 2)[one.main], []]
+        for kid in one.kids:
+            if isinstance(kid, Node):
+                small = done.pop(id(kid))
+                if out[KIDS] and out[KIDS][-1][SIG] == small[SIG]:
+                    merge(out[KIDS][-1], small, same_page=True)
+                else:
+                    out[KIDS].append(small)
+        done[id(one)] = out
+    return done[id(node)]
 
 
 def _digest(text: str) -> str:
@@ -212,19 +222,18 @@ def _digest(text: str) -> str:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
-def _matched(a: list, b: list) -> int:
-    """Simple tree matching: nodes in the largest order-keeping match of two trees."""
-    if a[SIG] != b[SIG]:
-        return 0
-    return 1 + _align(a[KIDS], b[KIDS])[0]
-
-
-def _align(xs: list, ys: list) -> tuple[int, list[tuple[int, int]]]:
+def _aligning(xs: list, ys: list):
+    """Simple tree matching: the largest order-keeping match of two lists of trees, as (nodes, pairs).
+    Yields the lists of children whose match it needs next."""
     if [x[SIG] for x in xs] == [y[SIG] for y in ys]:
         pairs = [(i, i) for i in range(len(xs))]
         return len(pairs), pairs
     best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    score = [[_matched(x, y) for y in ys] for x in xs]
+    score = []
+    for x in xs:
+        score.append([])
+        for y in ys:
+            score[-1].append(1 + (yield x[KIDS], y[KIDS])[0] if x[SIG] == y[SIG] else 0)
     for i in range(1, len(xs) + 1):
         for j in range(1, len(ys) + 1):
             best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + score[i - 1][j - 1])
@@ -240,28 +249,74 @@ def _align(xs: list, ys: list) -> tuple[int, list[tuple[int, int]]]:
     return best[len(xs)][len(ys)], pairs[::-1]
 
 
+def _align(xs: list, ys: list) -> tuple[int, list[tuple[int, int]]]:
+    steps, found = [_aligning(xs, ys)], None
+    while steps:
+        try:
+            wanted = steps[-1].send(found)
+            steps.append(_aligning(*wanted))
+            found = None
+        except StopIteration as done:
+            steps.pop()
+            found = done.value
+    return found
+
+
 def merge(a: list, b: list, same_page: bool = False) -> None:
     """Merge tree ``b`` into the template ``a`` (equal signatures)."""
-    if same_page:
-        a[TEXT] = _digest(f"{a[TEXT]} {b[TEXT]}") if a[TEXT] is not None and b[TEXT] is not None else None
-    else:
-        a[PAGES] += b[PAGES]
-        if a[TEXT] != b[TEXT]:
-            a[TEXT] = None
-    a[CHARS] += b[CHARS]
-    a[FLAGS] |= b[FLAGS]
-    kids, last = [], (0, 0)
-    for i, j in [*_align(a[KIDS], b[KIDS])[1], (len(a[KIDS]), len(b[KIDS]))]:
-        kids += a[KIDS][last[0]:i] + b[KIDS][last[1]:j]
-        if i < len(a[KIDS]):
-            merge(a[KIDS][i], b[KIDS][j], same_page)
-            kids.append(a[KIDS][i])
-        last = (i + 1, j + 1)
-    a[KIDS] = kids
+    todo = [(a, b)]
+    while todo:
+        a, b = todo.pop()
+        if same_page:
+            a[TEXT] = _digest(f"{a[TEXT]} {b[TEXT]}") if a[TEXT] is not None and b[TEXT] is not None else None
+        else:
+            a[PAGES] += b[PAGES]
+            if a[TEXT] != b[TEXT]:
+                a[TEXT] = None
+        a[CHARS] += b[CHARS]
+        a[FLAGS] |= b[FLAGS]
+        kids, last = [], (0, 0)
+        for i, j in [*_align(a[KIDS], b[KIDS])[1], (len(a[KIDS]), len(b[KIDS]))]:
+            kids += a[KIDS][last[0]:i] + b[KIDS][last[1]:j]
+            if i < len(a[KIDS]):
+                todo.append((a[KIDS][i], b[KIDS][j]))
+                kids.append(a[KIDS][i])
+            last = (i + 1, j + 1)
+        a[KIDS] = kids
+
+
+def dump(tree: list) -> str:
+    """JSON of the nodes in order, each with the number of its children in their place (json recurses)."""
+    flat, todo = [], [tree]
+    while todo:
+        node = todo.pop()
+        flat.append([*node[:KIDS], len(node[KIDS])])
+        todo += reversed(node[KIDS])
+    return json.dumps(flat)
+
+
+def load(text: str) -> list:
+    flat = json.loads(text)
+    opened = []
+    for node in flat:
+        n, node[KIDS] = node[KIDS], []
+        if opened:
+            opened[-1][0][KIDS].append(node)
+            opened[-1][1] -= 1
+        opened.append([node, n])
+        while opened and not opened[-1][1]:
+            opened.pop()
+    return flat[0]
 
 
 def _chars(node: list) -> int:
-    return 0 if node[FLAGS] & 1 else node[CHARS] + sum(_chars(k) for k in node[KIDS])
+    total, todo = 0, [node]
+    while todo:
+        node = todo.pop()
+        if not node[FLAGS] & 1:
+            total += node[CHARS]
+            todo += node[KIDS]
+    return total
 
 
 def region(template: list) -> list[list]:
@@ -269,17 +324,15 @@ def region(template: list) -> list[list]:
     else the deepest node that holds most of the text outside boilerplate."""
     for flag in (2, 4):
         found: list[list] = []
-
-        def look(node: list) -> None:
+        todo = [template]
+        while todo:
+            node = todo.pop()
             if node[FLAGS] & 1:
-                return
+                continue
             if node[FLAGS] & flag:
                 found.append(node)
-                return
-            for kid in node[KIDS]:
-                look(kid)
-
-        look(template)
+            else:
+                todo += reversed(node[KIDS])
         if any(_chars(n) for n in found):
             return found
     node = template
@@ -291,9 +344,9 @@ def region(template: list) -> list[list]:
         node = heavy[0]
 
 
-def main_text(page: str, template: list | None, distinct_pages: int) -> str:
+def main_text(page: str, template: list | None, distinct_pages: int, known: frozenset | None = None) -> str:
     """Blocks of the article of one page, joined by newlines."""
-    root = parse(page)
+    root = parse(page, known)
     own = fold(root)
     wrapper = template if template is not None and template[SIG] == own[SIG] else own
     spots = {id(n) for n in region(wrapper)}
@@ -321,22 +374,25 @@ def main_text(page: str, template: list | None, distinct_pages: int) -> str:
         if text:
             blocks.append(text)
 
-    def walk(node: Node, slot: list | None, inside: bool) -> None:
-        """slot: the wrapper's node for this one, if any."""
-        if node.skip or slot is not None and id(slot) in constant:
-            return
-        inside = inside or slot is not None and id(slot) in spots
-        slots = _slots(node, slot)
-        flush()
-        for kid in node.kids:
-            if isinstance(kid, str):
-                if inside:
-                    line.append(kid)
-            else:
-                walk(kid, slots.get(id(kid)), inside)
-        flush()
+    # Nodes with the wrapper's node for them, if any, and whether they are inside; loose text; None to end a block.
+    todo: list = [(root, wrapper, False)]
+    while todo:
+        at = todo.pop()
+        if at is None:
+            flush()
+        elif isinstance(at, str):
+            line.append(at)
+        else:
+            node, slot, inside = at
+            if node.skip or slot is not None and id(slot) in constant:
+                continue
+            inside = inside or slot is not None and id(slot) in spots
+            slots = _slots(node, slot)
+            flush()
+            todo.append(None)
+            todo += [k if isinstance(k, str) else (k, slots.get(id(k)), inside)
+                     for k in reversed(node.kids) if inside or not isinstance(k, str)]
 
-    walk(root, wrapper, False)
     if not blocks and wrapper is not own:      # another layout than its host's: judged alone
         return main_text(page, None, 0)
     return "\n".join(blocks)
@@ -364,23 +420,35 @@ def host_of(url: Column) -> Column:
         url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _induce(batches):
+def _names(text: str | None, cache: dict) -> frozenset | None:
+    if text is None:
+        return None
+    if text not in cache:
+        if len(cache) > 500:
+            cache.clear()
+        cache[text] = frozenset(text.split())
+    return cache[text]
+
+
+def _partial(found):
     import pyarrow as pa
 
-    def emit(found):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(found)), pa.array([json.dumps(t) for t, _ in found.values()], pa.string()),
-             pa.array([sorted(s) for _, s in found.values()], pa.list_(pa.string()))],
-            names=["host", "template", "seen"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array([h for h, _, _ in found], pa.string()), pa.array([dump(t) for _, t, _ in found], pa.string()),
+         pa.array([sorted(s)[:MIN_PAGES] for _, _, s in found], pa.list_(pa.string()))],
+        names=["host", "template", "seen"])
+
 
+def _induce(batches):
     found: dict[str, tuple[list, set]] = {}
+    cache: dict[str, frozenset] = {}
     for batch in batches:
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for host, page, names in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             page = page.as_py()
-            tree, digest = fold(parse(page)), _digest(page)
+            tree, digest = fold(parse(page, _names(names.as_py(), cache))), _digest(page)
             if host not in found:
                 if len(found) >= FLUSH_HOSTS:
-                    yield emit(found)
+                    yield _partial([(h, *f) for h, f in found.items()])
                     found = {}
                 found[host] = (tree, {digest})
             else:
@@ -390,30 +458,49 @@ def _induce(batches):
                 if len(seen) > MIN_PAGES:     # the smallest few tell whether there are enough
                     seen.remove(max(seen))
     if found:
-        yield emit(found)
+        yield _partial([(h, *f) for h, f in found.items()])
 
 
 def _combine(table):
     import pyarrow as pa
 
     template, seen = None, set()
-    for text, own in zip(table.column("template").to_pylist(), table.column("seen").to_pylist()):
-        tree = json.loads(text)
+    for text, own in zip(table.column("template"), table.column("seen").to_pylist()):
+        tree = load(text.as_py())
         seen.update(own)
         if template is None:
             template = tree
         else:
             merge(template, tree)
-    return pa.table({"host": [table.column("host")[0].as_py()], "template": [json.dumps(template)],
-                     "n_distinct": pa.array([min(len(seen), MIN_PAGES)], pa.int32())})
+    return pa.Table.from_batches([_partial([(table.column("host")[0].as_py(), template, seen)])])
+
+
+def class_names(pages: DataFrame) -> DataFrame:
+    """(host, names) of hosts with MIN_PAGES pages or more: the class names that stand on two pages and on
+    one in a hundred, so that their number follows from a page's names and not from the number of pages."""
+    found = F.regexp_extract_all("html", F.lit(r"""(?i)\bclass\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""), F.lit(1))
+    names = F.array_distinct(F.split(F.lower(F.translate(F.array_join(found, " "), "\"'", "  ")), r"\s+"))
+    counts = (pages.select("host", F.explode(names).alias("name")).where(F.col("name") != "")
+              .groupBy("host", "name").agg(F.count("*").alias("n")).where(F.col("n") >= 2))
+    hosts = pages.groupBy("host").agg(F.count("*").alias("total")).where(F.col("total") >= MIN_PAGES)
+    often = (counts.join(hosts, "host").where(100 * F.col("n") >= F.col("total")).groupBy("host")
+             .agg(F.array_join(F.sort_array(F.collect_list("name")), " ").alias("names")))
+    return (hosts.join(often.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left")
+            .select("host", F.coalesce("names", F.lit("")).alias("names")))
 
 
 def induce_templates(pages: DataFrame) -> DataFrame:
-    """(host, template, n_distinct) from pages (host, html): aligned per task
-    and host, then merged per host."""
-    partial = (pages.where(F.col("html").isNotNull() & (F.col("html") != "")).select("host", "html")
-               .mapInArrow(_induce, "host string, template string, seen array<string>"))
-    return partial.groupBy("host").applyInArrow(_combine, "host string, template string, n_distinct int")
+    """(host, template, names, n_distinct) from pages (host, html): aligned per task
+    and host, then merged per host in two steps."""
+    some = pages.where(F.col("html").isNotNull() & (F.col("html") != "")).select("host", "html")
+    names = written(class_names(some), "names").select(F.col("host").alias("_host"), "names")
+    kinds = "host string, template string, seen array<string>"
+    merged = (some.join(names, F.col("host") == F.col("_host"), "left").select("host", "html", "names")
+              .mapInArrow(_induce, kinds).withColumn("part", F.pmod(F.xxhash64("template"), F.lit(64)))
+              .groupBy("host", "part").applyInArrow(_combine, kinds)
+              .groupBy("host").applyInArrow(_combine, kinds))
+    return (merged.join(names, F.col("host") == F.col("_host"), "left")
+            .select("host", "template", "names", F.size("seen").alias("n_distinct")))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -426,7 +513,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     small_batches(pages.sparkSession)
     p = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     templates = written(induce_templates(p), "templates")
-    t = templates.select(F.col("host").alias("_host"), "template", "n_distinct")
+    t = templates.select(F.col("host").alias("_host"), "template", "names", "n_distinct")
     kinds = {f.name: f.dataType.simpleString() for f in p.schema}
     schema = f"page_id {kinds['page_id']}, url string, text string, n_chars long"
 
@@ -434,19 +521,21 @@ def extract_text(pages: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         loaded: dict[str, list] = {}
+        cache: dict[str, frozenset] = {}
         for batch in batches:
             texts = []
-            for page, template, n in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist()):
+            for page, template, n, names in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(),
+                                                batch.column(5)):
                 page, template = page.as_py(), template.as_py()
                 if template is not None and template not in loaded:
                     if len(loaded) > 500:
                         loaded.clear()
-                    loaded[template] = json.loads(template)
-                texts.append(main_text(page, loaded.get(template), n or 0) if page else "")
+                    loaded[template] = load(template)
+                texts.append(main_text(page, loaded.get(template), n or 0, _names(names.as_py(), cache)) if page else "")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(x) for x in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    return (p.join(t, p["host"] == t["_host"], "left").select("page_id", "url", "html", "template", "n_distinct")
+    return (p.join(t, p["host"] == t["_host"], "left").select("page_id", "url", "html", "template", "n_distinct", "names")
             .mapInArrow(cut, schema))

@@ -101,3 +101,25 @@ def test_empty_table_and_extra_columns(spark):
 def test_templates_are_plain_data():
     tree = fold(parse("<article><p>x</p></article>"))
     assert json.loads(json.dumps(tree)) == tree
+
+
+def test_names_of_single_pages_add_no_template_nodes(spark):
+    page = (lambda i: f"<body class='postid-{i} single'><div class='top t{i}'>Our site</div><article class='post post-{i}'>"
+            f"<p>First of {i}.</p><div class=more>Read the rules</div><p>Second of {i}.</p></article></body>")
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(120)]
+    df = spark.createDataFrame([("h", r[2]) for r in rows] + [("one", page(1))], "host string, html string").repartition(3)
+    sizes = {r.host: (len(json.loads(r.template)), r.n_distinct) for r in html_text.induce_templates(df).collect()}
+    assert sizes == {"h": (7, 5), "one": (7, 1)}
+    assert set(extract(spark, rows).items()) == {((i, u), f"First of {i}.\nSecond of {i}.") for i, u, _ in rows}
+
+
+def test_deep_pages(spark):
+    deep = lambda i: "<article>" + "<div>" * 3000 + f"<p>Text {i}.</p>"
+    assert text(deep(0)) == "Text 0."
+    out = extract(spark, [(i, f"http://h.example/{i}", deep(i)) for i in range(6)])
+    assert sorted(out.values()) == [f"Text {i}." for i in range(6)]
+
+
+def test_dumped_templates_load_again():
+    tree = fold(parse("<article><p>x</p><div><ul><li>y</ul></div><table></table></article><div></div>"))
+    assert html_text.load(html_text.dump(tree)) == tree
