@@ -5,8 +5,9 @@ the number of documents that hold it and the largest doc_id among them.  Runs
 are bucketed by hash and sorted inside each bucket.  A new batch of documents
 adds one run at level 0; when a level has two runs they are merged, bucket by
 bucket, into one run of the next level, so n batches leave at most log2(n)
-runs and every row is rewritten log2(n) times.  Lines are dropped by a merge
-anti-join with the runs.
+runs and every row is rewritten log2(n) times.  Lines are dropped by an
+inner join with the keys that enough documents hold; the merge anti-join of
+``novel_lines`` tells the new lines of a batch and is used by no query.
 
 Scale: the lines of a batch are counted with map-side combine, so a line that
 a third of all documents hold costs one row per task.  Runs meet each other
