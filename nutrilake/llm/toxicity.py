@@ -14,7 +14,7 @@ not.  Training, on labelled rows only:
 A score is sigmoid(bias + sum of weight * r over the features present), so a
 text of any length is judged whole and an empty text scores by the bias.
 
-Scale: labelled rows are sampled by hash down to about ``MAX_TRAIN_ROWS``
+Scale: labelled rows are sampled by class and hash down to about ``MAX_TRAIN_ROWS``
 (the documented bound of the fit), so counting, the model and what the driver
 holds do not grow with the corpus.  Scoring is one narrow pass over all texts;
 most n-grams are turned away by a bit table that fits the cache.
@@ -43,6 +43,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def sample_sizes(pos: int, neg: int, max_rows: int) -> tuple[int, int]:
+    """Rows of either class in the sample: toxic ones up to half the bound, or more if others are few."""
+    toxic = min(pos, max(max_rows // 2, max_rows - neg))
+    return toxic, min(neg, max_rows - toxic)
+
+
+def hash_cut(rows: int, total: int) -> int:
+    """The largest 64-bit hash taken when about ``rows`` of ``total`` rows are wanted."""
+    return max(-(1 << 63), -(1 << 63) + (1 << 64) * rows // max(1, total) - 1)
+
+
 def _chunks(texts: list[str], longest: int):
     """Lists of (row, string): all texts in order, padded by a space at both
     ends; long ones in overlapping parts, so that no n-gram is lost."""
@@ -208,21 +219,27 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_R
     that are not held out.  Null labels and null doc_ids are ignored; a doc_id
     labelled twice is toxic if any label says so; a document that occurs twice
     counts twice.  About ``max_rows`` rows, picked by the hash of doc_id, are
-    used.  Without a row of either class every text scores by the prior.
+    used: every toxic one up to half of them, others for the rest; the bias is
+    corrected for it.  Without a row of either class every text scores by the
+    prior.
     """
     small_batches(docs.sparkSession)
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()
                           & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    total = known.count()
-    cut = int(1_000_000 * min(1.0, max_rows / max(1, total)))
+    pos, neg = known.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
+    want_pos, want_neg = sample_sizes(pos, neg, max_rows)
+    # Log-odds in the corpus less those in the sample.
+    shift = float(np.log(want_neg / neg) - np.log(want_pos / pos)) if want_pos and want_neg else 0.0
+    cut = F.when(F.col("toxic") == 1, F.lit(hash_cut(want_pos, pos))).when(
+        F.col("toxic") == 0, F.lit(hash_cut(want_neg, neg)))
     # Bounded by max_rows, so it may be broadcast whatever the corpus.
-    sample = F.broadcast(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < cut))
+    sample = F.broadcast(known.where(F.xxhash64("doc_id") <= cut))
     rows = written(docs.select("doc_id", "text").join(sample, "doc_id").repartition(8, "doc_id")
                    .select(F.coalesce("text", F.lit("")).alias("text"), "toxic"), "train")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
-    prior = float(np.log((n_pos + 1) / (n_neg + 1)))
+    prior = float(np.log((n_pos + 1) / (n_neg + 1))) + shift
     if not n_pos or not n_neg:
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), prior, orders)
     a = F.lit(SMOOTH)
@@ -264,7 +281,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_R
     label = found.column("toxic").to_numpy().astype(float)
     weight, bias = _fit_logistic(np.repeat(np.arange(len(label)), lengths),
                                  lists.values.to_numpy().astype(np.int64), ratios, label)
-    return ToxicityModel(grams, weight * ratios, bias, orders)
+    return ToxicityModel(grams, weight * ratios, bias + shift, orders)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

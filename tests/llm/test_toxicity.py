@@ -74,3 +74,20 @@ def test_long_text_chunks_lose_no_gram(monkeypatch):
     parts = [np.unique(np.concatenate([m[ok] for c in toxicity._chunks([t], 6) for *_, ok, m in toxicity._grams(c, toxicity.ORDERS)] or [np.zeros(0)]))
              for t in texts]
     assert all((a == b).all() for a, b in zip(whole, parts))
+
+
+def test_rare_toxic_rows_are_all_in_the_sample(make_docs, spark, words):
+    texts = [words(90_000 + i, 30) + (" zyx vuzzle qwrt" if i % 50 == 0 else "") for i in range(2000)]
+    labels = spark.createDataFrame([(i, int(i % 50 == 0)) for i in range(2000)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(make_docs(list(enumerate(texts))), labels, max_rows=200)
+    new = make_docs([(5000, words(1, 30) + " zyx vuzzle qwrt"), (5001, words(2, 30))])
+    score = {r.doc_id: r.score for r in model.score(new).collect()}
+    assert score[5000] >= toxicity.THRESHOLD > score[5001]
+
+
+def test_hash_cut_of_any_corpus():
+    for total in (1, 16_000, 10**6, 10**11, 10**15):
+        taken = toxicity.hash_cut(min(16_000, total), total) + (1 << 63) + 1
+        assert abs(taken * total / 2**64 - min(16_000, total)) < 1
+    assert toxicity.sample_sizes(5, 10**9, 100) == (5, 95) and toxicity.sample_sizes(10**9, 10, 100) == (90, 10)
+    assert toxicity.sample_sizes(10**9, 10**9, 100) == (50, 50) and toxicity.sample_sizes(3, 4, 100) == (3, 4)
