@@ -1,6 +1,6 @@
 """Operators for building training data at scale.
 
-Ten operators (one module each) plus the registered queries
+Thirteen operators (one module each) plus the registered queries
 (``nutrilake.llm.queries``).  Nothing else in the library imports this package.
 
 Functions that run inside Python workers are shipped by value, so executors

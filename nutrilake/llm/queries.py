@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nutrilake.llm import chat, html_text, jaccard, line_dedup, mixing, packing, quality, repeats, topk, toxicity
+from nutrilake.llm import (alignment, chat, html_text, jaccard, language, line_dedup, mixing, packing, quality,
+                           repeats, topk, toxicity, whitening)
 from nutrilake.llm.oracles import ORACLES
 from nutrilake.sources.tables import read_table, table_path
 
@@ -70,11 +71,28 @@ def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), keep_text=False)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    aligned = alignment.align_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path(),
+                                     public_tokenizers.path("piece_bpe_32k.model"), keep_groups=False)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify_language(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_best_fit_packing, op3_toxicity, op4_exact_top_k,
         op5_jaccard_join, op6_quality_rules, op7_source_mix,
-        op8_html_extraction, op9_chat_formatting, op10_repeat_removal)}
+        op8_html_extraction, op9_chat_formatting, op10_repeat_removal, op11_token_alignment,
+        op12_language_id, op13_embedding_whitening)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
