@@ -16,7 +16,8 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
 
 
-def brute(rows):
+def groups_of(rows):
+    """The rows of every component, as lists of their places."""
     sets = [shingles(t) for _, t in rows]
     up = list(range(len(rows)))
 
@@ -31,10 +32,14 @@ def brute(rows):
             if both and 100 * both >= 75 * len(sets[i] | sets[j]):
                 up[find(i)] = find(j)
     groups = {}
-    for i, (d, _) in enumerate(rows):
-        groups.setdefault(find(i), []).append(d)
-    return sorted(((d, len(sets[i]), min((x for x in groups[find(i)] if x is not None), default=None))
-                   for i, (d, _) in enumerate(rows)), key=repr)
+    for i in range(len(rows)):
+        groups.setdefault(find(i), []).append(i)
+    return list(groups.values())
+
+
+def brute(rows):
+    return sorted(((rows[i][0], len(shingles(rows[i][1])), min((rows[j][0] for j in own if rows[j][0] is not None), default=None))
+                   for own in groups_of(rows) for i in own), key=repr)
 
 
 def result(df):
@@ -72,11 +77,10 @@ def test_one_per_component(make_docs, rows):
     docs = make_docs(rows).withColumnRenamed("lang", "label").withColumnRenamed("source", "component_id")
     kept = jaccard.one_per_component(docs)
     assert kept.columns == docs.columns
+    # One row of every component, with its smallest id; rows without words are components of their own.
     got = sorted((r.doc_id for r in kept.collect()), key=repr)
-    want = brute(rows)
-    empty = [d for d, n, _ in want if n == 0]
-    assert sorted({c for _, n, c in want if n}, key=repr) == sorted(set(got) - set(empty), key=repr)
-    assert len(got) == len(empty) + len({c for _, n, c in want if n} )
+    assert got == sorted((min((rows[i][0] for i in own if rows[i][0] is not None), default=None)
+                          for own in groups_of(rows)), key=repr)
 
 
 def test_one_row_of_every_component_whatever_its_ids(make_docs, words):
