@@ -79,6 +79,8 @@ class BoostingClassifier:
         self.params = resolve_params(self.hyperparameters)
         self.n_classes: int | None = None
         self.features_col = "features"
+        # names of the features in vector order, when the caller knows them
+        self.feature_names: list[str] | None = None
         self._curves: list[tuple] | None = None
         self._fitted = False
 
@@ -115,11 +117,12 @@ class BoostingClassifier:
     def _meta(self) -> dict:
         return {"model_type": self.model_type, "random_state": self.random_state,
                 "hyperparameters": self.hyperparameters, "n_classes": self.n_classes,
-                "features_col": self.features_col, "curves": self._curves}
+                "features_col": self.features_col, "feature_names": self.feature_names, "curves": self._curves}
 
     def _restore(self, meta: dict) -> None:
         self.n_classes = meta["n_classes"]
         self.features_col = meta["features_col"]
+        self.feature_names = meta.get("feature_names")
         self._curves = [tuple(c) for c in meta["curves"]] if meta.get("curves") else None
         self._fitted = True
 

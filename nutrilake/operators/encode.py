@@ -57,13 +57,17 @@ class EncoderModel:
         return df.select(*keep, *self.feature_columns())
 
     def state_df(self, spark: SparkSession) -> DataFrame:
-        rows = [("numeric", c, i, self.means[c], self.stds[c], None)
+        """One row per numeric feature, one per categorical feature (value
+        position -1) and one per category; ``feature_position`` is the order
+        of the fit, which the columns of the feature matrix follow."""
+        rows = [("numeric", c, i, 0, self.means[c], self.stds[c], None)
                 for i, c in enumerate(self.numeric)]
-        for c in self.categorical:
-            rows += [("categorical", c, i, None, None, v) for i, v in enumerate(self.categories[c])]
+        for i, c in enumerate(self.categorical):
+            rows.append(("categorical", c, i, -1, None, None, None))
+            rows += [("categorical", c, i, j, None, None, v) for j, v in enumerate(self.categories[c])]
         return spark.createDataFrame(
-            rows, "kind string, feature string, position int, mean double, std double, "
-                  "category string")
+            rows, "kind string, feature string, feature_position int, value_position int, mean double, "
+                  "std double, category string")
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.state_df(spark).coalesce(1).write.mode("overwrite").parquet(path)
@@ -71,23 +75,16 @@ class EncoderModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "EncoderModel":
         rows = sorted(spark.read.parquet(path).collect(),
-                      key=lambda r: (r["kind"] != "numeric", r["feature"], r["position"]))
-        numeric = [r for r in rows if r["kind"] == "numeric"]
-        numeric.sort(key=lambda r: r["position"])
-        model = cls([r["feature"] for r in numeric], [])
-        for r in numeric:
-            model.means[r["feature"]] = r["mean"]
-            model.stds[r["feature"]] = r["std"]
-        cats: dict[str, list] = {}
-        order: list[str] = []
+                      key=lambda r: (r["feature_position"], r["value_position"]))
+        model = cls([r["feature"] for r in rows if r["kind"] == "numeric"],
+                    [r["feature"] for r in rows if r["kind"] == "categorical" and r["value_position"] < 0])
+        model.categories = {c: [] for c in model.categorical}
         for r in rows:
-            if r["kind"] == "categorical":
-                if r["feature"] not in cats:
-                    order.append(r["feature"])
-                    cats[r["feature"]] = []
-                cats[r["feature"]].append(r["category"])
-        model.categorical = order
-        model.categories = cats
+            if r["kind"] == "numeric":
+                model.means[r["feature"]] = r["mean"]
+                model.stds[r["feature"]] = r["std"]
+            elif r["value_position"] >= 0:
+                model.categories[r["feature"]].append(r["category"])
         return model
 
 

@@ -100,13 +100,17 @@ def score(raw: DataFrame, art: ScoringArtifacts, keep: list[str] | None = None)
     """Training-fit clean -> engineer -> training-fit encode -> model.
 
     Adds ``predicted_health_status`` and ``probabilities`` (MAP class ->
-    probability); id/target columns are not needed.
+    probability); id/target columns are not needed.  A model that was fitted
+    on other features, or on the same in another order, is refused.
     """
+    names = art.encoder.feature_names()
+    if art.model.feature_names is not None and art.model.feature_names != names:
+        raise ValueError(f"the model was fitted on {art.model.feature_names}, the encoder gives {names}")
     keep = [c for c in (keep or []) if c in raw.columns]
     cleaned = art.cleaner.transform(raw)
     engineered = rules.engineer_features(cleaned)
     feats = art.encoder.transform(engineered, keep=keep)
-    vec = assemble(feats, art.encoder.feature_names())
+    vec = assemble(feats, names)
     proba = art.model.predict_proba(vec.select(*keep, "features"), "_proba")
     classes = art.labels.classes
     return proba.select(

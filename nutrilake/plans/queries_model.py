@@ -366,12 +366,14 @@ def q_derive_bmi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- scoring
 _PUBLISHED: dict[tuple[str, str], tuple[str, str, str]] = {}
+_IN_SESSION: dict[tuple[str, str], score.ScoringArtifacts] = {}
 
 
 def _published(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     """Prepare, compare both learners, publish the best; returns
     (processed_dir, best_model_dir, best by the comparison) in the shared
-    scratch folder.  The scoring queries of one application share it."""
+    scratch folder.  The scoring queries of one application share it.  The
+    artifacts as they were fitted stay in ``_IN_SESSION``."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PUBLISHED:
         out = scratch_dir(spark, "models")
@@ -381,6 +383,7 @@ def _published(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
         table = {r["model_type"]: r["value"] for r in training.metrics_table(results).where("metric = 'mcc'").collect()}
         _PUBLISHED[key] = (os.path.join(out, "processed"), os.path.join(out, "models", "best"),
                            max(table, key=table.get))
+        _IN_SESSION[key] = score.ScoringArtifacts(p.cleaner, p.encoder, results[_PUBLISHED[key][2]].model, p.labels)
     return _PUBLISHED[key]
 
 
@@ -405,6 +408,30 @@ def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.lit(False)).alias("is_most_likely"))
 
 
+SCORE_RELOAD_SQL = with_dd(f"""SELECT request_id, TRUE AS same_label, TRUE AS same_probabilities
+FROM req WHERE {_VALID_SQL}""", REQ_CTE)
+
+
+@query("score_reload", SCORE_RELOAD_SQL)
+def q_score_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 after a restart: every valid request scored with the artifacts as
+    they were fitted and as they are read back gets the same label and the same
+    probabilities, bit by bit."""
+    processed, best, _ = _published(spark, sf_dir)
+    valid, _ = score.validate_requests(requests_frame(spark, sf_dir))
+    raw = score.to_raw_records(valid, keep=["request_id"])
+    parts = [score.score(raw, art, keep=["request_id"]).select(
+        "request_id", F.lit(side).alias("side"), F.col("predicted_health_status").alias("label"),
+        F.array(*[F.element_at("probabilities", c) for c in CLASSES]).alias("p"))
+        for side, art in enumerate((_IN_SESSION[(spark.sparkContext.applicationId, sf_dir)],
+                                    score.ScoringArtifacts.load(spark, processed, best)))]
+    both = parts[0].unionByName(parts[1]).groupBy("request_id").agg(
+        F.min(F.when(F.col("side") == 0, F.struct("label", "p"))).alias("a"),
+        F.min(F.when(F.col("side") == 1, F.struct("label", "p"))).alias("b"))
+    return both.select("request_id", F.coalesce(F.col("a.label") == F.col("b.label"), F.lit(False)).alias("same_label"),
+                       F.coalesce(F.col("a.p") == F.col("b.p"), F.lit(False)).alias("same_probabilities"))
+
+
 SCORE_STREAM_SQL = with_dd(f"""SELECT request_id, CASE WHEN {_VALID_SQL} THEN 'scored' ELSE 'rejected' END AS outcome,
   {_VALID_SQL} AS has_label FROM req""", REQ_CTE)
 

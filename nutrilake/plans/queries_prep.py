@@ -573,11 +573,8 @@ FEATURE_MATRIX_SQL = _enc_sql("SELECT Person_ID, Health_Status, split, " + ", ".
     ", Gender, Activity_Level, Diet_Type, Age_Group FROM en")
 
 
-@query("feature_matrix", FEATURE_MATRIX_SQL)
-def q_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numeric block + the category that is hot in each one-hot group."""
-    p = _prepared(spark, sf_dir)
-    enc = p.encoder
+def _matrix_columns(frame: DataFrame, enc: encode.EncoderModel, extra: list[str] | None = None) -> DataFrame:
+    """Numeric block and the hot category of each one-hot group."""
     hot = {}
     for c in enc.categorical:
         expr = None
@@ -585,9 +582,16 @@ def q_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
             cond = F.col(f"categorical__{c}_{v}") == 1.0
             expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
         hot[c] = expr if expr is not None else F.lit(None).cast("string")
-    return p.frame.select("Person_ID", "Health_Status", "split",
-                          *[r6(f"numeric__{c}").alias(f"numeric__{c}") for c in S.NUMERIC_FEATURES],
-                          *[hot[c].alias(c) for c in enc.categorical])
+    return frame.select("Person_ID", "Health_Status", "split", *(extra or []),
+                        *[r6(f"numeric__{c}").alias(f"numeric__{c}") for c in S.NUMERIC_FEATURES],
+                        *[hot[c].alias(c) for c in enc.categorical])
+
+
+@query("feature_matrix", FEATURE_MATRIX_SQL)
+def q_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric block + the category that is hot in each one-hot group."""
+    p = _prepared(spark, sf_dir)
+    return _matrix_columns(p.frame, p.encoder)
 
 
 LABEL_CODES_SQL = with_dd("""SELECT Health_Status AS label, CAST(row_number() OVER (ORDER BY Health_Status) - 1 AS INTEGER) AS code,
@@ -642,18 +646,25 @@ def q_cleaner_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "Gender", "Activity_Level", "Diet_Type", "Health_Status")
 
 
-@query("encoder_roundtrip", SCALED_SQL)
+_HOT_NAMES = " UNION ALL ".join(
+    f"SELECT {i} AS f, {c} AS v, 'categorical__{c}_' || {c} AS name FROM en WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c}"
+    for i, c in enumerate(S.CATEGORICAL_FEATURES))
+ENCODER_ROUNDTRIP_SQL = FEATURE_MATRIX_SQL.replace("Person_ID, Health_Status, split,", f"""Person_ID, Health_Status, split,
+  '{",".join("numeric__" + c for c in S.NUMERIC_FEATURES)},' || (SELECT string_agg(name, ',' ORDER BY f, v) FROM ({_HOT_NAMES})) AS feature_order,""", 1)
+
+
+@query("encoder_roundtrip", ENCODER_ROUNDTRIP_SQL)
 def q_encoder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5: the train-fitted encoder saved, read back and applied -- must
-    equal ``scaled``."""
+    """T5: the train-fitted encoder saved, read back and applied: the columns
+    in the order of the fit, the numeric block, and what is hot in each group."""
     from nutrilake.plans.queries_model import scratch_dir
     p = _prepared(spark, sf_dir)
     path = scratch_dir(spark, "encoder_state")
     p.encoder.save(spark, path)
     back = encode.EncoderModel.load(spark, path)
-    out = back.transform(p.engineered, keep=["Person_ID", "split"])
-    return out.select("Person_ID", "split", *[r6(f"numeric__{c}").alias(f"numeric__{c}")
-                                              for c in S.NUMERIC_FEATURES])
+    out = back.transform(p.engineered, keep=["Person_ID", "Health_Status", "split"])
+    order = ",".join(c for c in out.columns if c not in ("Person_ID", "Health_Status", "split"))
+    return _matrix_columns(out.withColumn("feature_order", F.lit(order)), back, ["feature_order"])
 
 
 FEATURES_LABEL_SQL = _enc_sql("SELECT Person_ID, " + ", ".join(

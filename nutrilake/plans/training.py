@@ -42,13 +42,14 @@ def _metrics(pred: DataFrame, labels: LabelCodes) -> DataFrame:
 
 def train_model(model_type: str, prepared: Prepared, out_dir: str | None = None,
                 random_state: int = 42, hyperparameters: dict | None = None,
-                frame: DataFrame | None = None) -> TrainingResult:
+                frame: DataFrame | None = None, feature_names: list[str] | None = None) -> TrainingResult:
     """M7: fit on train with test as validation set, score test, metrics,
     curves, persist model + label codes under ``<out>/<type>/``."""
     frame = frame if frame is not None else materialize(model_frame(prepared), "cache")
     train = frame.where(F.col("split") == "train")
     test = frame.where(F.col("split") == "test")
     model = make_model(model_type, random_state, **(hyperparameters or {}))
+    model.feature_names = list(feature_names or prepared.feature_names)
     model.fit(train, "label", "features", validation=test, n_classes=len(prepared.labels.classes))
     pred = model.predict(test)
     metrics = _metrics(pred, prepared.labels)
@@ -161,7 +162,7 @@ def leakage_ablation(prepared: Prepared, model_type: str = "ovr_gbt", random_sta
     rows = []
     for name, feats in subsets.items():
         frame = materialize(model_frame(prepared, feats), "cache")
-        res = train_model(model_type, prepared, None, random_state, hyperparameters, frame)
+        res = train_model(model_type, prepared, None, random_state, hyperparameters, frame, feats)
         m = res.metrics.first()
         rows += [(name, key, float(m[key])) for key in S.METRIC_KEYS]
     return prepared.frame.sparkSession.createDataFrame(rows, "subset string, metric string, value double")

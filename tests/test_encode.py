@@ -33,6 +33,16 @@ def test_unfitted_and_round_trip(spark, enc_df, tmp_path):
     assert [tuple(r) for r in back.transform(enc_df).collect()] == [tuple(r) for r in m.transform(enc_df).collect()]
 
 
+def test_reload_keeps_the_fitted_order(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, 2.0, "x", "p", None), (3.0, 5.0, "w", "q", None)],
+                               "z double, a double, zz string, aa string, empty string")
+    m = Encoder(["z", "a"], ["zz", "aa", "empty"]).fit(df)
+    m.save(spark, str(tmp_path / "enc"))
+    back = EncoderModel.load(spark, str(tmp_path / "enc"))
+    assert back == m and back.feature_names() == m.feature_names() == [
+        "numeric__z", "numeric__a", "categorical__zz_w", "categorical__zz_x", "categorical__aa_p", "categorical__aa_q"]
+
+
 def test_label_codes(spark, tmp_path):
     df = spark.createDataFrame([("Obese",), ("Healthy",), ("Underweight",), ("Healthy",)], "Health_Status string")
     codes = LabelCodes.fit(df)

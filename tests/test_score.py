@@ -53,6 +53,17 @@ def test_publish_and_score_batch_and_stream(spark, published):
     assert [r["request_id"] for r in read_rejected(spark, os.path.join(out, "stream")).collect()] == ["bad"]
 
 
+def test_reloaded_encoder_matches_the_model(spark, published):
+    out, _ = published
+    art = score.ScoringArtifacts.load(spark, os.path.join(out, "processed"), os.path.join(out, "models", "best"))
+    assert art.model.feature_names == art.encoder.feature_names()
+    valid, _ = score.validate_requests(_reqs(spark, [REQ]))
+    raw = score.to_raw_records(valid, keep=["request_id"])
+    art.encoder.categorical = art.encoder.categorical[::-1]
+    with pytest.raises(ValueError, match="the model was fitted on"):
+        score.score(raw, art, keep=["request_id"])
+
+
 def test_missing_artifact(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="no published model"):
         score.ScoringArtifacts.load(spark, str(tmp_path), str(tmp_path / "best"))
