@@ -1,39 +1,35 @@
-"""Boosting classifiers on MLlib (M1-M6).
+"""Boosting classifiers (M1-M6) on the histogram engine.
 
 Two registered learners with one contract:
 
-* ``ovr_gbt``       -- one ``GBTClassifier`` per class (MLlib's GBT is binary
-  only); class probabilities are the K positive-class probabilities
-  normalised to sum to 1.
-* ``softmax_boost`` -- multinomial gradient boosting: each round fits K
-  ``DecisionTreeRegressor``s on the residuals y_k - p_k (tree structure),
-  sets Newton leaf values gamma = (K-1)/K * sum r / sum |r|(1-|r|) from one
-  grouped pass, and adds ``step * gamma_k[leaf]`` to the class scores;
-  p = softmax(scores).  The fitted trees become one node table: it is saved as
-  one Parquet table and scored in one Arrow pass, so neither the plan nor the
-  number of model files grows with the rounds.
+* ``ovr_gbt``       -- one boosted logistic model per class, one against the
+  rest; class probabilities are the K logistic values normalised to sum to 1.
+* ``softmax_boost`` -- multinomial boosting: p = softmax(scores), Newton leaf
+  values with Friedman's factor (K-1)/K.
+
+Both grow the trees of all classes together from one binned table
+(``operators.histogram``): a level of a round is one pass, whatever the number
+of classes, and of folds in ``fit_folds``.  The fitted trees become one node
+table: it is saved as one Parquet table and scored in one Arrow pass, so
+neither the plan nor the number of model files grows with the rounds.
 
 Input: a DataFrame with a vector column (``features``) and an integer label
-0..K-1.  Every fit/predict is a distributed MLlib job; nothing but model
-parameters reaches the driver.
+0..K-1.  Nothing but model parameters reaches the driver.
 """
 from __future__ import annotations
 
 import json
-import math
 import os
-import re
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nutrilake.functions.ordered import collect_bounded
-from nutrilake.session import current_session, ensure_checkpoint_dir
+from nutrilake.operators import histogram
+from nutrilake.session import current_session
 
-# caller names -> MLlib parameters (M6); reporting-only keys are accepted
+# caller names -> parameters of the engine (M6); reporting-only keys are accepted
 PARAM_ALIASES = {
     "n_estimators": "maxIter", "iterations": "maxIter", "max_iter": "maxIter", "maxIter": "maxIter",
     "max_depth": "maxDepth", "depth": "maxDepth", "maxDepth": "maxDepth",
@@ -41,6 +37,7 @@ PARAM_ALIASES = {
     "subsample": "subsamplingRate", "subsamplingRate": "subsamplingRate",
     "max_bins": "maxBins", "maxBins": "maxBins",
     "min_child_weight": "minInstancesPerNode", "minInstancesPerNode": "minInstancesPerNode",
+    "reg_lambda": "l2", "l2_leaf_reg": "l2", "l2": "l2",
 }
 REPORTING_KEYS = {"eval_metric", "verbose"}      # what to report, not what to fit
 SEED_KEYS = ("random_state", "seed")
@@ -48,8 +45,8 @@ DEFAULT_PARALLELISM = 4     # concurrent per-class fits (jobs), not threads of w
 
 
 def resolve_params(hyperparameters: dict) -> dict:
-    """Map caller hyper-parameters to MLlib names; unknown keys are errors.
-    Nothing is invented: unset parameters keep the library defaults."""
+    """Map caller hyper-parameters to the engine's names; unknown keys are errors.
+    Unset parameters keep ``HistogramBoost.DEFAULTS``."""
     out = {}
     for key, value in hyperparameters.items():
         if key in REPORTING_KEYS:
@@ -143,221 +140,77 @@ def argmax(arr: Column) -> Column:
     return (F.array_position(arr, best) - 1).cast("int")
 
 
-def _log_loss(prob: Column, label: Column) -> Column:
-    p = F.element_at(prob, label.cast("int") + 1)
-    return -F.log(F.greatest(p, F.lit(1e-15)))
-
+class HistogramBoost(BoostingClassifier):
+    """The common part of both learners; they differ in the objective."""
 
-# ---------------------------------------------------------------------------
-# learner A: one-vs-rest GBT
-# ---------------------------------------------------------------------------
-class OneVsRestGBT(BoostingClassifier):
-    model_type = "ovr_gbt"
+    objective = ""
+    metric = ""
+    DEFAULTS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "maxBins": 32, "minInstancesPerNode": 1,
+                "subsamplingRate": 1.0, "l2": 1.0}
 
     def __init__(self, random_state: int = 42, /, **hyperparameters):
         super().__init__(random_state, **hyperparameters)
-        self.models: list[GBTClassificationModel] = []
+        # one row per node of every tree: see NODE_COLUMNS
+        self.nodes: list[tuple] = []
+        self.init_scores: list[float] = []
+        self.step = 0.0
+        self.forest: histogram.Forest | None = None       # as fitted, with gains; not saved
+
+    def _p(self, name: str):
+        return self.params.get(name, self.DEFAULTS[name])
 
-    def _estimator(self, label: str) -> GBTClassifier:
-        gbt = GBTClassifier(featuresCol=self.features_col, labelCol=label, seed=self.random_state)
-        if self.params:
-            gbt.setParams(**self.params)
-        return gbt
+    def settings(self) -> histogram.Settings:
+        return histogram.Settings(self.objective, int(self._p("maxIter")), int(self._p("maxDepth")),
+                                  float(self._p("stepSize")), int(self._p("minInstancesPerNode")), float(self._p("l2")),
+                                  float(self._p("subsamplingRate")), self.random_state)
 
-    def fit(self, train, label_col="label", features_col="features", validation=None, n_classes=None):
+    def _classes(self, train: DataFrame, label_col: str, n_classes: int | None) -> int:
+        return n_classes or int(train.agg(F.max(label_col)).first()[0]) + 1
+
+    def fit(self, train, label_col="label", features_col="features", validation=None, n_classes=None, thresholds=None):
+        """``thresholds`` (split candidates per feature) are found from ``train`` when None."""
         self.features_col = features_col
-        self.n_classes = n_classes or int(train.agg(F.max(label_col)).first()[0]) + 1
-        # read by K fits (and their curves): keep one materialised copy
-        data = train.select(features_col, F.col(label_col).cast("int").alias("_y")).persist()
-        self.models = []
-        curves = []
-        def fit_class(k: int):
-            binary = data.withColumn("_yk", (F.col("_y") == k).cast("double"))
-            model = self._estimator("_yk").fit(binary)
-            curve = None
-            if validation is not None:
-                vb = validation.select(features_col, (F.col(label_col).cast("int") == k)
-                                       .cast("double").alias("_yk"))
-                curve = (model.evaluateEachIteration(binary), model.evaluateEachIteration(vb))
-            return model, curve
-
-        fitted = run_parallel([lambda k=k: fit_class(k) for k in range(self.n_classes)],
-                              self.parallelism)
-        self.models = [m for m, _ in fitted]
-        curves = [c for _, c in fitted if c is not None]
-        data.unpersist()
+        self.n_classes = self._classes(train, label_col, n_classes)
+        settings = self.settings()
+        self.forest = histogram.fit_forest(train, features_col, label_col, self.n_classes, settings,
+                                           int(self._p("maxBins")), validation=validation, thresholds=thresholds)
+        self.init_scores = self.forest.init[0].tolist()
+        self.nodes = histogram.node_rows(self.forest)
+        self.step = settings.step
+        self._curves = ([(i, side, self.metric, value) for i, side, value in self.forest.losses]
+                        if validation is not None else None)
         self._fitted = True
-        if validation is not None:
-            rounds = min(len(c[0]) for c in curves)
-            self._curves = []
-            for i in range(rounds):
-                self._curves.append((i + 1, "train", "ovr_logloss",
-                                     float(sum(c[0][i] for c in curves) / len(curves))))
-                self._curves.append((i + 1, "validation", "ovr_logloss",
-                                     float(sum(c[1][i] for c in curves) / len(curves))))
-        else:
-            self._curves = None
         return self
 
-    def predict_proba(self, df, prob_col="probability"):
-        self._require_fitted()
-        out = df
-        cols = []
-        for k, model in enumerate(self.models):
-            m = model.copy()
-            m.setFeaturesCol(self.features_col).setProbabilityCol(f"_pk{k}") \
-                .setRawPredictionCol(f"_rk{k}").setPredictionCol(f"_yk{k}")
-            out = m.transform(out).withColumn(f"_q{k}", vector_to_array(F.col(f"_pk{k}"))[1]) \
-                .drop(f"_pk{k}", f"_rk{k}", f"_yk{k}")
-            cols.append(f"_q{k}")
-        total = sum((F.col(c) for c in cols[1:]), F.col(cols[0]))
-        probs = F.array(*[F.when(total > 0, F.col(c) / total).otherwise(F.lit(1.0 / len(cols)))
-                          for c in cols])
-        return out.withColumn(prob_col, probs).drop(*cols)
+    def fit_folds(self, rows: DataFrame, k: int, fold_col: str = "fold", label_col: str = "label",
+                  features_col: str = "features", n_classes: int | None = None,
+                  thresholds=None) -> tuple[DataFrame, histogram.Forest]:
+        """M8: the k models that each leave one fold out, trained in the same
+        passes; returns the counts (fold, label, prediction, n) of every row
+        judged by the model that has not seen it, and the forests.
 
-    def save(self, path: str) -> None:
-        self._require_fitted()
-        for k, model in enumerate(self.models):
-            model.write().overwrite().save(os.path.join(path, f"class_{k}"))
-        _write_meta(path, self._meta())
+        Split candidates come from all rows, as they use no label.
+        """
+        settings, spark = self.settings(), rows.sparkSession
+        classes = self._classes(rows, label_col, n_classes)
 
-    @classmethod
-    def load(cls, path: str) -> "OneVsRestGBT":
-        meta = _read_meta(path)
-        obj = cls(meta["random_state"], **meta["hyperparameters"])
-        obj._restore(meta)
-        obj.models = [GBTClassificationModel.load(os.path.join(path, f"class_{k}"))
-                      for k in range(obj.n_classes)]
-        return obj
-
-
-# ---------------------------------------------------------------------------
-# learner B: multinomial (softmax) boosting with regression trees
-# ---------------------------------------------------------------------------
-class SoftmaxBoost(BoostingClassifier):
-    model_type = "softmax_boost"
-    DEFAULTS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1}
-    CHECKPOINT_EVERY = 5
+        def judge(table, forest, done):
+            pairs = histogram.left_out_predictions(table, forest, done, settings)
+            counted = collect_bounded(pairs.groupBy("fold", "label", "prediction").agg(F.count(F.lit(1)).alias("n")),
+                                      what="pairs of classes")
+            return spark.createDataFrame([tuple(r) for r in counted], "fold int, label int, prediction int, n long"), forest
 
-    def __init__(self, random_state: int = 42, /, **hyperparameters):
-        super().__init__(random_state, **hyperparameters)
-        # one row per node of every tree: see NODE_COLUMNS
-        self.nodes: list[tuple] = []
-        self.init_scores: list[float] = []
+        return histogram.fit_forest(rows, features_col, label_col, classes, settings, int(self._p("maxBins")),
+                                    fold_col, k, thresholds=thresholds, keep=judge)
 
-    def _p(self, name: str):
-        return self.params.get(name, self.DEFAULTS.get(name))
-
-    @staticmethod
-    def _softmax(scores: Column) -> Column:
-        shifted = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-        total = F.aggregate(shifted, F.lit(0.0), lambda a, x: a + x)
-        return F.transform(shifted, lambda e: e / total)
-
-    def _with_leaves(self, df: DataFrame, trees: list[DecisionTreeRegressionModel]) -> DataFrame:
-        out = df
-        for k, tree in enumerate(trees):
-            t = tree.copy()
-            t.setFeaturesCol(self.features_col).setPredictionCol(f"_t{k}").setLeafCol(f"_leaf{k}")
-            out = t.transform(out).drop(f"_t{k}")
-        return out
-
-    def _add_trees(self, df: DataFrame, trees: list[DecisionTreeRegressionModel],
-                   leaf_values: list[dict[float, float]], step: float) -> DataFrame:
-        """scores_k += step * gamma_k[leaf of tree k] (leaf tables as literal maps)."""
-        out = self._with_leaves(df, trees)
-        upd = []
-        for k in range(len(trees)):
-            table = F.create_map(*[x for leaf, g in leaf_values[k].items()
-                                   for x in (F.lit(float(leaf)), F.lit(float(g)))]) \
-                if leaf_values[k] else F.create_map().cast("map<double,double>")
-            upd.append(F.col("_s")[k] + step * F.coalesce(table[F.col(f"_leaf{k}")], F.lit(0.0)))
-        return out.withColumn("_s", F.array(*upd)).drop(*[f"_leaf{k}" for k in range(len(trees))])
-
-    def _newton_leaves(self, resid: DataFrame, trees: list[DecisionTreeRegressionModel],
-                       k_cls: int) -> list[dict[float, float]]:
-        """Friedman's multiclass leaf values gamma = (K-1)/K * sum r / sum |r|(1-|r|)
-        for every (class, leaf), from ONE grouped pass over the residuals."""
-        leaves = self._with_leaves(resid, trees)
-        cells = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_leaf{k}").alias("leaf"),
-                                             F.col(f"_r{k}").alias("r")) for k in range(k_cls)]))
-        stats = (leaves.select(cells.alias("c")).select("c.*")
-                 .groupBy("k", "leaf").agg(F.sum("r").alias("num"),
-                                           F.sum(F.abs("r") * (1 - F.abs("r"))).alias("den"))
-                 .collect())                               # <= K * 2^depth rows
-        out: list[dict[float, float]] = [{} for _ in range(k_cls)]
-        for row in stats:
-            den = row["den"]
-            g = (k_cls - 1) / k_cls * row["num"] / den if den and den > 1e-12 else 0.0
-            out[row["k"]][float(row["leaf"])] = float(g)
-        return out
-
-    def fit(self, train, label_col="label", features_col="features", validation=None, n_classes=None):
-        ensure_checkpoint_dir(train.sparkSession)
-        self.features_col = features_col
-        y = F.col(label_col).cast("int")
-        counts = {r[0]: r[1] for r in collect_bounded(train.groupBy(y).agg(F.count(F.lit(1))), what="classes")}
-        k_cls = n_classes or max(counts) + 1
-        self.n_classes = k_cls
-        n = sum(counts.values())
-        self.init_scores = [math.log(max(counts.get(k, 0), 1) / n) for k in range(k_cls)]
-        init = F.array(*[F.lit(s) for s in self.init_scores])
-        work = train.select(features_col, y.alias("_y")).withColumn("_s", init).checkpoint()
-        val = None
-        if validation is not None:
-            val = validation.select(features_col, F.col(label_col).cast("int").alias("_y")) \
-                .withColumn("_s", init).checkpoint()
-        step, rounds = float(self._p("stepSize")), int(self._p("maxIter"))
-        tree_params = {"maxDepth": int(self._p("maxDepth"))}
-        for extra in ("maxBins", "minInstancesPerNode"):
-            if extra in self.params:
-                tree_params[extra] = self.params[extra]
-        rate = float(self.params.get("subsamplingRate", 1.0))
-        self.nodes, curves = [], []
-        for r in range(rounds):
-            probs = self._softmax(F.col("_s"))
-            resid = work.withColumn("_p", probs).select(
-                features_col, "_y", "_s",
-                *[((F.col("_y") == k).cast("double") - F.col("_p")[k]).alias(f"_r{k}")
-                  for k in range(k_cls)])
-            resid = resid.persist()  # read by K tree fits; recomputed from the last checkpoint on loss
-            shown = resid if rate >= 1 else resid.sample(rate, seed=self.random_state + r)
-
-            def fit_tree(k: int, r: int = r, shown: DataFrame = shown):
-                dt = DecisionTreeRegressor(featuresCol=features_col, labelCol=f"_r{k}",
-                                           seed=self.random_state + r, **tree_params)
-                return dt.fit(shown)
-            round_trees = run_parallel([lambda k=k: fit_tree(k) for k in range(k_cls)],
-                                       self.parallelism)
-            leaf_values = self._newton_leaves(resid, round_trees, k_cls)
-            resid.unpersist()
-            for k, tree in enumerate(round_trees):
-                self.nodes += [(r, k, i, *node) for i, node in enumerate(tree_nodes(tree, leaf_values[k]))]
-            work = self._add_trees(work, round_trees, leaf_values, step)
-            if val is not None:
-                val = self._add_trees(val, round_trees, leaf_values, step)
-            if (r + 1) % self.CHECKPOINT_EVERY == 0:
-                work = work.checkpoint()       # reliable: spark.checkpoint.dir
-                if val is not None:
-                    val = val.checkpoint()
-            if validation is not None:
-                # both curves from one job
-                ll = _log_loss(self._softmax(F.col("_s")), F.col("_y")).alias("_ll")
-                both = work.select(F.lit("train").alias("_split"), ll) \
-                    .unionByName(val.select(F.lit("validation").alias("_split"), ll))
-                got = {row[0]: row[1] for row in both.groupBy("_split").agg(F.avg("_ll")).collect()}
-                curves += [(r + 1, "train", "mlogloss", float(got["train"])),
-                           (r + 1, "validation", "mlogloss", float(got["validation"]))]
-        self.step = step
-        self._curves = curves if validation is not None else None
-        self._fitted = True
-        return self
+    def _to_probability(self, scores: Column) -> Column:
+        raise NotImplementedError
 
     def predict_proba(self, df, prob_col="probability"):
         self._require_fitted()
         score = forest_scorer(self.nodes, self.init_scores, self.step)
         return (df.withColumn("_s", score(vector_to_array(F.col(self.features_col))))
-                .withColumn(prob_col, self._softmax(F.col("_s"))).drop("_s"))
+                .withColumn(prob_col, self._to_probability(F.col("_s"))).drop("_s"))
 
     def _meta(self) -> dict:
         meta = super()._meta()
@@ -371,7 +224,7 @@ class SoftmaxBoost(BoostingClassifier):
         _write_meta(path, self._meta())
 
     @classmethod
-    def load(cls, path: str) -> "SoftmaxBoost":
+    def load(cls, path: str) -> "HistogramBoost":
         meta = _read_meta(path)
         obj = cls(meta["random_state"], **meta["hyperparameters"])
         obj._restore(meta)
@@ -382,35 +235,31 @@ class SoftmaxBoost(BoostingClassifier):
         return obj
 
 
-NODE_COLUMNS = ("round int, class int, node int, feature int, threshold double, left int, right int, "
-                "value double")
+def _divided_by_sum(values: Column) -> Column:
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(values, lambda v: F.when(total > 0, v / total).otherwise(F.lit(1.0) / F.size(values)))
+
+
+class OneVsRestGBT(HistogramBoost):
+    """Learner A: K logistic models, one against the rest."""
+
+    model_type, objective, metric = "ovr_gbt", "logistic", "ovr_logloss"
+
+    def _to_probability(self, scores):
+        return _divided_by_sum(F.transform(scores, lambda s: F.lit(1.0) / (F.lit(1.0) + F.exp(-s))))
+
 
+class SoftmaxBoost(HistogramBoost):
+    """Learner B: multinomial boosting."""
 
-def tree_nodes(tree: DecisionTreeRegressionModel, leaf_values: dict[float, float]) -> list[tuple]:
-    """(feature, threshold, left, right, value) per node in pre-order, from the
-    model's description; a leaf has feature -1 and its Newton value."""
-    lines = [line.strip() for line in tree.toDebugString.split("\n")[1:] if line.strip()]
-    nodes: list[list] = []
-    leaf, at = 0, 0
-
-    def build() -> int:
-        nonlocal leaf, at
-        mine = len(nodes)
-        line = lines[at]
-        at += 1
-        if line.startswith("Predict"):
-            nodes.append([-1, 0.0, -1, -1, leaf_values.get(float(leaf), 0.0)])
-            leaf += 1
-            return mine
-        feature, threshold = re.match(r"If \(feature (\d+) <= (\S+)\)", line).groups()
-        nodes.append([int(feature), float(threshold), -1, -1, 0.0])
-        nodes[mine][2] = build()
-        at += 1                     # "Else (feature i > t)"
-        nodes[mine][3] = build()
-        return mine
-
-    build()
-    return [tuple(n) for n in nodes]
+    model_type, objective, metric = "softmax_boost", "softmax", "mlogloss"
+
+    def _to_probability(self, scores):
+        return _divided_by_sum(F.transform(scores, lambda s: F.exp(s - F.array_max(scores))))
+
+
+NODE_COLUMNS = ("round int, class int, node int, feature int, threshold double, left int, right int, "
+                "value double")
 
 
 def forest_scorer(nodes: list[tuple], init_scores: list[float], step: float):

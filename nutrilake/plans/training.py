@@ -63,27 +63,19 @@ def train_model(model_type: str, prepared: Prepared, out_dir: str | None = None,
 
 
 def cross_validate(model_type: str, prepared: Prepared, k: int = 5, random_state: int = 42,
-                   hyperparameters: dict | None = None,
-                   parallelism: int = 1) -> tuple[DataFrame, DataFrame]:
+                   hyperparameters: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """M8: stratified k-fold over train+test recombined; a fresh model per
-    fold; returns (fold metrics (fold, metric, value), summary (metric,
-    mean, std) with the population std).  Nothing is persisted."""
+    fold, all trained in the same passes (``fit_folds``); returns (fold metrics
+    (fold, metric, value), summary (metric, mean, std) with the population
+    std).  Nothing is persisted."""
     frame = model_frame(prepared)
     folded = materialize(stratified_folds(frame, k, prepared.target, random_state, prepared.key), "cache")
-    def fit_fold(i: int) -> DataFrame:
-        model = make_model(model_type, random_state, **(hyperparameters or {}))
-        model.fit(folded.where(F.col("fold") != i), "label", "features",
-                  n_classes=len(prepared.labels.classes))
-        return model.predict(folded.where(F.col("fold") == i)).select("fold", "label", "prediction")
-
-    # independent folds as concurrent jobs (as MLlib's CrossValidator parallelism)
-    fold_preds = run_parallel([lambda i=i: fit_fold(i) for i in range(k)], parallelism)
-    preds = fold_preds[0]
-    for pred in fold_preds[1:]:
-        preds = preds.unionByName(pred)
-    named = preds.select("fold", prepared.labels.decode("label").alias("y"),
-                         prepared.labels.decode("prediction").alias("yhat"))
-    m = metrics_from_pairs(pair_counts(named, "y", "yhat", ["fold"]), ["fold"])
+    model = make_model(model_type, random_state, **(hyperparameters or {}))
+    pairs, _ = model.fit_folds(folded, k, n_classes=len(prepared.labels.classes))
+    folded.unpersist()
+    named = pairs.select("fold", prepared.labels.decode("label").alias("t"),
+                         prepared.labels.decode("prediction").alias("p"), "n")
+    m = metrics_from_pairs(named, ["fold"])
     per_fold = materialize(m.unpivot(["fold"], S.METRIC_KEYS, "metric", "value"), "cache")
     return per_fold, cv_summary(per_fold)
 

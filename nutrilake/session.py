@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +67,17 @@ def current_session() -> SparkSession:
     """The caller's session, also from worker threads (the active session is
     thread-local; ``getOrCreate`` returns the process's existing one)."""
     return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:16]}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_folder`` named; any other is refused."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/"
+    if not path.startswith(base) or len(path) <= len(base) or ".." in path:
+        raise ValueError(f"{path} is no scratch folder of this session")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
