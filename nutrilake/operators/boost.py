@@ -159,6 +159,10 @@ class HistogramBoost(BoostingClassifier):
     def _p(self, name: str):
         return self.params.get(name, self.DEFAULTS[name])
 
+    @property
+    def max_bins(self) -> int:
+        return int(self._p("maxBins"))
+
     def settings(self) -> histogram.Settings:
         return histogram.Settings(self.objective, int(self._p("maxIter")), int(self._p("maxDepth")),
                                   float(self._p("stepSize")), int(self._p("minInstancesPerNode")), float(self._p("l2")),
@@ -173,7 +177,7 @@ class HistogramBoost(BoostingClassifier):
         self.n_classes = self._classes(train, label_col, n_classes)
         settings = self.settings()
         self.forest = histogram.fit_forest(train, features_col, label_col, self.n_classes, settings,
-                                           int(self._p("maxBins")), validation=validation, thresholds=thresholds)
+                                           self.max_bins, validation=validation, thresholds=thresholds)
         self.init_scores = self.forest.init[0].tolist()
         self.nodes = histogram.node_rows(self.forest)
         self.step = settings.step
@@ -200,7 +204,7 @@ class HistogramBoost(BoostingClassifier):
                                       what="pairs of classes")
             return spark.createDataFrame([tuple(r) for r in counted], "fold int, label int, prediction int, n long"), forest
 
-        return histogram.fit_forest(rows, features_col, label_col, classes, settings, int(self._p("maxBins")),
+        return histogram.fit_forest(rows, features_col, label_col, classes, settings, self.max_bins,
                                     fold_col, k, thresholds=thresholds, keep=judge)
 
     def _to_probability(self, scores: Column) -> Column:

@@ -303,23 +303,20 @@ def best_splits(cells: DataFrame, settings: Settings) -> DataFrame:
     """(model, class, node, g, h, n, best): totals of every node and its best
     split (gain, feature, bin, gl, hl) or null.  Ties go to the lower feature,
     then the lower bin."""
-    summed = (cells.repartition("model", "class", "node", "feature")
-              .groupBy("model", "class", "node", "feature", "bin")
-              .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")))
-    whole = Window.partitionBy("model", "class", "node", "feature")
-    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = summed.select(
-        "model", "class", "node", "feature", "bin",
-        *[F.sum(c).over(upto).alias(f"{c}l") for c in "ghn"], *[F.sum(c).over(whole).alias(c) for c in "ghn"])
-
-    def part(g, h):
-        g, h = g / F.lit(float(FIXED)), h / F.lit(float(FIXED))
-        return g * g / (h + F.lit(settings.l2))
-
-    gain = part(F.col("gl"), F.col("hl")) + part(F.col("g") - F.col("gl"), F.col("h") - F.col("hl")) - part(F.col("g"), F.col("h"))
-    allowed = (F.col("class") >= 0) & (F.col("nl") >= settings.min_rows) & (F.col("n") - F.col("nl") >= max(1, settings.min_rows))
-    split = F.struct(gain.alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), "gl", "hl")
-    return (sums.withColumn("split", F.when(allowed, split))
+    keys = ["model", "class", "node", "feature"]
+    summed = cells.repartition(*keys).groupBy(*keys, "bin").agg(
+        F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
+    whole = "PARTITION BY model, class, node, feature"
+    sums = summed.selectExpr(*keys, "bin", *[f"sum({c}) OVER ({whole} ORDER BY bin) AS {c}l" for c in "ghn"],
+                             *[f"sum({c}) OVER ({whole}) AS {c}" for c in "ghn"])
+
+    def part(g: str, h: str) -> str:
+        return f"({g}) / {float(FIXED)}D * (({g}) / {float(FIXED)}D) / (({h}) / {float(FIXED)}D + {float(settings.l2)}D)"
+
+    gain = f"{part('gl', 'hl')} + {part('g - gl', 'h - hl')} - {part('g', 'h')}"
+    allowed = f"class >= 0 AND nl >= {settings.min_rows} AND n - nl >= {max(1, settings.min_rows)}"
+    return (sums.selectExpr("model", "class", "node", "g", "h", "n",
+                            f"CASE WHEN {allowed} THEN struct({gain} AS gain, -feature AS f, -bin AS b, gl, hl) END AS split")
             .groupBy("model", "class", "node")
             .agg(F.max("g").alias("g"), F.max("h").alias("h"), F.max("n").alias("n"), F.max("split").alias("best")))
 

@@ -11,12 +11,14 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
 from nutrilake.functions import rules
 from nutrilake.operators import evaluate, score, split
+from nutrilake.operators.boost import make_model
 from nutrilake.plans import sqlgen as G
 from nutrilake.plans import training
 from nutrilake.plans.common import diet_dedup, r6, sql_r6, with_dd
@@ -242,6 +244,149 @@ def q_train_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+# ---------------------------------------------------------------- exact trees
+# The first round of both learners on lineitem (three classes, five features of
+# few values), written out in SQL: cells, running sums, gains, the best split of
+# each node, Newton leaf values, and the log loss that follows.
+BOOST_FEATURES = ["l_quantity", "l_discount", "l_tax", "CAST(l_linenumber AS DOUBLE)",
+                  "CASE WHEN l_linestatus = 'O' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"]
+BOOST_STEP = 0.5
+
+
+def _lineitem_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "lineitem").select(
+        F.expr("CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END").alias("label"),
+        F.expr("CAST(l_orderkey % 5 AS INT)").alias("fold"),
+        array_to_vector(F.array(*[F.expr(c).cast("double") for c in BOOST_FEATURES])).alias("features"))
+    return rows
+
+
+def _boost_ctes(models: str, levels: int) -> str:
+    """base, shares, and per level i: best{i} (m, k, node, f, v, gain, totals,
+    sums of the left side) and at{i + 1} (rows with the node they go to)."""
+    x = ", ".join(BOOST_FEATURES)
+    unit = "CAST(16777216 AS DOUBLE)"
+
+    def part(g: str, h: str) -> str:
+        return f"({g}) / {unit} * (({g}) / {unit}) / (({h}) / {unit} + CAST(1 AS DOUBLE))"
+
+    out = f"""base AS (SELECT row_number() OVER () AS rid, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y,
+  l_orderkey % 5 AS fold, [{x}] AS x FROM lineitem),
+vals AS (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nv FROM
+  (SELECT DISTINCT f, x[f + 1] AS v FROM base, (SELECT unnest(range({len(BOOST_FEATURES)})) AS f))),
+trained AS (SELECT m, b.* FROM base b, (SELECT unnest({models}) AS m) WHERE m < 0 OR fold <> m),
+share AS (SELECT m, y AS k, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY m) AS p FROM trained GROUP BY m, y),
+at0 AS (SELECT t.m, s.k, rid, y, x, 0 AS node,
+  CAST(round((p - CASE WHEN y = k THEN 1 ELSE 0 END) * 16777216) AS BIGINT) AS g,
+  CAST(round(p * (1 - p) * 16777216) AS BIGINT) AS h FROM trained t JOIN share s ON t.m = s.m)"""
+    for i in range(levels):
+        out += f""",
+cells{i} AS (SELECT m, k, node, f, x[f + 1] AS v, sum(g) AS g, sum(h) AS h, count(*) AS n
+  FROM at{i}, (SELECT unnest(range({len(BOOST_FEATURES)})) AS f) GROUP BY ALL),
+sums{i} AS (SELECT m, k, node, f, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl,
+  sum(g) OVER a AS g, sum(h) OVER a AS h, sum(n) OVER a AS n FROM cells{i}
+  WINDOW w AS (PARTITION BY m, k, node, f ORDER BY v), a AS (PARTITION BY m, k, node, f)),
+gains{i} AS (SELECT *, CASE WHEN n > nl THEN {part('gl', 'hl')} + {part('g - gl', 'h - hl')} - {part('g', 'h')} END AS gain FROM sums{i}),
+best{i} AS (SELECT * FROM gains{i} QUALIFY row_number() OVER (PARTITION BY m, k, node ORDER BY gain DESC NULLS LAST, f, v) = 1),
+at{i + 1} AS (SELECT a.* REPLACE (2 * a.node + 1 + CASE WHEN x[b.f + 1] <= b.v THEN 0 ELSE 1 END AS node)
+  FROM at{i} a JOIN best{i} b ON a.m = b.m AND a.k = b.k AND a.node = b.node WHERE b.gain > 1e-9)"""
+    return out
+
+
+def _leaf_sql(levels: int) -> str:
+    """(m, k, node, f, threshold, gain, g, h) of every node: splits, then leaves."""
+    parts = [f"""SELECT b.m, b.k, b.node, CASE WHEN gain > 1e-9 THEN b.f ELSE -1 END AS f,
+  CASE WHEN gain > 1e-9 THEN b.v + (nv - b.v) / 2 END AS threshold, CASE WHEN gain > 1e-9 THEN gain END AS gain, g, h
+  FROM best{i} b JOIN vals ON vals.f = b.f AND vals.v = b.v""" for i in range(levels)]
+    parts.append(f"SELECT m, k, node, -1, NULL, NULL, sum(g), sum(h) FROM at{levels} GROUP BY m, k, node")
+    return " UNION ALL ".join(parts)
+
+
+_LEAF_VALUE = "-(CAST({share} AS DOUBLE)) * (g / CAST(16777216 AS DOUBLE)) / (h / CAST(16777216 AS DOUBLE) + 1)"
+_LEARNER_SHARE = {"ovr_gbt": "1", "softmax_boost": "2.0 / 3.0"}
+BOOST_TREE_SQL = f"WITH {_boost_ctes('[-1]', 2)}, nodes AS ({_leaf_sql(2)})\n" + " UNION ALL ".join(
+    f"""SELECT '{t}' AS model_type, CAST(k AS INTEGER) AS class, CAST(node AS INTEGER) AS node, CAST(f AS INTEGER) AS feature,
+  {sql_r6('threshold')} AS threshold, round(gain, 3) AS gain,
+  CASE WHEN f < 0 THEN {sql_r6(_LEAF_VALUE.format(share=_LEARNER_SHARE[t]))} END AS value FROM nodes""" for t in _LEARNER_SHARE)
+
+
+def _tree_rows(spark: SparkSession, model_type: str, rounds: list, thresholds: list, model: int) -> list[tuple]:
+    tree, out = rounds[0], []
+    for k in range(tree.feature.shape[1]):
+        todo = [0]
+        while todo:
+            at = todo.pop()
+            f = int(tree.feature[model, k, at])
+            if f >= 0:
+                out.append((model_type, model, k, at, f, float(thresholds[f][tree.bin[model, k, at]]),
+                            float(tree.gain[model, k, at]), None))
+                todo += [2 * at + 1, 2 * at + 2]
+            else:
+                out.append((model_type, model, k, at, -1, None, None, float(tree.value[model, k, at])))
+    return out
+
+
+def _tree_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, "model_type string, fold int, class int, node int, feature int, threshold double, "
+                                       "gain double, value double") \
+        .withColumns({"threshold": r6("threshold"), "gain": F.round("gain", 3), "value": r6("value")})
+
+
+@query("boost_tree", BOOST_TREE_SQL)
+def q_boost_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1/M2: the first trees of both learners on all of lineitem: split
+    features, thresholds, gains and leaf values."""
+    rows, out = _lineitem_vectors(spark, sf_dir), []
+    for t in ("ovr_gbt", "softmax_boost"):
+        m = make_model(t, 42, iterations=1, depth=2, learning_rate=BOOST_STEP, max_bins=64).fit(rows)
+        out += _tree_rows(spark, t, m.forest.rounds, m.forest.thresholds, 0)
+    return _tree_frame(spark, out).drop("fold")
+
+
+CV_TREE_SQL = f"WITH {_boost_ctes('range(5)', 1)}, nodes AS ({_leaf_sql(1)})\n" + f"""SELECT 'softmax_boost' AS model_type,
+  CAST(m AS INTEGER) AS fold, CAST(k AS INTEGER) AS class, CAST(node AS INTEGER) AS node, CAST(f AS INTEGER) AS feature,
+  {sql_r6('threshold')} AS threshold, round(gain, 3) AS gain,
+  CASE WHEN f < 0 THEN {sql_r6(_LEAF_VALUE.format(share=_LEARNER_SHARE['softmax_boost']))} END AS value FROM nodes"""
+
+
+@query("cv_tree", CV_TREE_SQL)
+def q_cv_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: five folds of lineitem trained in the same passes: the first tree of
+    every fold's model and class."""
+    _, forest = make_model("softmax_boost", 42, iterations=1, depth=1, max_bins=64) \
+        .fit_folds(_lineitem_vectors(spark, sf_dir), 5, n_classes=3)
+    rows = [r for fold in range(5) for r in _tree_rows(spark, "softmax_boost", forest.rounds, forest.thresholds, fold)]
+    return _tree_frame(spark, rows)
+
+
+_SCORED = f"""leaf AS (SELECT a.rid, a.y, a.k, n.g AS g, n.h AS h
+  FROM at2 a JOIN (SELECT m, k, node, sum(g) AS g, sum(h) AS h FROM at2 GROUP BY ALL) n ON a.k = n.k AND a.node = n.node
+  UNION ALL SELECT a.rid, a.y, a.k, b.g, b.h FROM at1 a JOIN best1 b ON a.k = b.k AND a.node = b.node
+  WHERE b.gain IS NULL OR b.gain <= 1e-9
+  UNION ALL SELECT a.rid, a.y, a.k, b.g, b.h FROM at0 a JOIN best0 b ON a.k = b.k
+  WHERE b.gain IS NULL OR b.gain <= 1e-9)"""
+_SCORE = "{init} + {step!r} * " + _LEAF_VALUE
+BOOST_LOSS_SQL = f"""WITH {_boost_ctes('[-1]', 2)}, {_SCORED},
+soft AS (SELECT rid, max(CASE WHEN leaf.k = y THEN exp(s) END) / sum(exp(s)) AS p FROM
+  (SELECT leaf.*, {_SCORE.format(init='ln(share.p)', step=BOOST_STEP, share='2.0 / 3.0')} AS s FROM leaf JOIN share ON leaf.k = share.k) leaf
+  GROUP BY ALL),
+rest AS (SELECT CASE WHEN k = y THEN 1 / (1 + exp(-s)) ELSE 1 - 1 / (1 + exp(-s)) END AS p FROM
+  (SELECT leaf.*, {_SCORE.format(init='ln(share.p / (1 - share.p))', step=BOOST_STEP, share='1')} AS s FROM leaf JOIN share ON leaf.k = share.k))
+SELECT 'ovr_gbt' AS model_type, round(avg(-ln(p)), 5) AS train_loss FROM rest
+UNION ALL SELECT 'softmax_boost', round(avg(-ln(p)), 5) FROM soft"""
+
+
+@query("boost_loss", BOOST_LOSS_SQL)
+def q_boost_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3-M5: the training loss after the first round, as the curves report it."""
+    rows, out = _lineitem_vectors(spark, sf_dir), []
+    for t in ("ovr_gbt", "softmax_boost"):
+        m = make_model(t, 42, iterations=1, depth=2, learning_rate=BOOST_STEP, max_bins=64)
+        curve = m.fit(rows, validation=rows.limit(0)).get_evals_result()
+        out.append(curve.where("split = 'train'").select(F.lit(t).alias("model_type"), F.round("value", 5).alias("train_loss")))
+    return out[0].unionByName(out[1])
+
+
 COMPARE_MODELS_SQL = _values("g", "model_type, metric, registry_position, in_range", [
     f"'{t}', '{m}', CAST({i} AS INTEGER), TRUE" for i, t in enumerate(("ovr_gbt", "softmax_boost"))
     for m in ("accuracy", "precision_macro", "recall_macro", "f1_macro", "mcc")])

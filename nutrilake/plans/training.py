@@ -14,6 +14,7 @@ from nutrilake.operators.boost import MODEL_REGISTRY, BoostingClassifier, make_m
 from nutrilake.operators.clean import require_path
 from nutrilake.operators.encode import LabelCodes, assemble
 from nutrilake.operators.evaluate import classification_metrics, metrics_from_pairs, pair_counts
+from nutrilake.operators.histogram import fit_thresholds
 from nutrilake.operators.split import stratified_folds
 from nutrilake.plans.preprocess import Prepared, materialize
 
@@ -42,15 +43,18 @@ def _metrics(pred: DataFrame, labels: LabelCodes) -> DataFrame:
 
 def train_model(model_type: str, prepared: Prepared, out_dir: str | None = None,
                 random_state: int = 42, hyperparameters: dict | None = None,
-                frame: DataFrame | None = None, feature_names: list[str] | None = None) -> TrainingResult:
+                frame: DataFrame | None = None, feature_names: list[str] | None = None,
+                thresholds: list | None = None) -> TrainingResult:
     """M7: fit on train with test as validation set, score test, metrics,
-    curves, persist model + label codes under ``<out>/<type>/``."""
+    curves, persist model + label codes under ``<out>/<type>/``.
+    ``thresholds``: split candidates found before, as when learners are compared."""
     frame = frame if frame is not None else materialize(model_frame(prepared), "cache")
     train = frame.where(F.col("split") == "train")
     test = frame.where(F.col("split") == "test")
     model = make_model(model_type, random_state, **(hyperparameters or {}))
     model.feature_names = list(feature_names or prepared.feature_names)
-    model.fit(train, "label", "features", validation=test, n_classes=len(prepared.labels.classes))
+    model.fit(train, "label", "features", validation=test, n_classes=len(prepared.labels.classes),
+              thresholds=thresholds)
     pred = model.predict(test)
     metrics = _metrics(pred, prepared.labels)
     model_path = labels_path = None
@@ -93,9 +97,13 @@ def compare_models(prepared: Prepared, out_dir: str | None = None, random_state:
     frame = materialize(model_frame(prepared), "cache")
     params = hyperparameters_by_model or {}
     types = list(MODEL_REGISTRY)
-    # the learners are independent: train them as concurrent jobs
-    results = run_parallel([lambda t=t: train_model(t, prepared, out_dir, random_state, params.get(t), frame)
-                            for t in types], parallelism)
+    # learners of one bin count share their split candidates
+    bins = {t: make_model(t, random_state, **params.get(t, {})).max_bins for t in types}
+    train = frame.where(F.col("split") == "train")
+    cuts = {n: fit_thresholds(train, "features", n) for n in sorted(set(bins.values()))}
+    # the learners are independent: they may be trained as concurrent jobs
+    results = run_parallel([lambda t=t: train_model(t, prepared, out_dir, random_state, params.get(t), frame,
+                                                    thresholds=cuts[bins[t]]) for t in types], parallelism)
     return dict(zip(types, results))
 
 
