@@ -6,26 +6,37 @@ deciles with right-closed bins) and the two-sample KS statistic with its
 asymptotic p-value.
 
 Plan: both sides are unpivoted to (feature, value) and counted per distinct
-value in ONE shuffle (map-side combined, so a hot value is one row).  Every
-measure is then computed from that count table:
-
-* categorical PSI: proportions per value;
-* binned PSI: exact reference quantiles (``long_quantiles``) -> a bounded
-  edges table (features x (buckets+1)) -> bin per distinct value;
-* KS: running totals over sorted distinct values via ``running_totals``
-  (bucketed, never one window partition per feature).
+value in ONE shuffle (map-side combined, so a hot value is one row).  That count
+table is range-partitioned by (feature, value) and written once; everything else
+is a local pass over its ordered parts (``functions.segments``):
+
+1. totals per ordered segment, whose prefix sums are the offsets of each;
+2. the KS statistic and the exact reference quantiles, from running totals
+   that start at the offset;
+3. PSI cells: bins by those quantiles, or values.
+
+What reaches the driver is a row per (segment, feature), then per (feature, bin).
+
+A ``DriftBaseline`` keeps the reference as counts per value, added up batch by
+batch, with its totals and edges: later tables are compared with it without
+reading the reference again.
 """
 from __future__ import annotations
 
+import json
+import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nutrilake.functions.ordered import (bounded_broadcast, count_below, counted, running_totals,
-                                         side_value_counts, weighted_quantiles)
-from nutrilake.functions.stats import ks_pvalue, psi_term, severity
+from nutrilake.functions import segments
+from nutrilake.functions.ordered import side_value_counts, value_counts_long
+from nutrilake.functions.stats import ks_pvalue, severity
+from nutrilake.operators.clean import require_path
+from nutrilake.session import remove_scratch, scratch_folder
 
 REPORT_COLUMNS = ["feature", "psi", "ks_statistic", "ks_pvalue", "drift_severity"]
 
@@ -40,14 +51,9 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))
 
 
-def _share(part: F.Column, total: F.Column) -> F.Column:
-    return F.when(total > 0, part / total).otherwise(F.lit(0.0))
-
-
 def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
                  buckets: int = 10, moderate: float = 0.1, major: float = 0.25,
-                 categorical_max_unique: int = 10, quantile_method: str = "exact",
-                 n_buckets: int | None = None) -> DataFrame:
+                 categorical_max_unique: int = 10) -> DataFrame:
     """One row per shared column, sorted by PSI descending.
 
     Numeric columns are compared as numbers, the others as strings
@@ -55,77 +61,136 @@ def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] |
     both sides has PSI 0, KS 0 and p-value 1.
     """
     cols = shared_columns(reference, current) if columns is None else list(columns)
-    if not cols:
-        return reference.sparkSession.createDataFrame(
-            [], "feature string, psi double, ks_statistic double, ks_pvalue double, "
-                "drift_severity string")
     num = [c for c in cols if _is_numeric(reference, c)]
     txt = [c for c in cols if c not in num]
-    kw = {} if n_buckets is None else {"n_buckets": n_buckets}
-
-    # the one shuffle over the data; everything below reads this table
-    counts = side_value_counts(reference, current, num, txt).withColumnRenamed("column", "feature")
-    totals = counts.groupBy("feature").agg(
-        F.sum("rn").alias("n_r"), F.sum("cn").alias("n_c"),
-        F.count_if(F.col("rn") > 0).alias("ref_unique"))
-    # totals: one row per feature
-    c = counts.join(bounded_broadcast(totals), "feature")
-    # string columns always take the categorical path (quantile bins need numbers)
-    categorical = (F.col("ref_unique") <= categorical_max_unique) | F.col("sval").isNotNull()
-    bin_col = F.lit(None).cast("int")
-    if num:
-        ref_num = counts.where(counted(counts, F.col("dval").isNotNull(), "rn"))
+    # the one shuffle over the data
+    counts = side_value_counts(reference, current, num, txt) if cols else None
+    return _report(reference.sparkSession, counts, cols, set(txt), buckets, moderate, major, categorical_max_unique)
+
+
+def _report(spark: SparkSession, counts: DataFrame | None, cols: list[str], texts: set[str], buckets: int,
+            moderate: float, major: float, categorical_max_unique: int,
+            known_edges: dict[str, list[float]] | None = None) -> DataFrame:
+    """The report of a count table (column, dval, sval, rn, cn), one row per
+    value.  ``known_edges``: the reference's quantiles of numeric columns with
+    more than ``categorical_max_unique`` values, when they are known."""
+    rows = []
+    if cols:
+        folder = scratch_folder(spark, "drift")
+        feature = F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("column")) - 1
+        ordered = segments.write_ordered(counts.select(feature.cast("int").alias("feature"), "dval", "sval", "rn", "cn"),
+                                         folder)
+        found = segments.totals(ordered)
+        n_r, n_c, unique = (np.zeros(len(cols), np.int64) for _ in range(3))
+        for s in found:
+            n_r[s.feature] += s.r
+            n_c[s.feature] += s.c
+            unique[s.feature] += s.distinct
+        binned = [i for i, c in enumerate(cols) if c not in texts and unique[i] > categorical_max_unique]
         probs = [i / buckets for i in range(buckets + 1)]
-        if quantile_method == "approx":
-            q = ref_num.groupBy("feature").agg(F.percentile_approx("dval", probs, 10_000).alias("q"))
-        else:
-            q = weighted_quantiles(ref_num, "feature", "dval", "rn", probs, **kw)
-        edges = q.select("feature", F.array_sort(F.array_distinct("q")).alias("_edges"))
-        # edges: one row per numeric feature, buckets+1 numbers.
-        c = c.join(bounded_broadcast(edges), "feature", "left")
-        inner = F.slice(F.col("_edges"), 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
-        bin_col = F.when(F.col("dval").isNull(), F.lit(None).cast("int")).otherwise(
-            count_below(inner, F.col("dval"), buckets + 1))
-    cells = c.withColumn("_cell", F.when(categorical, F.coalesce(F.col("dval").cast("string"),
-                                                                 F.col("sval")))
-                         .otherwise(bin_col.cast("string")))
-    psi = (cells.groupBy("feature", "_cell")
-           .agg(F.sum("rn").alias("rn"), F.sum("cn").alias("cn"),
-                F.first("n_r").alias("n_r"), F.first("n_c").alias("n_c"))
-           .groupBy("feature")
-           .agg(F.sum(psi_term(_share(F.col("rn"), F.col("n_r")),
-                               _share(F.col("cn"), F.col("n_c")))).alias("psi")))
-    ks_parts = []
-    if num:
-        d = counts.where(counted(counts, F.col("dval").isNotNull(), "rn") |
-                         counted(counts, F.col("dval").isNotNull(), "cn")) \
-            .select("feature", "dval", "rn", "cn")
-        ks_parts.append(running_totals(d, ["feature"], "dval", ["rn", "cn"], **kw)
-                        .select("feature", "cum_rn", "cum_cn"))
-    if txt:
-        d = counts.where(counted(counts, F.col("sval").isNotNull(), "rn") |
-                         counted(counts, F.col("sval").isNotNull(), "cn")) \
-            .select("feature", "sval", "rn", "cn")
-        ks_parts.append(running_totals(d, ["feature"], "sval", ["rn", "cn"])
-                        .select("feature", "cum_rn", "cum_cn"))
-    cum = ks_parts[0] if len(ks_parts) == 1 else ks_parts[0].unionByName(ks_parts[1])
-    ks = (cum.join(bounded_broadcast(totals), "feature")
-          .groupBy("feature", "n_r", "n_c")
-          .agg(F.max(F.abs(_share(F.col("cum_rn"), F.col("n_r")) - _share(F.col("cum_cn"), F.col("n_c"))))
-               .alias("ks_statistic")))
-    res = psi.join(ks, "feature").select(
-        "feature", "psi", "ks_statistic",
-        ks_pvalue(F.col("ks_statistic"), F.col("n_r"), F.col("n_c")).alias("ks_pvalue"))
+        edges = {i: known_edges[cols[i]] for i in binned} if known_edges is not None else None
+        wanted = {} if edges is not None else {i: segments.ranks(probs, int(n_r[i])) for i in binned}
+        ks, picked = segments.levels(ordered, found, n_r, n_c, wanted)
+        if edges is None:
+            edges = {i: segments.quantiles(probs, int(n_r[i]), picked[i]) for i in binned}
+        inner = {i: np.unique(np.array(e, float))[1:-1] for i, e in edges.items()}
+        psi = segments.psi(ordered, n_r, n_c, inner)
+        remove_scratch(spark, folder)
+        rows = [(c, float(psi[i]), float(ks[i]), int(n_r[i]), int(n_c[i])) for i, c in enumerate(cols)]
     # one row per shared column: a column without any value on either side did not move
-    every = reference.sparkSession.createDataFrame([(x,) for x in cols], "feature string")
-    return (every.join(res, "feature", "left")
-            .select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"),
-                    F.coalesce("ks_statistic", F.lit(0.0)).alias("ks_statistic"),
-                    F.coalesce("ks_pvalue", F.lit(1.0)).alias("ks_pvalue"))
-            .withColumn("drift_severity", severity(F.col("psi"), moderate, major))
+    frame = spark.createDataFrame(rows, "feature string, psi double, ks_statistic double, n_r long, n_c long")
+    return (frame.select("feature", "psi", "ks_statistic",
+                         F.when(F.col("n_r") + F.col("n_c") > 0, ks_pvalue(F.col("ks_statistic"), F.col("n_r"), F.col("n_c")))
+                         .otherwise(F.lit(1.0)).alias("ks_pvalue"),
+                         severity(F.col("psi"), moderate, major).alias("drift_severity"))
             .orderBy(F.desc("psi"), "feature"))
 
 
+# ---- F10: the reference as saved state -----------------------------------------
+class DriftBaseline:
+    """The reference of a comparison as mergeable state below ``path``.
+
+    ``counts/batch_id=<id>`` holds the counts per (column, value) of one batch; a
+    batch that is written again replaces itself, so a replayed stream batch or a
+    repeated job adds nothing.  ``columns`` lists the columns.  ``edges`` holds
+    totals and quantiles, found by ``freeze`` and out of date after ``add``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, numeric: list[str], texts: list[str], order: list[str]):
+        self.spark, self.path = spark, path
+        self.numeric, self.texts, self.order = numeric, texts, order
+
+    @classmethod
+    def create(cls, like: DataFrame, path: str, columns: list[str] | None = None) -> "DriftBaseline":
+        """An empty baseline for tables with the columns of ``like``."""
+        order = list(columns or like.columns)
+        num = [c for c in order if _is_numeric(like, c)]
+        meta = {"numeric": num, "texts": [c for c in order if c not in num], "order": order}
+        like.sparkSession.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1) \
+            .write.mode("overwrite").text(os.path.join(path, "columns"))
+        return cls(like.sparkSession, path, **meta)
+
+    @classmethod
+    def fit(cls, reference: DataFrame, path: str, columns: list[str] | None = None) -> "DriftBaseline":
+        """The whole reference as one batch, frozen."""
+        return cls.create(reference, path, columns).add(reference, 0).freeze()
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "DriftBaseline":
+        require_path(os.path.join(path, "columns"), "no drift baseline; fit one first")
+        return cls(spark, path, **json.loads(spark.read.text(os.path.join(path, "columns")).first()[0]))
+
+    def add(self, batch: DataFrame, batch_id: int) -> "DriftBaseline":
+        """Add the rows of one batch: one aggregation with map-side combine."""
+        value_counts_long(batch, self.numeric, self.texts, keep_nulls=False) \
+            .write.mode("overwrite").parquet(os.path.join(self.path, "counts", f"batch_id={int(batch_id)}"))
+        return self
+
+    def counts(self) -> DataFrame:
+        """(column, dval, sval, n) over all batches."""
+        return (self.spark.read.schema("column string, dval double, sval string, n long, batch_id long")
+                .parquet(os.path.join(self.path, "counts"))
+                .groupBy("column", "dval", "sval").agg(F.sum("n").alias("n")))
+
+    def freeze(self, buckets: int = 10) -> "DriftBaseline":
+        """Find totals and edges, so that comparisons need not."""
+        folder = scratch_folder(self.spark, "baseline")
+        feature = F.array_position(F.array(*[F.lit(c) for c in self.order]), F.col("column")) - 1
+        ordered = segments.write_ordered(self.counts().select(
+            feature.cast("int").alias("feature"), "dval", "sval", F.col("n").alias("rn"), F.lit(0).cast("long").alias("cn")), folder)
+        found = segments.totals(ordered)
+        n, unique = np.zeros(len(self.order), np.int64), np.zeros(len(self.order), np.int64)
+        for s in found:
+            n[s.feature] += s.r
+            unique[s.feature] += s.distinct
+        probs = [i / buckets for i in range(buckets + 1)]
+        numeric = [i for i, c in enumerate(self.order) if c in set(self.numeric) and n[i]]
+        _, picked = segments.levels(ordered, found, n, np.zeros_like(n), {i: segments.ranks(probs, int(n[i])) for i in numeric})
+        remove_scratch(self.spark, folder)
+        rows = [(c, int(n[i]), int(unique[i]), buckets,
+                 segments.quantiles(probs, int(n[i]), picked[i]) if i in picked else None) for i, c in enumerate(self.order)]
+        self.spark.createDataFrame(rows, "feature string, n long, distinct long, buckets int, edges array<double>") \
+            .coalesce(1).write.mode("overwrite").parquet(os.path.join(self.path, "edges"))
+        return self
+
+    def compare(self, current: DataFrame, moderate: float = 0.1, major: float = 0.25,
+                categorical_max_unique: int = 10) -> DataFrame:
+        """The report of ``drift_report(reference, current)`` over the columns
+        that ``current`` has; the baseline must be frozen."""
+        require_path(os.path.join(self.path, "edges"), "the drift baseline is not frozen")
+        frozen = {r["feature"]: r for r in self.spark.read.parquet(os.path.join(self.path, "edges")).collect()}
+        cols = [c for c in self.order if c in set(current.columns)]
+        num = [c for c in cols if c in set(self.numeric)]
+        texts = [c for c in cols if c not in num]
+        now = value_counts_long(current, num, texts, keep_nulls=False)
+        both = (self.counts().where(F.col("column").isin(cols))
+                .select("column", "dval", "sval", F.col("n").alias("rn"), F.lit(0).cast("long").alias("cn"))
+                .unionByName(now.select("column", "dval", "sval", F.lit(0).cast("long").alias("rn"), F.col("n").alias("cn")))
+                .groupBy("column", "dval", "sval").agg(F.sum("rn").alias("rn"), F.sum("cn").alias("cn")))
+        edges = {c: list(r["edges"]) for c, r in frozen.items() if r["edges"] is not None}
+        return _report(self.spark, both, cols, set(texts), 10, moderate, major, categorical_max_unique, edges)
+
+
 def drift_summary(report: DataFrame) -> DataFrame:
     """features checked, drifted features (PSI order), any major drift."""
     return report.agg(

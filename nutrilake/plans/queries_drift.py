@@ -10,7 +10,9 @@ from nutrilake.plans import sqlgen as G
 from nutrilake.plans.common import diet_dedup, r6, sql_r6, with_dd
 from nutrilake.plans.queries_prep import _prepared
 from nutrilake.plans.registry import query
+from nutrilake.session import remove_scratch, scratch_folder
 from nutrilake.sources.tables import read_table
+from nutrilake.streaming.baseline import start_baseline_stream
 
 LI_CUT = "1998-05-24 00:00:00"
 EV_CUT = "2024-01-16 00:00:00"
@@ -136,18 +138,56 @@ def q_drift_ks(spark: SparkSession, sf_dir: str) -> DataFrame:
                       r6("ks_pvalue").alias("ks_pvalue"))
 
 
-DRIFT_EVENTS_SQL = "WITH " + _EV_CTES + "," + drift_sql("ref", "cur", EV_NUM, EV_TXT) + "\n" + REPORT_SELECT
+EV_ALL = EV_NUM + ["event_id"], EV_TXT + ["props"]
+DRIFT_EVENTS_SQL = "WITH " + _EV_CTES + "," + drift_sql("ref", "cur", *EV_ALL) + "\n" + REPORT_SELECT
 
 
 @query("drift_events", DRIFT_EVENTS_SQL)
 def q_drift_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of events but the time that divides it."""
     ev = read_table(spark, sf_dir, "events")
     cut = F.expr(f"TIMESTAMP_NTZ '{EV_CUT}'")
-    cols = EV_NUM + EV_TXT
+    cols = EV_ALL[0] + EV_ALL[1]
     return _report_out(drift.drift_report(ev.where(F.col("ts") < cut).select(*cols),
                                           ev.where(F.col("ts") >= cut).select(*cols)))
 
 
+@query("drift_baseline", DRIFT_EVENTS_SQL)
+def q_drift_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the early events saved as state in two batches, one of them written
+    twice, read back and compared with the late ones."""
+    ev = read_table(spark, sf_dir, "events")
+    cut = F.expr(f"TIMESTAMP_NTZ '{EV_CUT}'")
+    cols = EV_ALL[0] + EV_ALL[1]
+    early = ev.where(F.col("ts") < cut)
+    path = scratch_folder(spark, "drift-baseline")
+    base = drift.DriftBaseline.create(early.select(*cols), path)
+    for batch_id in (0, 1, 1):
+        base.add(early.where(F.col("user_id") % 2 == batch_id).select(*cols), batch_id)
+    base.freeze()
+    report = _report_out(drift.DriftBaseline.load(spark, path).compare(ev.where(F.col("ts") >= cut).select(*cols)))
+    remove_scratch(spark, path)
+    return report
+
+
+@query("drift_baseline_stream", DRIFT_EVENTS_SQL)
+def q_drift_baseline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the same state fed by a stream of event files."""
+    ev = read_table(spark, sf_dir, "events")
+    cut = F.expr(f"TIMESTAMP_NTZ '{EV_CUT}'")
+    cols = EV_ALL[0] + EV_ALL[1]
+    path = scratch_folder(spark, "drift-stream")
+    early = ev.where(F.col("ts") < cut).select(*cols)
+    early.repartition(4).write.parquet(path + "/inbox")
+    base = drift.DriftBaseline.create(early, path + "/state")
+    stream = spark.readStream.schema(early.schema).option("maxFilesPerTrigger", 2).parquet(path + "/inbox")
+    start_baseline_stream(stream, base, path + "/checkpoint").awaitTermination()
+    base.freeze()
+    report = _report_out(base.compare(ev.where(F.col("ts") >= cut).select(*cols)))
+    remove_scratch(spark, path)
+    return report
+
+
 _TT_FEATURES = S.NUMERIC_FEATURES + S.CATEGORICAL_FEATURES
 
 

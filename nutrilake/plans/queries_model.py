@@ -270,7 +270,7 @@ def _boost_ctes(models: str, levels: int) -> str:
     def part(g: str, h: str) -> str:
         return f"({g}) / {unit} * (({g}) / {unit}) / (({h}) / {unit} + CAST(1 AS DOUBLE))"
 
-    out = f"""base AS (SELECT row_number() OVER () AS rid, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y,
+    out = f"""base AS MATERIALIZED (SELECT row_number() OVER () AS rid, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y,
   l_orderkey % 5 AS fold, [{x}] AS x FROM lineitem),
 vals AS (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nv FROM
   (SELECT DISTINCT f, x[f + 1] AS v FROM base, (SELECT unnest(range({len(BOOST_FEATURES)})) AS f))),

@@ -117,3 +117,77 @@ def test_ks_of_strings_with_a_common_start(spark):
     b = sorted(r[0] for r in cur.collect())
     expected = max(abs((i + 1) / len(a) - np.searchsorted(np.array(b), x, side="right") / len(b)) for i, x in enumerate(a))
     assert drift_report(ref, cur).first()["ks_statistic"] == pytest.approx(expected, abs=1e-12)
+
+
+def _mixed(spark, n, seed, shift=0.0):
+    rng = np.random.RandomState(seed)
+    return spark.createDataFrame(
+        [(None if i % 17 == 0 else float(v), int(k), None if i % 13 == 0 else f"s{int(t):03d}", float("nan") if i % 50 == 0 else round(float(v), 1))
+         for i, (v, k, t) in enumerate(zip(rng.normal(shift, 1, n), rng.poisson(20 + shift, n), rng.gamma(2, 20, n)))],
+        "x double, k int, s string, tied double")
+
+
+def _rows(report):
+    return {r["feature"]: tuple(r) for r in report.collect()}
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 64])
+def test_segments_of_any_number_change_nothing(spark, partitions):
+    """KS and PSI against brute force, however the ordered values are dealt to parts."""
+    ref, cur = _mixed(spark, 3000, 1), _mixed(spark, 2000, 2, 0.3)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = {r["feature"]: r for r in drift_report(ref, cur).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for c in ("x", "k"):
+        a, b = (pd.Series([r[c] for r in d.select(c).collect() if r[c] is not None]) for d in (ref, cur))
+        assert got[c]["ks_statistic"] == pytest.approx(ks_brute(a, b), abs=1e-12)
+        assert got[c]["psi"] == pytest.approx(psi_brute(a, b), abs=1e-9)
+    a, b = (sorted(r["s"] for r in d.collect() if r["s"] is not None) for d in (ref, cur))
+    every = sorted(set(a) | set(b))
+    ks = max(abs(np.searchsorted(a, v, "right") / len(a) - np.searchsorted(b, v, "right") / len(b)) for v in every)
+    assert got["s"]["ks_statistic"] == pytest.approx(ks, abs=1e-12)
+
+
+def test_baseline_in_batches_equals_the_report(spark, tmp_path):
+    from nutrilake.operators.drift import DriftBaseline
+    ref, cur = _mixed(spark, 3000, 1), _mixed(spark, 2000, 2, 0.3)
+    want = _rows(drift_report(ref, cur))
+    parts = ref.randomSplit([0.2, 0.5, 0.3], 7)
+    base = DriftBaseline.create(ref, str(tmp_path / "b"))
+    for i in (0, 1, 2, 1):                              # a batch written again replaces itself
+        base.add(parts[i], i)
+    with pytest.raises(FileNotFoundError, match="not frozen"):
+        base.compare(cur)
+    base.freeze()
+    back = DriftBaseline.load(spark, str(tmp_path / "b"))
+    assert _rows(back.compare(cur)) == want
+    assert set(_rows(back.compare(cur.drop("x")))) == {"k", "s", "tied"}
+    # the union of two states is the state of the union
+    whole = DriftBaseline.fit(ref, str(tmp_path / "w"))
+    assert sorted(map(repr, whole.counts().collect())) == sorted(map(repr, back.counts().collect()))
+    with pytest.raises(FileNotFoundError, match="no drift baseline"):
+        DriftBaseline.load(spark, str(tmp_path / "none"))
+
+
+def test_baseline_of_an_empty_reference(spark, tmp_path):
+    from nutrilake.operators.drift import DriftBaseline
+    none, cur = _mixed(spark, 100, 1).limit(0), _mixed(spark, 200, 2)
+    got = _rows(DriftBaseline.fit(none, str(tmp_path / "e")).compare(cur))
+    assert got == _rows(drift_report(none, cur))
+
+
+def test_baseline_from_a_stream(spark, tmp_path):
+    from nutrilake.operators.drift import DriftBaseline
+    from nutrilake.streaming.baseline import start_baseline_stream
+    ref, cur = _mixed(spark, 1500, 3), _mixed(spark, 900, 4, 0.5)
+    inbox = str(tmp_path / "in")
+    ref.repartition(5).write.parquet(inbox)
+    base = DriftBaseline.create(ref, str(tmp_path / "state"))
+    for _ in range(2):                                  # the second start finds nothing new
+        stream = spark.readStream.schema(ref.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+        start_baseline_stream(stream, base, str(tmp_path / "ckpt")).awaitTermination()
+    base.freeze()
+    assert _rows(base.compare(cur)) == _rows(drift_report(ref, cur))
