@@ -34,6 +34,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nutrilake.functions import segments
+from nutrilake.session import remove_scratch, scratch_folder
+
 # Largest small table we broadcast after counting it; beyond it the join
 # shuffles instead.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -263,8 +266,8 @@ def bracketed_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     rows / accuracy) gives two values around every wanted rank.  The second
     scan counts what lies below the bracket, map-side, and shuffles only the
     distinct values inside it, about 8 / accuracy of the rows (all of a column
-    with fewer than ``accuracy`` rows); the rank is then found there by running
-    totals.  What is shuffled does not grow with the
+    with fewer than ``accuracy`` rows); the rank is then found there by ordered
+    segments.  What is shuffled does not grow with the
     number of distinct values outside the brackets.
     """
     if not columns:
@@ -289,19 +292,27 @@ def bracketed_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         F.lit(g).alias("_g"), F.when(F.col(f"_c{i}") >= low, F.col(f"_c{i}")).alias("_v")))
         for g, i, low, high in brackets])).alias("_x")
     inside = (d.select(cells).where(F.col("_x").isNotNull()).select("_x._g", "_x._v")
-              .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_w"))).persist()
-    below = {r["_g"]: r["_w"] for r in inside.where(F.col("_v").isNull()).collect()}
+              .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_w")))
     ends = []
     for g, i, _low, _high in brackets:
         pos = probs[g % len(probs)] * (first[f"n{i}"] - 1)
-        ends += [(g, e, int(at) - below.get(g, 0)) for e, at in enumerate((math.floor(pos), math.ceil(pos)))]
-    ranks = df.sparkSession.createDataFrame(ends, "_g int, _end int, _at long")
-    cum = running_totals(inside.where(F.col("_v").isNotNull()), ["_g"], "_v", ["_w"])
-    hits = (cum.join(bounded_broadcast(ranks), "_g")
-            .where((F.col("cum__w") - F.col("_w") <= F.col("_at")) & (F.col("_at") < F.col("cum__w")))
-            .select("_g", "_end", "_v").collect())          # columns x probs x 2 rows
-    inside.unpersist()
-    found = {(r["_g"], r["_end"]): r["_v"] for r in hits}
+        ends += [(g, e, int(at)) for e, at in enumerate((math.floor(pos), math.ceil(pos)))]
+    # What is inside the brackets, in order, after one NULL row for all below: the
+    # value at each rank is found by one local pass per part.
+    folder = scratch_folder(df.sparkSession, "brackets")
+    ordered = segments.write_ordered(inside.select(
+        F.col("_g").alias("feature"), F.col("_v").alias("dval"), F.lit(None).cast("string").alias("sval"),
+        F.col("_w").alias("rn"), F.lit(0).cast("long").alias("cn")), folder)
+    size = 1 + max(g for g, _, _ in ends)
+    wanted: dict[int, list[int]] = {}
+    for g, _, at in ends:
+        wanted.setdefault(g, []).append(at)
+    zeros = [0] * size
+    _, picked = segments.levels(ordered, segments.totals(ordered), zeros, zeros, wanted)
+    remove_scratch(df.sparkSession, folder)
+    column_of = {g: i for g, i, _, _ in brackets}
+    found = {(g, e): picked[g][at] for g, e, at in ends if at in picked[g]
+             and not (math.isnan(picked[g][at]) and not math.isnan(first[f"hi{column_of[g]}"]))}
     if len(found) < len(ends):
         raise RuntimeError("a quantile lies outside its bracket")
     out: dict[str, list[float] | None] = dict.fromkeys(columns)
@@ -461,8 +472,8 @@ def _class_table(df: DataFrame, group: str | None, name: str, rows: list[tuple],
 
 
 def hash_thresholds(df: DataFrame, order_key: str, group: str | None, tiebreak: list[str],
-                    quotas, prefix_len: int = 4, max_cut_rows: int = 1_000_000,
-                    key_len: int = 32) -> tuple[dict, dict, dict]:
+                    quotas, prefix_len: int = 3, max_cut_rows: int = 1_000_000,
+                    key_len: int = 32, leading: tuple[str, int] | None = None) -> tuple[dict, dict, dict]:
     """Cut keys for "the first q rows of each group in (order_key,
     tiebreak) order", with ``order_key`` a uniform hex hash of ``key_len`` digits.
 
@@ -478,12 +489,18 @@ def hash_thresholds(df: DataFrame, order_key: str, group: str | None, tiebreak:
     a cut bucket above ``max_cut_rows`` rows is re-cut with a longer prefix,
     and the final row_number runs over <= max_cut_rows rows per group.  Groups
     meet their cut in joins with a table of one row per group, so the plan has
-    the same size for any number of groups.
+    the same size for any number of groups.  ``leading`` names a column that
+    holds the first so many digits of ``order_key``, where they cost less than
+    all of it.
     The split / sample itself is then ``within_threshold``.
     """
     gcol = F.col(group) if group is not None else F.lit(0)
     b = df.withColumn("_g", gcol)
-    counts = (b.groupBy("_g", F.substring(F.col(order_key), 1, prefix_len).alias("_bucket"))
+
+    def digits(n: int) -> Column:
+        return F.col(leading[0] if leading and n <= leading[1] else order_key)
+
+    counts = (b.groupBy("_g", F.substring(digits(prefix_len), 1, prefix_len).alias("_bucket"))
               .agg(F.count(F.lit(1)).alias("_cnt"))).cache()
     totals = {r["_g"]: r["_n"] for r in collect_bounded(
         counts.groupBy("_g").agg(F.sum("_cnt").alias("_n")), what="groups")}
@@ -518,10 +535,10 @@ def hash_thresholds(df: DataFrame, order_key: str, group: str | None, tiebreak:
             break
         # re-cut the large buckets with a longer prefix (rows of those buckets only)
         again = _class_table(df, group, "_gb", [(g, state[g][0]) for g in big], "_pre string")
-        plen = min(key_len, plen + 2)
+        before, plen = plen, min(key_len, plen + 2)
         level = (b.join(bounded_broadcast(again), (F.col("_g") == F.col("_gb"))
-                        & F.startswith(F.col(order_key), F.col("_pre")))
-                 .groupBy("_g", F.substring(F.col(order_key), 1, plen).alias("_bucket"))
+                        & F.startswith(digits(before), F.col("_pre")))
+                 .groupBy("_g", F.substring(digits(plen), 1, plen).alias("_bucket"))
                  .agg(F.count(F.lit(1)).alias("_cnt"))).cache()
         pending = big
     counts.unpersist()
@@ -530,7 +547,7 @@ def hash_thresholds(df: DataFrame, order_key: str, group: str | None, tiebreak:
     wr = Window.partitionBy("_g").orderBy(order_key, *tiebreak)
     hit = collect_bounded(
         b.join(bounded_broadcast(ends), (F.col("_g") == F.col("_gc"))
-               & F.startswith(F.col(order_key), F.col("_pre")))
+               & F.startswith(digits(max(len(pre) for pre, _ in state.values())), F.col("_pre")))
         .withColumn("_rn", F.row_number().over(wr)).withColumn("_rk", F.rank().over(wr))
         .where(F.col("_rn") == F.col("_r"))
         .select("_g", order_key, *tiebreak, (F.col("_rn") - F.col("_rk") + 1).alias("_tied")), what="groups")

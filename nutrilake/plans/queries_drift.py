@@ -47,7 +47,7 @@ def drift_sql(ref: str, cur: str, numeric: list[str], strings: list[str], bucket
 {tag}_tot AS (SELECT feature, sum(rn) AS n_r, sum(cn) AS n_c, count(*) FILTER (WHERE rn > 0) AS ref_unique
               FROM {tag}_cnt GROUP BY feature),
 {edges}
-{tag}_cells AS (SELECT c.feature, CASE WHEN t.ref_unique <= {cat_max} THEN CAST(c.value AS VARCHAR)
+{tag}_cells AS (SELECT c.feature, CASE WHEN t.ref_unique <= {cat_max} OR {cast == "VARCHAR"} THEN CAST(c.value AS VARCHAR)
                                      ELSE {binexpr} END AS cell, c.rn, c.cn, t.n_r, t.n_c
                FROM {tag}_cnt c JOIN {tag}_tot t USING (feature) {edge_join}),
 {tag}_psi AS (SELECT feature, sum((greatest(cp, 1e-6) - greatest(rp, 1e-6)) * ln(greatest(cp, 1e-6) / greatest(rp, 1e-6))) AS psi

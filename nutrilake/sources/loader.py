@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
-from nutrilake.functions.ordered import hash_thresholds, row_order_key
+from nutrilake.functions.ordered import hash_thresholds, row_order_key, seeded_order_key
 
 # ---- fixed values: strings pandas reads as missing by default ---------------
 NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -165,18 +165,21 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str | list[str] = S.ID_
     driver-side top-k, and ``n`` can be as large as the table.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    ordered = df.withColumn("_order", row_order_key(df, seed, *keys))
+    # the key's hash orders nearly all rows; the hash of all columns is computed in the cut bucket only
+    ordered = df.withColumns({"_key": seeded_order_key(seed, *keys), "_order": row_order_key(df, seed, *keys)})
     cut, totals, tied = hash_thresholds(ordered, "_order", None, [],
-                                        lambda t: {None: min(n, t[None])}, key_len=64)
+                                        lambda t: {None: min(n, t[None])}, key_len=64, leading=("_key", 32))
     if n >= totals[None]:
         out = ordered
     elif n <= 0:
         out = ordered.where(F.lit(False))
     else:
-        last = F.lit(cut[None][0])
-        copies = (ordered.where(F.col("_order") == last).limit(1)
+        last = cut[None][0]
+        copies = (ordered.where((F.col("_key") == last[:32]) & (F.col("_order") == last)).limit(1)
                   .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), int(tied[None])))).drop("_copy"))
-        out = ordered.where(F.col("_order") < last).unionByName(copies)
+        ahead = (F.col("_key") < last[:32]) | ((F.col("_key") == last[:32]) & (F.col("_order") < last))
+        out = ordered.where(ahead).unionByName(copies)
+    out = out.drop("_key")
     return out.drop("_order") if order_col is None else out.withColumnRenamed("_order", order_col)
 
 
