@@ -3,7 +3,7 @@
 Per shared column: PSI (categorical when the reference has at most
 ``categorical_max_unique`` distinct values, else binned on the reference's
 deciles with right-closed bins) and the two-sample KS statistic with its
-asymptotic p-value.
+p-value (exact for small samples, asymptotic beyond).
 
 Plan: both sides are unpivoted to (feature, value) and counted per distinct
 value in ONE shuffle (map-side combined, so a hot value is one row).  That count
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from nutrilake.functions import segments
 from nutrilake.functions.ordered import side_value_counts, value_counts_long
-from nutrilake.functions.stats import ks_pvalue, severity
+from nutrilake.functions.stats import KS_EXACT_ROWS, ks_pvalue, ks_pvalue_exact, severity
 from nutrilake.operators.clean import require_path
 from nutrilake.session import remove_scratch, scratch_folder
 
@@ -53,9 +53,12 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
 
 def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
                  buckets: int = 10, moderate: float = 0.1, major: float = 0.25,
-                 categorical_max_unique: int = 10) -> DataFrame:
+                 categorical_max_unique: int = 10, pvalue: str = "asymptotic") -> DataFrame:
     """One row per shared column, sorted by PSI descending.
 
+    ``pvalue``: "exact" (lattice paths, O(n1 n2) a column), "asymptotic", or "auto":
+    exact where neither sample has more than KS_EXACT_ROWS rows.
+
     Numeric columns are compared as numbers, the others as strings
     (categorical PSI; KS over lexicographic order).  A column that is NULL on
     both sides has PSI 0, KS 0 and p-value 1.
@@ -65,15 +68,18 @@ def drift_report(reference: DataFrame, current: DataFrame, columns: list[str] |
     txt = [c for c in cols if c not in num]
     # the one shuffle over the data
     counts = side_value_counts(reference, current, num, txt) if cols else None
-    return _report(reference.sparkSession, counts, cols, set(txt), buckets, moderate, major, categorical_max_unique)
+    return _report(reference.sparkSession, counts, cols, set(txt), buckets, moderate, major, categorical_max_unique,
+                   pvalue)
 
 
 def _report(spark: SparkSession, counts: DataFrame | None, cols: list[str], texts: set[str], buckets: int,
-            moderate: float, major: float, categorical_max_unique: int,
+            moderate: float, major: float, categorical_max_unique: int, pvalue: str,
             known_edges: dict[str, list[float]] | None = None) -> DataFrame:
     """The report of a count table (column, dval, sval, rn, cn), one row per
     value.  ``known_edges``: the reference's quantiles of numeric columns with
     more than ``categorical_max_unique`` values, when they are known."""
+    if pvalue not in ("auto", "exact", "asymptotic"):
+        raise ValueError(f"unknown kind of p-value {pvalue!r}")
     rows = []
     if cols:
         folder = scratch_folder(spark, "drift")
@@ -98,10 +104,18 @@ def _report(spark: SparkSession, counts: DataFrame | None, cols: list[str], text
         remove_scratch(spark, folder)
         rows = [(c, float(psi[i]), float(ks[i]), int(n_r[i]), int(n_c[i])) for i, c in enumerate(cols)]
     # one row per shared column: a column without any value on either side did not move
-    frame = spark.createDataFrame(rows, "feature string, psi double, ks_statistic double, n_r long, n_c long")
-    return (frame.select("feature", "psi", "ks_statistic",
-                         F.when(F.col("n_r") + F.col("n_c") > 0, ks_pvalue(F.col("ks_statistic"), F.col("n_r"), F.col("n_c")))
-                         .otherwise(F.lit(1.0)).alias("ks_pvalue"),
+    def exact(r: tuple) -> bool:
+        return pvalue == "exact" or (pvalue == "auto" and max(r[3:]) <= KS_EXACT_ROWS)
+
+    frame = spark.createDataFrame([(*r, exact(r)) for r in rows],
+                                  "feature string, psi double, ks_statistic double, n_r long, n_c long, exact boolean")
+    of = F.col("ks_statistic"), F.col("n_r"), F.col("n_c")
+    series = F.when(F.col("n_r") + F.col("n_c") > 0, ks_pvalue(*of)).otherwise(F.lit(1.0))
+    if any(exact(r) for r in rows):
+        # rows without a sample of the right size take the asymptotic value, and cost no lattice
+        small = [F.when(F.col("exact"), x).otherwise(F.lit(0).cast("long")) for x in of[1:]]
+        series = F.when(F.col("exact"), ks_pvalue_exact(of[0], *small)).otherwise(series)
+    return (frame.select("feature", "psi", "ks_statistic", series.alias("ks_pvalue"),
                          severity(F.col("psi"), moderate, major).alias("drift_severity"))
             .orderBy(F.desc("psi"), "feature"))
 
@@ -174,7 +188,7 @@ class DriftBaseline:
         return self
 
     def compare(self, current: DataFrame, moderate: float = 0.1, major: float = 0.25,
-                categorical_max_unique: int = 10) -> DataFrame:
+                categorical_max_unique: int = 10, pvalue: str = "asymptotic") -> DataFrame:
         """The report of ``drift_report(reference, current)`` over the columns
         that ``current`` has; the baseline must be frozen."""
         require_path(os.path.join(self.path, "edges"), "the drift baseline is not frozen")
@@ -188,7 +202,7 @@ class DriftBaseline:
                 .unionByName(now.select("column", "dval", "sval", F.lit(0).cast("long").alias("rn"), F.col("n").alias("cn")))
                 .groupBy("column", "dval", "sval").agg(F.sum("rn").alias("rn"), F.sum("cn").alias("cn")))
         edges = {c: list(r["edges"]) for c, r in frozen.items() if r["edges"] is not None}
-        return _report(self.spark, both, cols, set(texts), 10, moderate, major, categorical_max_unique, edges)
+        return _report(self.spark, both, cols, set(texts), 10, moderate, major, categorical_max_unique, pvalue, edges)
 
 
 def drift_summary(report: DataFrame) -> DataFrame:
@@ -208,6 +222,7 @@ class DriftResult:
     summary: DataFrame
 
 
-def analyze_drift(reference: DataFrame, current: DataFrame, **kw) -> DriftResult:
-    report = drift_report(reference, current, **kw)
+def analyze_drift(reference: DataFrame, current: DataFrame, pvalue: str = "auto", **kw) -> DriftResult:
+    """Report and summary, with exact p-values for small samples as the job API gives them."""
+    report = drift_report(reference, current, pvalue=pvalue, **kw)
     return DriftResult(report, drift_summary(report))

@@ -1,4 +1,7 @@
-"""Registered drift queries (F) with DuckDB oracles."""
+"""Registered drift queries (F) with DuckDB oracles.
+
+The p-values are the asymptotic ones, which SQL can state; the exact ones of
+small samples are tested against a count of all paths."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,7 +136,7 @@ def q_drift_ks(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.expr(f"TIMESTAMP_NTZ '{EV_CUT}'")
     cols = EV_NUM + EV_TXT
     rep = drift.drift_report(ev.where(F.col("ts") < cut).select(*cols),
-                             ev.where(F.col("ts") >= cut).select(*cols))
+                             ev.where(F.col("ts") >= cut).select(*cols), pvalue="asymptotic")
     return rep.select("feature", r6("ks_statistic").alias("ks_statistic"),
                       r6("ks_pvalue").alias("ks_pvalue"))
 
@@ -149,7 +152,7 @@ def q_drift_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.expr(f"TIMESTAMP_NTZ '{EV_CUT}'")
     cols = EV_ALL[0] + EV_ALL[1]
     return _report_out(drift.drift_report(ev.where(F.col("ts") < cut).select(*cols),
-                                          ev.where(F.col("ts") >= cut).select(*cols)))
+                                          ev.where(F.col("ts") >= cut).select(*cols), pvalue="asymptotic"))
 
 
 @query("drift_baseline", DRIFT_EVENTS_SQL)
@@ -165,7 +168,7 @@ def q_drift_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch_id in (0, 1, 1):
         base.add(early.where(F.col("user_id") % 2 == batch_id).select(*cols), batch_id)
     base.freeze()
-    report = _report_out(drift.DriftBaseline.load(spark, path).compare(ev.where(F.col("ts") >= cut).select(*cols)))
+    report = _report_out(drift.DriftBaseline.load(spark, path).compare(ev.where(F.col("ts") >= cut).select(*cols), pvalue="asymptotic"))
     remove_scratch(spark, path)
     return report
 
@@ -183,7 +186,7 @@ def q_drift_baseline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(early.schema).option("maxFilesPerTrigger", 2).parquet(path + "/inbox")
     start_baseline_stream(stream, base, path + "/checkpoint").awaitTermination()
     base.freeze()
-    report = _report_out(base.compare(ev.where(F.col("ts") >= cut).select(*cols)))
+    report = _report_out(base.compare(ev.where(F.col("ts") >= cut).select(*cols), pvalue="asymptotic"))
     remove_scratch(spark, path)
     return report
 
@@ -201,7 +204,7 @@ def _tt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _prepared(spark, sf_dir)
     eng = p.engineered
     return drift.drift_report(eng.where(F.col("split") == "train").select(*_TT_FEATURES),
-                              eng.where(F.col("split") == "test").select(*_TT_FEATURES))
+                              eng.where(F.col("split") == "test").select(*_TT_FEATURES), pvalue="asymptotic")
 
 
 @query("drift_report", _tt_sql(REPORT_SELECT))
@@ -230,7 +233,7 @@ def q_drift_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     across engines, and quantile-bin ties would make an SQL oracle flaky."""
     p = _prepared(spark, sf_dir)
     feats = p.feature_names
-    rep = drift.drift_report(p.train().select(*feats), p.test().select(*feats))
+    rep = drift.drift_report(p.train().select(*feats), p.test().select(*feats), pvalue="asymptotic")
     return _report_out(rep)
 
 

@@ -191,3 +191,38 @@ def test_baseline_from_a_stream(spark, tmp_path):
         start_baseline_stream(stream, base, str(tmp_path / "ckpt")).awaitTermination()
     base.freeze()
     assert _rows(base.compare(cur)) == _rows(drift_report(ref, cur))
+
+
+def test_exact_pvalue_counts_paths(spark):
+    from itertools import combinations
+    from math import comb
+
+    from nutrilake.functions.stats import ks_exact_pvalue
+    for n1, n2 in ((1, 1), (3, 3), (4, 6), (5, 3), (7, 4)):
+        far = []
+        for steps in combinations(range(n1 + n2), n1):          # every path
+            i = j = 0
+            most = 0
+            for s in range(n1 + n2):
+                i, j = (i + 1, j) if s in steps else (i, j + 1)
+                most = max(most, abs(i * n2 - j * n1))
+            far.append(most)
+        for h in sorted(set(far)):
+            want = sum(f >= h for f in far) / comb(n1 + n2, n1)
+            assert ks_exact_pvalue(h / (n1 * n2), n1, n2) == pytest.approx(want, abs=1e-12)
+    assert ks_exact_pvalue(0.0, 5, 9) == 1.0 and ks_exact_pvalue(1.0, 0, 9) == 1.0
+    # the series is the limit for large samples
+    from math import exp, sqrt
+    lam = 0.03 * sqrt(5000 * 4000 / 9000)
+    series = 2 * sum((-1) ** (k - 1) * exp(-2 * k * k * lam * lam) for k in range(1, 50))
+    assert ks_exact_pvalue(0.03, 5000, 4000) == pytest.approx(series, rel=0.05)
+
+
+def test_kinds_of_pvalue(spark):
+    from nutrilake.functions.stats import ks_exact_pvalue
+    ref, cur = _df(spark, {"x": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]}), _df(spark, {"x": [4.5, 5.5, 6.5, 7.5]})
+    r = {kind: drift_report(ref, cur, pvalue=kind).first() for kind in ("auto", "exact", "asymptotic")}
+    assert r["auto"]["ks_pvalue"] == r["exact"]["ks_pvalue"] == ks_exact_pvalue(r["exact"]["ks_statistic"], 6, 4)
+    assert r["asymptotic"]["ks_pvalue"] != r["exact"]["ks_pvalue"]
+    with pytest.raises(ValueError, match="unknown kind"):
+        drift_report(ref, cur, pvalue="x")
