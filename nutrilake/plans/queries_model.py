@@ -261,14 +261,14 @@ def _lineitem_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
-def _boost_ctes(models: str, levels: int) -> str:
+def _boost_ctes(models: str, levels: int, l2: float = 1.0, min_rows: int = 1) -> str:
     """base, shares, and per level i: best{i} (m, k, node, f, v, gain, totals,
     sums of the left side) and at{i + 1} (rows with the node they go to)."""
     x = ", ".join(BOOST_FEATURES)
     unit = "CAST(16777216 AS DOUBLE)"
 
     def part(g: str, h: str) -> str:
-        return f"({g}) / {unit} * (({g}) / {unit}) / (({h}) / {unit} + CAST(1 AS DOUBLE))"
+        return f"({g}) / {unit} * (({g}) / {unit}) / (({h}) / {unit} + CAST({l2!r} AS DOUBLE))"
 
     out = f"""base AS MATERIALIZED (SELECT row_number() OVER () AS rid, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y,
   l_orderkey % 5 AS fold, [{x}] AS x FROM lineitem),
@@ -286,7 +286,7 @@ cells{i} AS (SELECT m, k, node, f, x[f + 1] AS v, sum(g) AS g, sum(h) AS h, coun
 sums{i} AS (SELECT m, k, node, f, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl,
   sum(g) OVER a AS g, sum(h) OVER a AS h, sum(n) OVER a AS n FROM cells{i}
   WINDOW w AS (PARTITION BY m, k, node, f ORDER BY v), a AS (PARTITION BY m, k, node, f)),
-gains{i} AS (SELECT *, CASE WHEN n > nl THEN {part('gl', 'hl')} + {part('g - gl', 'h - hl')} - {part('g', 'h')} END AS gain FROM sums{i}),
+gains{i} AS (SELECT *, CASE WHEN nl >= {min_rows} AND n - nl >= {min_rows} THEN {part('gl', 'hl')} + {part('g - gl', 'h - hl')} - {part('g', 'h')} END AS gain FROM sums{i}),
 best{i} AS (SELECT * FROM gains{i} QUALIFY row_number() OVER (PARTITION BY m, k, node ORDER BY gain DESC NULLS LAST, f, v) = 1),
 at{i + 1} AS (SELECT a.* REPLACE (2 * a.node + 1 + CASE WHEN x[b.f + 1] <= b.v THEN 0 ELSE 1 END AS node)
   FROM at{i} a JOIN best{i} b ON a.m = b.m AND a.k = b.k AND a.node = b.node WHERE b.gain > 1e-9)"""
@@ -302,12 +302,16 @@ def _leaf_sql(levels: int) -> str:
     return " UNION ALL ".join(parts)
 
 
-_LEAF_VALUE = "-(CAST({share} AS DOUBLE)) * (g / CAST(16777216 AS DOUBLE)) / (h / CAST(16777216 AS DOUBLE) + 1)"
+def _leaf_value(share: str, l2: float = 1.0) -> str:
+    return f"-(CAST({share} AS DOUBLE)) * (g / CAST(16777216 AS DOUBLE)) / (h / CAST(16777216 AS DOUBLE) + {l2!r})"
+
+
+
 _LEARNER_SHARE = {"ovr_gbt": "1", "softmax_boost": "2.0 / 3.0"}
 BOOST_TREE_SQL = f"WITH {_boost_ctes('[-1]', 2)}, nodes AS ({_leaf_sql(2)})\n" + " UNION ALL ".join(
     f"""SELECT '{t}' AS model_type, CAST(k AS INTEGER) AS class, CAST(node AS INTEGER) AS node, CAST(f AS INTEGER) AS feature,
   {sql_r6('threshold')} AS threshold, round(gain, 3) AS gain,
-  CASE WHEN f < 0 THEN {sql_r6(_LEAF_VALUE.format(share=_LEARNER_SHARE[t]))} END AS value FROM nodes""" for t in _LEARNER_SHARE)
+  CASE WHEN f < 0 THEN {sql_r6(_leaf_value(_LEARNER_SHARE[t]))} END AS value FROM nodes""" for t in _LEARNER_SHARE)
 
 
 def _tree_rows(spark: SparkSession, model_type: str, rounds: list, thresholds: list, model: int) -> list[tuple]:
@@ -346,7 +350,7 @@ def q_boost_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 CV_TREE_SQL = f"WITH {_boost_ctes('range(5)', 1)}, nodes AS ({_leaf_sql(1)})\n" + f"""SELECT 'softmax_boost' AS model_type,
   CAST(m AS INTEGER) AS fold, CAST(k AS INTEGER) AS class, CAST(node AS INTEGER) AS node, CAST(f AS INTEGER) AS feature,
   {sql_r6('threshold')} AS threshold, round(gain, 3) AS gain,
-  CASE WHEN f < 0 THEN {sql_r6(_LEAF_VALUE.format(share=_LEARNER_SHARE['softmax_boost']))} END AS value FROM nodes"""
+  CASE WHEN f < 0 THEN {sql_r6(_leaf_value(_LEARNER_SHARE['softmax_boost']))} END AS value FROM nodes"""
 
 
 @query("cv_tree", CV_TREE_SQL)
@@ -359,19 +363,44 @@ def q_cv_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tree_frame(spark, rows)
 
 
+BOOST_PARAMS_SQL = f"WITH {_boost_ctes('[-1]', 1, 50.0, 2000)}, nodes AS ({_leaf_sql(1)})\n" + " UNION ALL ".join(
+    f"""SELECT '{t}' AS model_type, CAST(k AS INTEGER) AS class, CAST(node AS INTEGER) AS node, CAST(f AS INTEGER) AS feature,
+  {sql_r6('threshold')} AS threshold, round(gain, 3) AS gain,
+  CASE WHEN f < 0 THEN {sql_r6(_leaf_value(_LEARNER_SHARE[t], 50.0))} END AS value FROM nodes""" for t in _LEARNER_SHARE)
+
+
+@query("boost_params", BOOST_PARAMS_SQL)
+def q_boost_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: both learners under a caller's names for rounds, depth, rate, bins,
+    penalty and smallest node."""
+    rows, out = _lineitem_vectors(spark, sf_dir), []
+    for t, params in (("ovr_gbt", {"n_estimators": 1, "max_depth": 1, "eta": 0.3, "reg_lambda": 50.0, "min_child_weight": 2000}),
+                      ("softmax_boost", {"iterations": 1, "depth": 1, "learning_rate": 0.3, "l2_leaf_reg": 50.0,
+                                         "minInstancesPerNode": 2000})):
+        m = make_model(t, random_state=7, max_bins=64, verbose=0, eval_metric="mlogloss", **params).fit(rows)
+        assert m.step == 0.3 and m.random_state == 7
+        out += _tree_rows(spark, t, m.forest.rounds, m.forest.thresholds, 0)
+    return _tree_frame(spark, out).drop("fold")
+
+
 _SCORED = f"""leaf AS (SELECT a.rid, a.y, a.k, n.g AS g, n.h AS h
   FROM at2 a JOIN (SELECT m, k, node, sum(g) AS g, sum(h) AS h FROM at2 GROUP BY ALL) n ON a.k = n.k AND a.node = n.node
   UNION ALL SELECT a.rid, a.y, a.k, b.g, b.h FROM at1 a JOIN best1 b ON a.k = b.k AND a.node = b.node
   WHERE b.gain IS NULL OR b.gain <= 1e-9
   UNION ALL SELECT a.rid, a.y, a.k, b.g, b.h FROM at0 a JOIN best0 b ON a.k = b.k
   WHERE b.gain IS NULL OR b.gain <= 1e-9)"""
-_SCORE = "{init} + {step!r} * " + _LEAF_VALUE
+
+
+def _score_sql(init: str, share: str) -> str:
+    return f"{init} + {BOOST_STEP!r} * {_leaf_value(share)}"
+
+
 BOOST_LOSS_SQL = f"""WITH {_boost_ctes('[-1]', 2)}, {_SCORED},
 soft AS (SELECT rid, max(CASE WHEN leaf.k = y THEN exp(s) END) / sum(exp(s)) AS p FROM
-  (SELECT leaf.*, {_SCORE.format(init='ln(share.p)', step=BOOST_STEP, share='2.0 / 3.0')} AS s FROM leaf JOIN share ON leaf.k = share.k) leaf
+  (SELECT leaf.*, {_score_sql('ln(share.p)', '2.0 / 3.0')} AS s FROM leaf JOIN share ON leaf.k = share.k) leaf
   GROUP BY ALL),
 rest AS (SELECT CASE WHEN k = y THEN 1 / (1 + exp(-s)) ELSE 1 - 1 / (1 + exp(-s)) END AS p FROM
-  (SELECT leaf.*, {_SCORE.format(init='ln(share.p / (1 - share.p))', step=BOOST_STEP, share='1')} AS s FROM leaf JOIN share ON leaf.k = share.k))
+  (SELECT leaf.*, {_score_sql('ln(share.p / (1 - share.p))', '1')} AS s FROM leaf JOIN share ON leaf.k = share.k))
 SELECT 'ovr_gbt' AS model_type, round(avg(-ln(p)), 5) AS train_loss FROM rest
 UNION ALL SELECT 'softmax_boost', round(avg(-ln(p)), 5) FROM soft"""
 
