@@ -19,6 +19,7 @@ from nutrilake.functions import rules
 from nutrilake.operators.boost import BoostingClassifier, argmax, load_model
 from nutrilake.operators.clean import CleanerModel, require_path
 from nutrilake.operators.encode import EncoderModel, LabelCodes, assemble
+from nutrilake.sources.versions import published_folder
 
 # ---- fixed values: request field -> raw column, and request limits ----------
 REQUEST_FIELDS = {
@@ -83,7 +84,9 @@ class ScoringArtifacts:
 
     @classmethod
     def load(cls, spark: SparkSession, processed_dir: str, model_dir: str) -> "ScoringArtifacts":
-        """Every artifact checked before any job runs."""
+        """Every artifact checked before any job runs; of a versioned model
+        folder, the newest version."""
+        model_dir = published_folder(spark, model_dir)
         require_path(os.path.join(model_dir, "meta"),
                      "no published model; compare models and publish the best first")
         require_path(os.path.join(processed_dir, "encoder_state"),

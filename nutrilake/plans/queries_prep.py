@@ -18,7 +18,7 @@ from nutrilake.sources.diet_profile import diet_ctes
 from nutrilake.sources.tables import read_table
 
 LINEITEM_PROFILE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+                         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def _prepared(spark: SparkSession, sf_dir: str):
@@ -340,7 +340,7 @@ def q_source_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SPARK_TYPES = {"Person_ID": "string", "Age": "int", "Gender": "string",
                 "Activity_Level": "string", "Diet_Type": "string", "Health_Status": "string"}
 _LI_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint",
-             "l_linenumber": "int", "l_returnflag": "string", "l_linestatus": "string"}
+             "l_linenumber": "int", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
 
 
 def profile_sql(src: str, columns: list[str], types: dict[str, str], numeric: list[str],
@@ -382,7 +382,7 @@ def q_profile_diet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile_out(profile.dataset_profile(diet(spark, sf_dir).drop("copy_no")))
 
 
-_LI_NUM = [c for c in LINEITEM_PROFILE_COLS if c not in ("l_returnflag", "l_linestatus")]
+_LI_NUM = [c for c in LINEITEM_PROFILE_COLS if c not in ("l_returnflag", "l_linestatus", "l_shipdate")]
 PROFILE_LINEITEM_SQL = profile_sql("lineitem", LINEITEM_PROFILE_COLS, _LI_TYPES, _LI_NUM)
 
 
@@ -681,8 +681,8 @@ def q_features_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("Person_ID", *[r6(c).alias(c) for c in feats], "Health_Status")
 
 
-EVENTS_PROFILE_COLS = ["event_id", "user_id", "event_type", "value", "props"]
-_EV_TYPES = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "props": "string"}
+EVENTS_PROFILE_COLS = ["event_id", "user_id", "event_type", "ts", "value", "props"]
+_EV_TYPES = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "ts": "timestamp_ntz", "props": "string"}
 PROFILE_EVENTS_SQL = profile_sql("events", EVENTS_PROFILE_COLS, _EV_TYPES, ["event_id", "user_id", "value"])
 
 

@@ -17,6 +17,7 @@ from nutrilake.operators.evaluate import classification_metrics, metrics_from_pa
 from nutrilake.operators.histogram import fit_thresholds
 from nutrilake.operators.split import stratified_folds
 from nutrilake.plans.preprocess import Prepared, materialize
+from nutrilake.sources.versions import VersionedStore, published_folder
 
 
 @dataclass
@@ -132,23 +133,26 @@ def best_model(metrics: DataFrame, metric: str = "mcc") -> DataFrame:
 
 
 def publish_best(results: dict[str, TrainingResult], out_dir: str, metric: str = "mcc") -> str:
-    """Re-save the winner under ``<out>/best/`` with metadata."""
+    """Save the winner with metadata as the newest version of ``<out>/best/``."""
     winner = best_model(metrics_table(results), metric).first()
     res = results[winner["model_type"]]
     spark = res.metrics.sparkSession
-    best_dir = os.path.join(out_dir, "best")
-    res.model.save(best_dir)
-    LabelCodes(list(res.metrics.first()["class_labels"])).save(spark, os.path.join(best_dir, "label_codes"))
     meta = {"model_type": winner["model_type"], "selection_metric": metric,
             "selection_metric_value": float(winner["value"])}
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(os.path.join(best_dir, "metadata"))
+
+    def write(folder: str) -> None:
+        res.model.save(folder)
+        LabelCodes(list(res.metrics.first()["class_labels"])).save(spark, os.path.join(folder, "label_codes"))
+        spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1) \
+            .write.mode("overwrite").text(os.path.join(folder, "metadata"))
+
+    VersionedStore(spark, os.path.join(out_dir, "best")).publish(write, winner["model_type"])
     return winner["model_type"]
 
 
 def best_model_info(spark: SparkSession, out_dir: str) -> dict:
     """Metadata of the published winner; clear error when absent."""
-    path = os.path.join(out_dir, "best", "metadata")
+    path = os.path.join(published_folder(spark, os.path.join(out_dir, "best")), "metadata")
     require_path(path, "no published model; compare models and publish the best first")
     return json.loads(spark.read.text(path).first()[0])
 
