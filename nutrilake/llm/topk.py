@@ -2,23 +2,28 @@
 
 Queries and data are grouped by their nearest pivots.  Summaries of the groups
 give every query group a bound, only data that may pass it are replicated to
-the group, and each (group, block of data) is solved locally:
+the group, and each (query group, block of a data group) is solved locally:
 
 * equal vectors are one *class*; beyond the k + 1 smallest ids of a class none
   can be among k results, so a class carries k + 1 ids at most;
-* per data cell j: the pivot and the k + 1 best inner products with each query
-  pivot (the summary), per query cell i: its pivot p_i and radius
-  U_i = max |q - p_i|;
-* q.o >= p_i.o - U_i |o| for all q in cell i, so the k-th largest such bound
-  over the summaries is a score that every query of the cell reaches; a vector
-  with p_i.o + U_i |o| below it cannot be a result and is not sent;
-* what is left of a cell is cut into blocks of bounded size; the best k per
-  (query, block) are merged.
-
-Scores are integer inner products, so ties are exact and go to the smaller id.
-Scale: the pivots are a bounded sample, summaries have pivots x (k + 1) rows.
-High-dimensional data with no clusters prunes little: then the join does the
-work of a blocked scan, with a replication of at most the number of query cells.
+* query cell i has a pivot p_i and a radius U_i = max |q - p_i|, data cell j a
+  pivot s_j and a radius R_j = max |o - s_j|;
+* q.o >= p_i.o - U_i |o| for all q in cell i, so the (k + 1)-th largest such
+  bound over the data is a score that every query of the cell reaches;
+* q.o <= p_i.s_j + |p_i| R_j + U_i (|s_j| + R_j) for all o in cell j: pairs of
+  cells below the reach of i do not meet at all; of the cells that do, a vector
+  with p_i.o + U_i |o| below it is not sent;
+* a cell is cut into blocks of bounded size, queries go to the blocks that
+  hold a vector for them, and the best k per (query, block) are merged.
+
+Scores are exact integer inner products: products of doubles where the norms
+prove them exact, Python integers elsewhere.  A score beyond 64 bits counts as
+the nearest long, as a component beyond 64 bits does.  Ties go to the smaller id.
+
+Scale: pivots grow with the square root of the rows up to ``max_pivots``; the
+driver holds pivots x pivots numbers.  High-dimensional data without clusters
+prune little: then the join does the work of a blocked scan, every query part
+against every block.
 """
 from __future__ import annotations
 
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 
 from nutrilake.llm.common import written
 
-MAX_PIVOTS = 16
+MAX_PIVOTS = 256
 BLOCK_ROWS = 4_096
 
 
@@ -42,16 +47,40 @@ def quantised(table: DataFrame, id_col: str, vector_col: str, scale: int = 1024)
             .select(F.col(id_col).cast("long").alias("id"), x.alias("v")))
 
 
-def _matrix(column) -> np.ndarray:
-    """Arrow list column of equal lengths -> float64 matrix (exact: whole numbers)."""
+LONG = np.iinfo(np.int64)
+
+
+def _integers(column) -> np.ndarray:
+    """Arrow list column of equal lengths -> int64 matrix."""
     lists = column.combine_chunks() if hasattr(column, "combine_chunks") else column
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _matrix(column) -> np.ndarray:
+    return _integers(column).astype(np.float64)
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(1))
 
 
 def _nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     d = (x * x).sum(1)[:, None] - 2 * x @ pivots.T + (pivots * pivots).sum(1)[None, :]
     at = d.argmin(1)
-    return at, np.sqrt(np.maximum(d[np.arange(len(x)), at], 0))
+    return at, _norms(x - pivots[at])
+
+
+def inner_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact products of the rows of two int64 matrices, kept within 64 bits."""
+    left, right = q.astype(np.float64), x.astype(np.float64)
+    products = left @ right.T
+    # no partial sum exceeds the product of the norms, so below 2^52 every step is exact
+    unsure = _norms(left)[:, None] * _norms(right)[None, :] >= 2.0 ** 52
+    scores = np.where(unsure, 0, products).astype(np.int64)
+    for i, j in zip(*np.nonzero(unsure)):
+        exact = sum(a * b for a, b in zip(q[i].tolist(), x[j].tolist()))
+        scores[i, j] = min(max(exact, LONG.min), LONG.max)
+    return scores
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, max_pivots: int = MAX_PIVOTS,
@@ -87,77 +116,120 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, max_pivots: int =
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _join(data: DataFrame, asked: DataFrame, k: int, max_pivots: int, block_rows: int) -> DataFrame:
-    # Pivots: a bounded sample of the queries, picked by hash.
-    picked = asked.orderBy(F.xxhash64("v"), "id").select("v").limit(max_pivots).toArrow()
-    pivots = np.unique(_matrix(picked.column("v")), axis=0)
-    n_cells = len(pivots)
+def _pivots(vectors: DataFrame, n: int) -> np.ndarray:
+    """At most ``n`` different vectors, picked by hash."""
+    return np.unique(_matrix(vectors.orderBy(F.xxhash64("v")).select("v").limit(n).toArrow().column("v")), axis=0)
+
 
+def _grouped(vectors: DataFrame, pivots: np.ndarray, ids: str, name: str) -> DataFrame:
+    """(v, <ids>, cell, far), written: every vector with its nearest pivot."""
     def assign(batches):
         import pyarrow as pa
         for batch in batches:
             if batch.num_rows:
-                cell, far = _nearest(_matrix(batch.column(1)), pivots)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(far)],
-                    names=["id", "v", "cell", "far"])
+                cell, far = _nearest(_matrix(batch.column(0)), pivots)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(far)],
+                                                 names=["v", ids, "cell", "far"])
 
-    grouped = written(asked.select("id", "v").mapInArrow(assign, "id long, v array<long>, cell int, far double"),
-                      "query-cells")
-    radius = np.full(n_cells, -1.0)         # of every query cell; a cell without queries gets nothing
-    n_parts = np.zeros(n_cells, np.int64)   # parts of bounded size that the queries of a cell form
+    of = "long" if ids == "id" else "array<long>"
+    return written(vectors.select("v", ids).mapInArrow(assign, f"v array<long>, {ids} {of}, cell int, far double"), name)
+
+
+def _summary(grouped: DataFrame, n_cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Radius (-1 without rows) and rows of every cell."""
+    radius, rows = np.full(n_cells, -1.0), np.zeros(n_cells, np.int64)
     for r in grouped.groupBy("cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect():
-        radius[r["cell"]] = r["far"] * (1 + 1e-9) + 1e-6
-        n_parts[r["cell"]] = -(-r["n"] // block_rows)
+        radius[r["cell"]], rows[r["cell"]] = r["far"] * (1 + 1e-9) + 1e-6, r["n"]
+    return radius, rows
+
+
+def _join(data: DataFrame, asked: DataFrame, k: int, max_pivots: int, block_rows: int) -> DataFrame:
+    n_data, n_asked = data.count(), asked.count()
+    # cells of about a quarter of a block, and no more than the root of the rows
+    n_cells = max(1, min(max_pivots, int(n_data ** 0.5), -(-4 * n_data // block_rows)))
+    pivots, centres = _pivots(asked, max(1, min(max_pivots, int(n_asked ** 0.5) // 2))), _pivots(data, n_cells)
+    grouped = _grouped(asked, pivots, "id", "query-cells")
+    dealt = _grouped(data, centres, "ids", "data-cells")
+    radius, n_queries = _summary(grouped, len(pivots))
+    reach_of, n_rows = _summary(dealt, len(centres))
+    n_parts = -(-n_queries // block_rows)       # parts of bounded size of the queries of a cell
     live = np.flatnonzero(radius >= 0)
+    sizes = _norms(pivots)
+    inner = np.maximum(radius, 0)
+
+    def slack(norms: np.ndarray) -> np.ndarray:
+        """(query cells, rows): what rounding may cost a bound."""
+        return 1e-9 * (sizes + inner)[:, None] * norms[None, :] + 1e-6
 
-    def summary(batches):
+    def lower(batches):
         """The k + 1 largest lower bounds per query cell among the rows of this task."""
         import pyarrow as pa
-        best = np.zeros((n_cells, 0))
+        best = np.zeros((len(pivots), 0))
         for batch in batches:
             if batch.num_rows:
                 x = _matrix(batch.column(0))
-                low = pivots @ x.T - radius[:, None] * np.sqrt((x * x).sum(1))[None, :]
+                norms = _norms(x)
+                low = pivots @ x.T - inner[:, None] * norms[None, :] - slack(norms)
                 low = np.repeat(low, np.minimum(batch.column(1).to_numpy(), k + 1), axis=1)
                 best = np.sort(np.concatenate([best, low], axis=1), axis=1)[:, -(k + 1):]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(live, best.shape[1]).astype(np.int32)), pa.array(best[live].ravel())],
             names=["cell", "low"])
 
-    lows = data.select("v", F.size("ids").alias("n")).mapInArrow(summary, "cell int, low double")
+    lows = dealt.select("v", F.size("ids").alias("n")).mapInArrow(lower, "cell int, low double")
     # The (k + 1)-th best bound: one of the k + 1 may be the query itself.
     nth = Window.partitionBy("cell").orderBy(F.desc("low"))
-    reach = np.full(n_cells, -np.inf)
-    for r in (lows.withColumn("n", F.row_number().over(nth)).where(F.col("n") == k + 1).collect()):
-        reach[r["cell"]] = r["low"] - 1e-6
-    n_blocks = max(1, -(-data.count() // block_rows))
+    reach = np.full(len(pivots), -np.inf)
+    for r in lows.withColumn("n", F.row_number().over(nth)).where(F.col("n") == k + 1).collect():
+        # scores beyond 64 bits are equal, so no bound lies among them
+        reach[r["cell"]] = -np.inf if r["low"] <= LONG.min else min(r["low"], 2.0 ** 62)
+    spread = np.maximum(reach_of, 0)
+    norms = _norms(centres)
+    meets = (pivots @ centres.T + sizes[:, None] * spread[None, :] + inner[:, None] * (norms + spread)[None, :]
+             + slack(norms + spread) >= reach[:, None]) & (radius >= 0)[:, None]
+    n_blocks = np.maximum(1, -(-n_rows // block_rows))
+    first_block = np.concatenate([[0], np.cumsum(n_blocks)[:-1]])
+
+    def wanted(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, query cell, block) of the vectors of a batch that a query cell may need."""
+        x, home = _matrix(batch.column(0)), batch.column(1).to_numpy()
+        norms = _norms(x)
+        high = pivots @ x.T + inner[:, None] * norms[None, :] + slack(norms)
+        cell, at = np.nonzero((high >= reach[:, None]) & meets[:, home])
+        block = first_block[home] + batch.column(2).to_numpy() % n_blocks[home]
+        return at, cell, block[at]
+
+    def targets(batches):
+        import pyarrow as pa
+        for batch in batches:
+            if batch.num_rows:
+                _, cell, block = wanted(batch)
+                pairs = np.unique(np.stack([cell, block]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0].astype(np.int32)), pa.array(pairs[1].astype(np.int64))],
+                                                 names=["cell", "block"])
 
     def send(batches):
-        """Each vector to the query cells it may serve, dealt over the blocks by its hash."""
+        """Each vector to every part of the query cells it may serve."""
         import pyarrow as pa
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _matrix(batch.column(0))
-            high = (x @ pivots.T + np.maximum(radius, 0)[None, :] * np.sqrt((x * x).sum(1))[:, None])
-            at, cell = np.nonzero((high >= reach[None, :]) & (radius >= 0)[None, :])
-            part = np.concatenate([np.arange(n) for n in n_parts[cell]] or [np.zeros(0, np.int64)])
-            at, cell = np.repeat(at, n_parts[cell]), np.repeat(cell, n_parts[cell])
-            block = (batch.column(2).to_numpy()[at] % n_blocks).astype(np.int32)
-            take = pa.array(at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell.astype(np.int32)), pa.array(part.astype(np.int32)), pa.array(block),
-                 batch.column(0).take(take), batch.column(1).take(take)],
-                names=["cell", "part", "block", "v", "ids"])
-
-    sent = data.select("v", "ids", F.pmod(F.xxhash64("v"), F.lit(1 << 40)).alias("h")).mapInArrow(
-        send, "cell int, part int, block int, v array<long>, ids array<long>")
-    # Queries in parts of bounded size, each copied to every block.
+            if batch.num_rows:
+                at, cell, block = wanted(batch)
+                part = np.concatenate([np.arange(n) for n in n_parts[cell]] or [np.zeros(0, np.int64)])
+                at, cell, block = (np.repeat(c, n_parts[cell]) for c in (at, cell, block))
+                take = pa.array(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell.astype(np.int32)), pa.array(part.astype(np.int32)), pa.array(block.astype(np.int64)),
+                     batch.column(0).take(take), batch.column(3).take(take)],
+                    names=["cell", "part", "block", "v", "ids"])
+
+    rows = dealt.select("v", "cell", F.pmod(F.xxhash64("v"), F.lit(1 << 40)).alias("h"), "ids")
+    sent = rows.mapInArrow(send, "cell int, part int, block long, v array<long>, ids array<long>")
+    met = rows.select("v", "cell", "h").mapInArrow(targets, "cell int, block long").distinct()
+    # Queries in parts of bounded size, each copied to the blocks that hold a vector for it.
     parts = F.array(*[F.lit(int(n)) for n in n_parts])
     copies = grouped.select(
-        "cell", F.pmod(F.xxhash64("id"), F.get(parts, F.col("cell"))).cast("int").alias("part"), "id", "v",
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
+        "cell", F.pmod(F.xxhash64("id"), F.get(parts, F.col("cell"))).cast("int").alias("part"), "id", "v") \
+        .join(met, "cell")
 
     def solve(left, right):
         import pyarrow as pa
@@ -165,13 +237,13 @@ def _join(data: DataFrame, asked: DataFrame, k: int, max_pivots: int, block_rows
                           "score": pa.array([], pa.int64())})
         if not left.num_rows or not right.num_rows:
             return empty
-        x = _matrix(right.column("v"))
+        x = _integers(right.column("v"))
         lists = right.column("ids").combine_chunks()
         ids, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(x)), np.diff(lists.offsets.to_numpy()))
         out = []
-        q, q_ids = _matrix(left.column("v")), left.column("id").to_numpy()
+        q, q_ids = _integers(left.column("v")), left.column("id").to_numpy()
         for at in range(0, len(q), 256):
-            scores = (q[at:at + 256] @ x.T).astype(np.int64)
+            scores = inner_products(q[at:at + 256], x)
             for row, own in zip(scores, q_ids[at:at + 256]):
                 # classes that can hold one of the k best, then their ids in order
                 if len(row) > k + 1:
@@ -180,7 +252,7 @@ def _join(data: DataFrame, asked: DataFrame, k: int, max_pivots: int, block_rows
                 else:
                     rows = np.arange(len(owner))
                 rows = rows[ids[rows] != own]
-                rows = rows[np.lexsort((ids[rows], -row[owner[rows]]))[:k]]
+                rows = rows[np.lexsort((ids[rows], ~row[owner[rows]]))[:k]]
                 out.append((np.full(len(rows), own), ids[rows], row[owner[rows]]))
         return pa.table({n: pa.array(np.concatenate([o[i] for o in out]).astype(np.int64))
                          for i, n in enumerate(("query_id", "vec_id", "score"))})

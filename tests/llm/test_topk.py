@@ -16,7 +16,8 @@ def brute(rows, k, is_query):
     out = []
     for q, x in v:
         if is_query(q):
-            found = sorted({(-sum(a * b for a, b in zip(x, y)), j) for j, y in v if j != q and len(y) == len(x)})[:k]
+            found = sorted({(-min(max(sum(a * b for a, b in zip(x, y)), -2 ** 63), 2 ** 63 - 1), j)
+                            for j, y in v if j != q and len(y) == len(x)})[:k]
             out += [(q, r + 1, j, -s) for r, (s, j) in enumerate(found)]
     return sorted(set(out))
 
@@ -40,6 +41,27 @@ def test_against_brute_force(spark, clustered):
     assert run(spark, rows) == want
 
 
+def test_large_magnitudes_are_exact(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** (i % 12)).astype(np.float32).tolist()) for i in range(400)]
+    assert run(spark, rows, block_rows=50) == brute(rows, 10, lambda i: i % 100 == 0)
+
+
+def test_products_beyond_double_precision():
+    q = np.array([[1024 * 100_000_003, 3], [2 ** 62, 2 ** 62], [-2 ** 62, 1], [1, 1]])
+    got = topk.inner_products(q, q)
+    want = [[min(max(sum(a * b for a, b in zip(x, y)), -2 ** 63), 2 ** 63 - 1) for y in q.tolist()] for x in q.tolist()]
+    assert got.tolist() == want
+
+
+def test_tight_clusters(spark):
+    """Tight clusters far apart, where most pairs of cells are ruled out."""
+    rng = np.random.default_rng(8)
+    centres = np.eye(8) * 100
+    rows = [(i, (centres[i % 8] + rng.normal(size=8) * 0.01).tolist()) for i in range(1600)]
+    assert run(spark, rows, block_rows=100, max_pivots=32) == brute(rows, 10, lambda i: i % 100 == 0)
+
+
 def test_few_and_no_rows(spark):
     rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [-1.0, 0.25])]
     assert run(spark, rows) == brute(rows, 10, lambda i: i % 100 == 0)
