@@ -38,8 +38,13 @@ SKIP_TAGS = frozenset(
 SKIP_WORDS = frozenset(
     "ad ads adbox advert advertisement sponsor sponsored promo banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent notice popup modal "
-    "overlay comment comments reply replies discussion share social related newsletter subscribe "
+    "overlay comment comments reply replies responses discussion share social related newsletter subscribe "
     "signup login pagination pager toolbar widget".split())
+# Of these, the ones that name readers' comments, and the ones that are ordinary words too: as an id they may
+# name a section of the article ("discussion"), as a part of a name anything ("market-share").
+COMMENT_WORDS = frozenset("comment comments reply replies response responses respond".split())
+PLAIN_WORDS = frozenset("notice overlay discussion share social related consent promo reply replies".split())
+STATE_WORDS = frozenset("has is no not with without".split())       # "has-sidebar" is no sidebar
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style textarea title noscript iframe template".split())
@@ -50,6 +55,10 @@ INLINE_TAGS = frozenset(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
         "tbody": {"tr", "td", "th", "thead", "tbody"}, "body": {"head"}}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE_TAGS = HEADINGS | frozenset("section p li dt dd td th blockquote figure figcaption pre".split())
+# A form or an element with a boilerplate word in its name that holds one of these is a wrapper of the page.
+PAGE_TAGS = frozenset("main h1 nav header footer aside".split())
 LISTS = frozenset("ul ol dl table body article section div".split())
 
 TOKEN = re.compile(
@@ -58,7 +67,7 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)", re.DOTALL)
 NAMED = re.compile(r"(?:class|id|role)\s*=", re.IGNORECASE)     # may hold one of the attributes read here
 ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1|\Z)|<[a-z/!?][^>]*(?:>|\Z)|\s+", re.DOTALL | re.IGNORECASE)
+UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1|\Z)|<[a-z/!?][^>]*(?:>|\Z)", re.DOTALL | re.IGNORECASE)
 HOLDS_MAIN = re.compile(r"""<(?:article|main)[\s/>]|\srole\s*=\s*["']?(?:article|main)\b""", re.IGNORECASE)
 
 
@@ -71,28 +80,50 @@ def attributes(attrs: str) -> dict[str, str]:
     return named
 
 
+def _part_words(names: set[str], within: int) -> bool:
+    """Whether a compound name says boilerplate: by its first or last part, in articles for comments only."""
+    for name in names:
+        parts = re.split(r"[_-]+", name.strip("_-"))
+        if len(parts) < 2 or parts[0] in STATE_WORDS:
+            continue
+        if parts[0] in COMMENT_WORDS:
+            return True
+        if within < 2 and not {parts[0], parts[-1]}.isdisjoint(SKIP_WORDS - PLAIN_WORDS):
+            return True
+    return False
+
+
 class Node:
-    """``skip``: not of the article, by its tag, its role or a whole class name or id.  ``soft``: only a
-    part of a name says so, which is believed of small nodes alone (see ``_settle``)."""
+    """``skip``: not of the article, by its tag, its role or a whole name.  ``soft``: a form, or only a part
+    of a name says so, which ``_settle`` believes unless the node holds the page.  ``within``: 2 inside an
+    article element, 1 inside a main element."""
 
-    __slots__ = ("tag", "sig", "skip", "soft", "main", "header", "kids")
+    __slots__ = ("tag", "sig", "skip", "soft", "main", "header", "within", "kids")
 
-    def __init__(self, tag: str, attrs: str = "", known: frozenset | None = None):
+    def __init__(self, tag: str, attrs: str = "", known: frozenset | None = None, within: int = 0):
         named = attributes(attrs)
-        kind = named.get("class", "").split()
-        names = {*kind, named.get("id", "").strip()}
-        words = set(re.split(r"[\s_-]+", " ".join(names))) if named else names
+        kind = set(named.get("class", "").split())
+        ids = {named.get("id", "").strip()} - {""}
         role = named.get("role", "")
-        self.tag = tag
+        self.tag, self.within = tag, within
         self.sig = tag + "".join(f".{c}" for c in sorted(kind) if known is None or c in known)
         self.main = 2 if tag == "article" or role == "article" else 1 if tag == "main" or role == "main" else 0
-        self.skip = False
+        self.skip = self.soft = False
         page = tag in ("html", "body")
-        if not page and (tag in SKIP_TAGS or not names.isdisjoint(SKIP_WORDS) or role in SKIP_ROLES):
-            self.drop()
+        if tag in HEADINGS:                 # a heading belongs to what it heads
+            kind, ids = set(), set()
+        whole = kind | (ids - PLAIN_WORDS if tag in PROSE_TAGS or self.main else ids)
+        comment = self.main == 2 and any(re.split(r"[_-]", c)[0] in COMMENT_WORDS for c in kind)
+        if not page and (tag in SKIP_TAGS or comment or role in SKIP_ROLES
+                         or not self.main and not whole.isdisjoint(SKIP_WORDS)):
+            self.soft = tag == "form" and whole.isdisjoint(SKIP_WORDS)
+            if not self.soft:
+                self.drop()
         plain = not page and not self.main
-        self.soft = plain and not self.skip and not words.isdisjoint(SKIP_WORDS)
-        self.header = 0 if not plain else 2 if tag == "header" or "header" in names else 1 if "header" in words else 0
+        if plain and not self.skip:
+            self.soft |= _part_words(kind | (ids if tag not in PROSE_TAGS else set()), within)
+        self.header = 0 if not plain else 2 if tag == "header" or "header" in kind | ids else \
+            1 if any("header" in re.split(r"[_-]", c) for c in kind | ids) else 0
         self.kids: list = []
 
     def drop(self) -> None:
@@ -103,25 +134,31 @@ class Node:
 
 
 def _settle(root: Node) -> None:
-    """Drop the soft nodes but those that hold an article or main element or most of the page's text."""
+    """Drop the soft nodes but those that hold an article, a part that only a page has, or all of its text."""
     order = [root]
     for node in order:
         if not node.skip:
             order += [k for k in node.kids if isinstance(k, Node)]
-    chars: dict[int, int] = {}
-    holds: set[int] = set()
+    holds: set[int] = set()     # nodes that hold a page's part
+    text: set[int] = set()      # nodes with text outside of what is dropped
+    soft: list[Node] = []
     for node in reversed(order):
-        kids = [] if node.skip else node.kids
-        chars[id(node)] = sum(len("".join(k.split())) if isinstance(k, str) else chars[id(k)] for k in kids)
-        if any(isinstance(k, Node) and not k.skip and (k.main or id(k) in holds) for k in kids):
+        kids = [k for k in node.kids if isinstance(k, Node)]
+        # a dropped article is a comment, not the page's
+        if any(id(k) in holds or k.main and not k.skip or k.tag in PAGE_TAGS for k in kids):
             holds.add(id(node))
-    for node in order:
-        if node.soft and id(node) not in holds and 2 * chars[id(node)] <= chars[id(root)]:
+        if node.soft and id(node) not in holds:
+            soft.append(node)
+        elif not node.skip and (any(id(k) in text for k in kids)
+                                or any(isinstance(k, str) and not k.isspace() and k for k in node.kids)):
+            text.add(id(node))
+    if id(root) in text:        # else the page is all in soft nodes: they stay
+        for node in soft:
             node.drop()
-
-
-def _seen(page: str) -> int:
-    return len(UNSEEN.sub("", page))
+    for node in order:          # an inline element that stays is text of its block
+        if any(isinstance(k, Node) and k.tag in INLINE_TAGS and not k.skip for k in node.kids):
+            node.kids = [x for k in node.kids
+                         for x in (k.kids if isinstance(k, Node) and k.tag in INLINE_TAGS and not k.skip else [k])]
 
 
 def parse(page: str, known: frozenset | None = None) -> Node:
@@ -129,7 +166,14 @@ def parse(page: str, known: frozenset | None = None) -> Node:
     (their text belongs to the block), a tag cut off by the end is dropped.
     ``known``: the class names that sign a node; all of them if None."""
     root = Node("#root")
-    stack, at, soft, seen = [root], 0, False, None
+    stack, at, soft = [root], 0, False
+    opened: dict[str, int] = {}      # open elements by tag, so that a stray end tag is not searched for
+
+    def close(i: int) -> None:
+        for n in stack[i:]:
+            opened[n.tag] -= 1
+        del stack[i:]
+
     while at < len(page):
         m = TOKEN.match(page, at)
         at = m.end()
@@ -141,11 +185,11 @@ def parse(page: str, known: frozenset | None = None) -> Node:
             continue
         tag = m["tag"].lower()
         if m["end"]:
-            if tag in INLINE_TAGS:
+            if tag in INLINE_TAGS or not opened.get(tag):
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    close(i)
                     break
             continue
         if tag in INLINE_TAGS and not NAMED.search(m["attrs"]):
@@ -153,23 +197,22 @@ def parse(page: str, known: frozenset | None = None) -> Node:
         if tag == "br":
             stack[-1].kids.append(" ")
             continue
-        node = Node(tag, m["attrs"], known)
+        node = Node(tag, m["attrs"], known, max(stack[-1].within, stack[-1].main))
         if tag not in INLINE_TAGS:
             for i in range(len(stack) - 1, 0, -1):      # omitted end tags
                 if stack[i].tag == "p" or stack[i].tag in ENDS.get(tag, ()):
-                    del stack[i:]
+                    close(i)
                 elif stack[i].tag in LISTS and tag != "body":
                     break
-        elif not node.skip and not node.soft:
-            continue                                     # inline and not boilerplate: transparent
-        elif node.soft:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-            inner = page[at:end.start()] if end else ""
-            seen = _seen(page) if seen is None else seen
-            if not end or HOLDS_MAIN.search(inner) or 2 * _seen(inner) > seen:
+        elif not node.skip:                              # inline: transparent
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at) if node.soft else None
+            if not end or HOLDS_MAIN.search(page, at, end.start()):
                 continue
-            node.drop()
-        if node.header and not any(n.main for n in stack):   # the page's, not the article's
+            node.kids.append(html_lib.unescape(UNSEEN.sub(" ", page[at:end.start()])))
+            stack[-1].kids.append(node)
+            soft, at = True, end.end()
+            continue
+        if node.header and not node.within:              # the page's, not the article's
             if node.header == 2:
                 node.drop()
             node.soft = not node.skip
@@ -184,6 +227,7 @@ def parse(page: str, known: frozenset | None = None) -> Node:
                 at = page.find(">", at) + 1 or len(page)
         elif tag not in VOID_TAGS and not m["attrs"].endswith("/") and tag not in INLINE_TAGS:
             stack.append(node)
+            opened[tag] = opened.get(tag, 0) + 1
         elif tag in INLINE_TAGS:                         # a skipped inline element: drop to its end tag
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else at
@@ -197,8 +241,9 @@ def parse(page: str, known: frozenset | None = None) -> Node:
 SIG, PAGES, TEXT, CHARS, FLAGS, KIDS = range(6)
 
 
-def fold(node: Node) -> list:
-    """The template of one page: neighbouring siblings of one signature are one node."""
+def fold(node: Node, runs: dict | None = None) -> list:
+    """The template of one page: neighbouring siblings of one signature are one node.
+    ``runs`` receives, per node, its folded children and the nodes of each."""
     order = [node]
     for one in order:
         order += [k for k in one.kids if isinstance(k, Node)]
@@ -206,13 +251,18 @@ def fold(node: Node) -> list:
     for one in reversed(order):
         own = " ".join("".join(k for k in one.kids if isinstance(k, str)).split())
         out = [one.sig, 1, _digest(own) if own else "", len(own), one.skip + (0, 4, 2)[one.main], []]
+        members: list[list[Node]] = []
         for kid in one.kids:
             if isinstance(kid, Node):
                 small = done.pop(id(kid))
                 if out[KIDS] and out[KIDS][-1][SIG] == small[SIG]:
                     merge(out[KIDS][-1], small, same_page=True)
+                    members[-1].append(kid)
                 else:
                     out[KIDS].append(small)
+                    members.append([kid])
+        if runs is not None:
+            runs[id(one)] = (list(out[KIDS]), members)
         done[id(one)] = out
     return done[id(node)]
 
@@ -249,16 +299,21 @@ def _aligning(xs: list, ys: list):
     return best[len(xs)][len(ys)], pairs[::-1]
 
 
-def _align(xs: list, ys: list) -> tuple[int, list[tuple[int, int]]]:
-    steps, found = [_aligning(xs, ys)], None
+def _align(xs: list, ys: list, known: dict | None = None) -> tuple[int, list[tuple[int, int]]]:
+    """``known`` keeps matches of lists of children that do not change meanwhile."""
+    steps, found = [((id(xs), id(ys)), _aligning(xs, ys))], None
     while steps:
         try:
-            wanted = steps[-1].send(found)
-            steps.append(_aligning(*wanted))
-            found = None
+            wanted = steps[-1][1].send(found)
+            key = id(wanted[0]), id(wanted[1])
+            found = known.get(key) if known is not None else None
+            if found is None:
+                steps.append((key, _aligning(*wanted)))
         except StopIteration as done:
-            steps.pop()
             found = done.value
+            if known is not None:
+                known[steps[-1][0]] = found
+            steps.pop()
     return found
 
 
@@ -309,19 +364,22 @@ def load(text: str) -> list:
     return flat[0]
 
 
-def _chars(node: list) -> int:
-    total, todo = 0, [node]
-    while todo:
-        node = todo.pop()
+def _chars(template: list) -> dict[int, int]:
+    """Text length of every node outside boilerplate, with all below it."""
+    order = [template]
+    for node in order:
         if not node[FLAGS] & 1:
-            total += node[CHARS]
-            todo += node[KIDS]
+            order += node[KIDS]
+    total: dict[int, int] = {}
+    for node in reversed(order):
+        total[id(node)] = 0 if node[FLAGS] & 1 else node[CHARS] + sum(total[id(k)] for k in node[KIDS])
     return total
 
 
 def region(template: list) -> list[list]:
     """The nodes that hold the articles: article elements, else main elements,
     else the deepest node that holds most of the text outside boilerplate."""
+    chars = _chars(template)
     for flag in (2, 4):
         found: list[list] = []
         todo = [template]
@@ -333,12 +391,12 @@ def region(template: list) -> list[list]:
                 found.append(node)
             else:
                 todo += reversed(node[KIDS])
-        if any(_chars(n) for n in found):
+        if any(chars[id(n)] for n in found):
             return found
     node = template
     while True:
-        total = _chars(node)
-        heavy = [k for k in node[KIDS] if k[KIDS] and 5 * _chars(k) >= 3 * total > 0]
+        total = chars[id(node)]
+        heavy = [k for k in node[KIDS] if k[KIDS] and 5 * chars[id(k)] >= 3 * total > 0]
         if not heavy:
             return [node]
         node = heavy[0]
@@ -347,14 +405,17 @@ def region(template: list) -> list[list]:
 def main_text(page: str, template: list | None, distinct_pages: int, known: frozenset | None = None) -> str:
     """Blocks of the article of one page, joined by newlines."""
     root = parse(page, known)
-    own = fold(root)
+    runs: dict[int, tuple[list, list]] = {}
+    known_matches: dict[tuple[int, int], tuple] = {}
+    own = fold(root, runs)
     wrapper = template if template is not None and template[SIG] == own[SIG] else own
-    spots = {id(n) for n in region(wrapper)}
+    found = region(wrapper)
+    spots = {id(n) for n in found}
     # A node that is the same on all of many different pages is template, unless
     # the whole region is the same.
     constant: set[int] = set()
     if distinct_pages >= MIN_PAGES:
-        for spot in region(wrapper):
+        for spot in found:
             marks, varies = [], False
             todo = list(spot[KIDS])
             while todo:
@@ -387,7 +448,7 @@ def main_text(page: str, template: list | None, distinct_pages: int, known: froz
             if node.skip or slot is not None and id(slot) in constant:
                 continue
             inside = inside or slot is not None and id(slot) in spots
-            slots = _slots(node, slot)
+            slots = _slots(slot, *runs[id(node)], known_matches)
             flush()
             todo.append(None)
             todo += [k if isinstance(k, str) else (k, slots.get(id(k)), inside)
@@ -398,21 +459,12 @@ def main_text(page: str, template: list | None, distinct_pages: int, known: froz
     return "\n".join(blocks)
 
 
-def _slots(node: Node, slot: list | None) -> dict[int, list]:
+def _slots(slot: list | None, folded: list, members: list, known: dict) -> dict[int, list]:
     """Wrapper nodes of a node's children, by aligning both lists of children."""
-    kids = [k for k in node.kids if isinstance(k, Node)]
-    if slot is None or not kids:
+    if slot is None or not folded:
         return {}
-    runs: list[list] = []
-    members: list[list[Node]] = []
-    for kid in kids:
-        if runs and runs[-1][SIG] == kid.sig:
-            members[-1].append(kid)
-        else:
-            runs.append(fold(kid) if len(slot[KIDS]) > 1 else [kid.sig, 1, "", 0, 0, []])
-            members.append([kid])
-    return {id(kid): slot[KIDS][j] for i, j in _align(runs, slot[KIDS])[1] for kid in members[i]
-            if runs[i][SIG] == slot[KIDS][j][SIG]}
+    return {id(kid): slot[KIDS][j] for i, j in _align(folded, slot[KIDS], known)[1] for kid in members[i]
+            if folded[i][SIG] == slot[KIDS][j][SIG]}
 
 
 def host_of(url: Column) -> Column:

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from nutrilake.llm import html_text
 from nutrilake.llm.html_text import SIG, fold, main_text, merge, parse
 
@@ -123,3 +125,38 @@ def test_deep_pages(spark):
 def test_dumped_templates_load_again():
     tree = fold(parse("<article><p>x</p><div><ul><li>y</ul></div><table></table></article><div></div>"))
     assert html_text.load(html_text.dump(tree)) == tree
+
+
+@pytest.mark.parametrize("page, want", [
+    # reader comments go, however long, also as articles and inside the article
+    ("<p>The post.</p><div class='comment-list'>" + "<p>A reader says something long.</p>" * 50 + "</div>", "The post."),
+    ("<article><p>The post.</p></article><article class='comment-body'><p>Me too</p></article>", "The post."),
+    ("<article><p>The post.</p><section class='responses'><p>Me too</p></section></article>", "The post."),
+    ("<article><p>The post.</p><ol class='comment-list'><li>Me too</ol></article>", "The post."),
+    ("<main><p>The post.</p><section id='comments'><p>Me too</p></section></main>", "The post."),
+    # an article's own headings and sections stay
+    ("<article><h1>T</h1><section id='discussion'><p>We discuss.</p></section></article>", "T\nWe discuss."),
+    ("<article><h2 id='related'>Related work</h2><p>a</p></article>", "Related work\na"),
+    ("<article><div class='market-share'>Ten percent.</div><p class='notice-period'>A month.</p></article>",
+     "Ten percent.\nA month."),
+    ("<article class='post no-comments'><p>a</p></article>", "a"),
+    # a page wrapped in one form keeps its text, other forms go
+    ("<form id='aspnetForm'><header>Site</header><div><p>The post.</p><input value=x></div></form>", "The post."),
+    ("<form><div><p>The post.</p></div></form>", "The post."),
+    ("<div><p>The post.</p></div><form><p>Your name</p><input></form>", "The post."),
+    # names that tell the state of the page
+    ("<body class='has-sidebar'><div id='page' class='with-cookie-banner'><p>a</p></div>", "a"),
+    ("<div class='ad-free-page'><p>All of the text.</p></div>", "All of the text."),
+    ("<div><p>a</p></div><div class='sidebar-left'><p>b</p></div><div class='site-footer'>c</div>", "a"),
+])
+def test_boilerplate_by_structure_and_name(page, want):
+    assert text(page) == want
+
+
+def test_hostile_pages_are_linear():
+    import time
+    for page in ("<div>" * 20000 + "<p>Text.</p>", "<div>" * 20000 + "</x></ul>" * 20000 + "<p>Text.</p>",
+                 "<article>" + "<div><p>Text.</p>" * 10000):
+        start = time.process_time()
+        assert text(page).startswith("Text.")
+        assert time.process_time() - start < 5
