@@ -8,6 +8,7 @@ state exactly.
 """
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 
@@ -23,7 +24,7 @@ from nutrilake.plans import sqlgen as G
 from nutrilake.plans import training
 from nutrilake.plans.common import diet_dedup, r6, sql_r6, with_dd
 from nutrilake.plans.preprocess import prepare
-from nutrilake.plans.queries_prep import _prepared
+from nutrilake.plans.queries_prep import FEATURE_MATRIX_SQL, _prepared, matrix_columns
 from nutrilake.plans.registry import query
 from nutrilake.session import ensure_checkpoint_dir
 from nutrilake.sources.diet_profile import diet_profile
@@ -658,22 +659,22 @@ def q_best_model_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- K
-WRITE_READ_SQL = "WITH " + G.prepared_ctes() + "," + G.encoder_ctes() + f"""
-SELECT Person_ID, Health_Status, split, {sql_r6(G.scaled_expr('Age'))} AS numeric__Age,
-       {sql_r6(G.scaled_expr('Calorie_Balance'))} AS numeric__Calorie_Balance FROM en"""
+WRITE_READ_SQL = f"""SELECT m.*, fmt AS format
+FROM ({FEATURE_MATRIX_SQL}) m, (VALUES ('parquet'), ('csv')) AS f(fmt)"""
 
 
 @query("write_read_back", WRITE_READ_SQL)
 def q_write_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1-K4: write X/y per split, read back, join X to y on the key."""
+    """K1-K4: write X/y per split as parquet and as CSV, read back, join X to
+    y on the key; all features."""
     p = _prepared(spark, sf_dir)
-    out = scratch_dir(spark, "processed")
-    write_splits(p.frame, out, p.key, p.target)
     parts = []
-    for side in ("train", "test"):
-        x = read_split(spark, out, f"X_{side}")
-        y = read_split(spark, out, f"y_{side}")
-        parts.append(x.join(y, p.key).select(p.key, p.target, F.lit(side).alias("split"),
-                                             r6("numeric__Age").alias("numeric__Age"),
-                                             r6("numeric__Calorie_Balance").alias("numeric__Calorie_Balance")))
-    return parts[0].unionByName(parts[1])
+    for fmt in ("parquet", "csv"):
+        out = scratch_dir(spark, "processed")
+        write_splits(p.frame, out, p.key, p.target, fmt)
+        for side in ("train", "test"):
+            x = read_split(spark, out, f"X_{side}")
+            y = read_split(spark, out, f"y_{side}")
+            both = x.join(y, p.key).withColumns({"split": F.lit(side), "format": F.lit(fmt)})
+            parts.append(matrix_columns(both, p.encoder, ["format"]))
+    return functools.reduce(DataFrame.unionByName, parts)

@@ -573,7 +573,7 @@ FEATURE_MATRIX_SQL = _enc_sql("SELECT Person_ID, Health_Status, split, " + ", ".
     ", Gender, Activity_Level, Diet_Type, Age_Group FROM en")
 
 
-def _matrix_columns(frame: DataFrame, enc: encode.EncoderModel, extra: list[str] | None = None) -> DataFrame:
+def matrix_columns(frame: DataFrame, enc: encode.EncoderModel, extra: list[str] | None = None) -> DataFrame:
     """Numeric block and the hot category of each one-hot group."""
     hot = {}
     for c in enc.categorical:
@@ -591,7 +591,7 @@ def _matrix_columns(frame: DataFrame, enc: encode.EncoderModel, extra: list[str]
 def q_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numeric block + the category that is hot in each one-hot group."""
     p = _prepared(spark, sf_dir)
-    return _matrix_columns(p.frame, p.encoder)
+    return matrix_columns(p.frame, p.encoder)
 
 
 LABEL_CODES_SQL = with_dd("""SELECT Health_Status AS label, CAST(row_number() OVER (ORDER BY Health_Status) - 1 AS INTEGER) AS code,
@@ -664,21 +664,18 @@ def q_encoder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = encode.EncoderModel.load(spark, path)
     out = back.transform(p.engineered, keep=["Person_ID", "Health_Status", "split"])
     order = ",".join(c for c in out.columns if c not in ("Person_ID", "Health_Status", "split"))
-    return _matrix_columns(out.withColumn("feature_order", F.lit(order)), back, ["feature_order"])
+    return matrix_columns(out.withColumn("feature_order", F.lit(order)), back, ["feature_order"])
 
 
-FEATURES_LABEL_SQL = _enc_sql("SELECT Person_ID, " + ", ".join(
-    f"{sql_r6(G.scaled_expr(c))} AS numeric__{c}" for c in S.NUMERIC_FEATURES[:3]) +
-    ", Health_Status FROM en WHERE split = 'test'")
+FEATURES_LABEL_SQL = f"SELECT * FROM ({FEATURE_MATRIX_SQL}) WHERE split = 'test'"
 
 
 @query("features_label", FEATURES_LABEL_SQL)
 def q_features_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L4: id, a feature subset and the label of the test rows, side by side."""
+    """L4: id, every feature and the label of the test rows, side by side."""
     p = _prepared(spark, sf_dir)
-    feats = [f"numeric__{c}" for c in S.NUMERIC_FEATURES[:3]]
-    out = split.features_and_label(p.test(), feats, S.TARGET_COLUMN, S.ID_COLUMN)
-    return out.select("Person_ID", *[r6(c).alias(c) for c in feats], "Health_Status")
+    out = split.features_and_label(p.test(), p.feature_names, S.TARGET_COLUMN, S.ID_COLUMN)
+    return matrix_columns(out.withColumn("split", F.lit("test")), p.encoder)
 
 
 EVENTS_PROFILE_COLS = ["event_id", "user_id", "event_type", "ts", "value", "props"]
