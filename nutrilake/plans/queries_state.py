@@ -2,7 +2,8 @@
 artifacts, with DuckDB oracles.
 
 Sketches are estimates, so their columns state whether the exact values of the
-whole table lie within the sketch's error; all other columns are exact."""
+whole table lie within four standard errors (cardinality) or twice the 99 % rank error
+(quartiles); all other columns are exact."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
