@@ -367,12 +367,16 @@ def row_order_key(df: DataFrame, seed: int, *key_cols: str) -> Column:
     """64 hex digits: ``seeded_order_key`` of the keys, then the md5 of all
     columns (NULL cells as NULL_KEY, joined by '|').  Rows that share a key are
     ordered by their other columns; only rows equal in every column tie."""
+    return F.concat(seeded_order_key(seed, *key_cols), whole_row_key(df))
+
+
+def whole_row_key(df: DataFrame) -> Column:
+    """md5 of all columns, NULL cells as NULL_KEY, joined by '|'."""
     def text(field: T.StructField) -> Column:
         c = F.col(f"`{field.name}`")
         plain = not isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType))
         return F.coalesce(c.cast("string") if plain else F.to_json(F.struct(c)), F.lit(NULL_KEY))
-    whole = F.md5(F.concat_ws("|", *[text(f) for f in df.schema]))
-    return F.concat(seeded_order_key(seed, *key_cols), whole)
+    return F.md5(F.concat_ws("|", *[text(f) for f in df.schema]))
 
 
 def hash_prefix_len(max_group_rows: int, rows_per_bucket: int = 1_000_000) -> int:

@@ -5,8 +5,10 @@ Rows are ordered inside each class by a seeded md5 of the key; the first
 remainder, as the stratified splitter of scikit-learn computes them).  The
 split needs only each class's cut key (``hash_thresholds``: bucket counts
 plus a rank inside one cut bucket per class), after which it is a column
-predicate; folds need every rank and use ``hash_rank`` (windows per
-(class, hash bucket)), so no class is ever one window partition.
+predicate.  Folds dealt round-robin need every rank and use ``hash_rank`` (windows
+per (class, hash bucket)); folds that are blocks of the same order need k - 1 cuts
+per class (``rank_cuts``) and no shuffle of the rows.  No class is ever one window
+partition.
 """
 from __future__ import annotations
 
@@ -17,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nutrilake import schema as S
-from nutrilake.functions.ordered import (collect_bounded, hash_prefix_len, hash_rank, hash_thresholds,
-                                         seeded_order_key, within_threshold)
+from nutrilake.functions import cuts
+from nutrilake.functions.ordered import (bounded_broadcast, collect_bounded, hash_prefix_len, hash_rank,
+                                         hash_thresholds, seeded_order_key, whole_row_key, within_threshold)
 
 
 def class_counts(df: DataFrame, target: str) -> dict[str, int]:
@@ -92,14 +95,7 @@ def train_test(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
     return (s.where(F.col(col) == "train").drop(col), s.where(F.col(col) == "test").drop(col))
 
 
-def stratified_folds(df: DataFrame, k: int = 5, target: str = S.TARGET_COLUMN, seed: int = 42,
-                     key: str | list[str] = S.ID_COLUMN, fold_col: str = "fold") -> DataFrame:
-    """L2: ``fold`` in 0..k-1; each row is validation exactly once and each
-    class is dealt round-robin over the folds in hash order.  Rows with a NULL
-    key are dealt like any other; a NULL target is an error, as in the split."""
-    counts = class_counts(df, target)
-    if None in counts:
-        raise ValueError("NULL group values cannot be stratified")
+def _check_folds(counts: dict, k: int) -> None:
     largest, smallest = max(counts.values()), min(counts.values())
     if k < 2:
         raise ValueError("k must be at least 2")
@@ -108,7 +104,94 @@ def stratified_folds(df: DataFrame, k: int = 5, target: str = S.TARGET_COLUMN, s
                          f"in each class ({largest})")
     if k > smallest:
         warnings.warn(f"The least populated class has only {smallest} members, "
-                      f"which is less than n_splits={k}.", stacklevel=2)
+                      f"which is less than n_splits={k}.", stacklevel=3)
+
+
+def fold_sizes(counts: dict, k: int) -> dict:
+    """Rows of every class per fold: the rows sorted by class are dealt
+    round-robin, so folds differ by one row at most, in all and per class."""
+    out, at = {}, 0
+    for c in sorted(counts):
+        end = at + counts[c]
+        out[c] = [(end - 1 - f) // k - (at - 1 - f) // k for f in range(k)]
+        at = end
+    return out
+
+
+def stratified_fold_blocks(df: DataFrame, k: int = 5, target: str = S.TARGET_COLUMN, seed: int = 42,
+                           key: str | list[str] = S.ID_COLUMN, fold_col: str = "fold",
+                           max_cut_rows: int = cuts.MAX_CUT_ROWS) -> DataFrame:
+    """L2 without a shuffle of the rows: a class in md5(seed:key) order is cut
+    into k blocks of ``fold_sizes`` rows, and a row's fold is the number of cuts
+    of its class that it comes after.
+
+    Rows with equal keys are ordered by their other columns.  Rows equal in every
+    column that lie across a cut are taken as one row with a count and dealt out
+    again in the sizes that the folds need.  An empty table stays empty; a NULL
+    target is an error, as in the split.  Columns must have an order of equality
+    (no maps).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    order, row = seeded_order_key(seed, *keys), whole_row_key(df)
+    sizes: dict = {}
+
+    def ends(totals: dict) -> dict:
+        if not totals:
+            return {}
+        _check_folds(totals, k)
+        sizes.update(fold_sizes(totals, k))
+        return {c: [sum(n[:f + 1]) for f in range(k - 1)] for c, n in sizes.items()}
+
+    found, totals = cuts.rank_cuts(df, target, order, row, ends, max_cut_rows)
+    if not totals:
+        return df.withColumn(fold_col, F.lit(0))
+    steps, tied = [], []
+    for c, own in found.items():
+        # an empty block repeats the rank before it (0 has no cut: every row comes after it)
+        at = {x.rank: x for x in own}
+        bounds = [sum(sizes[c][:f + 1]) for f in range(k - 1)]
+        steps.append((c, [at[b].key if b else "" for b in bounds]))
+        for x in {x.key: x for x in own if x.inside < x.rows}.values():
+            for f in range(k):
+                low, high = ([0] + bounds + [totals[c]])[f:f + 2]
+                n = min(high, x.before + x.rows) - max(low, x.before)
+                if n > 0:
+                    tied.append((c, x.key, f, n))
+    spark, kind = df.sparkSession, df.schema[target].dataType.simpleString()
+    table = bounded_broadcast(spark.createDataFrame(steps, f"_fg {kind}, _cuts array<string>"))  # a row per class
+    # The order columns are made once, before the comparison with every cut.
+    keyed = df.withColumn("_ok", order).join(table, F.col(f"`{target}`") == F.col("_fg"))
+    passed = F.filter("_cuts", lambda c: cuts.after(c, F.col("_ok"), row))
+    out = keyed.withColumn("_fold", F.size(passed).cast("int"))
+    if not tied:
+        return out.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_fold").alias(fold_col))
+    # at most k - 1 keys per class
+    split_keys = bounded_broadcast(spark.createDataFrame(
+        [(c, x) for c, x in {(t[0], t[1]) for t in tied}], f"_tg {kind}, _tk string"))
+    parts = bounded_broadcast(spark.createDataFrame(tied, f"_tg {kind}, _tk string, _tf int, _tn long"))
+    same = (F.col("_fg") == F.col("_tg")) & (F.col("_ok") == F.substring("_tk", 1, cuts.KEY_DIGITS)) \
+        & (row == F.substring("_tk", cuts.KEY_DIGITS + 1, cuts.KEY_DIGITS))
+    rest = out.join(split_keys, same, "left_anti")
+    names = [F.col(f"`{c}`") for c in df.columns]
+    one = out.join(split_keys, same, "left_semi").select(*names, "_fg", "_ok").dropDuplicates()
+    chunk = F.lit(100_000)
+    copies = (one.join(parts, same)
+              .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tn") - 1, chunk.cast("long"))))
+              .repartition(F.col("_from"), F.col("_tf"))
+              .withColumn("_c", F.explode(F.sequence(F.col("_from"), F.least(F.col("_tn"), F.col("_from") + chunk) - 1))))
+    return rest.select(*names, F.col("_fold").alias(fold_col)).unionByName(
+        copies.select(*names, F.col("_tf").alias(fold_col)))
+
+
+def stratified_folds(df: DataFrame, k: int = 5, target: str = S.TARGET_COLUMN, seed: int = 42,
+                     key: str | list[str] = S.ID_COLUMN, fold_col: str = "fold") -> DataFrame:
+    """L2: ``fold`` in 0..k-1; each row is validation exactly once and each
+    class is dealt round-robin over the folds in hash order.  Rows with a NULL
+    key are dealt like any other; a NULL target is an error, as in the split."""
+    counts = class_counts(df, target)
+    if None in counts:
+        raise ValueError("NULL group values cannot be stratified")
+    _check_folds(counts, k)
     ranked = ranked_in_class(df, target, key, seed, counts)
     return ranked.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
 

@@ -1,7 +1,7 @@
 """All registered queries (importing the modules registers them)."""
 from __future__ import annotations
 
-from nutrilake.plans import queries_drift, queries_model, queries_prep, queries_state  # noqa: F401
+from nutrilake.plans import queries_cuts, queries_drift, queries_model, queries_prep, queries_state  # noqa: F401
 from nutrilake.plans.registry import ORACLE, QUERIES
 
 

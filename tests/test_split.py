@@ -104,3 +104,60 @@ def test_very_many_classes(spark):
     out = split.stratified_split(df, test_size=0.4)
     counts = out.where("split = 'test'").groupBy("Health_Status").count()
     assert [tuple(r) for r in counts.groupBy("count").count().collect()] == [(2, n)]
+
+
+def _blocks(rows, k):
+    """Folds as the definition says: (md5 of the seeded key, md5 of the row) order, blocks per class."""
+    import hashlib
+
+    def md5(text):
+        return hashlib.md5(text.encode()).hexdigest()
+
+    null = "␀"
+    counts = {}
+    for r in rows:
+        counts[r[1]] = counts.get(r[1], 0) + 1
+    sizes, out = split.fold_sizes(counts, k), []
+    for c in counts:
+        own = sorted((r for r in rows if r[1] == c), key=lambda r: (
+            md5("42:" + (null if r[0] is None else r[0])),
+            md5("|".join(null if x is None else str(x) for x in r))))
+        at = 0
+        for f, n in enumerate(sizes[c]):
+            out += [(*r, f) for r in own[at:at + n]]
+            at += n
+    return sorted(map(repr, out))
+
+
+@pytest.mark.parametrize("k,max_cut_rows", [(2, 10 ** 6), (5, 10 ** 6), (5, 1), (7, 4)])
+def test_fold_blocks_equal_the_order(spark, k, max_cut_rows):
+    # unique keys, a key that a third of the rows lack, whole rows that repeat, a class smaller than k
+    rows = [(None if i % 3 == 0 else f"k{i % 40}", f"c{i % 2}", i % 4) for i in range(300)]
+    rows += [(f"u{i}", "c2", i) for i in range(50)] + [("same", "c3", 1)] * 33 + [("x", "c4", 0), ("y", "c4", 1)]
+    df = spark.createDataFrame(rows, "Person_ID string, Health_Status string, v int").repartition(5)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        got = split.stratified_fold_blocks(df, k, max_cut_rows=max_cut_rows)
+    assert got.columns == df.columns + ["fold"]
+    assert sorted(repr(tuple(r)) for r in got.collect()) == _blocks(rows, k)
+
+
+def test_fold_blocks_edges(spark):
+    schema = "Person_ID string, Health_Status string, `a.b` int"
+    assert split.stratified_fold_blocks(spark.createDataFrame([], schema)).columns[-1] == "fold"
+    df = spark.createDataFrame([(f"p{i}", "A", i) for i in range(4)], schema)
+    for wrong, said in ((1, "at least 2"), (5, "greater than the number")):
+        with pytest.raises(ValueError, match=said):
+            split.stratified_fold_blocks(df, wrong)
+    with pytest.raises(ValueError, match="NULL"):
+        split.stratified_fold_blocks(spark.createDataFrame([("p", None, 1)], schema))
+    plan = split.stratified_fold_blocks(df, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+
+
+def test_fold_sizes_differ_by_one_at_most():
+    for counts, k in (({"a": 7, "b": 5, "c": 11}, 4), ({"a": 1, "b": 9}, 5)):
+        sizes = split.fold_sizes(counts, k)
+        assert all(sum(sizes[c]) == n and max(sizes[c]) - min(sizes[c]) <= 1 for c, n in counts.items())
+        whole = [sum(s[f] for s in sizes.values()) for f in range(k)]
+        assert max(whole) - min(whole) <= 1
