@@ -5,8 +5,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nutrilake.operators import split
-from nutrilake.plans.common import diet, diet_dedup, with_dd
+from nutrilake.plans.common import diet, diet_dedup, r6, with_dd
+from nutrilake.plans.queries_model import scratch_dir
+from nutrilake.plans.queries_prep import _ODD_ID, _RECORD_NUMBERS, CSV_SCAN_SQL
 from nutrilake.plans.registry import query
+from nutrilake.sources import loader
 from nutrilake.sources.diet_profile import diet_ctes
 
 # ---------------------------------------------------------------- L2
@@ -37,3 +40,15 @@ def q_kfold_repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = diet(spark, sf_dir).select("Gender", "Health_Status")
     folds = split.stratified_fold_blocks(rows, 5, key="Gender")
     return folds.groupBy("Health_Status", "fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------- S1
+@query("csv_scan_splits", CSV_SCAN_SQL)
+def q_csv_scan_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with quoted line ends, every file read by several tasks (splits of 1 MB)."""
+    path = scratch_dir(spark, "csv")
+    (diet(spark, sf_dir).withColumn("Person_ID", F.expr(_ODD_ID))
+     .write.option("header", True).option("escape", '"').csv(path))
+    back = loader.load_table(spark, path, fmt="csv", split_bytes=1 << 20)
+    return back.select("Person_ID", "Age", "Gender", "Activity_Level", "Diet_Type", "Health_Status",
+                       F.col("copy_no").cast("int").alias("copy_no"), *[r6(c).alias(c) for c in _RECORD_NUMBERS])

@@ -129,13 +129,15 @@ def with_source_position(df: DataFrame, name: str = SOURCE_POSITION) -> DataFram
 def load_table(spark: SparkSession, path: str, sample_size: int | None = None,
                seed: int = 42, key: str = S.ID_COLUMN,
                expected: list[str] | None = None, keep_position: bool = False,
-               fmt: str | None = None) -> DataFrame:
+               fmt: str | None = None, split_bytes: int | None = None) -> DataFrame:
     """Read, optional exact-n sample, column check, numeric coercion.
 
     ``fmt`` is "csv" or "parquet"; when None, it is told by the file names.
     Both go the same way after the read (NA spellings -> NULL included).
     ``keep_position`` adds ``_source_pos`` (file order, see
-    ``with_source_position``) for a later "first row per key".
+    ``with_source_position``) for a later "first row per key".  ``split_bytes``
+    reads CSV files in splits of that size (``split_csv``: quotes as in RFC 4180);
+    without it, a file is one task.
     """
     if (fmt or file_format(spark, path)) == "parquet":
         try:
@@ -143,9 +145,12 @@ def load_table(spark: SparkSession, path: str, sample_size: int | None = None,
         except Exception as exc:  # noqa: BLE001
             raise DataLoadError(f"cannot read {path}: {exc}") from exc
         df = na_to_null(df)
+    elif split_bytes:
+        from nutrilake.sources.split_csv import read_split_csv
+        df = read_split_csv(spark, path, split_bytes, keep_position)
     else:
         df = read_raw_csv(spark, path)
-    if keep_position:
+    if keep_position and SOURCE_POSITION not in df.columns:
         df = with_source_position(df)
     if sample_size is not None:
         df = sample_n(df, sample_size, seed=seed, key=key)
