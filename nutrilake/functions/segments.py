@@ -197,3 +197,34 @@ def psi(ordered: DataFrame, n_r, n_c, inner: dict[int, np.ndarray]) -> np.ndarra
         found[f] += row["s"] if row["bin"] < 0 else float(term(np.float64(row["r"]), np.float64(row["c"]), f)) \
             if row["r"] or row["c"] else 0.0
     return found
+
+
+def numbered(ordered: DataFrame, found: list[Segment], start: int = 0) -> DataFrame:
+    """(feature, sval, place): the strings (all with ``rn`` above 0) numbered from
+    ``start`` in the order of the table, feature after feature; one local pass from
+    the segments' offsets."""
+    offsets, at = {}, start
+    for s in found:
+        offsets[_key(s.feature, s.first)] = at
+        at += s.distinct
+
+    def run(batches):
+        import pyarrow as pa
+
+        last, place = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part, feature = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((part[1:] != part[:-1]) | (feature[1:] != feature[:-1])) + 1
+            places = np.empty(len(part), np.int64)
+            for at, end in zip([0, *cuts], [*cuts, len(part)]):
+                key = (part[at], feature[at])
+                if key != last:
+                    place = offsets[_key(int(feature[at]), batch.column(3)[int(at)].as_py())]
+                places[at:end] = np.arange(place, place + end - at)
+                place, last = place + end - at, key
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(3), pa.array(places)],
+                                             names=["feature", "sval", "place"])
+
+    return ordered.mapInArrow(run, "feature int, sval string, place long")
