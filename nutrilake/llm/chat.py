@@ -4,7 +4,8 @@ Messages quote earlier ones by lines that begin with ">", once per level.
 Every line is parsed into (level, passage); passages are normalised (A-Z
 lower-cased, white space runs one blank) and hashed; a quoted passage is
 linked to the last earlier message of its conversation that holds it
-unquoted.  The message that wrote most passages of a message's outermost
+unquoted.  Passages are lines and, where lines were wrapped anew or only a
+sentence was quoted, the sentences of neighbouring lines of one level.  The message that wrote most passages of a message's outermost
 quotes is its original; ties go to the later one.  Following originals leads
 to the thread's first message.  Conversations come out in reply order, thread
 after thread and by turn inside a thread, so that every reply follows what it
@@ -27,6 +28,10 @@ TURNS = 1024          # turns looked at together by the as-of window
 QUOTE = r"^[\x20\x09]*>[\x20\x09>]*"
 # A line that introduces a quote, such as "On Monday A wrote:" (fixed words).
 INTRODUCTION = r"(?i)(wrote|writes|said|schrieb|a écrit|escribió)[\x20\x09]*:[\x20\x09\x0D]*$"
+# Sentences of joined lines: cut at ends of paragraphs and after end marks.
+SENTENCES = r"\x20*\n[\x20\n]*|(?<=[.!?])\x20+"
+# The prompt of an interactive session in a code sample.
+PROMPT = r"^>>> "
 ID = ["conv_id", "turn"]
 
 
@@ -49,12 +54,33 @@ def parsed(messages: DataFrame) -> DataFrame:
     return m.withColumn("lines", lines)
 
 
+def _sentences(lines: Column, level: Column) -> Column:
+    """The sentences of the lines of a level that are not lines themselves, as
+    (level, passage); other levels and empty lines end a paragraph."""
+    own = F.transform(lines, lambda x: F.when(x["level"] == level, x["passage"]).otherwise(F.lit("")))
+    joined = F.array_join(F.transform(own, lambda t: F.when(t == "", F.lit("\n")).otherwise(t)), " ")
+    found = F.array_except(F.split(joined, SENTENCES, -1), own)
+    return F.transform(F.filter(found, lambda t: t != ""),
+                       lambda t: F.struct(level.alias("level"), t.alias("passage")))
+
+
+def passages(lines: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, passage) of the conversations that quote at all."""
+    quoting = (lines.where(F.exists("lines", lambda x: x["level"] > 0))
+               .select(F.col("conv_id").alias("_conv")).distinct())
+    kept = lines.join(quoting, F.col("conv_id").eqNullSafe(F.col("_conv")), "left_semi")
+    whole = F.transform("lines", lambda x: F.struct(x["level"].alias("level"), x["passage"].alias("passage")))
+    levels = F.array_distinct(F.transform("lines", lambda x: x["level"]))
+    parts = F.flatten(F.transform(levels, lambda n: _sentences(F.col("lines"), n)))
+    return (kept.select(*ID, F.explode(F.concat(whole, parts)).alias("x")).where(F.col("x.passage") != "")
+            .select(*ID, "x.level", "x.passage"))
+
+
 def originals(lines: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, passage, source): every quoted passage with the
+    """(conv_id, turn, level, source): every quoted passage with the
     last earlier turn that holds it unquoted (null if none)."""
-    p = (lines.select(*ID, F.explode("lines").alias("x")).where(F.col("x.passage") != "")
-         .select(*ID, F.col("x.level").alias("level"), F.xxhash64("x.passage").alias("h1"),
-                 F.xxhash64(F.lit("q"), "x.passage").alias("h2"))
+    p = (passages(lines)
+         .select(*ID, "level", F.xxhash64("passage").alias("h1"), F.xxhash64(F.lit("q"), "passage").alias("h2"))
          .withColumn("part", F.floor(F.col("turn") / TURNS)))
     wrote = F.when(F.col("level") == 0, F.col("turn"))
     key = ["conv_id", "h1", "h2"]
@@ -96,10 +122,13 @@ def threads(links: DataFrame) -> DataFrame:
     return state.drop("moved")
 
 
-def _reply(lines: Column) -> Column:
-    """The message without quoted lines and the lines that introduce them."""
-    quoted = lambda i: F.coalesce(F.get(lines, i)["level"], F.lit(0)) > 0
-    own = F.filter(lines, lambda x, i: (x["level"] == 0)
+def _reply(lines: Column, linked: Column) -> Column:
+    """The message without quoted lines and the lines that introduce them.
+    Prompts of code stay in a message that quotes no other."""
+    code = lambda x: ~linked & x["line"].rlike(PROMPT)
+    after = lambda i: F.get(lines, i)
+    quoted = lambda i: F.coalesce((after(i)["level"] > 0) & ~code(after(i)), F.lit(False))
+    own = F.filter(lines, lambda x, i: ((x["level"] == 0) | code(x))
                    & ~(quoted(i + 1) & x["line"].rlike(INTRODUCTION)))
     return F.btrim(F.array_join(F.transform(own, lambda x: x["line"]), "\n"), F.lit(WHITE))
 
@@ -107,7 +136,7 @@ def _reply(lines: Column) -> Column:
 def format_chats(messages: DataFrame) -> DataFrame:
     """One row per row of ``messages`` (conv_id, turn, role, text): conv_id,
     turn, role, text without quotes, parent_turn, thread_turn, depth,
-    n_quoted and n_linked (quoted passages, those with an original), position
+    n_quoted (quoted lines), n_linked (quoted lines and sentences with an original), position
     (place in the conversation's reply order, from 0) and formatted.
 
     A message without quotes keeps its text as it is.  Null texts are empty.
@@ -125,7 +154,7 @@ def format_chats(messages: DataFrame) -> DataFrame:
     any_quoted = F.exists("lines", lambda x: x["level"] > 0)
     told = (lines.join(linked, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("turn") == F.col("_turn")), "left")
             .select("conv_id", "turn", "role",
-                    F.when(any_quoted, _reply(F.col("lines"))).otherwise(F.col("text")).alias("text"),
+                    F.when(any_quoted, _reply(F.col("lines"), F.col("parent").isNotNull())).otherwise(F.col("text")).alias("text"),
                     F.col("parent").alias("parent_turn"), F.coalesce("thread", "turn").alias("thread_turn"),
                     F.coalesce("depth", F.lit(0)).cast("long").alias("depth"), n_quoted.cast("long").alias("n_quoted"),
                     F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked")))

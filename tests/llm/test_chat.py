@@ -62,3 +62,30 @@ def test_long_chain(spark):
 def test_empty_table(spark):
     assert run(spark, []) == []
     assert chat.format_chats(spark.createDataFrame([], SCHEMA).withColumn("level", F.lit(1))).count() == 0
+
+
+def test_wrapped_and_partial_quotes(spark):
+    rows = [
+        (1, 0, "user", "The quick brown fox jumps over the lazy dog. It runs. Then the day ends."),
+        (1, 1, "user", "Another start\nthat was wrapped\nover lines!"),
+        (1, 2, "assistant", "> The quick brown fox\n> jumps over the lazy dog.\nwrapped anew"),
+        (1, 3, "assistant", "> Another start that was wrapped over lines!\nunwrapped"),
+        (1, 4, "assistant", "> then the DAY ends.\none sentence"),
+        (1, 5, "user", "> > The quick brown\n> > fox jumps over the lazy dog.\n> wrapped anew\nnested"),
+        (1, 6, "user", "> The quick brown fox\n\n> jumps over the lazy dog.\ntwo paragraphs are no sentence"),
+        (2, 0, "user", "The quick brown fox jumps over the lazy dog."),
+    ]
+    out = {(r["conv_id"], r["turn"]): r for r in run(spark, rows)}
+    assert [out[1, t]["parent_turn"] for t in range(7)] == [None, None, 0, 1, 0, 2, None]
+    assert [out[1, t]["text"] for t in (2, 3, 4, 5)] == ["wrapped anew", "unwrapped", "one sentence", "nested"]
+    assert [out[1, t]["n_quoted"] for t in (2, 3, 4, 5)] == [2, 1, 1, 3]
+    assert out[1, 5]["depth"] == 2 and out[2, 0]["parent_turn"] is None
+
+
+def test_prompts_of_code_are_no_quotes(spark):
+    code = "Try this:\n>>> print(1)\n1\n>>> quit()"
+    rows = [(1, 0, "user", code), (1, 1, "user", "> Try this:\n>>> print(1)\nthanks"), (2, 0, "user", "I wrote:\n>>> a")]
+    out = {(r["conv_id"], r["turn"]): r for r in run(spark, rows)}
+    assert out[1, 0]["text"] == code and out[1, 0]["parent_turn"] is None
+    assert out[1, 1]["parent_turn"] == 0 and out[1, 1]["text"] == "thanks"
+    assert out[2, 0]["text"] == "I wrote:\n>>> a"
