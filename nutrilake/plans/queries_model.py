@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import functools
 import os
-import uuid
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,15 +19,16 @@ from nutrilake import schema as S
 from nutrilake.functions import rules
 from nutrilake.operators import evaluate, score, split
 from nutrilake.operators.boost import make_model
+from nutrilake.operators.clean import path_exists
 from nutrilake.plans import sqlgen as G
 from nutrilake.plans import training
 from nutrilake.plans.common import diet_dedup, r6, sql_r6, with_dd
 from nutrilake.plans.preprocess import prepare
 from nutrilake.plans.queries_prep import FEATURE_MATRIX_SQL, _prepared, matrix_columns
 from nutrilake.plans.registry import query
-from nutrilake.session import ensure_checkpoint_dir
+from nutrilake.session import scratch_folder
 from nutrilake.sources.diet_profile import diet_profile
-from nutrilake.sources.sinks import read_split, write_splits
+from nutrilake.sources.sinks import artifact_paths, read_split, write_splits
 from nutrilake.sources.tables import read_table
 from nutrilake.streaming.scoring import REQUEST_SCHEMA, read_rejected, read_scored, start_scoring_stream
 
@@ -42,7 +42,7 @@ SHORT = {"ovr_gbt": {"n_estimators": 2, "max_depth": 2}, "softmax_boost": {"iter
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a
     machine-local temp dir on a cluster)."""
-    return os.path.join(ensure_checkpoint_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex[:10]}")
+    return scratch_folder(spark, name)
 
 
 # ---------------------------------------------------------------- rule predictors
@@ -550,7 +550,7 @@ def _published(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     scratch folder.  The scoring queries of one application share it.  The
     artifacts as they were fitted stay in ``_IN_SESSION``."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PUBLISHED:
+    if key not in _PUBLISHED or not path_exists(os.path.dirname(_PUBLISHED[key][0])):     # not yet, or cleared
         out = scratch_dir(spark, "models")
         p = prepare(diet_profile(spark, sf_dir), order_by=["copy_no"], out_dir=os.path.join(out, "processed"))
         results = training.compare_models(p, os.path.join(out, "models"), 42, LEARNERS)
@@ -678,3 +678,22 @@ def q_write_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
             both = x.join(y, p.key).withColumns({"split": F.lit(side), "format": F.lit(fmt)})
             parts.append(matrix_columns(both, p.encoder, ["format"]))
     return functools.reduce(DataFrame.unionByName, parts)
+
+
+SINK_LOCATIONS_SQL = with_dd("""SELECT a.name, a.folder, count(*) AS rows FROM sp JOIN (VALUES
+  ('X_train', 'prepared/split=train', 'train'), ('y_train', 'prepared/split=train', 'train'),
+  ('X_test', 'prepared/split=test', 'test'), ('y_test', 'prepared/split=test', 'test')) a(name, folder, side)
+  ON sp.split = a.side GROUP BY 1, 2""", G.split_ctes("dd"))
+
+
+@query("sink_locations", SINK_LOCATIONS_SQL)
+def q_sink_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the rows found under the fixed location of every part."""
+    p = _prepared(spark, sf_dir)
+    out = scratch_dir(spark, "processed")
+    write_splits(p.frame, out, p.key, p.target)
+    paths = artifact_paths(out)
+    parts = [spark.read.parquet(paths[name]).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(name).alias("name"), F.lit(os.path.relpath(paths[name], out)).alias("folder"), "rows")
+             for name in ("X_train", "X_test", "y_train", "y_test")]
+    return functools.reduce(DataFrame.unionByName, parts)

@@ -69,9 +69,24 @@ def current_session() -> SparkSession:
     return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
+_MADE: dict[str, list[str]] = {}        # application -> its scratch folders (paths only)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:16]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:16]}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove every scratch folder that this application made and return their
+    number.  Results that were not written elsewhere read them: call it after
+    they have been.  Folders of other applications stay."""
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for path in made:
+        remove_scratch(spark, path)
+    return len(made)
 
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
