@@ -8,6 +8,7 @@ training-fitted encoder and the model -- all column expressions plus MLlib
 """
 from __future__ import annotations
 
+import functools
 import os
 from dataclasses import dataclass
 
@@ -37,8 +38,8 @@ NON_NEGATIVE_FIELDS = ["protein_intake_g", "carbohydrate_intake_g", "fat_intake_
 # ------------------------------------------------------------------------------
 
 
-def request_errors(df: DataFrame) -> F.Column:
-    """ARRAY<STRING> of violated rules (empty = valid)."""
+def _checks(df: DataFrame) -> list[tuple[F.Column, str]]:
+    """(violated, message) of every rule."""
     age = F.col("age")
     checks = [
         (age.isNull() | (age <= AGE_MIN_EXCLUSIVE) | (age > AGE_MAX) | (age != F.floor(age)),
@@ -53,14 +54,23 @@ def request_errors(df: DataFrame) -> F.Column:
     missing = [f for f in REQUEST_FIELDS if f not in df.columns]
     if missing:
         raise ValueError(f"request fields missing: {missing}")
-    return F.filter(F.array(*[F.when(c, F.lit(msg)) for c, msg in checks]), lambda e: e.isNotNull())
+    return checks
+
+
+def request_errors(df: DataFrame) -> F.Column:
+    """ARRAY<STRING> of violated rules (empty = valid)."""
+    return F.filter(F.array(*[F.when(c, F.lit(msg)) for c, msg in _checks(df)]), lambda e: e.isNotNull())
+
+
+def is_valid(df: DataFrame) -> F.Column:
+    """No rule is violated; one condition, without the messages."""
+    return ~functools.reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c, _ in _checks(df)])
 
 
 def validate_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected); rejected rows carry ``errors``."""
-    checked = df.withColumn("errors", request_errors(df))
-    return (checked.where(F.size("errors") == 0).drop("errors"),
-            checked.where(F.size("errors") > 0))
+    return (df.where(is_valid(df)).drop("errors"),
+            df.withColumn("errors", request_errors(df)).where(F.size("errors") > 0))
 
 
 def to_raw_records(requests: DataFrame, keep: list[str] | None = None) -> DataFrame:
