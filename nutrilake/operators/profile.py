@@ -10,12 +10,14 @@ small aggregation over ``vc``:
 
 * rows / missing / cardinality: sums and counts per column;
 * skewness: mean per column, then central moments weighted by ``n``;
-* quartiles (outlier fences): exact weighted quantiles over ``vc``;
+* quartiles (outlier fences): exact, by local passes over the ordered numbers
+  of ``vc`` (``functions.segments``);
 * outliers: sum of ``n`` outside the fences;
 * examples: the smallest distinct values, map-side top-k.
 
-All consumers read the same ``vc`` plan, so Spark reuses its shuffle
-(``ReusedExchange``): the source is read once however many columns it has.
+``vc`` is written once, in a scratch folder (``clear_scratch`` removes it):
+the source is read once however many columns it has, and no consumer repeats
+the aggregation.
 """
 from __future__ import annotations
 
@@ -23,8 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nutrilake.functions.ordered import (bounded_broadcast, counted, value_counts_long,
-                                         weighted_quantiles)
+from nutrilake.functions import segments
+from nutrilake.functions.ordered import bounded_broadcast, counted, value_counts_long
+from nutrilake.session import remove_scratch, scratch_folder
 
 PROFILE_COLUMNS = ["Column", "Type", "Missing", "Pct_Missing", "Cardinality", "Constant",
                    "Skewness", "Pct_Outliers", "Examples"]
@@ -74,6 +77,25 @@ def _moments(vc: DataFrame) -> DataFrame:
     return m.select("column", skew.alias("Skewness"))
 
 
+def _quartiles(num: DataFrame, columns: list[str]) -> dict[str, list[float]]:
+    """Exact quartiles of the columns with values: their numbers are dealt to
+    range partitions, and the values at the wanted ranks are found by one local
+    pass from the offsets of the parts."""
+    folder = scratch_folder(num.sparkSession, "ordered")
+    feature = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])[F.col("column")]
+    ordered = segments.write_ordered(num.select(
+        feature.alias("feature"), "dval", "sval", F.col("n").alias("rn"), F.lit(0).cast("long").alias("cn")), folder)
+    found = segments.totals(ordered)
+    n = [0] * len(columns)
+    for s in found:
+        n[s.feature] += s.r
+    probs = [0.25, 0.75]
+    wanted = {i: segments.ranks(probs, n[i]) for i in range(len(columns)) if n[i]}
+    _, picked = segments.levels(ordered, found, n, [0] * len(columns), wanted)
+    remove_scratch(num.sparkSession, folder)
+    return {columns[i]: segments.quantiles(probs, n[i], picked[i]) for i in wanted}
+
+
 def dataset_profile(df: DataFrame, max_examples: int = 5, iqr_factor: float = 1.5,
                     quantile_method: str = "exact", approx_accuracy: int = 10_000,
                     order_col: str | None = None) -> DataFrame:
@@ -93,7 +115,9 @@ def dataset_profile(df: DataFrame, max_examples: int = 5, iqr_factor: float = 1.
     position = {f.name: i for i, f in enumerate(fields)}
     types = {f.name: f.dataType.simpleString() for f in fields}
 
-    vc = value_counts_long(df, numeric, strings, order_col=order_col)
+    counts, folder = value_counts_long(df, numeric, strings, order_col=order_col), scratch_folder(spark, "counts")
+    counts.write.parquet(folder)
+    vc = spark.read.schema(counts.schema).parquet(folder)
 
     base = vc.groupBy("column").agg(
         F.sum("n").alias("_n"),
@@ -110,7 +134,7 @@ def dataset_profile(df: DataFrame, max_examples: int = 5, iqr_factor: float = 1.
             q = num.groupBy("column").agg(F.percentile_approx(
                 "dval", [0.25, 0.75], approx_accuracy).alias("q"))
         else:
-            q = weighted_quantiles(num, "column", "dval", "n", [0.25, 0.75])
+            q = spark.createDataFrame(list(_quartiles(num, numeric).items()), "column string, q array<double>")
         fences = q.select("column",
                           (F.col("q")[0] - iqr_factor * (F.col("q")[1] - F.col("q")[0])).alias("_lo"),
                           (F.col("q")[1] + iqr_factor * (F.col("q")[1] - F.col("q")[0])).alias("_hi"))
