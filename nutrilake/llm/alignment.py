@@ -30,6 +30,7 @@ counts are broadcast only when their measured size is small.
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import struct
 
@@ -76,6 +77,7 @@ class ByteLevel:
             self.bytes_of[i] = token
         for token, i in special.items():
             self.bytes_of[i] = token.encode()
+        self.sizes = np.array([len(t) for t in self.bytes_of])
         # Fixed pattern of the byte-level pre-tokenizer.
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self._fast = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -96,6 +98,7 @@ class Pieces:
         self._model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self._model.is_byte(i) else p.replace("▁", " ").encode()
                          for i, p in enumerate(map(self._model.id_to_piece, range(self._model.vocab_size())))]
+        self.sizes = np.array([len(t) for t in self.bytes_of])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self._model.encode(texts, num_threads=1)
@@ -126,8 +129,8 @@ class Aligned:
         self.n = len(texts)
         self.a, self.a_doc = self._flat(a_ids, used)
         self.b, self.b_doc = self._flat(b_ids, used)
-        a_end = np.cumsum(np.array([len(t) for t in a.bytes_of])[self.a])
-        b_end = np.cumsum(np.array([len(t) for t in b.bytes_of])[self.b])
+        a_end = np.cumsum(a.sizes[self.a])
+        b_end = np.cumsum(b.sizes[self.b])
         self.a_cut, self.b_cut = self._member(a_end, b_end), self._member(b_end, a_end)
         ends = np.union1d(a_end, b_end)
         self.link_a = np.searchsorted(a_end, ends)
@@ -135,8 +138,9 @@ class Aligned:
 
     @staticmethod
     def _flat(ids: list[list[int]], used: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        flat = np.array([i for own in ids for i in own], np.int64)
-        return flat, np.repeat(np.array(used, np.int64), [len(own) for own in ids])
+        sizes = [len(own) for own in ids]
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, sum(sizes))
+        return flat, np.repeat(np.array(used, np.int64), sizes)
 
     @staticmethod
     def _member(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -106,3 +106,12 @@ def test_runs_round_trip():
         assert n == len(key) and (alignment.radix_of(key // 1000, 7) == radix).all()
         back += zip(((np.repeat(key, here) << alignment.DOC_BITS) | np.cumsum(number)).tolist(), own.tolist())
     assert sorted(back) == sorted(zip(code.tolist(), links.tolist()))
+
+
+def test_token_sizes_are_found_once(spark):
+    import public_tokenizers
+
+    from nutrilake.llm.alignment import load_tokenizer
+    for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"):
+        tokenizer = load_tokenizer(public_tokenizers.path(name))
+        assert tokenizer.sizes.tolist() == [len(t) for t in tokenizer.bytes_of]

@@ -232,3 +232,33 @@ def test_scratch_of_a_fit_is_removed(spark, toy):
     for path in ("/tmp", folder, folder + "/", folder + "/../x"):
         with pytest.raises(ValueError, match="no scratch folder"):
             remove_scratch(spark, path)
+
+
+def test_rows_are_kept_in_blocks_and_features_counted_jointly(table, monkeypatch):
+    df, _, _ = table
+    blocks = histogram.binned_table(df.coalesce(1), "features", "label", None, histogram.fit_thresholds(df, "features", 32))
+    assert blocks.count() == 1                              # 600 rows, one block
+    want = make_model("softmax_boost", 1, iterations=2, depth=3).fit(df, validation=df)
+    groups = histogram._grouped([7, 20, 2, 5000], 4096)
+    assert sorted(f for g in groups for f in g) == [0, 1, 2, 3] and [3] in groups and len(groups) == 2
+    monkeypatch.setattr(histogram, "BLOCK", 64)             # many blocks, every feature on its own
+    monkeypatch.setattr(histogram, "GROUP_CELLS", 1)
+    alone = make_model("softmax_boost", 1, iterations=2, depth=3).fit(df, validation=df)
+    assert alone.nodes == want.nodes and alone._curves == want._curves
+
+
+def test_shared_bins_equal_own_bins(table):
+    from pyspark.ml.feature import VectorSlicer
+    df, _, _ = table
+    binned = histogram.bin_once(df, "features", "label", histogram.fit_thresholds(df, "features", 32))
+    part = VectorSlicer(inputCol="features", outputCol="part", indices=[2, 0]).transform(df).drop("features") \
+        .withColumnRenamed("part", "features")
+    shared = make_model("ovr_gbt", 1, iterations=2, depth=2).fit(df, binned=binned.only([2, 0]))
+    assert shared.nodes == make_model("ovr_gbt", 1, iterations=2, depth=2).fit(part).nodes
+    binned.remove()
+
+
+def test_probabilities_are_generated_code(spark, toy):
+    train, _ = toy
+    model = make_model("ovr_gbt", 1, **FAST).fit(train)
+    assert "lambdafunction" not in model.predict_proba(train)._jdf.queryExecution().toString()

@@ -59,3 +59,11 @@ def test_examples_in_order_of_appearance(spark, mock_csv):
     assert rows["Age"]["Examples"] == ["17.0", "18.0", "30.0", "52.0", "59.0"]
     assert rows["Activity_Level"]["Examples"] == ["Sedentary", "Athlete", "Lightly Active",
                                                   "Very Active", "Moderately Active"]
+
+
+def test_quartiles_need_no_search_per_value(spark):
+    df = spark.createDataFrame([(float(i % 7), float("nan") if i == 3 else None) for i in range(50)], "v double, w double")
+    plan = dataset_profile(df)._jdf.queryExecution().toString()
+    assert "lambda acc" not in plan and "aggregate(sequence" not in plan
+    rows = {r["Column"]: r for r in dataset_profile(df).collect()}
+    assert rows["v"]["Pct_Outliers"] == 0.0 and rows["w"]["Missing"] == 49 and rows["w"]["Cardinality"] == 1

@@ -42,3 +42,17 @@ def test_json_request_stream(spark, published, tmp_path):
     q = start_scoring_stream(spark, str(inbox), art, str(tmp_path / "sink"), str(tmp_path / "ckpt"), fmt="json")
     q.awaitTermination()
     assert [r[0] for r in read_scored(spark, str(tmp_path / "sink")).select("request_id").collect()] == ["j1"]
+
+
+def test_a_batch_of_one_file_uses_all_cores(spark, tmp_path, monkeypatch):
+    from nutrilake.streaming import scoring
+    seen = []
+
+    def score(raw, art, keep):
+        seen.append(raw.rdd.getNumPartitions())
+        return raw.select(*keep)
+
+    monkeypatch.setattr(scoring, "score", score)
+    batch = spark.createDataFrame([], scoring.REQUEST_SCHEMA).coalesce(1)
+    scoring.score_micro_batch(batch, 0, None, str(tmp_path / "out"))
+    assert seen == [spark.sparkContext.defaultParallelism]
