@@ -37,10 +37,9 @@ REQUEST_SCHEMA = T.StructType([
 
 def score_micro_batch(batch: DataFrame, batch_id: int, art: ScoringArtifacts, out_dir: str,
                       key: str = "request_id") -> None:
-    # A batch of few files is few partitions, however many rows: scoring uses all cores.
-    cores = batch.sparkSession.sparkContext.defaultParallelism
-    if batch.rdd.getNumPartitions() < cores:
-        batch = batch.repartition(cores)
+    # A file is read by as many tasks as it has row groups, often one, whatever the
+    # number of partitions: the rows are dealt out, so that scoring uses all cores.
+    batch = batch.repartition(batch.sparkSession.sparkContext.defaultParallelism)
     # both outputs read the same validated rows once (micro-batch scoped)
     checked = batch.withColumn("errors", request_errors(batch)).persist()
     try:
