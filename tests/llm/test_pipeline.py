@@ -31,7 +31,7 @@ def test_against_sql(spark, name):
 
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_duplicates", "source_mix", "packing"]
 
